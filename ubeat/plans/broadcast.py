@@ -1,0 +1,31 @@
+"""Size-checked broadcast joins.
+
+A dimension is broadcast only when its on-disk size is known to be below a
+limit; otherwise the join is left to Catalyst/AQE (shuffle join, or a runtime
+broadcast once AQE has measured the actual side).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_LIMIT_BYTES = 64 * 1024 * 1024
+
+
+def plan_size_bytes(df: DataFrame) -> int | None:
+    """Optimizer size estimate of a DataFrame (scan sizes after pruning), if known."""
+    try:
+        jdf = df._jdf
+        stats = jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Spark Connect)
+        return None
+
+
+def maybe_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its estimated size is below ``limit_bytes``, else ``df``."""
+    size = plan_size_bytes(df)
+    if size is not None and size <= limit_bytes:
+        return F.broadcast(df)
+    return df
