@@ -88,3 +88,318 @@ FROM ({_hop('pv', 'item_id', 'us', 3_600_000_000, 300_000_000)}) GROUP BY item_i
 def item_view_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Hop-window counts per item (1 h / 5 min) before ranking."""
     return windows.item_view_counts(tb.user_behavior(_ev(spark, sf)), "1 hour", "5 minutes")
+
+
+# --- hot pages: access log -> 10 min / 5 s counts per url -> top 3 (A4 + R1) ----------
+
+_URL = f"'/page/' || CAST({_K} AS VARCHAR)"
+_PAGE_COUNTS_ORACLE = f"""
+WITH req AS (SELECT {_URL} AS url, epoch_us(ts) AS us FROM events WHERE event_type = 'view')
+SELECT url, window_end, CAST(count(*) AS BIGINT) AS cnt
+FROM ({_hop('req', 'url', 'us', 600_000_000, 5_000_000)}) GROUP BY url, window_end
+"""
+
+
+@register("page_counts", _PAGE_COUNTS_ORACLE)
+def page_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """GET requests per url per 10 min window sliding by 5 s (change-point plan)."""
+    return windows.page_counts(tb.access_log(_ev(spark, sf)), "10 minutes", "5 seconds")
+
+
+@register("hot_pages", f"""
+WITH c AS ({_PAGE_COUNTS_ORACLE})
+SELECT url, window_end, cnt, row_num FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM c)
+WHERE row_num <= 3
+""")
+def hot_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Top 3 urls per 10 min window sliding by 5 s."""
+    return ranking.hot_pages(page_counts(spark, sf), 3)
+
+
+@register("access_log_hot_pages", f"""
+WITH req AS (SELECT {_URL} AS url, epoch_us(date_trunc('second', ts)) AS us FROM events WHERE event_type = 'view'),
+c AS (SELECT url, window_end, CAST(count(*) AS BIGINT) AS cnt
+      FROM ({_hop('req', 'url', 'us', 600_000_000, 5_000_000)}) GROUP BY url, window_end)
+SELECT url, window_end, cnt, row_num FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM c)
+WHERE row_num <= 3
+""")
+def access_log_hot_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Hot pages from access-log *text*: events rendered as log lines, parsed back."""
+    from ubeat.sources.text import parse_access_log
+    log = parse_access_log(tb.access_log_lines(_ev(spark, sf)))
+    return ranking.hot_pages(windows.page_counts(log, "10 minutes", "5 seconds"), 3)
+
+
+# --- page views and unique visitors (A7–A12) -------------------------------------------
+
+_HOUR_END = "make_timestamp((epoch_us(ts) // 3600000000 + 1) * 3600000000)"
+_PV_ORACLE = f"""
+SELECT {_HOUR_END} AS window_end, CAST(count(*) AS BIGINT) AS pv
+FROM events WHERE event_type = 'view' GROUP BY 1
+"""
+
+
+@register("page_views", _PV_ORACLE)
+def page_views(spark: SparkSession, sf: str) -> DataFrame:
+    """Views per tumbling hour."""
+    return windows.page_views(tb.user_behavior(_ev(spark, sf)), "1 hour")
+
+
+@register("page_views_two_phase", _PV_ORACLE)
+def page_views_two_phase(spark: SparkSession, sf: str) -> DataFrame:
+    """Views per hour via the salted two-phase total."""
+    return windows.page_views_two_phase(tb.user_behavior(_ev(spark, sf)), "1 hour")
+
+
+@register("unique_visitors", f"""
+SELECT {_HOUR_END} AS window_end, CAST(count(DISTINCT user_id) AS BIGINT) AS uv
+FROM events WHERE event_type = 'view' GROUP BY 1
+""")
+def unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact distinct viewers per tumbling hour."""
+    return windows.unique_visitors(tb.user_behavior(_ev(spark, sf)), "1 hour")
+
+
+@register("unique_visitors_approx")
+def unique_visitors_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """HyperLogLog distinct viewers per hour (approximate: no exact oracle)."""
+    return windows.unique_visitors_approx(tb.user_behavior(_ev(spark, sf)), "1 hour", 0.01)
+
+
+_OFFSET64 = ("list_reduce(list_transform(string_split(CAST(user_id AS VARCHAR), ''), lambda c: ascii(c)), "
+             "lambda a, x: (a * 61 + x) & 63, 0)")
+
+
+@register("unique_visitors_bitmap", f"""
+SELECT {_HOUR_END} AS window_end, CAST(count(DISTINCT {_OFFSET64}) AS BIGINT) AS uv
+FROM events WHERE event_type = 'view' GROUP BY 1
+""")
+def unique_visitors_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """One-hash bitmap visitors per hour; 64 bits so collisions show with few users."""
+    return windows.unique_visitors_bitmap(tb.user_behavior(_ev(spark, sf)), "1 hour", bits=64, seed=61)
+
+
+@register("running_unique_visitors", f"""
+WITH pv AS (SELECT {_HOUR_END} AS window_end, user_id, ts, event_id FROM events WHERE event_type = 'view'),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_end, user_id ORDER BY ts, event_id) AS rn
+                     FROM pv) WHERE rn = 1)
+SELECT window_end, user_id, ts,
+       CAST(count(*) OVER (PARTITION BY window_end ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS uv
+FROM f
+""")
+def running_unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per first view of a user in an hour, with the running distinct count."""
+    return windows.running_unique_visitors(tb.user_behavior(_ev(spark, sf)), "1 hour")
+
+
+# --- ad clicks: fraud filter (P1) and clicks per province (A5) -----------------------------
+
+_CLICKS = f"""
+SELECT e.user_id, {_K} AS ad_id, e.event_type, n.n_name AS province, e.ts, e.event_id AS seq
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+_FRAUD_ORACLE = f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY seq) AS rn FROM ({_CLICKS}))
+SELECT user_id, ad_id, event_type, province, ts, seq,
+       CASE WHEN rn <= 10 THEN 'pass' ELSE 'warning' END AS tag,
+       CASE WHEN rn <= 10 THEN NULL ELSE 'Click ad over 10 times today.' END AS msg
+FROM r WHERE rn <= 11
+"""
+
+
+def _fraud(spark: SparkSession, sf: str) -> DataFrame:
+    from ubeat.operators.fraud import click_fraud_filter
+    clicks = tb.ad_clicks(_ev(spark, sf), tb.load(spark, sf, "customer"), tb.load(spark, sf, "nation"))
+    return click_fraud_filter(clicks, keys=("user_id", "event_type"), limit=10)
+
+
+@register("click_fraud_filter", _FRAUD_ORACLE)
+def click_fraud_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """First 10 events per (user, event type) pass, the 11th warns, the rest vanish."""
+    return _fraud(spark, sf).select("user_id", "ad_id", "event_type", "province", "ts", "seq", "tag", "msg")
+
+
+@register("ad_clicks_by_province", f"""
+WITH p AS (SELECT province, epoch_us(ts) AS us FROM ({_FRAUD_ORACLE}) WHERE tag = 'pass')
+SELECT province, window_end, CAST(count(*) AS BIGINT) AS cnt
+FROM ({_hop('p', 'province', 'us', 3_600_000_000, 5_000_000)}) GROUP BY province, window_end
+""")
+def ad_clicks_by_province(spark: SparkSession, sf: str) -> DataFrame:
+    """Passed clicks per province per 1 h window sliding by 5 s."""
+    from ubeat.operators.fraud import passed
+    return windows.clicks_by_province(passed(_fraud(spark, sf)), "1 hour", "5 seconds")
+
+
+# --- marketing counts per channel and behaviour (A6) ----------------------------------------
+
+@register("market_counts", f"""
+WITH m AS (
+  SELECT CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'download'
+                         WHEN 'purchase' THEN 'install' WHEN 'error' THEN 'uninstall' END AS behavior,
+         (['appstore', 'weibo', 'wechat', 'tieba'])[{_K} % 4 + 1] AS channel, epoch_us(ts) AS us
+  FROM events WHERE event_type <> 'signup'),
+k AS (SELECT * FROM m WHERE behavior <> 'uninstall'),
+c AS (SELECT channel, behavior, window_end, CAST(count(*) AS BIGINT) AS cnt
+      FROM ({_hop('k', 'channel, behavior', 'us', 86_400_000_000, 5_000_000)}) GROUP BY ALL)
+SELECT window_end - INTERVAL 1 DAY AS window_start, window_end, channel, behavior, cnt FROM c
+""")
+def market_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Behaviours per (channel, behaviour) per 1 day window sliding by 5 s."""
+    return windows.market_counts(tb.market_behavior(_ev(spark, sf)), "1 day", "5 seconds")
+
+
+# --- login alarms (P3, P4, C1) --------------------------------------------------------------
+
+_LOGINS = "SELECT user_id, CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS event_type, ts, event_id AS seq FROM events"
+
+
+@register("login_fail_pair", f"""
+WITH l AS (SELECT *, lag(event_type) OVER w AS pt, lag(ts) OVER w AS pts FROM ({_LOGINS})
+           WINDOW w AS (PARTITION BY user_id ORDER BY seq))
+SELECT user_id, pts AS first_fail, ts AS last_fail, 'login fail 2 times in 2 seconds' AS msg
+FROM l WHERE event_type = 'fail' AND pt = 'fail' AND ts < pts + INTERVAL 2 HOUR
+""")
+def login_fail_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Two fails in a row (arrival order) less than 2 h apart."""
+    from ubeat.operators.logins import login_fail_pair as op
+    return op(tb.logins(_ev(spark, sf)), "2 hours")
+
+
+@register("login_fail_sequence", f"""
+WITH l AS (SELECT *, lead(event_type, 1) OVER w AS t1, lead(event_type, 2) OVER w AS t2,
+                  lead(ts, 2) OVER w AS ts2 FROM ({_LOGINS})
+           WINDOW w AS (PARTITION BY user_id ORDER BY ts, seq))
+SELECT user_id, ts AS first_fail, ts2 AS last_fail, 'login fail' AS msg
+FROM l WHERE event_type = 'fail' AND t1 = 'fail' AND t2 = 'fail' AND ts2 < ts + INTERVAL 1 DAY
+""")
+def login_fail_sequence(spark: SparkSession, sf: str) -> DataFrame:
+    """Three consecutive fails (event time) within 1 day."""
+    from ubeat.operators.patterns import login_fail_sequence as op
+    return op(tb.logins(_ev(spark, sf)), 3, "1 day")
+
+
+@register("login_fail_timer")
+def login_fail_timer(spark: SparkSession, sf: str) -> DataFrame:
+    """At least 2 fails gathered in the 6 h after a first fail (sequential rule: brute-force tested)."""
+    from ubeat.operators.logins import login_fail_timer as op
+    return op(tb.logins(_ev(spark, sf)), 2, "6 hours")
+
+
+# --- orders: pattern (C2–C4), state machine (P5), reconciliation (J1) -------------------------
+
+@register("order_pay_pattern", """
+WITH o AS (SELECT user_id AS order_id, CASE WHEN event_type = 'click' THEN 'create' ELSE 'pay' END AS event_type,
+                  ts, event_id AS seq FROM events WHERE event_type IN ('click', 'purchase')),
+n AS (SELECT *, min(CASE WHEN event_type = 'pay' THEN ts END) OVER (
+         PARTITION BY order_id ORDER BY ts, seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM o)
+SELECT order_id, ts AS create_ts,
+       CASE WHEN nxt < ts + INTERVAL 12 HOUR THEN nxt END AS pay_ts,
+       CASE WHEN nxt < ts + INTERVAL 12 HOUR THEN 'payed' ELSE 'timeout' END AS tag,
+       CASE WHEN nxt < ts + INTERVAL 12 HOUR THEN 'payed success'
+            ELSE 'timeout : ' || CAST((epoch_us(ts) + 43200000000) // 1000 AS VARCHAR) END AS result
+FROM n WHERE event_type = 'create'
+""")
+def order_pay_pattern(spark: SparkSession, sf: str) -> DataFrame:
+    """Click followed by the user's next purchase within 12 h, else a timeout."""
+    from ubeat.operators.patterns import order_pay_pattern as op
+    return op(tb.order_events(_ev(spark, sf), per="user"), "12 hours")
+
+
+@register("order_timeout", f"""
+WITH o AS (SELECT user_id * 100 + {_K} AS order_id, event_type, ts FROM events
+           WHERE event_type IN ('click', 'purchase')),
+a AS (SELECT order_id, min(ts) FILTER (WHERE event_type = 'click') AS create_ts,
+             min(ts) FILTER (WHERE event_type = 'purchase') AS pay_ts FROM o GROUP BY order_id),
+r AS (SELECT *, CASE
+        WHEN create_ts IS NOT NULL AND pay_ts IS NOT NULL AND pay_ts >= create_ts
+             AND pay_ts < create_ts + INTERVAL 12 HOUR THEN 'payed successfully'
+        WHEN create_ts IS NOT NULL AND pay_ts IS NOT NULL AND pay_ts >= create_ts THEN 'payed but already timeout'
+        WHEN pay_ts IS NOT NULL THEN 'payed but not found create log'
+        ELSE 'order timeout' END AS result FROM a)
+SELECT order_id, create_ts, pay_ts, CASE WHEN result = 'payed successfully' THEN 'payed' ELSE 'timeout' END AS tag,
+       result FROM r
+""")
+def order_timeout(spark: SparkSession, sf: str) -> DataFrame:
+    """Create/pay outcome per (user, item) order with a 12 h payment limit."""
+    from ubeat.operators.orders import order_timeout as op
+    return op(tb.order_events(_ev(spark, sf), per="user_item"), "12 hours")
+
+
+@register("tx_match", f"""
+WITH p AS (SELECT user_id * 100 + {_K} AS pay_order_id, CAST(user_id AS VARCHAR) AS tx_id, ts AS pay_ts,
+                  event_id AS pay_seq FROM events WHERE event_type = 'purchase'),
+r AS (SELECT CAST(user_id AS VARCHAR) AS tx_id, (['wechat', 'alipay'])[{_K} % 2 + 1] AS receipt_pay_channel,
+             ts AS receipt_ts, event_id AS receipt_seq FROM events WHERE event_type = 'signup'),
+m AS (SELECT p.*, r.receipt_pay_channel, r.receipt_ts, r.receipt_seq FROM p JOIN r ON p.tx_id = r.tx_id
+      AND r.receipt_ts BETWEEN p.pay_ts - INTERVAL 3 HOUR AND p.pay_ts + INTERVAL 5 HOUR)
+SELECT 'matched' AS tag, * FROM m
+UNION ALL
+SELECT 'unmatched_pay', p.*, NULL, NULL, NULL FROM p WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.tx_id = p.tx_id AND r.receipt_ts BETWEEN p.pay_ts - INTERVAL 3 HOUR AND p.pay_ts + INTERVAL 5 HOUR)
+UNION ALL
+SELECT 'unmatched_receipt', NULL, r.tx_id, NULL, NULL, r.receipt_pay_channel, r.receipt_ts, r.receipt_seq FROM r
+WHERE NOT EXISTS (
+  SELECT 1 FROM p WHERE r.tx_id = p.tx_id AND r.receipt_ts BETWEEN p.pay_ts - INTERVAL 3 HOUR AND p.pay_ts + INTERVAL 5 HOUR)
+""")
+def tx_match(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchases vs signups of the same user, receipt within [pay - 3 h, pay + 5 h]."""
+    from ubeat.operators.orders import tx_match as op
+    ev = _ev(spark, sf)
+    out = op(tb.pays(ev), tb.receipts(ev), "5 hours", "3 hours")
+    return out.select("tag", "tx_id", "pay_order_id", "pay_ts", "pay_seq", "receipt_pay_channel",
+                      "receipt_ts", "receipt_seq")
+
+
+# --- late rows (W4) on line items: arrival by order key, event time = ship date -------------------
+
+_LATE_ORACLE = """
+WITH s AS (SELECT l_orderkey AS seq, l_linenumber, l_partkey, l_shipdate AS ts FROM lineitem),
+b AS (SELECT seq, max(epoch_us(ts)) AS mx FROM s GROUP BY seq),
+w AS (SELECT seq, max(mx) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 86400000000 AS wm
+      FROM b),
+x AS (SELECT s.*, w.wm, (epoch_us(s.ts) // 86400000000) * 86400000000 + 7 * 86400000000 AS e
+      FROM s JOIN w USING (seq))
+SELECT seq, l_linenumber, l_partkey, ts, make_timestamp(wm) AS watermark, make_timestamp(e) AS last_window_end,
+       CASE WHEN wm IS NOT NULL AND e - 1 + 30 * 86400000000 <= wm THEN 'late' ELSE 'on_time' END AS tag
+FROM x
+"""
+
+
+def _late(spark: SparkSession, sf: str) -> DataFrame:
+    from ubeat.operators.late import split_late
+    return split_late(tb.shipments(tb.load(spark, sf, "lineitem")), "7 days", "1 day",
+                      delay="1 day", lateness="30 days")
+
+
+@register("late_split", _LATE_ORACLE)
+def late_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items that arrive (by order key) after their 7-day windows closed."""
+    return _late(spark, sf).select("seq", "l_linenumber", "l_partkey", "ts", "watermark", "last_window_end", "tag")
+
+
+@register("late_kept_counts", f"""
+WITH k AS (SELECT epoch_us(ts) AS us FROM ({_LATE_ORACLE}) WHERE tag = 'on_time')
+SELECT window_end, CAST(count(*) AS BIGINT) AS cnt
+FROM ({_hop('k', '1', 'us', 7 * 86_400_000_000, 86_400_000_000)}) GROUP BY window_end
+""")
+def late_kept_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items per 7-day window sliding daily, late rows removed."""
+    from ubeat.operators.late import kept_window_counts
+    return kept_window_counts(_late(spark, sf), "7 days", "1 day")
+
+
+# --- report text (R5) ----------------------------------------------------------------------------
+
+@register("hot_items_report", f"""
+WITH h AS ({HOT_ITEMS_ORACLE})
+SELECT window_end,
+       '窗口结束时间：' || strftime(window_end, '%Y-%m-%d %H:%M:%S') || '.0' || chr(10) ||
+       string_agg('NO' || row_num || ': ' || chr(9) || '商品ID=' || item_id || chr(9) || '热门度=' || cnt || chr(10),
+                  '' ORDER BY row_num) || '=============================' || chr(10) || chr(10) AS report
+FROM h GROUP BY window_end
+""")
+def hot_items_report(spark: SparkSession, sf: str) -> DataFrame:
+    """One text block per window with its top 5 items."""
+    return ranking.format_report(hot_items(spark, sf), "item_id", ranking.ITEM_LABEL)
