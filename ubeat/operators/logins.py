@@ -55,27 +55,21 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
     is judged first.  A closed span with at least ``n`` fails gives
     (user_id, first_fail, last_fail, msg) with first/last in arrival order.
 
-    Plan: islands between successes (running count of successes) and, inside an
-    island, sub-islands cut where a fail is ``wait`` past every earlier fail of
-    the island (it must anchor a new span, whatever happened before).  Only a
-    sub-island is sequential; each is scanned by a small pandas function.  Both
-    running values are blocked scans, so a hot user is not ordered in one task.
+    Plan: islands between successes (a running count of successes, computed
+    as a blocked scan so a hot user is not ordered in one task).  Only an
+    island is sequential; islands holding at least ``n`` fails — the only ones
+    that can alarm — are scanned by a small pandas function, one island per
+    call; all others never leave the JVM.
     """
     dtype = logins.schema[ts].dataType
     wait_us = duration_us(wait)
-    x = logins.select(F.col(key).alias("__key"), F.col(ts).alias("__ts"), F.col(seq).alias("__seq"),
+    x = logins.select(F.col(key).alias("__key"), F.col(seq).alias("__seq"),
                       (F.col("event_type") == "fail").alias("__fail"),
                       to_micros(ts, dtype).alias("__us"), seq_block(seq, rows_per_block).alias("__blk"))
     x = x.withColumn("__succ", F.when(F.col("__fail"), 0).otherwise(1))
     # island = successes strictly before the row; a success closes its island.
     x = blocked_running(x, ["__key"], ["__seq"], "__succ", "__blk", "__island", how="sum", inclusive=False)
     x = x.withColumn("__island", F.coalesce(F.col("__island"), F.lit(0)))
-    x = x.withColumn("__fus", F.when(F.col("__fail"), F.col("__us")))
-    x = blocked_running(x, ["__key", "__island"], ["__seq"], "__fus", "__blk", "__maxprev", how="max",
-                        inclusive=False)
-    brk = F.col("__fail") & F.col("__maxprev").isNotNull() & (F.col("__us") >= F.col("__maxprev") + F.lit(wait_us))
-    x = x.withColumn("__brk", F.when(brk, 1).otherwise(0))
-    x = blocked_running(x, ["__key", "__island"], ["__seq"], "__brk", "__blk", "__sub", how="sum")
 
     schema = T.StructType([
         T.StructField("__key", logins.schema[key].dataType),
@@ -108,7 +102,7 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
 
     # Only sub-islands holding at least n fails can raise an alarm; the rest
     # never reach Python.
-    g = ["__key", "__island", "__sub"]
+    g = ["__key", "__island"]
     busy = (x.groupBy(*g).agg(F.sum(F.col("__fail").cast("int")).alias("__nf"))
             .where(F.col("__nf") >= n).select(*g))
     alarms = (x.select(*g, "__seq", "__fail", "__us").join(busy, on=g, how="left_semi")

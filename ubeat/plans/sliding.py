@@ -16,9 +16,10 @@ Two physical strategies, chosen by the overlap ratio ``size / slide``:
   4. each constant segment is expanded into its window ends — so the work is
      proportional to the *output* (non-empty windows), never rows x ratio.
 
-  Step 3 is skew-safe: it is a blocked scan (see ``plans.scan``) over time
-  blocks of at least ``size``, so a hot key is spread over many tasks and no
-  block without change points can carry a non-zero count.
+  Step 3 is skew-safe: the running sum is cut into time blocks of at least
+  ``size``; a pane whose window span crosses into the next block re-adds its
+  count at that block's start, so blocks are independent and a hot key is
+  spread over as many tasks as it has blocks.
 
 Both return ``keys..., window_start, window_end, <count_col>`` with the same
 window alignment as Spark's ``window()`` (epoch aligned, half-open).
@@ -74,39 +75,37 @@ def _change_points(df, ts, keys, size_us, slide_us, count_col, weight, block_us)
     if block_us is None:
         block_us = max(size_us, DAY_US)
     # Block boundaries must be window ends (multiples of slide) and at least
-    # ``size`` long, so every block holding a non-zero count has a change point.
+    # ``size`` long, so a pane's window span crosses at most one block boundary.
     block_us = -(-max(block_us, size_us) // slide_us) * slide_us
 
     pane = (df.select(*keys, floor_div(to_micros(ts, dtype), slide_us).alias("__p"),
                       *([weight] if weight else []))
             .groupBy(*keys, "__p").agg(_measure(weight).cast("long").alias("__c")))
-    first_end = (F.col("__p") + 1) * F.lit(slide_us)
-    deltas = (pane.select(*keys, first_end.alias("__t"), F.col("__c").alias("__d"))
-              .unionByName(pane.select(*keys, (first_end + F.lit(size_us)).alias("__t"),
-                                       (-F.col("__c")).alias("__d")))
-              .withColumn("__b", floor_div(F.col("__t"), block_us)))
-
-    # Level 1: per (key, block) totals; level 2: carry into each block.
-    blocks = deltas.groupBy(*keys, "__b").agg(F.sum("__d").alias("__bs"), F.min("__t").alias("__tmin"))
-    wk = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("__b") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("__carry", F.coalesce(F.sum("__bs").over(wk), F.lit(0)))
-
-    # Level 3: running sum inside the block; ties on __t share one value (range
-    # frame) and all but the last produce empty segments.
+
+    # Deltas of a pane: +c at its first window end E, -c at E + size, and — when
+    # E + size lies in the next block — +c again at that block's start, which
+    # carries the pane into the block.  Every block's running sum then starts at
+    # zero, so blocks are scanned independently: one exchange, no summary, no
+    # join, and the input is consumed once.
+    e0 = (F.col("__p") + 1) * F.lit(slide_us)
+    e1 = e0 + F.lit(size_us)
+    b0, b1 = floor_div(e0, block_us), floor_div(e1, block_us)
+    c = F.col("__c")
+    trio = F.array(F.struct(e0.alias("t"), b0.alias("b"), c.alias("d")),
+                   F.struct(e1.alias("t"), b1.alias("b"), (-c).alias("d")),
+                   F.when(b1 > b0, F.struct((b1 * F.lit(block_us)).alias("t"), b1.alias("b"), c.alias("d"))))
+    deltas = (pane.select(*keys, F.explode(F.filter(trio, lambda x: x.isNotNull())).alias("__x"))
+              .select(*keys, F.col("__x.t").alias("__t"), F.col("__x.b").alias("__b"), F.col("__x.d").alias("__d")))
+
+    # Running sum inside (key, block); ties on __t share one value through the
+    # range frame and all but the last of them give empty segments.
     wb = Window.partitionBy(*keys, "__b").orderBy("__t")
     block_end = (F.col("__b") + 1) * F.lit(block_us)
-    seg = (deltas.withColumn("__run", F.sum("__d").over(wb.rangeBetween(Window.unboundedPreceding, 0)))
-           .withColumn("__next", F.coalesce(F.lead("__t").over(wb), block_end))
-           .join(blocks.select(*keys, "__b", "__carry"), on=[*keys, "__b"], how="inner")
-           .select(*keys, F.col("__t").alias("__s"), F.col("__next").alias("__e"),
-                   (F.col("__carry") + F.col("__run")).alias("__v")))
-    # Segment from the block start to its first change point carries the offset.
-    head = blocks.select(*keys, (F.col("__b") * F.lit(block_us)).alias("__s"),
-                         F.col("__tmin").alias("__e"), F.col("__carry").alias("__v"))
-    segs = seg.unionByName(head).where((F.col("__v") > 0) & (F.col("__e") > F.col("__s")))
-
-    ends = F.explode(F.sequence(F.col("__s"), F.col("__e") - F.lit(slide_us), F.lit(slide_us)))
+    segs = (deltas.withColumn("__v", F.sum("__d").over(wb.rangeBetween(Window.unboundedPreceding, 0)))
+            .withColumn("__e", F.coalesce(F.lead("__t").over(wb), block_end))
+            .where((F.col("__v") > 0) & (F.col("__e") > F.col("__t"))))
+
+    ends = F.explode(F.sequence(F.col("__t"), F.col("__e") - F.lit(slide_us), F.lit(slide_us)))
     out = segs.select(*keys, ends.alias("__end"), F.col("__v").alias(count_col))
     return out.select(*keys,
                       from_micros(F.col("__end") - F.lit(size_us), dtype).alias("window_start"),

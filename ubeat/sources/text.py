@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ubeat.functions.time import epoch_seconds_to_ts, from_micros
+from ubeat.functions.time import epoch_seconds_to_ts, from_micros, to_micros
 
 USER_BEHAVIOR = "user_id LONG, item_id LONG, category INT, behavior STRING, ts_s LONG"
 AD_CLICK = "user_id LONG, ad_id LONG, province STRING, city STRING, ts_s LONG"
@@ -83,23 +83,31 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
 def parse_access_log(lines: DataFrame, value: str = "value", ntz: bool = True) -> DataFrame:
     """``ip - user - dd/MM/yyyy:HH:mm:ss zone method url`` -> ApacheLogEvent.
 
-    Seconds are lenient (60–63 roll into the next minute, as the reference's
-    parser does); the zone field is ignored and the time read as UTC; lines with
-    fewer than 7 fields (blank lines) are dropped.
+    Hours, minutes and seconds are lenient (second 60–63 rolls into the next
+    minute, as the reference's parser does): the date is built from its integer
+    fields and the time of day added as a duration — no formatter, no regex.
+    The zone field is ignored and the time read as UTC; lines with fewer than
+    7 fields (blank lines) or an invalid date are dropped.
+
+    The record is built in plain projections (codegen, the line split once) and
+    invalid lines are dropped by a generator over that record: a ``where`` on
+    the parsed fields would be pushed below the projections and re-evaluate the
+    split (and whatever produced the line) once per predicate.
     """
-    parts = F.split(F.col(value), " ")
-    stamp = parts.getItem(3)
-    minute = F.regexp_extract(stamp, r"^(.*):(\d{1,2})$", 1)
-    second = F.regexp_extract(stamp, r"^(.*):(\d{1,2})$", 2)
-    # Parse to the minute with an explicit UTC offset, then add the seconds.
-    at_minute = F.try_to_timestamp(F.concat(minute, F.lit(" +0000")), F.lit("dd/MM/yyyy:HH:mm Z"))
-    us = F.unix_micros(at_minute) + second.try_cast("long") * F.lit(1_000_000)
-    ts = from_micros(us, T.TimestampNTZType() if ntz else T.TimestampType())
     keep = [c for c in lines.columns if c != value]
-    return (lines.where(F.size(parts) >= 7)
-            .select(parts.getItem(0).alias("ip"), parts.getItem(1).alias("user_id"), ts.alias("ts"),
-                    parts.getItem(5).alias("method"), parts.getItem(6).alias("url"), *keep)
-            .where(F.col("ts").isNotNull()))
+    f = F.col("__f")
+    d = F.split(F.get(f, 3), "[/:]")
+    day = F.call_function("try_make_timestamp_ntz", F.get(d, 2).try_cast("int"), F.get(d, 1).try_cast("int"),
+                          F.get(d, 0).try_cast("int"), F.lit(0), F.lit(0), F.lit(0))
+    secs = F.get(d, 3).try_cast("long") * 3600 + F.get(d, 4).try_cast("long") * 60 + F.get(d, 5).try_cast("long")
+    ts_ntz = F.timestamp_add("SECOND", secs, day)
+    ts = ts_ntz if ntz else from_micros(to_micros(ts_ntz, T.TimestampNTZType()), T.TimestampType())
+    rec = F.struct(F.get(f, 0).alias("ip"), F.get(f, 1).alias("user_id"), ts.alias("ts"), F.get(f, 5).alias("method"),
+                   F.get(f, 6).alias("url"), (F.size(f) >= 7).alias("ok"))
+    records = (lines.select(F.split(F.col(value), " ").alias("__f"), *keep)
+               .select(rec.alias("__r"), *keep))
+    valid = F.filter(F.array("__r"), lambda r: r["ok"] & r["ts"].isNotNull())
+    return records.select(F.inline(valid), *keep).drop("ok")
 
 
 def split_fields(value: Column, sep: str = ",") -> Column:
