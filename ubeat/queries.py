@@ -211,8 +211,8 @@ FROM r WHERE rn <= 11
 
 def _fraud(spark: SparkSession, sf: str) -> DataFrame:
     from ubeat.operators.fraud import click_fraud_filter
-    clicks = tb.ad_clicks(_ev(spark, sf), tb.load(spark, sf, "customer"), tb.load(spark, sf, "nation"))
-    return click_fraud_filter(clicks, keys=("user_id", "event_type"), limit=10)
+    tagged = click_fraud_filter(tb.ad_clicks(_ev(spark, sf)), keys=("user_id", "event_type"), limit=10)
+    return tb.with_province(tagged, tb.load(spark, sf, "customer"), tb.load(spark, sf, "nation"))
 
 
 @register("click_fraud_filter", _FRAUD_ORACLE)

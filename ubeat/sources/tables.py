@@ -93,18 +93,23 @@ def customer_provinces(customer: DataFrame, nation: DataFrame) -> DataFrame:
             .select("c_custkey", F.col("n_name").alias("province")))
 
 
-def ad_clicks(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """AdClick: user_id, ad_id, province, city, ts, seq, event_type (all events are clicks).
+def ad_clicks(events: DataFrame) -> DataFrame:
+    """AdClick without place: user_id, ad_id, event_type, ts, seq (all events are clicks)."""
+    return events.select("user_id", item_key().alias("ad_id"), "event_type", "ts",
+                         F.col("event_id").alias("seq"))
+
+
+def with_province(df: DataFrame, customer: DataFrame, nation: DataFrame, user: str = "user_id") -> DataFrame:
+    """Attach ``province`` and ``city`` (the customer's nation) to rows keyed by user.
 
     ``customer`` grows with the data, so the join is left to the planner (AQE
     turns it into a broadcast at run time when the measured side is small).
+    Attach places *after* per-user filtering: the join shuffles by user, and a
+    hot user must not reach it with all of its rows.
     """
     prov = customer_provinces(customer, nation)
-    return (events.select("user_id", item_key().alias("ad_id"), "event_type", "ts",
-                          F.col("event_id").alias("seq"))
-            .join(prov, F.col("user_id") == F.col("c_custkey"), "left")
-            .select("user_id", "ad_id", "province", F.col("province").alias("city"), "ts", "seq",
-                    "event_type"))
+    return (df.join(prov, F.col(user) == F.col("c_custkey"), "left").drop("c_custkey")
+            .withColumn("city", F.col("province")))
 
 
 def logins(events: DataFrame) -> DataFrame:
