@@ -141,3 +141,15 @@ def test_stream_tx_match_equals_batch(spark, tmp_path):
     want = tx_match(p, r, "5 hours", "3 hours").where("tx_id <> 'zz'")
     cols = ("tag", "tx_id", "pay_seq", "receipt_seq")
     assert rows(got, *cols) == rows(want, *cols)
+
+
+def test_stream_fraud_filter_daily_reset(spark, tmp_path):
+    base = 16 * 3600  # 00:00 at UTC+8
+    data = [(1, "click", ts(base - 30 + i), i) for i in range(3)] + \
+           [(1, "click", ts(base + 10 + i), 10 + i) for i in range(3)] + [(2, "click", ts(base + 3 * 86400), 99)]
+    df = spark.createDataFrame(data, "user_id long, event_type string, ts timestamp_ntz, seq long")
+    write_parts(spark, df, str(tmp_path / "clicks"), parts=2)
+    s = stream_of(spark, str(tmp_path / "clicks"), df.schema)
+    got = run_stream(spark, st.stream_click_fraud_filter(s, ("user_id", "event_type"), 2, reset="daily"), tmp_path)
+    want = click_fraud_filter(df, ("user_id", "event_type"), 2, reset="daily")
+    assert rows(got, "seq", "tag") == rows(want, "seq", "tag")

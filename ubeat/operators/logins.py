@@ -8,7 +8,7 @@ the event-time variant (C1).
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,8 +58,8 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
     Plan: islands between successes (a running count of successes, computed
     as a blocked scan so a hot user is not ordered in one task).  Only an
     island is sequential; islands holding at least ``n`` fails — the only ones
-    that can alarm — are scanned by a small pandas function, one island per
-    call; all others never leave the JVM.
+    that can alarm — are walked in arrival order by one pandas pass per
+    partition; all others never leave the JVM.
     """
     dtype = logins.schema[ts].dataType
     wait_us = duration_us(wait)
@@ -77,36 +77,46 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
         T.StructField("fails", T.LongType()),
     ])
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__seq", kind="stable")
-        out, anchor, span = [], None, []
-        for is_fail, us in zip(pdf["__fail"].to_numpy(), pdf["__us"].to_numpy()):
-            if is_fail:
-                if anchor is None:
-                    anchor, span = us, [us]
-                elif us < anchor + wait_us:
-                    span.append(us)
+    def scan(batches):
+        # Rows arrive sorted by (key, island, seq); state carries across batches.
+        out, cur, anchor, span = [], None, None, []
+
+        def close():
+            if anchor is not None and len(span) >= n:
+                out.append((cur[0], span[0], span[-1], len(span)))
+
+        for pdf in batches:
+            for k, isl, is_fail, us in zip(pdf["__key"].to_numpy(), pdf["__island"].to_numpy(),
+                                           pdf["__fail"].to_numpy(), pdf["__us"].to_numpy()):
+                if (k, isl) != cur:
+                    close()
+                    cur, anchor, span = (k, isl), None, []
+                if is_fail:
+                    if anchor is None:
+                        anchor, span = us, [us]
+                    elif us < anchor + wait_us:
+                        span.append(us)
+                    else:
+                        close()
+                        anchor, span = us, [us]
                 else:
-                    if len(span) >= n:
-                        out.append((span[0], span[-1], len(span)))
-                    anchor, span = us, [us]
-            else:
-                if anchor is not None and us >= anchor + wait_us and len(span) >= n:
-                    out.append((span[0], span[-1], len(span)))
-                anchor, span = None, []
-        if anchor is not None and len(span) >= n:
-            out.append((span[0], span[-1], len(span)))
-        k = pdf["__key"].iloc[0]
-        return pd.DataFrame({"__key": [k] * len(out), "first_us": [o[0] for o in out],
-                             "last_us": [o[1] for o in out], "fails": [o[2] for o in out]})
-
-    # Only sub-islands holding at least n fails can raise an alarm; the rest
-    # never reach Python.
+                    if anchor is not None and us >= anchor + wait_us:
+                        close()
+                    anchor, span = None, []
+            if len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=["__key", "first_us", "last_us", "fails"])
+                out = []
+        close()
+        yield pd.DataFrame(out, columns=["__key", "first_us", "last_us", "fails"])
+
+    # One shuffle on (user, island): islands with fewer than n fails cannot
+    # alarm and are dropped in the JVM; the rest are walked in order, one
+    # Python pass per partition (no per-island call overhead).
     g = ["__key", "__island"]
-    busy = (x.groupBy(*g).agg(F.sum(F.col("__fail").cast("int")).alias("__nf"))
-            .where(F.col("__nf") >= n).select(*g))
-    alarms = (x.select(*g, "__seq", "__fail", "__us").join(busy, on=g, how="left_semi")
-              .groupBy(*g).applyInPandas(scan, schema))
+    nf = F.sum(F.col("__fail").cast("int")).over(Window.partitionBy(*g))
+    alarms = (x.select(*g, "__seq", "__fail", "__us").withColumn("__nf", nf).where(F.col("__nf") >= n)
+              .sortWithinPartitions(*g, "__seq").drop("__nf")
+              .mapInPandas(scan, schema))
     return alarms.select(
         F.col("__key").alias("user_id"), from_micros(F.col("first_us"), dtype).alias("first_fail"),
         from_micros(F.col("last_us"), dtype).alias("last_fail"),

@@ -10,6 +10,8 @@ is decided (W8).  Outputs are append-only.
 
 from __future__ import annotations
 
+import datetime as dt
+import zoneinfo
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -19,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState
 
 from ubeat.functions.time import duration_us, interval_str
-from ubeat.operators.fraud import WARNING_TEXT
+from ubeat.operators.fraud import WARNING_TEXT, local_day
 from ubeat.operators.logins import PAIR_TEXT, TIMER_TEXT_HEAD, TIMER_TEXT_TAIL
 from ubeat.operators.orders import ORDER_TIMEOUT, PAY_NO_CREATE, PAYED_LATE, PAYED_OK
 from ubeat.streaming.sources import event_time
@@ -41,15 +43,28 @@ def _rows(pdfs: Iterator[pd.DataFrame], seq: str) -> pd.DataFrame:
 
 
 def stream_click_fraud_filter(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), limit: int = 100, *,
-                              seq: str = "seq") -> DataFrame:
-    """P1 on a stream: state (count, flagged) per key; -> input columns + tag + msg."""
+                              seq: str = "seq", ts: str = "ts", reset: str | None = None, tz: str = "+08:00",
+                              delay="0 seconds") -> DataFrame:
+    """P1/P2 on a stream: state (count, flagged) per key; -> input columns + tag + msg.
+
+    ``reset='daily'`` keys the state by local day as well and drops it with an
+    event-time timeout at the end of that day, so state does not grow with time.
+    """
+    in_cols = list(df.columns)
     out_schema = T.StructType(df.schema.fields + [T.StructField("tag", T.StringType()),
                                                   T.StructField("msg", T.StringType())])
-    text = WARNING_TEXT.format(limit=limit)
-    in_cols = list(df.columns)
     out_cols = [f.name for f in out_schema.fields]
+    text = WARNING_TEXT.format(limit=limit)
+    daily = reset == "daily"
+    if reset not in (None, "daily"):
+        raise ValueError("reset must be None or 'daily'")
+    day_end_ms = _day_end_ms(tz)
 
     def fn(key, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame(columns=out_cols)
+            return
         count, flagged = state.get if state.exists else (0, False)
         pdf = _rows(pdfs, seq)
         keep, tags, msgs = [], [], []
@@ -66,12 +81,36 @@ def stream_click_fraud_filter(df: DataFrame, keys: Sequence[str] = ("user_id", "
             tags.append(tag)
             msgs.append(msg)
         state.update((count, flagged))
+        if daily:
+            end = day_end_ms(key[-1])
+            if end > state.getCurrentWatermarkMs():
+                state.setTimeoutTimestamp(end)
         out = pdf.iloc[keep].copy() if len(pdf) else pd.DataFrame(columns=in_cols)
         out["tag"], out["msg"] = tags, msgs
         yield out[out_cols]
 
-    return df.groupBy(*keys).applyInPandasWithState(
-        fn, out_schema, "count LONG, flagged BOOLEAN", "append", "NoTimeout")
+    if not daily:
+        return df.groupBy(*keys).applyInPandasWithState(
+            fn, out_schema, "count LONG, flagged BOOLEAN", "append", "NoTimeout")
+    src = event_time(df, ts).withWatermark(ts, interval_str(duration_us(delay)))
+    src = src.withColumn("__day", local_day(ts, src.schema[ts].dataType, tz))
+    return src.groupBy(*keys, "__day").applyInPandasWithState(
+        fn, out_schema, "count LONG, flagged BOOLEAN", "append", "EventTimeTimeout")
+
+
+def _day_end_ms(tz: str):
+    """Epoch ms of the local midnight ending a given date in zone ``tz``."""
+    if tz[:1] in "+-":
+        sign = 1 if tz[0] == "+" else -1
+        hh, mm = (tz[1:].split(":") + ["0"])[:2]
+        zone = dt.timezone(sign * dt.timedelta(hours=int(hh), minutes=int(mm)))
+    else:
+        zone = zoneinfo.ZoneInfo(tz)
+
+    def end(day) -> int:
+        nxt = dt.datetime.combine(day + dt.timedelta(days=1), dt.time(), tzinfo=zone)
+        return int(nxt.timestamp() * 1000)
+    return end
 
 
 _ALARM = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("first_fail", T.TimestampType()),
