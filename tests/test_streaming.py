@@ -153,3 +153,26 @@ def test_stream_fraud_filter_daily_reset(spark, tmp_path):
     got = run_stream(spark, st.stream_click_fraud_filter(s, ("user_id", "event_type"), 2, reset="daily"), tmp_path)
     want = click_fraud_filter(df, ("user_id", "event_type"), 2, reset="daily")
     assert rows(got, "seq", "tag") == rows(want, "seq", "tag")
+
+
+T0 = 1_600_000_000
+
+
+def test_stream_revised_top_n_updates_on_late_rows(spark, tmp_path):
+    # File 1: requests at t=0..2; file 2 advances the watermark past the first
+    # windows; file 3 brings a late request (within the lateness) for t=1.
+    files = [[("/a", 0, 0), ("/b", 1, 1), ("/b", 2, 2)],
+             [("/c", 40, 3)],
+             [("/a", 1, 4), ("/a", 1, 5)],
+             [("/z", 500, 6)]]
+    for i, part in enumerate(files):
+        spark.createDataFrame([(u, "GET", ts(T0 + t), s) for u, t, s in part],
+                              "url string, method string, ts timestamp_ntz, seq long") \
+            .coalesce(1).write.parquet(str(tmp_path / "log" / f"t{i:03d}"))
+    schema = "url string, method string, ts timestamp_ntz, seq long"
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log" / "t*"))
+    out = run_stream(spark, sw.stream_revised_top_n(s, 2, "10 seconds", "5 seconds", delay="0 seconds",
+                                                    lateness="1 minute"), tmp_path)
+    got = rows(out.where(F.col("window_end") == ts(T0 + 5)), "revision", "row_num", "url", "cnt")
+    # First ranking: b=2, a=1; after the late rows: a=3, b=2.
+    assert got == [(0, 1, "/b", 2), (0, 2, "/a", 1), (1, 1, "/a", 3), (1, 2, "/b", 2)]

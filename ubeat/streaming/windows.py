@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ubeat.functions.hashing import bitmap_offset
-from ubeat.functions.time import duration_us, interval_str
+from ubeat.functions.time import duration_us, floor_div, interval_str
 from ubeat.streaming.sources import event_time
+from ubeat.streaming.stateful import revised_top_n_state
 
 
 def _win(ts: str, size, slide=None):
@@ -93,3 +94,32 @@ def stream_hot_items(behavior: DataFrame, n: int = 5, size="1 hour", slide="5 mi
                      delay="0 seconds") -> DataFrame:
     pv = behavior.where(F.col("behavior") == "pv")
     return stream_top_n(pv, "item_id", n, ts=ts, size=size, slide=slide, delay=delay)
+
+
+def stream_revised_top_n(log: DataFrame, n: int = 3, size="10 minutes", slide="5 seconds", *, key: str = "url",
+                         ts: str = "ts", delay="1 second", lateness="1 minute", method: str | None = "GET") -> DataFrame:
+    """R4 (with W3): per-window Top-N that is re-emitted when late rows update it.
+
+    Each row is counted in every window it belongs to; the state of a window
+    end holds the per-key counts.  When the watermark (max time - ``delay``)
+    passes the window end the ranking is emitted (revision 0); rows that arrive
+    later but within ``lateness`` update the counts — the last count per key
+    replaces the earlier one — and the ranking is emitted again with the next
+    revision.  At window end + ``lateness`` the state is dropped; rows for a
+    dropped window are late and ignored.
+    -> window_end, key, cnt, row_num, revision
+    """
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    late_us = duration_us(lateness)
+    # Spark drops rows at or behind its watermark before they reach the state,
+    # so its watermark trails by lateness + size as well: any row that still has
+    # a live window gets through.  The state works on the logical watermark
+    # (max time - delay) = Spark's + lateness + size.
+    src = event_time(log if method is None else log.where(F.col("method") == method), ts) \
+        .withWatermark(ts, interval_str(duration_us(delay) + late_us + size_us))
+    first_end = (floor_div(F.unix_micros(F.col(ts)), slide_us) + 1) * F.lit(slide_us)
+    ends = F.explode(F.sequence(first_end, first_end + F.lit(size_us - slide_us), F.lit(slide_us)))
+    # ``ts`` stays in the projection: it carries the watermark to the state operator.
+    per_window = (src.select(ends.alias("__end"), F.col(key).cast("string").alias("key"), ts)
+                  .select(F.timestamp_micros("__end").alias("window_end"), "key", ts))
+    return revised_top_n_state(per_window, n, late_us, late_us + size_us, key)
