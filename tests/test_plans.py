@@ -64,3 +64,25 @@ def test_previous_row_equals_lag(spark):
     w = Window.partitionBy("k").orderBy("seq")
     want = df.withColumn("prev_event_type", F.lag("event_type").over(w)).withColumn("prev_v", F.lag("v").over(w))
     assert rows(got, "seq", "prev_event_type", "prev_v") == rows(want, "seq", "prev_event_type", "prev_v")
+
+
+def test_next_rows_equals_lead(spark):
+    from ubeat.plans.scan import next_rows
+    df = _events(spark, n=300).withColumn("blk", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 600e6))
+    got = next_rows(df, ["k"], ["ts", "seq"], ["seq", "v"], 3, "blk", prefix="n")
+    w = Window.partitionBy("k").orderBy("ts", "seq")
+    want = df
+    for j in (1, 2, 3):
+        want = want.withColumn(f"n{j}_seq", F.lead("seq", j).over(w)).withColumn(f"n{j}_v", F.lead("v", j).over(w))
+    cols = ["seq"] + [f"n{j}_{f}" for j in (1, 2, 3) for f in ("seq", "v")]
+    assert rows(got, *cols) == rows(want, *cols)
+
+
+def test_next_match_equals_unbounded_following(spark):
+    from ubeat.plans.scan import next_match
+    df = _events(spark, n=300).withColumn("blk", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 300e6))
+    m = F.col("event_type") == "fail"
+    got = next_match(df, ["k"], ["ts", "seq"], m, ["seq"], "blk", prefix="nm_")
+    w = Window.partitionBy("k").orderBy("ts", "seq").rowsBetween(1, Window.unboundedFollowing)
+    want = df.withColumn("nm_seq", F.first(F.when(m, F.col("seq")), ignorenulls=True).over(w))
+    assert rows(got, "seq", "nm_seq") == rows(want, "seq", "nm_seq")

@@ -1,9 +1,10 @@
 """Sequence patterns over keyed events, in event-time order.
 
-Both patterns look a bounded time ahead (``within``), so rows are cut into time
-blocks with a halo (``plans.halo``): each (key, block) partition holds the
-block's rows plus the first ``within`` of the next block, and lookups are exact
-for the block's own rows.  Order inside a key is (ts, seq).
+Order inside a key is (ts, seq).  Look-ahead is a two-level scan over time
+blocks (``plans.scan.next_rows`` / ``next_match``): inside a (key, block)
+partition ``lead`` or a descending scan, across blocks a carry from the
+following blocks' first rows.  One key holding a third of all rows is spread
+over its blocks whatever ``within`` is.
 """
 
 from __future__ import annotations
@@ -13,8 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ubeat.functions.time import duration_us, to_micros
-from ubeat.plans.halo import BLOCK_COL, HALO_COL, US_COL, choose_block_us, with_time_blocks
+from ubeat.functions.time import duration_us, floor_div, to_micros
+from ubeat.plans.scan import next_match, next_rows
+
+# Time block of the two-level scans.  It bounds what one task orders for one
+# key and is independent of ``within``: look-ahead across blocks goes through
+# the per-block summaries.
+DEFAULT_BLOCK = "1 hour"
 
 # The reference's pattern result texts.
 LOGIN_FAIL_TEXT = "login fail"
@@ -23,7 +29,7 @@ TIMEOUT_PREFIX = "timeout : "
 
 
 def strict_sequence(df: DataFrame, key: str, conds: Sequence[Column], within, *, ts: str = "ts",
-                    seq: str = "seq", block=None) -> DataFrame:
+                    seq: str = "seq", block=DEFAULT_BLOCK) -> DataFrame:
     """Every run of ``len(conds)`` *consecutive* events of a key where event i
     meets ``conds[i]`` and the last is less than ``within`` after the first.
 
@@ -32,21 +38,19 @@ def strict_sequence(df: DataFrame, key: str, conds: Sequence[Column], within, *,
     """
     k = len(conds)
     within_us = duration_us(within)
-    block_us = duration_us(block) if block else choose_block_us(within_us)
-    blk = with_time_blocks(df, ts, block_us, within_us)
-    w = Window.partitionBy(key, BLOCK_COL).orderBy(F.col(US_COL), F.col(seq))
-    flags = [F.when(c, F.lit(True)).otherwise(F.lit(False)) for c in conds]
-    blk = blk.withColumn("__m0", flags[0])
-    for i in range(1, k):
-        blk = blk.withColumn(f"__m{i}", F.lead(flags[i], i).over(w))
-    blk = blk.withColumn("__last_us", F.lead(US_COL, k - 1).over(w)) \
-        .withColumn("last_ts", F.lead(ts, k - 1).over(w))
-    hit = F.lit(True)
-    for i in range(k):
-        hit = hit & F.coalesce(F.col(f"__m{i}"), F.lit(False))
-    hit = hit & (F.col("__last_us") - F.col(US_COL) < F.lit(within_us))
-    out = blk.where(~F.col(HALO_COL) & hit)
-    return out.drop(*[f"__m{i}" for i in range(k)], "__last_us", BLOCK_COL, HALO_COL, US_COL)
+    x = _blocks(df, ts, block)
+    for i, c in enumerate(conds):
+        x = x.withColumn(f"__c{i}", F.coalesce(c, F.lit(False)))
+    nf = ["__us", ts] + [f"__c{i}" for i in range(1, k)]
+    x = next_rows(x, [key], ["__us", seq], nf, k - 1, "__b", prefix="__n") if k > 1 else x
+    hit = F.col("__c0")
+    for j in range(1, k):
+        hit = hit & F.coalesce(F.col(f"__n{j}___c{j}"), F.lit(False))
+    last_us = F.col(f"__n{k - 1}___us") if k > 1 else F.col("__us")
+    last_ts = F.col(f"__n{k - 1}_{ts}") if k > 1 else F.col(ts)
+    hit = hit & (last_us - F.col("__us") < F.lit(within_us))
+    out = x.where(hit).withColumn("last_ts", last_ts)
+    return out.select(*df.columns, "last_ts")
 
 
 def login_fail_sequence(logins: DataFrame, times: int = 3, within="5 seconds", *, key: str = "user_id",
@@ -59,29 +63,28 @@ def login_fail_sequence(logins: DataFrame, times: int = 3, within="5 seconds", *
 
 
 def followed_by(df: DataFrame, key: str, first: Column, then: Column, within, *, ts: str = "ts",
-                seq: str = "seq", block=None) -> DataFrame:
+                seq: str = "seq", block=DEFAULT_BLOCK) -> DataFrame:
     """C2 + C4: each ``first`` event with the next ``then`` event of its key.
 
     Other events in between are skipped (relaxed contiguity).  Returns the
-    ``first`` rows plus ``then_ts`` (null when none) and ``matched`` (the next
-    ``then`` came less than ``within`` later).
+    ``first`` rows plus ``then_ts`` (null unless matched) and ``matched`` (the
+    next ``then`` came less than ``within`` later).
     """
     within_us = duration_us(within)
-    block_us = duration_us(block) if block else choose_block_us(within_us)
-    blk = with_time_blocks(df, ts, block_us, within_us)
-    blk = blk.withColumn("__is_first", first).withColumn("__then_us", F.when(then, F.col(US_COL))) \
-        .withColumn("__then_ts", F.when(then, F.col(ts)))
-    # Nearest following 'then': scan in descending order with a growing frame
-    # (incremental), instead of an O(n^2) "1 following .. unbounded following".
-    w = Window.partitionBy(key, BLOCK_COL).orderBy(F.col(US_COL).desc(), F.col(seq).desc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    blk = blk.withColumn("__next_us", F.last("__then_us", ignorenulls=True).over(w)) \
-        .withColumn("then_ts", F.last("__then_ts", ignorenulls=True).over(w))
-    out = blk.where(~F.col(HALO_COL) & F.col("__is_first"))
-    matched = F.col("__next_us").isNotNull() & (F.col("__next_us") - F.col(US_COL) < F.lit(within_us))
-    return (out.withColumn("matched", matched)
-            .withColumn("then_ts", F.when(F.col("matched"), F.col("then_ts")))
-            .drop("__is_first", "__then_us", "__then_ts", "__next_us", BLOCK_COL, HALO_COL, US_COL))
+    x = _blocks(df, ts, block).withColumn("__is_first", F.coalesce(first, F.lit(False)))
+    x = next_match(x, [key], ["__us", seq], F.coalesce(then, F.lit(False)), ["__us", ts], "__b", prefix="__nx")
+    x = x.where(F.col("__is_first"))
+    matched = F.col("__nx__us").isNotNull() & (F.col("__nx__us") - F.col("__us") < F.lit(within_us))
+    return (x.withColumn("matched", matched)
+            .withColumn("then_ts", F.when(F.col("matched"), F.col(f"__nx{ts}")))
+            .select(*df.columns, "then_ts", "matched"))
+
+
+def _blocks(df: DataFrame, ts: str, block) -> DataFrame:
+    """Epoch microseconds and a time block; blocks are monotone in (ts, seq) order."""
+    b = duration_us(block)
+    us = to_micros(ts, df.schema[ts].dataType)
+    return df.withColumn("__us", us).withColumn("__b", floor_div(F.col("__us"), b))
 
 
 def order_pay_pattern(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",

@@ -103,3 +103,66 @@ def seq_block(seq: str, rows_per_block: int) -> Column:
     Bounds every (key, block) window partition to ``rows_per_block`` rows.
     """
     return F.call_function("div", F.col(seq).cast("long"), F.lit(int(rows_per_block)))
+
+
+def next_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], k: int,
+              block: str, prefix: str = "next") -> DataFrame:
+    """Add ``{prefix}{j}_{f}`` = field ``f`` of the j-th following row of the key (j = 1..k).
+
+    Within a block it is ``lead(j)``; rows near the end of a block take the
+    rest from the first ``k`` rows of the following blocks.  Each block
+    contributes at most ``k`` rows to its summary (a partial WindowGroupLimit
+    keeps the shuffle bounded) and every non-empty block has at least one row,
+    so the next ``k`` blocks always suffice.
+    """
+    keys = list(keys)
+    ocols = _order_cols(order)
+    wb = Window.partitionBy(*keys, block).orderBy(*ocols)
+    payload = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
+                       *[F.col(f).alias(f) for f in fields])
+    heads = (df.withColumn("__rn", F.row_number().over(wb)).where(F.col("__rn") <= k)
+             .groupBy(*keys, block)
+             .agg(F.array_sort(F.collect_list(payload)).alias("__head")))
+    wk = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(block) \
+        .rowsBetween(1, k)
+    carry = heads.select(*keys, block, F.slice(F.flatten(F.collect_list("__head").over(wk)), 1, k).alias("__carry"))
+
+    out = (df.withColumn("__pos", F.row_number().over(wb))
+           .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys, block)))
+           .join(carry, on=[*keys, block], how="left"))
+    for j in range(1, k + 1):
+        spill = (F.col("__pos") + F.lit(j) - F.col("__n")).cast("int")   # 1-based index into the carry
+        for f in fields:
+            from_carry = F.when(F.size("__carry") >= spill, F.element_at("__carry", spill)[f])
+            out = out.withColumn(f"{prefix}{j}_{f}",
+                                 F.when(spill <= 0, F.lead(f, j).over(wb)).otherwise(from_carry))
+    return out.drop("__pos", "__n", "__carry")
+
+
+def next_match(df: DataFrame, keys: Sequence[str], order: Sequence[str], is_match: Column, fields: Sequence[str],
+               block: str, prefix: str = "next_") -> DataFrame:
+    """Add ``prefix + f`` = field ``f`` of the nearest *following* row of the key where
+    ``is_match`` holds (relaxed contiguity: other rows in between are skipped).
+
+    Within a block: an incremental scan in descending order (a growing frame,
+    not an O(n^2) "1 following .. unbounded following"); across blocks: the
+    first match of the nearest later block that has one.
+    """
+    keys = list(keys)
+    okey = F.struct(*[F.col(c) for c in order])
+    payload = F.struct(*[F.col(f).alias(f) for f in fields])
+    x = df.withColumn("__m", is_match)
+    first = (x.groupBy(*keys, block)
+             .agg(F.min_by(F.when(F.col("__m"), payload), F.when(F.col("__m"), okey)).alias("__first")))
+    wk = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(F.col(block).desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    carry = first.select(*keys, block, F.last("__first", ignorenulls=True).over(wk).alias("__carry"))
+
+    desc = Window.partitionBy(*keys, block).orderBy(*_order_cols(order, descending=True)) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    nxt = F.last(F.when(F.col("__m"), payload), ignorenulls=True).over(desc)
+    out = x.withColumn("__in", nxt).join(carry, on=[*keys, block], how="left")
+    best = F.coalesce(F.col("__in"), F.col("__carry"))
+    for f in fields:
+        out = out.withColumn(prefix + f, best[f])
+    return out.drop("__m", "__in", "__carry")
