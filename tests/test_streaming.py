@@ -176,3 +176,21 @@ def test_stream_revised_top_n_updates_on_late_rows(spark, tmp_path):
     got = rows(out.where(F.col("window_end") == ts(T0 + 5)), "revision", "row_num", "url", "cnt")
     # First ranking: b=2, a=1; after the late rows: a=3, b=2.
     assert got == [(0, 1, "/b", 2), (0, 2, "/a", 1), (1, 1, "/a", 3), (1, 2, "/b", 2)]
+
+
+def test_stream_patterns_equal_batch(spark, tmp_path):
+    from ubeat.operators.patterns import login_fail_sequence, order_pay_pattern
+    lg = _login_table(spark)
+    write_parts(spark, lg, str(tmp_path / "lg"), parts=4)
+    s = stream_of(spark, str(tmp_path / "lg"), lg.schema)
+    got = run_stream(spark, st.stream_login_fail_sequence(s, 3, "1 day", delay="0 seconds"), tmp_path)
+    cols = ("user_id", "first_fail", "last_fail", "msg")
+    assert rows(got, *cols) == rows(login_fail_sequence(lg, 3, "1 day"), *cols)
+
+    od = tb.order_events(tb.load(spark, SF, "events"), per="user").select("order_id", "event_type", "ts", "seq")
+    od = od.unionByName(spark.createDataFrame([(-1, "pay", ts(4_000_000_000), 10**9)], od.schema))
+    write_parts(spark, od, str(tmp_path / "od"), parts=4)
+    s2 = stream_of(spark, str(tmp_path / "od"), od.schema)
+    got2 = run_stream(spark, st.stream_order_pay_pattern(s2, "12 hours"), tmp_path).where("order_id <> -1")
+    cols2 = ("order_id", "create_ts", "pay_ts", "tag", "result")
+    assert rows(got2, *cols2) == rows(order_pay_pattern(od, "12 hours").where("order_id <> -1"), *cols2)

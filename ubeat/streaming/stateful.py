@@ -1,4 +1,4 @@
-"""Keyed stateful operators on streams (P1, P3, P4, P5 stream forms; J1 stream).
+"""Keyed stateful operators on streams (P1–P5, C1–C4 stream forms; J1 stream join).
 
 Each processor keeps a few scalars per key in the state store (checkpointed
 with the query, so a lost executor replays from the last committed batch) and
@@ -24,6 +24,7 @@ from ubeat.functions.time import duration_us, interval_str
 from ubeat.operators.fraud import WARNING_TEXT, local_day
 from ubeat.operators.logins import PAIR_TEXT, TIMER_TEXT_HEAD, TIMER_TEXT_TAIL
 from ubeat.operators.orders import ORDER_TIMEOUT, PAY_NO_CREATE, PAYED_LATE, PAYED_OK
+from ubeat.operators.patterns import LOGIN_FAIL_TEXT, PAYED_TEXT, TIMEOUT_PREFIX
 from ubeat.streaming.sources import event_time
 
 
@@ -345,3 +346,108 @@ def revised_top_n_state(per_window: DataFrame, n: int, lateness_us: int, offset_
     return per_window.groupBy("window_end").applyInPandasWithState(
         fn, schema, "keys ARRAY<STRING>, counts ARRAY<LONG>, revision LONG, fired BOOLEAN", "append",
         "EventTimeTimeout")
+
+
+def _buffered(state: GroupState, pdfs, ts: str, seq: str, flag_cols: Sequence[str]):
+    """Rows of the state buffer plus this batch, as (us, seq, flags...) tuples sorted by (us, seq)."""
+    rows = list(zip(*state.get[0:2], *[state.get[2 + i] for i in range(len(flag_cols))])) if state.exists else []
+    for p in pdfs:
+        if len(p):
+            rows.extend(zip(_us(p[ts]).tolist(), p[seq].tolist(), *[p[c].tolist() for c in flag_cols]))
+    rows.sort(key=lambda r: (r[0], r[1]))
+    return rows
+
+
+def stream_login_fail_sequence(logins: DataFrame, times: int = 3, within="5 seconds", *, key: str = "user_id",
+                               ts: str = "ts", seq: str = "seq", delay="3 seconds") -> DataFrame:
+    """C1 on a stream: ``times`` consecutive fails (event-time order) within ``within``.
+
+    Rows wait in the state until the watermark passes them (then no earlier row
+    can still arrive), are matched in (ts, seq) order, and only the last
+    ``times - 1`` final rows are kept for runs that continue in later batches.
+    -> user_id, first_fail, last_fail, msg
+    """
+    within_us = duration_us(within)
+    src = (event_time(logins, ts).withWatermark(ts, interval_str(duration_us(delay)))
+           .select(F.col(key).alias("user_id"), ts, seq, (F.col("event_type") == "fail").alias("__fail")))
+
+    def fn(k, pdfs, state: GroupState):
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        tail = list(zip(*state.get[3:6])) if state.exists else []     # final rows kept for runs
+        rows = _buffered(state, [] if state.hasTimedOut else pdfs, ts, seq, ["__fail"])
+        ready = [r for r in rows if r[0] <= wm_us]
+        waiting = [r for r in rows if r[0] > wm_us]
+        spans = []
+        for r in ready:
+            tail.append(r)
+            if len(tail) > times:
+                tail.pop(0)
+            if len(tail) == times and all(x[2] for x in tail) and tail[-1][0] - tail[0][0] < within_us:
+                spans.append((tail[0][0], tail[-1][0], LOGIN_FAIL_TEXT))
+        tail = tail[-(times - 1):] if times > 1 else []
+        if not waiting and not tail:
+            state.remove()
+        else:
+            state.update(([r[0] for r in waiting], [r[1] for r in waiting], [bool(r[2]) for r in waiting],
+                          [r[0] for r in tail], [r[1] for r in tail], [bool(r[2]) for r in tail]))
+            if waiting:
+                state.setTimeoutTimestamp(max(-(-min(r[0] for r in waiting) // 1000), state.getCurrentWatermarkMs() + 1))
+        yield _alarms(k[0], spans)
+
+    return src.groupBy("user_id").applyInPandasWithState(
+        fn, _ALARM, "b_us ARRAY<LONG>, b_seq ARRAY<LONG>, b_fail ARRAY<BOOLEAN>, "
+                    "t_us ARRAY<LONG>, t_seq ARRAY<LONG>, t_fail ARRAY<BOOLEAN>", "append", "EventTimeTimeout")
+
+
+def stream_order_pay_pattern(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",
+                             seq: str = "seq", delay="0 seconds") -> DataFrame:
+    """C2–C4 on a stream: each create with the key's next pay (event-time order).
+
+    Final rows (behind the watermark) are matched in (ts, seq) order: a pay
+    completes every pending create (matched if less than ``within`` later,
+    else a timeout); a create still pending when the watermark passes
+    create + ``within`` times out.  -> order_id, create_ts, pay_ts, tag, result
+    """
+    within_us = duration_us(within)
+    src = (event_time(orders, ts).withWatermark(ts, interval_str(duration_us(delay)))
+           .select(F.col(key).alias("order_id"), ts, seq, (F.col("event_type") == "create").alias("__c"),
+                   (F.col("event_type") == "pay").alias("__p")))
+    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("create_ts", T.TimestampType()),
+                           T.StructField("pay_ts", T.TimestampType()), T.StructField("tag", T.StringType()),
+                           T.StructField("result", T.StringType())])
+
+    def fn(k, pdfs, state: GroupState):
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        pending = list(state.get[4]) if state.exists else []
+        rows = _buffered(state, [] if state.hasTimedOut else pdfs, ts, seq, ["__c", "__p"])
+        ready = [r for r in rows if r[0] <= wm_us]
+        waiting = [r for r in rows if r[0] > wm_us]
+        out = []
+        for us, _, is_c, is_p in ready:
+            for c in [c for c in pending if c + within_us <= us]:
+                out.append((c, None, "timeout"))          # expired before this row
+            pending = [c for c in pending if c + within_us > us]
+            if is_p:
+                out.extend((c, us, "payed") for c in pending)
+                pending = []
+            if is_c:
+                pending.append(us)
+        expired = [c for c in pending if c + within_us <= wm_us]
+        out.extend((c, None, "timeout") for c in expired)
+        pending = [c for c in pending if c + within_us > wm_us]
+        if not waiting and not pending:
+            state.remove()
+        else:
+            state.update(([r[0] for r in waiting], [r[1] for r in waiting], [bool(r[2]) for r in waiting],
+                          [bool(r[3]) for r in waiting], pending))
+            nxt = [r[0] for r in waiting] + [c + within_us for c in pending]
+            state.setTimeoutTimestamp(max(-(-min(nxt) // 1000), state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({
+            "order_id": [k[0]] * len(out), "create_ts": _ts([o[0] for o in out]),
+            "pay_ts": pd.to_datetime([o[1] for o in out], unit="us"), "tag": [o[2] for o in out],
+            "result": [PAYED_TEXT if o[2] == "payed" else f"{TIMEOUT_PREFIX}{(o[0] + within_us) // 1000}"
+                       for o in out]})
+
+    return src.groupBy("order_id").applyInPandasWithState(
+        fn, schema, "b_us ARRAY<LONG>, b_seq ARRAY<LONG>, b_c ARRAY<BOOLEAN>, b_p ARRAY<BOOLEAN>, "
+                    "pending ARRAY<LONG>", "append", "EventTimeTimeout")
