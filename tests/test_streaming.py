@@ -194,3 +194,31 @@ def test_stream_patterns_equal_batch(spark, tmp_path):
     got2 = run_stream(spark, st.stream_order_pay_pattern(s2, "12 hours"), tmp_path).where("order_id <> -1")
     cols2 = ("order_id", "create_ts", "pay_ts", "tag", "result")
     assert rows(got2, *cols2) == rows(order_pay_pattern(od, "12 hours").where("order_id <> -1"), *cols2)
+
+
+def test_stream_late_split_equals_batch_by_micro_batch(spark, tmp_path):
+    from ubeat.operators.late import split_late
+    from ubeat.streaming.late import late_splitter
+    sh = tb.shipments(tb.load(spark, SF, "lineitem"))
+    # Four micro-batches by order key; the batch rule with seq = batch number.
+    parts = 4
+    n = sh.agg(F.max("seq")).first()[0] + 1
+    sh = sh.withColumn("batch", F.floor(F.col("seq") * parts / n).cast("long"))
+    for i in range(parts):
+        sh.where(F.col("batch") == i).drop("batch").coalesce(1).write.parquet(str(tmp_path / "sh" / f"t{i:03d}"))
+    s = stream_of(spark, str(tmp_path / "sh"), sh.drop("batch").schema)
+    out = str(tmp_path / "tagged")
+
+    def sink(df, epoch):
+        df.write.mode("append").parquet(out)
+    fn = late_splitter("7 days", "1 day", delay="1 day", lateness="30 days", state_path=str(tmp_path / "wm"),
+                       sink=sink)
+    q = (s.writeStream.foreachBatch(fn).option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = rows(spark.read.parquet(out), "seq", "l_linenumber", "l_partkey", "tag")
+    want = split_late(sh.withColumn("seq_orig", F.col("seq")).withColumn("seq", F.col("batch")),
+                      "7 days", "1 day", delay="1 day", lateness="30 days")
+    want = want.withColumn("seq", F.col("seq_orig"))
+    assert got == rows(want, "seq", "l_linenumber", "l_partkey", "tag")
+    assert {t for *_, t in got} == {"late", "on_time"}
