@@ -403,3 +403,73 @@ FROM h GROUP BY window_end
 def hot_items_report(spark: SparkSession, sf: str) -> DataFrame:
     """One text block per window with its top 5 items."""
     return ranking.format_report(hot_items(spark, sf), "item_id", ranking.ITEM_LABEL)
+
+
+# --- stream forms: run to completion over the table's files, read back the sink ----------------
+
+def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Run ``df`` (a stream) over all available input and return what it wrote.
+
+    Output and checkpoint live under the session's shared checkpoint folder (a
+    fresh sub-folder per run); the sink is parquet, so nothing passes through
+    the driver.
+    """
+    import uuid
+
+    from ubeat.session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ubeat-{name}-{uuid.uuid4().hex}"
+    q = (df.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.schema(df.schema).parquet(f"{base}/out")
+
+
+def _ev_stream(spark: SparkSession, sf: str) -> DataFrame:
+    from ubeat.streaming.sources import table_stream
+    return table_stream(spark, sf, "events")
+
+
+_LAST_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
+
+
+@register("stream_hot_items", f"""
+SELECT * FROM ({HOT_ITEMS_ORACLE}) WHERE window_end <= {_LAST_VIEW}
+""")
+def stream_hot_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Hot items as a stream (chained append-mode aggregates); windows the final watermark closed."""
+    from ubeat.streaming.windows import stream_hot_items as op
+    out = _run_stream(spark, op(tb.user_behavior(_ev_stream(spark, sf)), 5, "1 hour", "5 minutes"), "hot-items")
+    return out.withColumn("window_end", out["window_end"].cast("timestamp_ntz"))
+
+
+@register("stream_unique_visitors", f"""
+SELECT {_HOUR_END} AS window_end, CAST(count(DISTINCT user_id) AS BIGINT) AS uv
+FROM events WHERE event_type = 'view' GROUP BY 1 HAVING {_HOUR_END} <= {_LAST_VIEW}
+""")
+def stream_unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct viewers per hour as a stream (two chained aggregates)."""
+    from ubeat.streaming.windows import stream_unique_visitors as op
+    out = _run_stream(spark, op(tb.user_behavior(_ev_stream(spark, sf)), "1 hour"), "uv")
+    return out.withColumn("window_end", out["window_end"].cast("timestamp_ntz"))
+
+
+@register("stream_login_fail_pair", _ORACLES["login_fail_pair"])
+def stream_login_fail_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Two fails in a row (arrival order) less than 2 h apart, with per-user stream state."""
+    from ubeat.streaming.stateful import stream_login_fail_pair as op
+    out = _run_stream(spark, op(tb.logins(_ev_stream(spark, sf)), "2 hours"), "login-pair")
+    return out.select("user_id", out["first_fail"].cast("timestamp_ntz").alias("first_fail"),
+                      out["last_fail"].cast("timestamp_ntz").alias("last_fail"), "msg")
+
+
+@register("stream_click_fraud_filter", _FRAUD_ORACLE)
+def stream_click_fraud_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """The fraud filter with per-key stream state; provinces joined afterwards (stream-static)."""
+    from ubeat.streaming.stateful import stream_click_fraud_filter as op
+    tagged = op(tb.ad_clicks(_ev_stream(spark, sf)), ("user_id", "event_type"), 10)
+    out = _run_stream(spark, tagged, "fraud")
+    out = tb.with_province(out, tb.load(spark, sf, "customer"), tb.load(spark, sf, "nation"))
+    return out.select("user_id", "ad_id", "event_type", "province", "ts", "seq", "tag", "msg")
