@@ -58,6 +58,11 @@ def window_counts(df: DataFrame, ts: str, keys: Sequence[str], size, slide=None,
     raise ValueError(f"unknown plan {plan!r}")
 
 
+def _interval(us: int):
+    """An exact day-time interval of ``us`` microseconds."""
+    return F.expr(f"make_dt_interval(0, 0, 0, {us // 1_000_000}.{us % 1_000_000:06d})")
+
+
 def _measure(weight: str | None):
     return F.count(F.lit(1)) if weight is None else F.sum(weight)
 
@@ -105,9 +110,15 @@ def _change_points(df, ts, keys, size_us, slide_us, count_col, weight, block_us)
             .withColumn("__e", F.coalesce(F.lead("__t").over(wb), block_end))
             .where((F.col("__v") > 0) & (F.col("__e") > F.col("__t"))))
 
-    ends = F.explode(F.sequence(F.col("__t"), F.col("__e") - F.lit(slide_us), F.lit(slide_us)))
-    out = segs.select(*keys, ends.alias("__end"), F.col("__v").alias(count_col))
-    return out.select(*keys,
-                      from_micros(F.col("__end") - F.lit(size_us), dtype).alias("window_start"),
-                      from_micros(F.col("__end"), dtype).alias("window_end"),
+    # Expand each segment straight into timestamps: two zipped sequences with a
+    # fixed microsecond step are plain arithmetic per element, where converting
+    # every exploded epoch value to a timestamp would cost a calendar call each.
+    step = _interval(slide_us)
+    first = F.col("__t")
+    last = F.col("__e") - F.lit(slide_us)
+    ends = F.sequence(from_micros(first, dtype), from_micros(last, dtype), step)
+    starts = F.sequence(from_micros(first - F.lit(size_us), dtype), from_micros(last - F.lit(size_us), dtype), step)
+    out = segs.select(*keys, F.col("__v").alias(count_col),
+                      F.inline(F.arrays_zip(starts.alias("window_start"), ends.alias("window_end"))))
+    return out.select(*keys, "window_start", "window_end",
                       F.col(count_col).cast("long").alias(count_col))
