@@ -68,19 +68,15 @@ def stream_click_fraud_filter(df: DataFrame, keys: Sequence[str] = ("user_id", "
             return
         count, flagged = state.get if state.exists else (0, False)
         pdf = _rows(pdfs, seq)
-        keep, tags, msgs = [], [], []
-        for i in range(len(pdf)):
-            if count < limit:
-                count += 1
-                tag, msg = "pass", None
-            elif not flagged:
-                flagged = True
-                tag, msg = "warning", text
-            else:
-                continue
-            keep.append(i)
-            tags.append(tag)
-            msgs.append(msg)
+        # Vectorised over the batch: the next (limit - count) rows pass, the one
+        # after them warns once; the rest are suppressed.
+        room = max(limit - count, 0)
+        n_pass = min(room, len(pdf))
+        warn = (not flagged) and len(pdf) > room
+        keep = list(range(n_pass)) + ([room] if warn else [])
+        tags = ["pass"] * n_pass + (["warning"] if warn else [])
+        msgs = [None] * n_pass + ([text] if warn else [])
+        count, flagged = count + n_pass, flagged or warn
         state.update((count, flagged))
         if daily:
             end = day_end_ms(key[-1])
