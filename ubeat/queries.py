@@ -42,6 +42,12 @@ def _ev(spark: SparkSession, sf: str) -> DataFrame:
     return tb.load(spark, sf, "events")
 
 
+def _views(spark: SparkSession, sf: str) -> DataFrame:
+    """Page-view rows only: the operators' own ``pv`` / ``GET`` filter, stated on
+    the stored column so it is pushed into the parquet scan."""
+    return tb.only(_ev(spark, sf), "view")
+
+
 # --- shared oracle fragments (DuckDB) ------------------------------------------
 
 _K = "CAST(json_extract(props, '$.k') AS BIGINT)"
@@ -69,14 +75,14 @@ WHERE row_num <= 5
 @register("hot_items", HOT_ITEMS_ORACLE)
 def hot_items(spark: SparkSession, sf: str) -> DataFrame:
     """Top 5 viewed items per 1 h window sliding by 5 min."""
-    counts = windows.item_view_counts(tb.user_behavior(_ev(spark, sf)), "1 hour", "5 minutes")
+    counts = windows.item_view_counts(tb.user_behavior(_views(spark, sf)), "1 hour", "5 minutes")
     return ranking.hot_items(counts, 5)
 
 
 @register("hot_items_sql", HOT_ITEMS_ORACLE)
 def hot_items_sql(spark: SparkSession, sf: str) -> DataFrame:
     """The same Top-N as one SQL text over a temp view."""
-    tb.user_behavior(_ev(spark, sf)).createOrReplaceTempView("ubeat_user_behavior")
+    tb.user_behavior(_views(spark, sf)).createOrReplaceTempView("ubeat_user_behavior")
     return ranking.hot_items_sql(spark, "ubeat_user_behavior", "1 hour", "5 minutes", 5)
 
 
@@ -87,7 +93,7 @@ FROM ({_hop('pv', 'item_id', 'us', 3_600_000_000, 300_000_000)}) GROUP BY item_i
 """)
 def item_view_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Hop-window counts per item (1 h / 5 min) before ranking."""
-    return windows.item_view_counts(tb.user_behavior(_ev(spark, sf)), "1 hour", "5 minutes")
+    return windows.item_view_counts(tb.user_behavior(_views(spark, sf)), "1 hour", "5 minutes")
 
 
 # --- hot pages: access log -> 10 min / 5 s counts per url -> top 3 (A4 + R1) ----------
@@ -103,7 +109,7 @@ FROM ({_hop('req', 'url', 'us', 600_000_000, 5_000_000)}) GROUP BY url, window_e
 @register("page_counts", _PAGE_COUNTS_ORACLE)
 def page_counts(spark: SparkSession, sf: str) -> DataFrame:
     """GET requests per url per 10 min window sliding by 5 s (change-point plan)."""
-    return windows.page_counts(tb.access_log(_ev(spark, sf)), "10 minutes", "5 seconds")
+    return windows.page_counts(tb.access_log(_views(spark, sf)), "10 minutes", "5 seconds")
 
 
 @register("hot_pages", f"""
@@ -144,13 +150,13 @@ FROM events WHERE event_type = 'view' GROUP BY 1
 @register("page_views", _PV_ORACLE)
 def page_views(spark: SparkSession, sf: str) -> DataFrame:
     """Views per tumbling hour."""
-    return windows.page_views(tb.user_behavior(_ev(spark, sf)), "1 hour")
+    return windows.page_views(tb.user_behavior(_views(spark, sf)), "1 hour")
 
 
 @register("page_views_two_phase", _PV_ORACLE)
 def page_views_two_phase(spark: SparkSession, sf: str) -> DataFrame:
     """Views per hour via the salted two-phase total."""
-    return windows.page_views_two_phase(tb.user_behavior(_ev(spark, sf)), "1 hour")
+    return windows.page_views_two_phase(tb.user_behavior(_views(spark, sf)), "1 hour")
 
 
 @register("unique_visitors", f"""
@@ -159,13 +165,13 @@ FROM events WHERE event_type = 'view' GROUP BY 1
 """)
 def unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
     """Exact distinct viewers per tumbling hour."""
-    return windows.unique_visitors(tb.user_behavior(_ev(spark, sf)), "1 hour")
+    return windows.unique_visitors(tb.user_behavior(_views(spark, sf)), "1 hour")
 
 
 @register("unique_visitors_approx")
 def unique_visitors_approx(spark: SparkSession, sf: str) -> DataFrame:
     """HyperLogLog distinct viewers per hour (approximate: no exact oracle)."""
-    return windows.unique_visitors_approx(tb.user_behavior(_ev(spark, sf)), "1 hour", 0.01)
+    return windows.unique_visitors_approx(tb.user_behavior(_views(spark, sf)), "1 hour", 0.01)
 
 
 _OFFSET64 = ("list_reduce(list_transform(string_split(CAST(user_id AS VARCHAR), ''), lambda c: ascii(c)), "
@@ -178,7 +184,7 @@ FROM events WHERE event_type = 'view' GROUP BY 1
 """)
 def unique_visitors_bitmap(spark: SparkSession, sf: str) -> DataFrame:
     """One-hash bitmap visitors per hour; 64 bits so collisions show with few users."""
-    return windows.unique_visitors_bitmap(tb.user_behavior(_ev(spark, sf)), "1 hour", bits=64, seed=61)
+    return windows.unique_visitors_bitmap(tb.user_behavior(_views(spark, sf)), "1 hour", bits=64, seed=61)
 
 
 @register("running_unique_visitors", f"""
@@ -191,7 +197,7 @@ FROM f
 """)
 def running_unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
     """A row per first view of a user in an hour, with the running distinct count."""
-    return windows.running_unique_visitors(tb.user_behavior(_ev(spark, sf)), "1 hour")
+    return windows.running_unique_visitors(tb.user_behavior(_views(spark, sf)), "1 hour")
 
 
 # --- ad clicks: fraud filter (P1) and clicks per province (A5) -----------------------------
@@ -247,7 +253,8 @@ SELECT window_end - INTERVAL 1 DAY AS window_start, window_end, channel, behavio
 """)
 def market_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Behaviours per (channel, behaviour) per 1 day window sliding by 5 s."""
-    return windows.market_counts(tb.market_behavior(_ev(spark, sf)), "1 day", "5 seconds")
+    return windows.market_counts(tb.market_behavior(tb.only(_ev(spark, sf), "view", "click", "purchase")),
+                                 "1 day", "5 seconds")
 
 
 # --- login alarms (P3, P4, C1) --------------------------------------------------------------

@@ -35,6 +35,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def only(events: DataFrame, *event_types: str) -> DataFrame:
+    """Rows of the given raw event types — a predicate on a stored column, so it
+    reaches the parquet scan (filters on the mapped columns, e.g. ``behavior =
+    'pv'``, cannot be inverted by the optimizer and would stay above the scan)."""
+    return events.where(F.col("event_type").isin(*event_types))
+
+
 def item_key(props: str = "props") -> Column:
     """The ``k`` id inside ``props`` (JSON)."""
     return F.get_json_object(F.col(props), "$.k").cast("long")
