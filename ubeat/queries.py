@@ -8,12 +8,27 @@ stated next to the query.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ubeat.operators import ranking, windows
+from ubeat.operators.fraud import click_fraud_filter as _click_fraud_filter
+from ubeat.operators.fraud import passed as _passed
+from ubeat.operators.late import kept_window_counts, split_late
+from ubeat.operators.logins import login_fail_pair as _login_fail_pair
+from ubeat.operators.logins import login_fail_timer as _login_fail_timer
+from ubeat.operators.orders import order_timeout as _order_timeout
+from ubeat.operators.orders import tx_match as _tx_match
+from ubeat.operators.patterns import login_fail_sequence as _login_fail_sequence
+from ubeat.operators.patterns import order_pay_pattern as _order_pay_pattern
+from ubeat.session import ensure_checkpoint_dir
 from ubeat.sources import tables as tb
+from ubeat.sources.text import parse_access_log
+from ubeat.streaming import stateful as _sst
+from ubeat.streaming import windows as _sw
+from ubeat.streaming.sources import table_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -133,7 +148,6 @@ WHERE row_num <= 3
 """)
 def access_log_hot_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Hot pages from access-log *text*: events rendered as log lines, parsed back."""
-    from ubeat.sources.text import parse_access_log
     log = parse_access_log(tb.access_log_lines(_ev(spark, sf)))
     return ranking.hot_pages(windows.page_counts(log, "10 minutes", "5 seconds"), 3)
 
@@ -216,8 +230,7 @@ FROM r WHERE rn <= 11
 
 
 def _fraud(spark: SparkSession, sf: str) -> DataFrame:
-    from ubeat.operators.fraud import click_fraud_filter
-    tagged = click_fraud_filter(tb.ad_clicks(_ev(spark, sf)), keys=("user_id", "event_type"), limit=10)
+    tagged = _click_fraud_filter(tb.ad_clicks(_ev(spark, sf)), keys=("user_id", "event_type"), limit=10)
     return tb.with_province(tagged, tb.load(spark, sf, "customer"), tb.load(spark, sf, "nation"))
 
 
@@ -234,8 +247,7 @@ FROM ({_hop('p', 'province', 'us', 3_600_000_000, 5_000_000)}) GROUP BY province
 """)
 def ad_clicks_by_province(spark: SparkSession, sf: str) -> DataFrame:
     """Passed clicks per province per 1 h window sliding by 5 s."""
-    from ubeat.operators.fraud import passed
-    return windows.clicks_by_province(passed(_fraud(spark, sf)), "1 hour", "5 seconds")
+    return windows.clicks_by_province(_passed(_fraud(spark, sf)), "1 hour", "5 seconds")
 
 
 # --- marketing counts per channel and behaviour (A6) ----------------------------------------
@@ -270,8 +282,7 @@ FROM l WHERE event_type = 'fail' AND pt = 'fail' AND ts < pts + INTERVAL 2 HOUR
 """)
 def login_fail_pair(spark: SparkSession, sf: str) -> DataFrame:
     """Two fails in a row (arrival order) less than 2 h apart."""
-    from ubeat.operators.logins import login_fail_pair as op
-    return op(tb.logins(_ev(spark, sf)), "2 hours")
+    return _login_fail_pair(tb.logins(_ev(spark, sf)), "2 hours")
 
 
 @register("login_fail_sequence", f"""
@@ -283,15 +294,13 @@ FROM l WHERE event_type = 'fail' AND t1 = 'fail' AND t2 = 'fail' AND ts2 < ts +
 """)
 def login_fail_sequence(spark: SparkSession, sf: str) -> DataFrame:
     """Three consecutive fails (event time) within 1 day."""
-    from ubeat.operators.patterns import login_fail_sequence as op
-    return op(tb.logins(_ev(spark, sf)), 3, "1 day")
+    return _login_fail_sequence(tb.logins(_ev(spark, sf)), 3, "1 day")
 
 
 @register("login_fail_timer")
 def login_fail_timer(spark: SparkSession, sf: str) -> DataFrame:
     """At least 2 fails gathered in the 6 h after a first fail (sequential rule: brute-force tested)."""
-    from ubeat.operators.logins import login_fail_timer as op
-    return op(tb.logins(_ev(spark, sf)), 2, "6 hours")
+    return _login_fail_timer(tb.logins(_ev(spark, sf)), 2, "6 hours")
 
 
 # --- orders: pattern (C2–C4), state machine (P5), reconciliation (J1) -------------------------
@@ -310,8 +319,7 @@ FROM n WHERE event_type = 'create'
 """)
 def order_pay_pattern(spark: SparkSession, sf: str) -> DataFrame:
     """Click followed by the user's next purchase within 12 h, else a timeout."""
-    from ubeat.operators.patterns import order_pay_pattern as op
-    return op(tb.order_events(_ev(spark, sf), per="user"), "12 hours")
+    return _order_pay_pattern(tb.order_events(_ev(spark, sf), per="user"), "12 hours")
 
 
 @register("order_timeout", f"""
@@ -330,8 +338,7 @@ SELECT order_id, create_ts, pay_ts, CASE WHEN result = 'payed successfully' THEN
 """)
 def order_timeout(spark: SparkSession, sf: str) -> DataFrame:
     """Create/pay outcome per (user, item) order with a 12 h payment limit."""
-    from ubeat.operators.orders import order_timeout as op
-    return op(tb.order_events(_ev(spark, sf), per="user_item"), "12 hours")
+    return _order_timeout(tb.order_events(_ev(spark, sf), per="user_item"), "12 hours")
 
 
 @register("tx_match", f"""
@@ -352,9 +359,8 @@ WHERE NOT EXISTS (
 """)
 def tx_match(spark: SparkSession, sf: str) -> DataFrame:
     """Purchases vs signups of the same user, receipt within [pay - 3 h, pay + 5 h]."""
-    from ubeat.operators.orders import tx_match as op
     ev = _ev(spark, sf)
-    out = op(tb.pays(ev), tb.receipts(ev), "5 hours", "3 hours")
+    out = _tx_match(tb.pays(ev), tb.receipts(ev), "5 hours", "3 hours")
     return out.select("tag", "tx_id", "pay_order_id", "pay_ts", "pay_seq", "receipt_pay_channel",
                       "receipt_ts", "receipt_seq")
 
@@ -375,7 +381,6 @@ FROM x
 
 
 def _late(spark: SparkSession, sf: str) -> DataFrame:
-    from ubeat.operators.late import split_late
     return split_late(tb.shipments(tb.load(spark, sf, "lineitem")), "7 days", "1 day",
                       delay="1 day", lateness="30 days")
 
@@ -393,7 +398,6 @@ FROM ({_hop('k', '1', 'us', 7 * 86_400_000_000, 86_400_000_000)}) GROUP BY windo
 """)
 def late_kept_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Line items per 7-day window sliding daily, late rows removed."""
-    from ubeat.operators.late import kept_window_counts
     return kept_window_counts(_late(spark, sf), "7 days", "1 day")
 
 
@@ -421,9 +425,6 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     fresh sub-folder per run); the sink is parquet, so nothing passes through
     the driver.
     """
-    import uuid
-
-    from ubeat.session import ensure_checkpoint_dir
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ubeat-{name}-{uuid.uuid4().hex}"
     q = (df.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
@@ -435,7 +436,6 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def _ev_stream(spark: SparkSession, sf: str) -> DataFrame:
-    from ubeat.streaming.sources import table_stream
     return table_stream(spark, sf, "events")
 
 
@@ -447,8 +447,7 @@ SELECT * FROM ({HOT_ITEMS_ORACLE}) WHERE window_end <= {_LAST_VIEW}
 """)
 def stream_hot_items(spark: SparkSession, sf: str) -> DataFrame:
     """Hot items as a stream (chained append-mode aggregates); windows the final watermark closed."""
-    from ubeat.streaming.windows import stream_hot_items as op
-    out = _run_stream(spark, op(tb.user_behavior(_ev_stream(spark, sf)), 5, "1 hour", "5 minutes"), "hot-items")
+    out = _run_stream(spark, _sw.stream_hot_items(tb.user_behavior(_ev_stream(spark, sf)), 5, "1 hour", "5 minutes"), "hot-items")
     return out.withColumn("window_end", out["window_end"].cast("timestamp_ntz"))
 
 
@@ -458,16 +457,14 @@ FROM events WHERE event_type = 'view' GROUP BY 1 HAVING {_HOUR_END} <= {_LAST_VI
 """)
 def stream_unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct viewers per hour as a stream (two chained aggregates)."""
-    from ubeat.streaming.windows import stream_unique_visitors as op
-    out = _run_stream(spark, op(tb.user_behavior(_ev_stream(spark, sf)), "1 hour"), "uv")
+    out = _run_stream(spark, _sw.stream_unique_visitors(tb.user_behavior(_ev_stream(spark, sf)), "1 hour"), "uv")
     return out.withColumn("window_end", out["window_end"].cast("timestamp_ntz"))
 
 
 @register("stream_login_fail_pair", _ORACLES["login_fail_pair"])
 def stream_login_fail_pair(spark: SparkSession, sf: str) -> DataFrame:
     """Two fails in a row (arrival order) less than 2 h apart, with per-user stream state."""
-    from ubeat.streaming.stateful import stream_login_fail_pair as op
-    out = _run_stream(spark, op(tb.logins(_ev_stream(spark, sf)), "2 hours"), "login-pair")
+    out = _run_stream(spark, _sst.stream_login_fail_pair(tb.logins(_ev_stream(spark, sf)), "2 hours"), "login-pair")
     return out.select("user_id", out["first_fail"].cast("timestamp_ntz").alias("first_fail"),
                       out["last_fail"].cast("timestamp_ntz").alias("last_fail"), "msg")
 
@@ -475,8 +472,7 @@ def stream_login_fail_pair(spark: SparkSession, sf: str) -> DataFrame:
 @register("stream_click_fraud_filter", _FRAUD_ORACLE)
 def stream_click_fraud_filter(spark: SparkSession, sf: str) -> DataFrame:
     """The fraud filter with per-key stream state; provinces joined afterwards (stream-static)."""
-    from ubeat.streaming.stateful import stream_click_fraud_filter as op
-    tagged = op(tb.ad_clicks(_ev_stream(spark, sf)), ("user_id", "event_type"), 10)
+    tagged = _sst.stream_click_fraud_filter(tb.ad_clicks(_ev_stream(spark, sf)), ("user_id", "event_type"), 10)
     out = _run_stream(spark, tagged, "fraud")
     out = tb.with_province(out, tb.load(spark, sf, "customer"), tb.load(spark, sf, "nation"))
     return out.select("user_id", "ad_id", "event_type", "province", "ts", "seq", "tag", "msg")

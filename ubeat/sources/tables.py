@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ubeat.plans.broadcast import maybe_broadcast
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -93,9 +91,14 @@ def _ip(uid: Column) -> Column:
 
 
 def customer_provinces(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """(c_custkey, province) — nation is tiny and broadcast after a size check."""
+    """(c_custkey, province).
+
+    No broadcast hint: Catalyst broadcasts ``nation`` because its size estimate
+    is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-decides with
+    measured sizes — a side is broadcast only behind that size check.
+    """
     return (customer.select("c_custkey", "c_nationkey")
-            .join(maybe_broadcast(nation.select("n_nationkey", "n_name")),
+            .join(nation.select("n_nationkey", "n_name"),
                   F.col("c_nationkey") == F.col("n_nationkey"))
             .select("c_custkey", F.col("n_name").alias("province")))
 
