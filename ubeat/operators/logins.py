@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ubeat.functions.time import duration_us, from_micros, to_micros
-from ubeat.plans.scan import blocked_running, previous_row, seq_block
+from ubeat.plans.scan import blocked_running, blocked_running_many, previous_row, seq_block
 
 # The reference's alarm texts.
 PAIR_TEXT = "login fail 2 times in 2 seconds"
@@ -55,21 +55,32 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
     is judged first.  A closed span with at least ``n`` fails gives
     (user_id, first_fail, last_fail, msg) with first/last in arrival order.
 
-    Plan: islands between successes (a running count of successes, computed
-    as a blocked scan so a hot user is not ordered in one task).  Only an
-    island is sequential; islands holding at least ``n`` fails — the only ones
-    that can alarm — are walked in arrival order by one pandas pass per
-    partition; all others never leave the JVM.
+    Plan: islands between successes (a running count of successes) cut further
+    where a fail comes ``wait`` after every earlier fail of the user — such a
+    fail anchors a new span whatever happened before, so the pieces
+    (sub-islands) are independent.  Both running values are blocked scans, so
+    a hot user is not ordered in one task.  Only a sub-island is sequential;
+    those holding at least ``n`` fails — the only ones that can alarm — are
+    walked in arrival order by one pandas pass per partition; all others never
+    leave the JVM.
     """
     dtype = logins.schema[ts].dataType
     wait_us = duration_us(wait)
     x = logins.select(F.col(key).alias("__key"), F.col(seq).alias("__seq"),
                       (F.col("event_type") == "fail").alias("__fail"),
                       to_micros(ts, dtype).alias("__us"), seq_block(seq, rows_per_block).alias("__blk"))
-    x = x.withColumn("__succ", F.when(F.col("__fail"), 0).otherwise(1))
-    # island = successes strictly before the row; a success closes its island.
-    x = blocked_running(x, ["__key"], ["__seq"], "__succ", "__blk", "__island", how="sum", inclusive=False)
+    x = (x.withColumn("__succ", F.when(F.col("__fail"), 0).otherwise(1))
+         .withColumn("__fus", F.when(F.col("__fail"), F.col("__us"))))
+    # One scan: island = successes strictly before the row (a success closes
+    # its island); __mx = the user's maximum fail time before the row.
+    x = blocked_running_many(x, ["__key"], ["__seq"], "__blk",
+                             [("__succ", "sum", "__island", False), ("__fus", "max", "__mx", False)])
     x = x.withColumn("__island", F.coalesce(F.col("__island"), F.lit(0)))
+    # A fail at least ``wait`` after every earlier fail must anchor a new span
+    # whatever came before, so it cuts the island: sub-islands are independent.
+    brk = F.col("__fail") & F.col("__mx").isNotNull() & (F.col("__us") >= F.col("__mx") + F.lit(wait_us))
+    x = x.withColumn("__brk", F.when(brk, 1).otherwise(0))
+    x = blocked_running(x, ["__key"], ["__seq"], "__brk", "__blk", "__sub", how="sum")
 
     schema = T.StructType([
         T.StructField("__key", logins.schema[key].dataType),
@@ -86,11 +97,12 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
                 out.append((cur[0], span[0], span[-1], len(span)))
 
         for pdf in batches:
-            for k, isl, is_fail, us in zip(pdf["__key"].to_numpy(), pdf["__island"].to_numpy(),
-                                           pdf["__fail"].to_numpy(), pdf["__us"].to_numpy()):
-                if (k, isl) != cur:
+            for k, isl, sub, is_fail, us in zip(pdf["__key"].to_numpy(), pdf["__island"].to_numpy(),
+                                                pdf["__sub"].to_numpy(), pdf["__fail"].to_numpy(),
+                                                pdf["__us"].to_numpy()):
+                if (k, isl, sub) != cur:
                     close()
-                    cur, anchor, span = (k, isl), None, []
+                    cur, anchor, span = (k, isl, sub), None, []
                 if is_fail:
                     if anchor is None:
                         anchor, span = us, [us]
@@ -112,7 +124,7 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
     # One shuffle on (user, island): islands with fewer than n fails cannot
     # alarm and are dropped in the JVM; the rest are walked in order, one
     # Python pass per partition (no per-island call overhead).
-    g = ["__key", "__island"]
+    g = ["__key", "__island", "__sub"]
     nf = F.sum(F.col("__fail").cast("int")).over(Window.partitionBy(*g))
     alarms = (x.select(*g, "__seq", "__fail", "__us").withColumn("__nf", nf).where(F.col("__nf") >= n)
               .sortWithinPartitions(*g, "__seq").drop("__nf")

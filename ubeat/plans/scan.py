@@ -35,28 +35,40 @@ def blocked_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], va
     ``inclusive=False`` aggregates strictly earlier rows only (null when none).
     ``block`` must be monotone in ``order`` within a key (e.g. ``seq div B``).
     """
-    agg = _AGG[how]
+    return blocked_running_many(df, keys, order, block, [(value, how, out, inclusive)])
+
+
+def blocked_running_many(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str,
+                         specs: Sequence[tuple[str, str, str, bool]]) -> DataFrame:
+    """Several running aggregates in one blocked scan: ``specs`` = (value, how, out, inclusive).
+
+    One summary per (key, block) with all block totals, one carry window over
+    the block summaries, one window over (key, block) for the rows.
+    """
     keys = list(keys)
-    summary = (df.groupBy(*keys, block)
-               .agg(agg(value).alias("__btot")))
+    summary = df.groupBy(*keys, block).agg(*[_AGG[h](v).alias(f"__bt{i}") for i, (v, h, _, _) in enumerate(specs)])
     wk = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(block) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, block, agg("__btot").over(wk).alias("__carry"))
-
-    wb = Window.partitionBy(*keys, block).orderBy(*_order_cols(order)) \
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    within = df.withColumn("__within", agg(value).over(wb))
-    joined = within.join(carry, on=[*keys, block], how="left")
-    if how in ("sum", "count"):
-        # A running count/sum is never null once the row itself is included.
-        res = F.when(F.col("__within").isNull() & F.col("__carry").isNull(),
-                     F.lit(None) if not inclusive else F.lit(0)) \
-            .otherwise(F.coalesce(F.col("__carry"), F.lit(0)) + F.coalesce(F.col("__within"), F.lit(0)))
-    elif how == "max":
-        res = F.greatest(F.col("__carry"), F.col("__within"))
-    else:
-        res = F.least(F.col("__carry"), F.col("__within"))
-    return joined.withColumn(out, res).drop("__within", "__carry")
+    carry = summary.select(*keys, block, *[_AGG[h](f"__bt{i}").over(wk).alias(f"__cy{i}")
+                                           for i, (_, h, _, _) in enumerate(specs)])
+    out = df
+    for i, (v, h, _, inc) in enumerate(specs):
+        wb = Window.partitionBy(*keys, block).orderBy(*_order_cols(order)) \
+            .rowsBetween(Window.unboundedPreceding, 0 if inc else -1)
+        out = out.withColumn(f"__in{i}", _AGG[h](v).over(wb))
+    out = out.join(carry, on=[*keys, block], how="left")
+    for i, (_, h, name, inc) in enumerate(specs):
+        cy, wi = F.col(f"__cy{i}"), F.col(f"__in{i}")
+        if h in ("sum", "count"):
+            # A running count/sum is never null once the row itself is included.
+            res = F.when(wi.isNull() & cy.isNull(), F.lit(None) if not inc else F.lit(0)) \
+                .otherwise(F.coalesce(cy, F.lit(0)) + F.coalesce(wi, F.lit(0)))
+        elif h == "max":
+            res = F.greatest(cy, wi)
+        else:
+            res = F.least(cy, wi)
+        out = out.withColumn(name, res)
+    return out.drop(*[f"__in{i}" for i in range(len(specs))], *[f"__cy{i}" for i in range(len(specs))])
 
 
 def global_running(df: DataFrame, order: Sequence[str], value: str, block: str, out: str,
