@@ -86,3 +86,42 @@ def test_next_match_equals_unbounded_following(spark):
     w = Window.partitionBy("k").orderBy("ts", "seq").rowsBetween(1, Window.unboundedFollowing)
     want = df.withColumn("nm_seq", F.first(F.when(m, F.col("seq")), ignorenulls=True).over(w))
     assert rows(got, "seq", "nm_seq") == rows(want, "seq", "nm_seq")
+
+
+def test_ntz_micros_independent_of_session_zone(spark):
+    from ubeat.functions.time import from_micros, to_micros
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(ts(0),), (ts(1_720_000_000.123456),), (ts(-86_400 * 400 + 0.5),)], "t timestamp_ntz")
+    want = [r[0] for r in df.select(to_micros("t", T.TimestampNTZType())).collect()]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r[0] for r in df.select(to_micros("t", T.TimestampNTZType())).collect()]
+        back = [r[0] for r in df.select(from_micros(to_micros("t", T.TimestampNTZType()), T.TimestampNTZType()))
+                .collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == want == [0, 1_720_000_000_123_456, -86_400_000_000 * 400 + 500_000]
+    assert back == [r[0] for r in df.collect()]
+
+
+try:
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+except ImportError:  # pragma: no cover
+    given = None
+
+if given is not None:
+    @settings(max_examples=12, deadline=None)
+    @given(slide=st.sampled_from([1, 2, 5, 60]), ratio=st.integers(1, 40), block=st.sampled_from([1, 3, 10]),
+           seed=st.integers(0, 10_000))
+    def test_change_points_property(spark, slide, ratio, block, seed):
+        import random as _r
+        rnd = _r.Random(seed)
+        data = [(i, rnd.randrange(3), ts(1_000_000 + rnd.randrange(4 * slide * ratio + 7))) for i in range(40)]
+        df = spark.createDataFrame(data, "seq long, k long, ts timestamp_ntz")
+        size = slide * ratio
+        cp = window_counts(df, "ts", ["k"], f"{size} seconds", f"{slide} seconds", plan="change_points",
+                           block_us=block * size * 1_000_000)
+        direct = window_counts(df, "ts", ["k"], f"{size} seconds", f"{slide} seconds", plan="direct")
+        cols = ("k", "window_start", "window_end", "cnt")
+        assert rows(cp, *cols) == rows(direct, *cols)

@@ -55,11 +55,30 @@ def ts_type(df: DataFrame, col: str) -> T.DataType:
     return df.schema[col].dataType
 
 
+_UTC_NAMES = {"UTC", "Z", "GMT", "Etc/UTC", "Etc/GMT", "+00:00", "UTC+00:00", "GMT+00:00"}
+
+
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    return spark is None or spark.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
+
+
 def to_micros(c: Column | str, dtype: T.DataType) -> Column:
-    """Epoch microseconds of a timestamp column (exact, zone independent for NTZ)."""
+    """Epoch microseconds of a timestamp column (exact; NTZ is read as UTC wall clock).
+
+    ``timestampdiff`` casts NTZ through the session zone, which is exact only
+    when that zone is UTC (ubeat's default); otherwise the value is assembled
+    from its calendar fields, which never involve a zone.
+    """
     c = F.col(c) if isinstance(c, str) else c
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), c)
+        if _session_is_utc():
+            return F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), c)
+        days = F.date_diff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+        secs_us = (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long")
+        return (days * F.lit(86_400_000_000) + F.hour(c).cast("long") * F.lit(3_600_000_000)
+                + F.minute(c).cast("long") * F.lit(60_000_000) + secs_us)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dtype, (T.LongType, T.IntegerType)):
