@@ -67,3 +67,30 @@ def test_market_counts_drop_uninstall(spark):
     got = windows.market_counts(df, "1 hour", "10 minutes")
     r = rows(got, "window_start", "window_end", "channel", "behavior", "cnt")
     assert len(r) == 6 and all(x[3] == "view" and x[4] == 2 for x in r)
+
+
+def test_window_aggregate_with_pandas_udaf(spark):
+    import pandas as pd
+
+    @F.pandas_udf("double")
+    def spread(v: pd.Series) -> float:
+        return float(v.max() - v.min())
+
+    df = _beh(spark, [(1, 10, "pv", 0), (5, 10, "pv", 10), (2, 11, "pv", 20), (9, 10, "pv", 4000)])
+    got = windows.window_aggregate(df, ["item_id"], "1 hour", spread=spread(F.col("user_id")))
+    assert rows(got, "item_id", "window_end", "spread") == \
+        [(10, ts(3600), 4.0), (10, ts(7200), 0.0), (11, ts(3600), 0.0)]
+    sums = windows.window_aggregate(df, ["item_id"], "1 hour", "30 minutes", n=F.count(F.lit(1)))
+    assert rows(sums.where("item_id = 10"), "window_end", "n") == \
+        [(ts(1800), 2), (ts(3600), 2), (ts(5400), 1), (ts(7200), 1)]
+
+
+def test_window_apply(spark):
+    import pandas as pd
+
+    def users(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"window_end": [pdf["window_end"].iloc[0]], "users": [",".join(
+            str(u) for u in sorted(set(pdf["user_id"])))]})
+    df = _beh(spark, [(3, 10, "pv", 0), (1, 10, "pv", 10), (3, 11, "pv", 20)])
+    got = windows.window_apply(df, [], "1 hour", users, "window_end timestamp_ntz, users string")
+    assert rows(got, "window_end", "users") == [(ts(3600), "1,3")]

@@ -133,3 +133,31 @@ def running_unique_visitors(behavior: DataFrame, size="1 hour", *, ts: str = "ts
     first = first.withColumn("__blk", floor_div(to_micros("ts", dtype), sub_us))
     out = blocked_running(first, ["window_end"], ["ts", "seq"], "one", "__blk", "uv", how="sum")
     return out.select("window_end", vcol, "ts", F.col("uv").cast("long").alias("uv"))
+
+
+def window_aggregate(df: DataFrame, keys: Sequence[str], size, slide=None, *, ts: str = "ts",
+                     **aggs: Column) -> DataFrame:
+    """Any aggregates per key per window -> keys, window_start, window_end, <aggs>.
+
+    The aggregates are Columns: built-ins (partial aggregation, codegen) or a
+    grouped-aggregate pandas UDF for a custom incremental aggregate
+    (``@pandas_udf("double") def f(v: pd.Series) -> float``).  Spark does not
+    mix pandas aggregate UDFs and built-in aggregates in one call: use one kind
+    per call and join the results on (keys, window) if both are needed.
+    """
+    w = F.window(ts, interval_str(duration_us(size)),
+                 interval_str(duration_us(slide if slide is not None else size)))
+    return (df.groupBy(w.alias("__w"), *keys).agg(*[c.alias(n) for n, c in aggs.items()])
+            .select(*keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"),
+                    *aggs))
+
+
+def window_apply(df: DataFrame, keys: Sequence[str], size, fn, schema, *, ts: str = "ts") -> DataFrame:
+    """A whole-window function — ``fn(pandas.DataFrame) -> pandas.DataFrame`` per
+    (tumbling window, key), with ``window_end`` added to its input.
+
+    The fallback for logic no aggregate expression can state: a window's rows
+    meet in one Python call, so use it where a window of one key is bounded.
+    """
+    w = F.window(ts, interval_str(duration_us(size)))
+    return df.withColumn("window_end", w.end).groupBy("window_end", *keys).applyInPandas(fn, schema)
