@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from conftest import rows, ts
 from ubeat.operators.late import kept_window_counts, split_late
 from ubeat.sources.text import parse_access_log, read_logins, read_orders
@@ -45,3 +47,23 @@ def test_csv_readers(spark, tmp_path):
     q = tmp_path / "orders.csv"
     q.write_text("1,create,,1558430842\n1,pay,sd76f87d6,1558430844\n")
     assert rows(read_orders(spark, str(q)), "order_id", "tx_id") == [(1, "sd76f87d6"), (1, None)]
+
+
+def test_user_behavior_csv_end_to_end(spark, tmp_path):
+    from ubeat.operators import ranking, windows
+    from ubeat.sources.text import read_user_behavior
+    p = tmp_path / "behavior.csv"
+    lines = [(7, 100, 1, "pv", 1511000000), (8, 100, 1, "pv", 1511000060), (7, 200, 1, "pv", 11511000120),
+             (9, 300, 2, "buy", 1511000100), (8, 200, 1, "pv", 1511000180), (9, 100, 1, "pv", 151100240)]
+    p.write_text("".join(f"{u},{i},{c},{b},{t}\n" for u, i, c, b, t in lines))
+    beh = read_user_behavior(spark, str(p))
+    pv = rows(windows.page_views(beh), "window_end", "pv")
+    uv = rows(windows.unique_visitors(beh), "window_end", "uv")
+    # Hour ends: 151102800 (9-digit time), 1511002800 (three views, two users), 11511003600 (year 2334).
+    assert pv == [(ts(151102800), 1), (ts(1511002800), 3), (ts(11511003600), 1)]
+    assert uv == [(ts(151102800), 1), (ts(1511002800), 2), (ts(11511003600), 1)]
+    top = ranking.hot_items(windows.item_view_counts(beh), 1)
+    first = rows(top.where(F.col("window_end") == ts(1511000100 // 300 * 300 + 300)), "item_id", "cnt")
+    assert first == [(100, 2)]
+    rep = dict(ranking.format_report(top, "item_id").collect())
+    assert rep[ts(1511000100 // 300 * 300 + 300)].startswith("窗口结束时间：2017-11-18 10:20:00.0\nNO1: \t商品ID=100\t")
