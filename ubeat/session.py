@@ -15,6 +15,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Window expansion (change points, hop windows) turns little shuffle data
+    # into many output rows after the exchange; coalescing post-shuffle
+    # partitions by shuffle bytes down to the 1 MB default starves those stages.
+    # A small floor keeps their parallelism; at scale partitions are far larger.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
