@@ -1,4 +1,4 @@
-"""Skew-safe ordered scans: running aggregates and previous-row lookups.
+"""Skew-safe ordered scans: running aggregates, previous / next rows, next match.
 
 A plain ``Window.partitionBy(key).orderBy(seq)`` sorts every row of a key in
 one task; if one key holds a third of the data that task never finishes.  The
@@ -11,7 +11,9 @@ e.g. ``seq div B`` or a time bucket) and work in two levels:
 3. a window over (key, block) — bounded size — finishes the scan, seeded by
    the carried value that is joined back (AQE broadcasts it when small).
 
-The result equals the single-window scan for every row.
+Look-ahead scans (``next_rows``, ``next_match``) mirror this with a carry from
+the *following* blocks.  The result equals the single-window scan for every
+row (tests/test_plans.py checks each against the plain window).
 """
 
 from __future__ import annotations
