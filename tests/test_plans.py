@@ -47,13 +47,14 @@ def test_change_points_timestamp_type(spark):
 
 def test_blocked_running_equals_window(spark):
     df = _events(spark).withColumn("blk", seq_block("seq", 17))
-    for how, inclusive in [("sum", True), ("sum", False), ("max", True), ("max", False)]:
+    for how, inclusive in [("sum", True), ("sum", False), ("max", True), ("max", False), ("count", True),
+                           ("min", False)]:
         got = blocked_running(df, ["k"], ["seq"], "v", "blk", "r", how=how, inclusive=inclusive)
         frame = (Window.unboundedPreceding, 0 if inclusive else -1)
         w = Window.partitionBy("k").orderBy("seq").rowsBetween(*frame)
-        agg = F.sum if how == "sum" else F.max
+        agg = {"sum": F.sum, "max": F.max, "count": F.count, "min": F.min}[how]
         want = df.withColumn("r", agg("v").over(w))
-        if how == "sum" and inclusive:
+        if how in ("sum", "count") and inclusive:
             want = want.withColumn("r", F.coalesce("r", F.lit(0)))
         assert rows(got, "seq", "r") == rows(want, "seq", "r"), (how, inclusive)
 

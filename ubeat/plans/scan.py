@@ -51,8 +51,9 @@ def blocked_running_many(df: DataFrame, keys: Sequence[str], order: Sequence[str
     summary = df.groupBy(*keys, block).agg(*[_AGG[h](v).alias(f"__bt{i}") for i, (v, h, _, _) in enumerate(specs)])
     wk = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(block) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, block, *[_AGG[h](f"__bt{i}").over(wk).alias(f"__cy{i}")
-                                           for i, (_, h, _, _) in enumerate(specs)])
+    # Block totals combine by sum for counts (count of rows, not of blocks).
+    carry = summary.select(*keys, block, *[_AGG["sum" if h == "count" else h](f"__bt{i}").over(wk)
+                                           .alias(f"__cy{i}") for i, (_, h, _, _) in enumerate(specs)])
     out = df
     for i, (v, h, _, inc) in enumerate(specs):
         wb = Window.partitionBy(*keys, block).orderBy(*_order_cols(order)) \
