@@ -222,3 +222,18 @@ def test_stream_late_split_equals_batch_by_micro_batch(spark, tmp_path):
     want = want.withColumn("seq", F.col("seq_orig"))
     assert got == rows(want, "seq", "l_linenumber", "l_partkey", "tag")
     assert {t for *_, t in got} == {"late", "on_time"}
+
+
+def test_stream_panes_then_change_points(spark, tmp_path):
+    # Stream: closed 5 s pane counts per url appended to a table; batch: the
+    # change-point plan over that table equals the direct 10 min / 5 s windows.
+    log = tb.access_log(tb.load(spark, SF, "events")).where("method = 'GET'").select("url", "ts", "seq")
+    log = log.unionByName(spark.createDataFrame([("/z", ts(4_000_000_000), 10**9)], log.schema))
+    write_parts(spark, log, str(tmp_path / "log"), parts=3)
+    s = stream_of(spark, str(tmp_path / "log"), log.schema)
+    panes = run_stream(spark, sw.stream_pane_counts(s, ["url"], "5 seconds"), tmp_path).where("url <> '/z'")
+    panes = panes.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    got = sw.windows_from_panes(panes, ["url"], "10 minutes", "5 seconds")
+    want = windows.sliding_count(log.where("url <> '/z'"), ["url"], "10 minutes", "5 seconds", plan="direct")
+    cols = ("url", "window_start", "window_end", "cnt")
+    assert rows(got, *cols) == rows(want, *cols)

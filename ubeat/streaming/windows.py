@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ubeat.functions.hashing import bitmap_offset
 from ubeat.functions.time import duration_us, floor_div, interval_str
+from ubeat.plans.sliding import window_counts
 from ubeat.streaming.sources import event_time
 from ubeat.streaming.stateful import revised_top_n_state
 
@@ -123,3 +124,15 @@ def stream_revised_top_n(log: DataFrame, n: int = 3, size="10 minutes", slide="5
     per_window = (src.select(ends.alias("__end"), F.col(key).cast("string").alias("key"), ts)
                   .select(F.timestamp_micros("__end").alias("window_end"), "key", ts))
     return revised_top_n_state(per_window, n, late_us, late_us + size_us, key)
+
+
+def windows_from_panes(panes: DataFrame, keys: Sequence[str], size, slide, *, count_col: str = "cnt") -> DataFrame:
+    """Sliding-window counts from a table of closed pane counts (batch).
+
+    The streaming half of a large-ratio window (hot pages 120x, ad clicks 720x,
+    market counts 17,280x) appends ``stream_pane_counts`` output to a table;
+    this runs the change-point plan over it, weighting each pane by its count,
+    so no row is ever expanded ``size/slide`` times.
+    -> keys, window_start, window_end, cnt
+    """
+    return window_counts(panes, "window_start", keys, size, slide, count_col=count_col, weight=count_col)
