@@ -67,3 +67,23 @@ def test_user_behavior_csv_end_to_end(spark, tmp_path):
     assert first == [(100, 2)]
     rep = dict(ranking.format_report(top, "item_id").collect())
     assert rep[ts(1511000100 // 300 * 300 + 300)].startswith("窗口结束时间：2017-11-18 10:20:00.0\nNO1: \t商品ID=100\t")
+
+
+def test_parse_lines_batch_and_stream(spark, tmp_path):
+    from ubeat.sources.text import LOGIN, ORDER, parse_lines, read_lines
+    p = tmp_path / "lines"
+    p.mkdir()
+    (p / "a.txt").write_text("5402,83.149.11.115,success,1558430815\n\n23064,66.249.3.15,fail,1558430826\n")
+    got = rows(parse_lines(read_lines(spark, str(p)), LOGIN), "user_id", "event_type", "ts")
+    assert got == [(5402, "success", ts(1558430815)), (23064, "fail", ts(1558430826))]
+    s = parse_lines(read_lines(spark, str(p), stream=True), LOGIN)
+    assert s.isStreaming and s.schema["ts"].dataType.typeName() == "timestamp"
+    q = s.writeStream.format("memory").queryName("parsed_lines").option(
+        "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert spark.table("parsed_lines").count() == 2
+    o = tmp_path / "orders"
+    o.mkdir()
+    (o / "a.txt").write_text("34729,create,,1558430842\n34729,pay,sd76f87d6,1558430844\n")
+    assert rows(parse_lines(read_lines(spark, str(o)), ORDER), "order_id", "tx_id") == \
+        [(34729, "sd76f87d6"), (34729, None)]

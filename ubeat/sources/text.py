@@ -113,3 +113,23 @@ def parse_access_log(lines: DataFrame, value: str = "value", ntz: bool = True) -
 def split_fields(value: Column, sep: str = ",") -> Column:
     """Positional split helper for custom line formats."""
     return F.split(value, sep)
+
+
+def parse_lines(lines: DataFrame, schema: str, value: str = "value", ntz: bool | None = None) -> DataFrame:
+    """Comma lines in a ``value`` column (a Kafka topic, a text stream) -> typed records.
+
+    ``schema`` is one of the record schemas above (``USER_BEHAVIOR``, ``AD_CLICK``,
+    ``LOGIN``, ``ORDER``, ``RECEIPT``, ``MARKET``): fields are parsed natively
+    with ``from_csv``, the epoch field becomes ``ts`` as in the file readers,
+    and lines whose time does not parse are dropped.  Other columns of
+    ``lines`` (e.g. ``seq``) are kept.
+    """
+    keep = [c for c in lines.columns if c != value]
+    recs = lines.select(F.from_csv(F.col(value), schema, {"mode": "PERMISSIVE"}).alias("__r"), *keep) \
+        .select("__r.*", *keep)
+    ms = "ts_ms" in recs.columns
+    df = _finish(recs, stream=True, ntz=ntz if ntz is not None else not lines.isStreaming,
+                 ts_col="ts_ms" if ms else "ts_s", unit="ms" if ms else "s")
+    if schema == ORDER:
+        df = df.withColumn("tx_id", F.when(F.length("tx_id") > 0, F.col("tx_id")))
+    return df
