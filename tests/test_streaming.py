@@ -237,3 +237,31 @@ def test_stream_panes_then_change_points(spark, tmp_path):
     want = windows.sliding_count(log.where("url <> '/z'"), ["url"], "10 minutes", "5 seconds", plan="direct")
     cols = ("url", "window_start", "window_end", "cnt")
     assert rows(got, *cols) == rows(want, *cols)
+
+
+def test_line_stream_to_hot_items(spark, tmp_path):
+    from ubeat.sources.sinks import write_tagged
+    from ubeat.sources.text import USER_BEHAVIOR, parse_lines, read_lines
+    # Text lines arrive in three files (micro-batches), as from a topic.
+    beh = tb.user_behavior(tb.load(spark, SF, "events")).where("behavior = 'pv'")
+    lines = beh.select(F.concat_ws(",", "user_id", "item_id", "category", "behavior",
+                                   F.unix_seconds(F.col("ts").cast("timestamp")).cast("string")).alias("value"),
+                       "seq")
+    n = lines.agg(F.max("seq")).first()[0] + 1
+    for i in range(3):  # contiguous arrival ranges: later files hold later events
+        lines.where(F.floor(F.col("seq") * 3 / n) == i).select("value").coalesce(1) \
+            .write.text(str(tmp_path / "in" / f"t{i}"))
+    s = parse_lines(spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "in" / "t*")),
+                    USER_BEHAVIOR)
+    ranked = sw.stream_hot_items(s, 5, delay="1 day").withColumn("tag", F.lit("hot_items"))
+    q = write_tagged(ranked, str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
+    q.awaitTermination(300)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    last = beh.agg(F.max("ts")).first()[0]
+    # Whole seconds in the lines; windows closed by the final watermark (1 day behind).
+    beh_s = beh.withColumn("ts", F.date_trunc("second", "ts"))
+    want = ranking.hot_items(windows.item_view_counts(beh_s), 5) \
+        .where(F.col("window_end") <= F.lit(last) - F.expr("INTERVAL 1 DAY"))
+    cols = ("item_id", "window_end", "cnt", "row_num")
+    got = got.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    assert rows(got, *cols) == rows(want, *cols)
