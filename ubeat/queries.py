@@ -1,4 +1,8 @@
-"""Registered queries over the driver tables, each with a DuckDB oracle.
+"""Registered queries over the driver tables and their DuckDB oracles.
+
+Two queries have no exact SQL equivalent and no oracle: the approximate
+visitor count (HyperLogLog) and the sequential login timer (tested against a
+brute-force model in tests/).
 
 Every query reads whole tables (no sampling, no id subsets) through the views
 in ``ubeat.sources.tables``.  Parameters are the reference's, except where the
