@@ -50,3 +50,17 @@ def test_every_query_runs(spark):
     for name, fn in entry.queries().items():
         if name not in entry.oracle_sql():
             assert fn(spark, SF).count() >= 0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    names = ["hot_items", "page_counts", "login_fail_sequence", "late_split", "order_pay_pattern"]
+
+    def run():
+        return {n: sorted(tuple(str(x) for x in r) for r in entry.queries()[n](spark, SF).collect()) for n in names}
+    utc = run()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other
