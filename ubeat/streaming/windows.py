@@ -73,19 +73,23 @@ def stream_unique_visitors_approx(behavior: DataFrame, size="1 hour", rsd: float
 
 
 def stream_top_n(df: DataFrame, key: str, n: int, keys_out: Sequence[str] | None = None, *, ts: str = "ts",
-                 size="1 hour", slide="5 minutes", delay="0 seconds") -> DataFrame:
-    """Per-window Top-N on a stream, as two chained append-mode aggregates.
-
-    Counts per (window, key), then per window the ``n`` best by (count desc,
-    key asc) — ``sort_array`` on ``struct(-cnt, key)`` — exploded to ranked rows.
-    The second aggregate holds at most the keys of open windows.
+                 size="1 hour", slide="5 minutes", delay="0 seconds", buckets: int = 64) -> DataFrame:
+    """Per-window Top-N on a stream, as chained append-mode aggregates.
+
+    Counts per (window, key); then, per (window, hash bucket of the key), the
+    ``n`` best by (count desc, key asc) — ``sort_array`` on ``struct(-cnt, key)``;
+    then per window the ``n`` best of the at most ``buckets * n`` survivors,
+    exploded to ranked rows.  The bucket stage splits a window with many keys
+    over ``buckets`` groups, so no group gathers all keys of a window.
     -> key, window_end, cnt, row_num
     """
     src = event_time(df, ts).withWatermark(ts, interval_str(duration_us(delay)))
     counts = src.groupBy(_win(ts, size, slide).alias("window"), key).agg(F.count(F.lit(1)).alias("cnt"))
-    best = counts.groupBy("window").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("nc"), F.col(key).alias("k")))), 1, n)
-        .alias("top"))
+    entry = F.struct((-F.col("cnt")).alias("nc"), F.col(key).alias("k"))
+    per_bucket = (counts.groupBy("window", F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias("__bucket"))
+                  .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("top")))
+    best = per_bucket.groupBy("window").agg(
+        F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, n).alias("top"))
     return (best.select(F.col("window.end").alias("window_end"), F.posexplode("top").alias("pos", "e"))
             .select(F.col("e.k").alias(key), "window_end", (-F.col("e.nc")).alias("cnt"),
                     (F.col("pos") + 1).cast("long").alias("row_num")))
