@@ -64,3 +64,10 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert utc == other
+
+
+def test_approx_visitors_close_to_exact(spark):
+    exact = dict(entry.queries()["unique_visitors"](spark, SF).collect())
+    approx = dict(entry.queries()["unique_visitors_approx"](spark, SF).collect())
+    assert approx.keys() == exact.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(1, 0.05 * exact[k]) for k in exact)
