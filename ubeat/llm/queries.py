@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ubeat.llm import mixing, sharding, simhash
+from ubeat.llm import chat, decontamination, fingerprints, mixing, sharding, simhash, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": decontamination.op1_decontaminate,
+        "op2_urls": urlfilter.op2_urls,
         "op5_simhash": simhash.op5_simhash,
         "op6_mix_sources": mixing.op6_mix_sources,
         "op7_shard": sharding.op7_shard,
+        "op8_fingerprints": fingerprints.op8_fingerprints,
+        "op9_chat": chat.op9_chat,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mix_sources": mixing.SQL}
+    return {"op2_urls": urlfilter.SQL, "op6_mix_sources": mixing.SQL}
