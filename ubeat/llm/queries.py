@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ubeat.llm import blockdedup, chat, decontamination, fingerprints, mixing, sharding, simhash, toxicity, urlfilter
+from ubeat.llm import blockdedup, chat, decontamination, fingerprints, mixing, sharding, simhash, suffixdedup, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": decontamination.op1_decontaminate,
         "op2_urls": urlfilter.op2_urls,
         "op3_substring_dedup": blockdedup.op3_substring_dedup,
+        "op4_suffix_dedup": suffixdedup.op4_suffix_dedup,
         "op5_simhash": simhash.op5_simhash,
         "op6_mix_sources": mixing.op6_mix_sources,
         "op7_shard": sharding.op7_shard,
