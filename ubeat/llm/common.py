@@ -34,19 +34,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage in the folder ``spark.checkpoint.dir`` names; a folder
-    of our own is set only where the session names none and runs locally."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names; one of our own only where the
+    session names none and runs locally, as in tests."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    found = sc._jsc.sc().getCheckpointDir()
+    if found.isEmpty():
         named = sc.getConf().get("spark.checkpoint.dir")
         if not named:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             named = tempfile.mkdtemp(prefix="ubeat-checkpoint-")
         sc.setCheckpointDir(named)
-    return df.checkpoint(eager=eager)
+        found = sc._jsc.sc().getCheckpointDir()
+    return found.get()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 # ---------------------------------------------------------------- Arrow text

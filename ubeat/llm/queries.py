@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from ubeat.llm import blockdedup, chat, decontamination, fingerprints, mixing, sharding, simhash, suffixdedup, toxicity, urlfilter
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_chat": chat.op9_chat,
         "op10_toxicity": toxicity.op10_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 
