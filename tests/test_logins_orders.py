@@ -1,6 +1,8 @@
 import random
 
 from conftest import rows, ts
+from pyspark.sql import functions as F
+
 from ubeat.operators.logins import login_fail_pair, login_fail_timer
 from ubeat.operators.orders import order_timeout, tx_match
 from ubeat.operators.patterns import login_fail_sequence, order_pay_pattern
@@ -73,7 +75,7 @@ def test_login_fail_timer_brute_force(spark):
         data.append((rnd.choice([1, 1, 1, 2, 3]), rnd.choice(["fail", "fail", "success"]), t + jitter))
     df = _logins(spark, data)
     for n, wait in [(2, 5), (3, 4)]:
-        got = rows(login_fail_timer(df, n, f"{wait} seconds", rows_per_block=37),
+        got = rows(login_fail_timer(df, n, f"{wait} seconds", blocks=5),
                    "user_id", "first_fail", "last_fail", "msg")
         want = [(u, ts(a), ts(b), f"login fail in 2s for {k} times")
                 for u, a, b, k in _timer_model([(u, e == "fail", tt) for u, e, tt in data], n, wait)]
@@ -99,6 +101,26 @@ def test_order_timeout_outcomes(spark):
                    (3, "timeout", "payed but not found create log"), (4, "timeout", "order timeout")]
 
 
+def test_order_timeout_covers_every_event_of_repeated_cycles(spark):
+    rnd = random.Random(8)
+    data = [(rnd.choice([1, 1, 1, 2, 3]), rnd.choice(["create", "pay"]), None, T0 + rnd.randrange(4000)) for _ in range(300)]
+    want = []
+    for o in (1, 2, 3):
+        evs = sorted((t, e, n) for n, (k, e, _, t) in enumerate(data) if k == o)
+        for i, (t, e, _) in enumerate(evs):
+            nxt = evs[i + 1] if i + 1 < len(evs) else (None, "create")
+            if e == "create" and nxt[1] == "pay":
+                want.append((o, ts(t), ts(nxt[0]), "payed successfully" if nxt[0] - t < 20 else "payed but already timeout"))
+            elif e == "create":
+                want.append((o, ts(t), None, "order timeout"))
+            elif i == 0 or evs[i - 1][1] == "pay":
+                want.append((o, None, ts(t), "payed but not found create log"))
+    got = order_timeout(_orders(spark, data), "20 seconds", blocks=6)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(key, got.select("order_id", "create_ts", "pay_ts", "result").collect())) == sorted(map(key, want))
+    assert got.agg(F.count("create_ts") + F.count("pay_ts")).first()[0] == len(data)
+
+
 def test_order_pay_pattern(spark):
     got = rows(order_pay_pattern(_orders(spark, ORDERS), "15 minutes"), "order_id", "tag", "result")
     assert got == [(1, "payed", "payed success"),

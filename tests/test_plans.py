@@ -126,3 +126,24 @@ if given is not None:
         direct = window_counts(df, "ts", ["k"], f"{size} seconds", f"{slide} seconds", plan="direct")
         cols = ("k", "window_start", "window_end", "cnt")
         assert rows(cp, *cols) == rows(direct, *cols)
+
+
+def test_row_blocks_bound_a_hot_key_inside_one_minute(spark):
+    from pyspark.sql import functions as F
+
+    from ubeat.plans.scan import row_blocks
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"),
+                                  (F.col("id") * 6000).alias("us"), F.col("id").alias("seq"))
+    blocked = row_blocks(df, ["k"], ["us", "seq"], blocks=30)
+    sizes = blocked.groupBy("k", "__blk").count().where("k = 1").collect()
+    assert len(sizes) >= 8 and max(r["count"] for r in sizes) <= 2 * 9000 / 30
+    order = blocked.where("k = 1").orderBy("us", "seq").select("__blk").collect()
+    assert [r[0] for r in order] == sorted(r[0] for r in order)
+
+
+def test_sparse_sequence_numbers_do_not_make_many_blocks(spark):
+    from pyspark.sql import functions as F
+
+    from ubeat.plans.scan import row_blocks
+    df = spark.range(500).select((F.col("id") * 10**12).alias("seq"))
+    assert row_blocks(df, [], ["seq"], blocks=4).select("__blk").distinct().count() == 4

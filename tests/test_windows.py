@@ -47,7 +47,7 @@ def test_page_views_and_uv(spark):
 def test_running_unique_visitors(spark):
     data = [(5, 1, "pv", 10), (6, 1, "pv", 20), (5, 1, "pv", 30), (7, 1, "pv", 40), (5, 1, "pv", 3700)]
     df = _beh(spark, data)
-    got = rows(windows.running_unique_visitors(df, sub_block="15 seconds"), "window_end", "user_id", "uv")
+    got = rows(windows.running_unique_visitors(df, blocks=3), "window_end", "user_id", "uv")
     assert got == [(ts(3600), 5, 1), (ts(3600), 6, 2), (ts(3600), 7, 3), (ts(7200), 5, 1)]
 
 

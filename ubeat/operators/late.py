@@ -23,20 +23,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ubeat.functions.time import duration_us, floor_div, from_micros, to_micros
-from ubeat.plans.scan import global_running, seq_block
+from ubeat.plans.scan import global_running, row_blocks
 from ubeat.plans.sliding import window_counts
 
 
 def split_late(df: DataFrame, size, slide=None, *, delay="0 seconds", lateness="0 seconds", ts: str = "ts",
-               seq: str = "seq", rows_per_block: int = 1 << 20) -> DataFrame:
+               seq: str = "seq", blocks: int | None = None) -> DataFrame:
     """Tag rows ``late`` / ``on_time`` -> input columns + watermark, last_window_end, tag."""
     dtype = df.schema[ts].dataType
     size_us = duration_us(size)
     slide_us = duration_us(slide) if slide is not None else size_us
     delay_us, late_us = duration_us(delay), duration_us(lateness)
     us = to_micros(ts, dtype)
-    per_seq = (df.groupBy(F.col(seq).alias("__seq")).agg(F.max(us).alias("__mx"))
-               .withColumn("__blk", seq_block("__seq", rows_per_block)))
+    per_seq = row_blocks(df.groupBy(F.col(seq).alias("__seq")).agg(F.max(us).alias("__mx")),
+                         [], ["__seq"], "__blk", blocks)
     wm = global_running(per_seq, ["__seq"], "__mx", "__blk", "__before", how="max", inclusive=False) \
         .select("__seq", (F.col("__before") - F.lit(delay_us)).alias("__wm"))
     x = df.withColumn("__us", us).join(wm, F.col(seq) == F.col("__seq"), "left").drop("__seq")

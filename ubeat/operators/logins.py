@@ -7,24 +7,23 @@ the event-time variant (C1).
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ubeat.functions.time import duration_us, from_micros, to_micros
-from ubeat.plans.scan import blocked_running, blocked_running_many, previous_row, seq_block
+from ubeat.plans.scan import blocked_running, blocked_running_many, previous_row, row_blocks
 
 # The reference's alarm texts.
 PAIR_TEXT = "login fail 2 times in 2 seconds"
 TIMER_TEXT_HEAD = "login fail in 2s for "
 TIMER_TEXT_TAIL = " times"
 
-DEFAULT_ROWS_PER_BLOCK = 1 << 20
-
 
 def login_fail_pair(logins: DataFrame, within="2 seconds", *, key: str = "user_id", ts: str = "ts",
-                    seq: str = "seq", rows_per_block: int = DEFAULT_ROWS_PER_BLOCK) -> DataFrame:
+                    seq: str = "seq", blocks: int | None = None) -> DataFrame:
     """A fail whose previous event (arrival order) is a fail less than ``within`` earlier.
 
     A success in between clears the state, a newer fail replaces it — so the
@@ -34,8 +33,8 @@ def login_fail_pair(logins: DataFrame, within="2 seconds", *, key: str = "user_i
     """
     dtype = logins.schema[ts].dataType
     within_us = duration_us(within)
-    x = logins.select(key, ts, seq, "event_type", to_micros(ts, dtype).alias("__us"),
-                      seq_block(seq, rows_per_block).alias("__blk"))
+    x = row_blocks(logins.select(key, ts, seq, "event_type", to_micros(ts, dtype).alias("__us")),
+                   [key], [seq], "__blk", blocks)
     x = previous_row(x, [key], [seq], ["event_type", ts, "__us"], "__blk", prefix="__prev_")
     hit = ((F.col("event_type") == "fail") & (F.col("__prev_event_type") == "fail")
            & (F.col("__us") < F.col("__prev___us") + F.lit(within_us)))
@@ -44,7 +43,7 @@ def login_fail_pair(logins: DataFrame, within="2 seconds", *, key: str = "user_i
 
 
 def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: str = "user_id",
-                     ts: str = "ts", seq: str = "seq", rows_per_block: int = DEFAULT_ROWS_PER_BLOCK) -> DataFrame:
+                     ts: str = "ts", seq: str = "seq", blocks: int | None = None) -> DataFrame:
     """Alarm when at least ``n`` fails gather in the ``wait`` after a first fail.
 
     Table rule, per user in arrival order: the first fail after a success (or
@@ -62,13 +61,16 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
     a hot user is not ordered in one task.  Only a sub-island is sequential;
     those holding at least ``n`` fails — the only ones that can alarm — are
     walked in arrival order by one pandas pass per partition; all others never
-    leave the JVM.
+    leave the JVM.  Inside a sub-island every anchor is at or after all earlier
+    fails, so the next anchor is found by a binary search in the running maximum:
+    a batch costs one step per span, and four numbers are carried between batches.
     """
     dtype = logins.schema[ts].dataType
     wait_us = duration_us(wait)
     x = logins.select(F.col(key).alias("__key"), F.col(seq).alias("__seq"),
                       (F.col("event_type") == "fail").alias("__fail"),
-                      to_micros(ts, dtype).alias("__us"), seq_block(seq, rows_per_block).alias("__blk"))
+                      to_micros(ts, dtype).alias("__us"))
+    x = row_blocks(x, ["__key"], ["__seq"], "__blk", blocks)
     x = (x.withColumn("__succ", F.when(F.col("__fail"), 0).otherwise(1))
          .withColumn("__fus", F.when(F.col("__fail"), F.col("__us"))))
     # One scan: island = successes strictly before the row (a success closes
@@ -89,35 +91,41 @@ def login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: st
     ])
 
     def scan(batches):
-        # Rows arrive sorted by (key, island, seq); state carries across batches.
-        out, cur, anchor, span = [], None, None, []
+        # Rows arrive sorted by (key, island, sub-island, seq); a span is
+        # (anchor, first, last, fails) and may go on in the next batch.
+        cur, span, out = None, None, []
 
         def close():
-            if anchor is not None and len(span) >= n:
-                out.append((cur[0], span[0], span[-1], len(span)))
+            if span is not None and span[3] >= n:
+                out.append((cur[0], *span[1:]))
 
         for pdf in batches:
-            for k, isl, sub, is_fail, us in zip(pdf["__key"].to_numpy(), pdf["__island"].to_numpy(),
-                                                pdf["__sub"].to_numpy(), pdf["__fail"].to_numpy(),
-                                                pdf["__us"].to_numpy()):
-                if (k, isl, sub) != cur:
+            keys = list(zip(pdf["__key"], pdf["__island"], pdf["__sub"], strict=True))
+            fail, us = pdf["__fail"].to_numpy(bool), pdf["__us"].to_numpy(np.int64)
+            edges = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]] + [len(keys)]
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                if keys[i] != cur:
                     close()
-                    cur, anchor, span = (k, isl, sub), None, []
-                if is_fail:
-                    if anchor is None:
-                        anchor, span = us, [us]
-                    elif us < anchor + wait_us:
-                        span.append(us)
-                    else:
+                    cur, span = keys[i], None
+                times = us[i:j][fail[i:j]]
+                top, at = np.maximum.accumulate(times), 0
+                while at < len(times):
+                    if span is None:
+                        span = (times[at], times[at], times[at], 1)
+                        at += 1
+                    end = int(np.searchsorted(top, span[0] + wait_us))
+                    if end > at:
+                        span = (span[0], span[1], times[end - 1], span[3] + end - at)
+                        at = end
+                    if at < len(times):
                         close()
-                        anchor, span = us, [us]
-                else:
-                    if anchor is not None and us >= anchor + wait_us:
+                        span = None
+                if not fail[j - 1]:  # a success ends its island
+                    if span is not None and us[j - 1] >= span[0] + wait_us:
                         close()
-                    anchor, span = None, []
-            if len(out) >= 10_000:
-                yield pd.DataFrame(out, columns=["__key", "first_us", "last_us", "fails"])
-                out = []
+                    span = None
+            yield pd.DataFrame(out, columns=["__key", "first_us", "last_us", "fails"])
+            out.clear()
         close()
         yield pd.DataFrame(out, columns=["__key", "first_us", "last_us", "fails"])
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ubeat.functions.time import duration_us, floor_div, to_micros
+from ubeat.plans.scan import next_rows, previous_row, row_blocks
 
 # The reference's four outcomes of the order state machine.
 PAYED_OK = "payed successfully"
@@ -14,32 +15,49 @@ PAY_NO_CREATE = "payed but not found create log"
 ORDER_TIMEOUT = "order timeout"
 
 
-def order_timeout(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts") -> DataFrame:
-    """P5: one outcome per order from its (first) create and (first) pay.
+def order_timeout(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",
+                  seq: str = "seq", timers: bool = False, blocks: int | None = None) -> DataFrame:
+    """P5: one outcome per create / pay cycle of every order.
 
-    paid in time (0 <= pay - create < within) -> 'payed successfully' (tag payed);
-    pay at or after create + within          -> 'payed but already timeout';
-    pay without create, or before it         -> 'payed but not found create log';
-    create without pay                       -> 'order timeout'  (last three tag timeout).
-    One aggregate per order: partial aggregation map-side, skew-safe.
+    An order's events are taken in event time (a create before a pay of the same
+    instant, then ``seq``).  The state before an event is decided by the event
+    before it alone, because every pay ends its cycle and a new create replaces
+    the open one, whose own timer still runs out:
+
+    create, next event a pay less than ``within`` later -> 'payed successfully' (tag payed);
+    create, next event a pay later than that            -> 'payed but already timeout';
+    create, next event a create, or none                -> 'order timeout';
+    pay, previous event a pay, or none                  -> 'payed but not found create log'
+    (the last three have tag timeout).  So every create and every pay is in
+    exactly one outcome.  With ``timers`` an open create ends when its time is up,
+    as a timer does on a stream: it gives 'order timeout', and a pay that comes
+    then is one without a create.
     -> order_id, create_ts, pay_ts, tag, result
+
+    Plan: next and previous event by blocked scans, no per-order list or sort
+    of a whole order.
     """
-    dtype = orders.schema[ts].dataType
     within_us = duration_us(within)
-    us = to_micros(ts, dtype)
-    per = orders.groupBy(F.col(key).alias("order_id")).agg(
-        F.min(F.when(F.col("event_type") == "create", F.col(ts))).alias("create_ts"),
-        F.min(F.when(F.col("event_type") == "pay", F.col(ts))).alias("pay_ts"),
-        F.min(F.when(F.col("event_type") == "create", us)).alias("__c"),
-        F.min(F.when(F.col("event_type") == "pay", us)).alias("__p"))
-    c, p = F.col("__c"), F.col("__p")
-    result = (F.when(c.isNotNull() & p.isNotNull() & (p >= c) & (p - c < F.lit(within_us)), F.lit(PAYED_OK))
-              .when(c.isNotNull() & p.isNotNull() & (p >= c), F.lit(PAYED_LATE))
-              .when(p.isNotNull(), F.lit(PAY_NO_CREATE))
-              .otherwise(F.lit(ORDER_TIMEOUT)))
-    return per.select("order_id", "create_ts", "pay_ts",
-                      F.when(result == PAYED_OK, F.lit("payed")).otherwise(F.lit("timeout")).alias("tag"),
-                      result.alias("result"))
+    x = orders.where(F.col("event_type").isin("create", "pay")).select(
+        F.col(key).alias("order_id"), F.col(ts).alias("ts"), F.col(seq).alias("seq"),
+        to_micros(ts, orders.schema[ts].dataType).alias("__us"), (F.col("event_type") == "pay").alias("__pay"))
+    order = ["__us", "__pay", "seq"]
+    x = row_blocks(x, ["order_id"], order, "__blk", blocks)
+    x = next_rows(x, ["order_id"], order, ["__pay", "__us", "ts"], 1, "__blk", prefix="__n")
+    x = previous_row(x, ["order_id"], order, ["__pay", "__us"], "__blk", prefix="__p_")
+    paid = ~F.col("__pay") & F.coalesce(F.col("__n1___pay"), F.lit(False))
+    in_time = F.col("__n1___us") - F.col("__us") < F.lit(within_us)
+    alone = F.coalesce(F.col("__p___pay"), F.lit(True))
+    if timers:
+        paid = paid & in_time
+        alone = alone | (F.col("__us") - F.col("__p___us") >= F.lit(within_us))
+    result = (F.when(F.col("__pay"), F.lit(PAY_NO_CREATE)).when(paid & in_time, F.lit(PAYED_OK))
+              .when(paid, F.lit(PAYED_LATE)).otherwise(F.lit(ORDER_TIMEOUT)))
+    x = x.where(~F.col("__pay") | alone).withColumn("result", result)
+    return x.select("order_id", F.when(~F.col("__pay"), F.col("ts")).alias("create_ts"),
+                    F.when(F.col("__pay"), F.col("ts")).when(paid, F.col("__n1_ts")).alias("pay_ts"),
+                    F.when(F.col("result") == PAYED_OK, F.lit("payed")).otherwise(F.lit("timeout")).alias("tag"),
+                    "result")
 
 
 def tx_match(pays: DataFrame, receipts: DataFrame, pay_wait="5 seconds", receipt_wait="3 seconds", *,
@@ -55,8 +73,10 @@ def tx_match(pays: DataFrame, receipts: DataFrame, pay_wait="5 seconds", receipt
     Plan: a band join on (key, time bucket).  Each pay sits in one bucket of
     length >= the band; a receipt is copied into the (at most two) pay buckets
     that can hold a partner, so every pair is produced exactly once and a hot
-    key is spread over its buckets instead of one join partition.  The two
-    anti joins use the same bucketing.
+    key is spread over its buckets instead of one join partition; an anti join
+    on the same bucketing finds the receipts without a pay.  Keys are meant to be
+    unique transactions; a key with many pays and receipts within one band gives
+    all their pairs, as a SQL join does.
     """
     pw, rw = duration_us(pay_wait), duration_us(receipt_wait)
     band = pw + rw
@@ -78,16 +98,14 @@ def tx_match(pays: DataFrame, receipts: DataFrame, pay_wait="5 seconds", receipt
     pcols = [c for c in p.columns if c.startswith("pay_")]
     rcols = [c for c in r.columns if c.startswith("receipt_")]
     cond = _band(key, pw, rw)
-    matched = (p_b.alias("p").join(r_x.alias("r"), cond, "inner")
-               .select(F.lit("matched").alias("tag"), F.col(f"p.{key}").alias(key),
-                       *[F.col(f"p.{c}") for c in pcols], *[F.col(f"r.{c}") for c in rcols]))
-    lonely_pays = (p_b.alias("p").join(r_x.alias("r"), cond, "left_anti")
-                   .select(F.lit("unmatched_pay").alias("tag"), F.col(key), *pcols,
-                           *[F.lit(None).cast(r.schema[c].dataType).alias(c) for c in rcols]))
+    # A pay sits in one bucket, so one outer join gives its pairs or its loneliness.
+    of_pays = (p_b.alias("p").join(r_x.alias("r"), cond, "left_outer")
+               .select(F.when(F.col("r.__rus").isNull(), F.lit("unmatched_pay")).otherwise(F.lit("matched")).alias("tag"),
+                       F.col(f"p.{key}").alias(key), *[F.col(f"p.{c}") for c in pcols], *[F.col(f"r.{c}") for c in rcols]))
     lonely_receipts = (r_b.alias("r").join(p_x.alias("p"), cond, "left_anti")
                        .select(F.lit("unmatched_receipt").alias("tag"), F.col(key),
                                *[F.lit(None).cast(p.schema[c].dataType).alias(c) for c in pcols], *rcols))
-    return matched.unionByName(lonely_pays).unionByName(lonely_receipts)
+    return of_pays.unionByName(lonely_receipts)
 
 
 def _band(key: str, pw: int, rw: int):

@@ -1,10 +1,10 @@
 """Sequence patterns over keyed events, in event-time order.
 
-Order inside a key is (ts, seq).  Look-ahead is a two-level scan over time
-blocks (``plans.scan.next_rows`` / ``next_match``): inside a (key, block)
-partition ``lead`` or a descending scan, across blocks a carry from the
-following blocks' first rows.  One key holding a third of all rows is spread
-over its blocks whatever ``within`` is.
+Order inside a key is (ts, seq).  Look-ahead is a two-level scan over blocks of
+a bounded number of rows (``plans.scan.row_blocks``, ``next_rows``,
+``next_match``): inside a (key, block) partition ``lead`` or a descending scan,
+across blocks a carry from the following blocks' first rows.  One key holding a
+third of all rows is cut into blocks however close its rows are in time.
 """
 
 from __future__ import annotations
@@ -14,13 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ubeat.functions.time import duration_us, floor_div, to_micros
-from ubeat.plans.scan import next_match, next_rows
-
-# Time block of the two-level scans.  It bounds what one task orders for one
-# key and is independent of ``within``: look-ahead across blocks goes through
-# the per-block summaries.
-DEFAULT_BLOCK = "1 hour"
+from ubeat.functions.time import duration_us, to_micros
+from ubeat.plans.scan import next_match, next_rows, row_blocks
 
 # The reference's pattern result texts.
 LOGIN_FAIL_TEXT = "login fail"
@@ -29,7 +24,7 @@ TIMEOUT_PREFIX = "timeout : "
 
 
 def strict_sequence(df: DataFrame, key: str, conds: Sequence[Column], within, *, ts: str = "ts",
-                    seq: str = "seq", block=DEFAULT_BLOCK) -> DataFrame:
+                    seq: str = "seq", blocks: int | None = None) -> DataFrame:
     """Every run of ``len(conds)`` *consecutive* events of a key where event i
     meets ``conds[i]`` and the last is less than ``within`` after the first.
 
@@ -38,9 +33,10 @@ def strict_sequence(df: DataFrame, key: str, conds: Sequence[Column], within, *,
     """
     k = len(conds)
     within_us = duration_us(within)
-    x = _blocks(df, ts, block)
+    x = df.withColumn("__us", to_micros(ts, df.schema[ts].dataType))
     for i, c in enumerate(conds):
         x = x.withColumn(f"__c{i}", F.coalesce(c, F.lit(False)))
+    x = row_blocks(x, [key], ["__us", seq], "__b", blocks)
     nf = ["__us", ts] + [f"__c{i}" for i in range(1, k)]
     x = next_rows(x, [key], ["__us", seq], nf, k - 1, "__b", prefix="__n") if k > 1 else x
     hit = F.col("__c0")
@@ -63,7 +59,7 @@ def login_fail_sequence(logins: DataFrame, times: int = 3, within="5 seconds", *
 
 
 def followed_by(df: DataFrame, key: str, first: Column, then: Column, within, *, ts: str = "ts",
-                seq: str = "seq", block=DEFAULT_BLOCK) -> DataFrame:
+                seq: str = "seq", blocks: int | None = None) -> DataFrame:
     """C2 + C4: each ``first`` event with the next ``then`` event of its key.
 
     Other events in between are skipped (relaxed contiguity).  Returns the
@@ -71,8 +67,11 @@ def followed_by(df: DataFrame, key: str, first: Column, then: Column, within, *,
     next ``then`` came less than ``within`` later).
     """
     within_us = duration_us(within)
-    x = _blocks(df, ts, block).withColumn("__is_first", F.coalesce(first, F.lit(False)))
-    x = next_match(x, [key], ["__us", seq], F.coalesce(then, F.lit(False)), ["__us", ts], "__b", prefix="__nx")
+    x = (df.withColumn("__us", to_micros(ts, df.schema[ts].dataType))
+         .withColumn("__is_first", F.coalesce(first, F.lit(False)))
+         .withColumn("__is_then", F.coalesce(then, F.lit(False))))
+    x = row_blocks(x, [key], ["__us", seq], "__b", blocks)
+    x = next_match(x, [key], ["__us", seq], F.col("__is_then"), ["__us", ts], "__b", prefix="__nx")
     x = x.where(F.col("__is_first"))
     matched = F.col("__nx__us").isNotNull() & (F.col("__nx__us") - F.col("__us") < F.lit(within_us))
     return (x.withColumn("matched", matched)
@@ -80,13 +79,6 @@ def followed_by(df: DataFrame, key: str, first: Column, then: Column, within, *,
             .select(*df.columns, "then_ts", "matched"))
 
 
-def _blocks(df: DataFrame, ts: str, block) -> DataFrame:
-    """Epoch microseconds and a time block; blocks are monotone in (ts, seq) order."""
-    b = duration_us(block)
-    us = to_micros(ts, df.schema[ts].dataType)
-    return df.withColumn("__us", us).withColumn("__b", floor_div(F.col("__us"), b))
-
-
 def order_pay_pattern(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",
                       seq: str = "seq") -> DataFrame:
     """Create followed by pay within ``within``.

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ubeat.functions.hashing import bitmap_offset
-from ubeat.functions.time import duration_us, floor_div, interval_str, to_micros
-from ubeat.plans.scan import blocked_running
+from ubeat.functions.time import duration_us, interval_str
+from ubeat.plans.scan import blocked_running, row_blocks
 from ubeat.plans.sliding import window_counts
 
 
@@ -112,25 +112,22 @@ def unique_visitors_bitmap(behavior: DataFrame, size="1 hour", bits: int = 1 <<
 
 def running_unique_visitors(behavior: DataFrame, size="1 hour", *, ts: str = "ts", seq: str = "seq",
                             user: str = "user_id", bits: int | None = None, seed: int = 61,
-                            sub_block="1 minute") -> DataFrame:
+                            blocks: int | None = None) -> DataFrame:
     """One row each time a new visitor appears in a window (fire per element).
 
     -> window_end, user_id (or offset), ts, uv  where uv is the running count.
     With ``bits`` the visitor is the bitmap offset, as in the reference's job.
-    The running count is a blocked scan over sub-blocks of the window, so one
-    busy window is not ordered in a single task.
+    The running count is a scan over blocks of a bounded number of first
+    views, so one busy window (or second) is not ordered in a single task.
     """
     pv = behavior.where(F.col("behavior") == "pv")
     vis = bitmap_offset(F.col(user), bits, seed) if bits else F.col(user)
     vcol = "offset" if bits else user
-    dtype = pv.schema[ts].dataType
-    size_us = duration_us(size)
-    w = F.window(ts, interval_str(size_us))
+    w = F.window(ts, interval_str(duration_us(size)))
     first = (pv.select(w.end.alias("window_end"), vis.alias(vcol), F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq")).alias("o"))
              .groupBy("window_end", vcol).agg(F.min("o").alias("o"))
              .select("window_end", vcol, F.col("o.ts").alias("ts"), F.col("o.seq").alias("seq"), F.lit(1).alias("one")))
-    sub_us = min(duration_us(sub_block), size_us)
-    first = first.withColumn("__blk", floor_div(to_micros("ts", dtype), sub_us))
+    first = row_blocks(first, ["window_end"], ["ts", "seq"], "__blk", blocks)
     out = blocked_running(first, ["window_end"], ["ts", "seq"], "one", "__blk", "uv", how="sum")
     return out.select("window_end", vcol, "ts", F.col("uv").cast("long").alias("uv"))
 

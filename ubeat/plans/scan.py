@@ -2,8 +2,9 @@
 
 A plain ``Window.partitionBy(key).orderBy(seq)`` sorts every row of a key in
 one task; if one key holds a third of the data that task never finishes.  The
-plans here split each key's order into *blocks* (a column the caller derives,
-e.g. ``seq div B`` or a time bucket) and work in two levels:
+plans here split each key's order into *blocks* of a bounded number of rows
+(``row_blocks``: the ranges of one range partitioning by key and order,
+whatever the spacing of times or sequence numbers) and work in two levels:
 
 1. one summary row per (key, block) — a partial aggregate, combinable map-side;
 2. a window over the per-key block summaries (tiny: blocks per key) gives the
@@ -23,6 +24,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ubeat.session import checkpointed
+
+
+def row_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "__blk",
+               blocks: int | None = None) -> DataFrame:
+    """``df`` with a block number that is monotone in (keys, order).
+
+    The rows are range-partitioned by (keys, order) into ``blocks`` ranges (by
+    default ``spark.sql.shuffle.partitions``), and a range is a block: a hot
+    key, even one with all its rows in one second, is cut into as many blocks
+    as its share of the rows.  The ranges come from a sample, so the result is
+    checkpointed: block summaries and rows read the same blocks, also after an
+    executor is lost, and the input is read and shuffled once.
+    """
+    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in (*keys, *order)])
+    return checkpointed(ranged.withColumn(out, F.spark_partition_id()))
+
+
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
 
 

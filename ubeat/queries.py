@@ -269,7 +269,7 @@ SELECT window_end - INTERVAL 1 DAY AS window_start, window_end, channel, behavio
 """)
 def market_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Behaviours per (channel, behaviour) per 1 day window sliding by 5 s."""
-    return windows.market_counts(tb.market_behavior(tb.only(_ev(spark, sf), "view", "click", "purchase")),
+    return windows.market_counts(tb.market_behavior(tb.only(_ev(spark, sf), "view", "click", "purchase", "error")),
                                  "1 day", "5 seconds")
 
 
@@ -301,9 +301,27 @@ def login_fail_sequence(spark: SparkSession, sf: str) -> DataFrame:
     return _login_fail_sequence(tb.logins(_ev(spark, sf)), 3, "1 day")
 
 
-@register("login_fail_timer")
+@register("login_fail_timer", f"""
+WITH RECURSIVE l AS (
+  SELECT user_id, event_type = 'fail' AS fail, ts, row_number() OVER (PARTITION BY user_id ORDER BY seq) AS i FROM ({_LOGINS})),
+walk AS (
+  SELECT user_id, i, CASE WHEN fail THEN ts END AS anchor, CASE WHEN fail THEN ts END AS last, fail::INT AS n,
+         NULL::TIMESTAMP AS f_out, NULL::TIMESTAMP AS l_out, 0 AS n_out FROM l WHERE i = 1
+  UNION ALL
+  SELECT w.user_id, l.i,
+         CASE WHEN NOT l.fail THEN NULL WHEN w.anchor IS NULL OR done THEN l.ts ELSE w.anchor END,
+         CASE WHEN l.fail THEN l.ts END,
+         CASE WHEN NOT l.fail THEN 0 WHEN w.anchor IS NULL OR done THEN 1 ELSE w.n + 1 END,
+         CASE WHEN done THEN w.anchor END, CASE WHEN done THEN w.last END, CASE WHEN done THEN w.n ELSE 0 END
+  FROM (SELECT *, i + 1 AS nxt FROM walk) w JOIN l ON l.user_id = w.user_id AND l.i = w.nxt,
+       LATERAL (SELECT w.anchor IS NOT NULL AND l.ts >= w.anchor + INTERVAL 6 HOUR AS done)),
+ended AS (
+  SELECT user_id, f_out AS first_fail, l_out AS last_fail, n_out AS n FROM walk
+  UNION ALL SELECT user_id, anchor, last, n FROM walk WHERE (user_id, i) IN (SELECT user_id, max(i) FROM l GROUP BY user_id))
+SELECT user_id, first_fail, last_fail, 'login fail in 2s for ' || n || ' times' AS msg FROM ended WHERE n >= 2
+""")
 def login_fail_timer(spark: SparkSession, sf: str) -> DataFrame:
-    """At least 2 fails gathered in the 6 h after a first fail (sequential rule: brute-force tested)."""
+    """At least 2 fails gathered in the 6 h after a first fail."""
     return _login_fail_timer(tb.logins(_ev(spark, sf)), 2, "6 hours")
 
 
@@ -327,21 +345,22 @@ def order_pay_pattern(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("order_timeout", f"""
-WITH o AS (SELECT user_id * 100 + {_K} AS order_id, event_type, ts FROM events
+WITH o AS (SELECT user_id * 100 + {_K} AS order_id, event_type, ts, event_id FROM events
            WHERE event_type IN ('click', 'purchase')),
-a AS (SELECT order_id, min(ts) FILTER (WHERE event_type = 'click') AS create_ts,
-             min(ts) FILTER (WHERE event_type = 'purchase') AS pay_ts FROM o GROUP BY order_id),
+w AS (SELECT *, lead(event_type) OVER k AS nt, lead(ts) OVER k AS nts, lag(event_type) OVER k AS pt FROM o
+      WINDOW k AS (PARTITION BY order_id ORDER BY ts, event_type, event_id)),
+a AS (SELECT order_id, ts AS create_ts, CASE WHEN nt = 'purchase' THEN nts END AS pay_ts FROM w WHERE event_type = 'click'
+      UNION ALL SELECT order_id, NULL, ts FROM w WHERE event_type = 'purchase' AND pt IS DISTINCT FROM 'click'),
 r AS (SELECT *, CASE
-        WHEN create_ts IS NOT NULL AND pay_ts IS NOT NULL AND pay_ts >= create_ts
-             AND pay_ts < create_ts + INTERVAL 12 HOUR THEN 'payed successfully'
-        WHEN create_ts IS NOT NULL AND pay_ts IS NOT NULL AND pay_ts >= create_ts THEN 'payed but already timeout'
-        WHEN pay_ts IS NOT NULL THEN 'payed but not found create log'
-        ELSE 'order timeout' END AS result FROM a)
+        WHEN create_ts IS NULL THEN 'payed but not found create log'
+        WHEN pay_ts IS NULL THEN 'order timeout'
+        WHEN pay_ts < create_ts + INTERVAL 12 HOUR THEN 'payed successfully'
+        ELSE 'payed but already timeout' END AS result FROM a)
 SELECT order_id, create_ts, pay_ts, CASE WHEN result = 'payed successfully' THEN 'payed' ELSE 'timeout' END AS tag,
        result FROM r
 """)
 def order_timeout(spark: SparkSession, sf: str) -> DataFrame:
-    """Create/pay outcome per (user, item) order with a 12 h payment limit."""
+    """The outcome of every create/pay cycle of a (user, item) order with a 12 h payment limit."""
     return _order_timeout(tb.order_events(_ev(spark, sf), per="user_item"), "12 hours")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every ubeat job wants: UTC event time, AQE for runtime re-planning
 # (partition coalescing, skew-join splitting, runtime broadcast decisions) and
@@ -58,7 +58,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
-        # Unset: only happens in local tests, never on a configured cluster.
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="ubeat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -23,7 +23,7 @@ from pyspark.sql.streaming.state import GroupState
 from ubeat.functions.time import duration_us, interval_str
 from ubeat.operators.fraud import WARNING_TEXT, local_day
 from ubeat.operators.logins import PAIR_TEXT, TIMER_TEXT_HEAD, TIMER_TEXT_TAIL
-from ubeat.operators.orders import ORDER_TIMEOUT, PAY_NO_CREATE, PAYED_LATE, PAYED_OK
+from ubeat.operators.orders import ORDER_TIMEOUT, PAY_NO_CREATE, PAYED_OK
 from ubeat.operators.patterns import LOGIN_FAIL_TEXT, PAYED_TEXT, TIMEOUT_PREFIX
 from ubeat.streaming.sources import event_time
 
@@ -206,51 +206,69 @@ def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *,
 
 def stream_order_timeout(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",
                          seq: str = "seq", delay="0 seconds") -> DataFrame:
-    """P5 on a stream: first create / first pay per order; timer at create + within
-    (or at the pay time, for a pay still waiting for its create).
+    """P5 on a stream: every create / pay cycle, equal to the batch operator with
+    ``timers`` however the input is cut into micro-batches.
+
+    Events wait in the state until the watermark passes them and are then taken
+    in the batch operator's order; an open create ends with its pay, with the
+    next create or when its time is up.  The state is the open create and the
+    waiting events.
     -> order_id, create_ts, pay_ts, tag, result
     """
     within_us = duration_us(within)
     src = (event_time(orders, ts).withWatermark(ts, interval_str(duration_us(delay)))
-           .select(F.col(key).alias("order_id"), ts, seq, "event_type"))
-    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("create_ts", T.TimestampType()),
+           .where(F.col("event_type").isin("create", "pay"))
+           .select(F.col(key).alias("order_id"), F.col(ts).alias("ts"), F.col(seq).cast("long").alias("seq"),
+                   (F.col("event_type") == "pay").alias("pay")))
+    schema = T.StructType([T.StructField("order_id", orders.schema[key].dataType),
+                           T.StructField("create_ts", T.TimestampType()),
                            T.StructField("pay_ts", T.TimestampType()), T.StructField("tag", T.StringType()),
                            T.StructField("result", T.StringType())])
 
-    def emit(oid, c, p, result):
-        return pd.DataFrame({"order_id": [oid], "create_ts": pd.to_datetime([c], unit="us"),
-                             "pay_ts": pd.to_datetime([p], unit="us"),
-                             "tag": ["payed" if result == PAYED_OK else "timeout"], "result": [result]})
-
     def fn(k, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            c, p = state.get
-            state.remove()
-            yield emit(k[0], c, p, ORDER_TIMEOUT if p is None else PAY_NO_CREATE)
-            return
-        c, p = state.get if state.exists else (None, None)
-        pdf = _rows(pdfs, seq)
-        for et, us in zip(pdf["event_type"].to_numpy(), _us(pdf[ts]).to_numpy()):
-            if et == "create" and c is None:
-                c = int(us)
-            elif et == "pay" and p is None:
-                p = int(us)
-        if c is not None and p is not None:
-            state.remove()
-            res = PAYED_OK if 0 <= p - c < within_us else (PAYED_LATE if p >= c else PAY_NO_CREATE)
-            yield emit(k[0], c, p, res)
-            return
-        fire_ms = -(-((c + within_us) if c is not None else p) // 1000)
-        if fire_ms <= state.getCurrentWatermarkMs():
-            state.remove()
-            yield emit(k[0], c, p, ORDER_TIMEOUT if p is None else PAY_NO_CREATE)
-            return
-        state.update((c, p))
-        state.setTimeoutTimestamp(fire_ms)
-        yield pd.DataFrame(columns=[f.name for f in schema.fields])
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        opened, *waiting = state.get if state.exists else (None, [], [], [])
+        rows = list(zip(*waiting, strict=True))
+        for p in [] if state.hasTimedOut else pdfs:
+            rows += zip(_us(p["ts"]).tolist(), p["pay"].tolist(), p["seq"].tolist(), strict=True)
+        rows.sort()
+        out = []
+
+        def timed_out(now):
+            nonlocal opened
+            if opened is not None and now >= opened + within_us:
+                out.append((opened, None, ORDER_TIMEOUT))
+                opened = None
+
+        done = 0
+        for us, pay, _ in rows:
+            if us > wm_us:
+                break
+            done += 1
+            timed_out(us)
+            if pay:
+                out.append((opened, us, PAY_NO_CREATE if opened is None else PAYED_OK))
+                opened = None
+            else:
+                if opened is not None:
+                    out.append((opened, None, ORDER_TIMEOUT))
+                opened = us
+        timed_out(wm_us)
+        rows = rows[done:]
+        if opened is None and not rows:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((opened, *([r[i] for r in rows] for i in range(3))))
+            due = [r[0] for r in rows[:1]] + ([] if opened is None else [opened + within_us])
+            state.setTimeoutTimestamp(max(-(-min(due) // 1000), state.getCurrentWatermarkMs() + 1))
+        times = [pd.to_datetime(pd.Series([r[i] for r in out], dtype="Int64"), unit="us") for i in (0, 1)]
+        yield pd.DataFrame({"order_id": [k[0]] * len(out), "create_ts": times[0], "pay_ts": times[1],
+                            "tag": ["payed" if r[2] == PAYED_OK else "timeout" for r in out],
+                            "result": [r[2] for r in out]})
 
     return src.groupBy("order_id").applyInPandasWithState(
-        fn, schema, "c LONG, p LONG", "append", "EventTimeTimeout")
+        fn, schema, "opened LONG, us ARRAY<LONG>, pay ARRAY<BOOLEAN>, seq ARRAY<LONG>", "append", "EventTimeTimeout")
 
 
 def stream_tx_match(pays: DataFrame, receipts: DataFrame, pay_wait="5 seconds", receipt_wait="3 seconds", *,
