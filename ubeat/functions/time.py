@@ -51,10 +51,6 @@ def interval_str(us: int) -> str:
     return f"{us} microseconds"
 
 
-def ts_type(df: DataFrame, col: str) -> T.DataType:
-    return df.schema[col].dataType
-
-
 _UTC_NAMES = {"UTC", "Z", "GMT", "Etc/UTC", "Etc/GMT", "+00:00", "UTC+00:00", "GMT+00:00"}
 
 

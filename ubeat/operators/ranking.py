@@ -48,17 +48,14 @@ def hot_items_sql(spark: SparkSession, view: str, size="1 hour", slide="5 minute
     """
     size_s, slide_s = interval_str(duration_us(size)), interval_str(duration_us(slide))
     return spark.sql(f"""
-        SELECT item_id, window_end, cnt, CAST(row_num AS BIGINT) AS row_num
-        FROM (
-          SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS row_num
-          FROM (
-            SELECT item_id, window(ts, '{size_s}', '{slide_s}').end AS window_end, count(item_id) AS cnt
-            FROM {view}
-            WHERE behavior = 'pv'
-            GROUP BY item_id, window(ts, '{size_s}', '{slide_s}')
-          )
-        )
-        WHERE row_num <= {int(n)}
+        WITH counted AS (
+          SELECT window(ts, '{size_s}', '{slide_s}') AS w, item_id, count(*) AS cnt
+          FROM {view} WHERE behavior = 'pv' GROUP BY ALL),
+        ranked AS (
+          SELECT item_id, w.end AS window_end, cnt,
+                 CAST(row_number() OVER (PARTITION BY w.end ORDER BY cnt DESC, item_id) AS BIGINT) AS row_num
+          FROM counted)
+        SELECT * FROM ranked WHERE row_num <= {int(n)}
     """)
 
 

@@ -22,10 +22,14 @@ def kafka_source_options(servers: str, topic: str, starting_offsets: str = "late
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
                 stream: bool = True) -> DataFrame:
-    """Message values of ``topic`` as text lines (``value``)."""
+    """Message values of ``topic`` as text lines (``value``), with ``partition``,
+    ``offset`` and the broker's ``arrived`` time; ``seq=["partition", "offset"]``
+    is the arrival order of the rows of a key that the producer keeps in one
+    partition."""
     reader = spark.readStream if stream else spark.read
     opts = kafka_source_options(servers, topic, starting_offsets if stream else "earliest")
-    return reader.format("kafka").options(**opts).load().select(F.col("value").cast("string").alias("value"))
+    return reader.format("kafka").options(**opts).load().select(
+        F.col("value").cast("string").alias("value"), "partition", "offset", F.col("timestamp").alias("arrived"))
 
 
 def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:

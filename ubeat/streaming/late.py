@@ -13,13 +13,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ubeat.functions.time import duration_us, floor_div, from_micros, to_micros
 
 
+def _previous(spark: SparkSession, state_path: str, epoch_id: int) -> int | None:
+    """Maximum left by the latest epoch before this one; older ones are removed.
+    Only a missing folder means that there is none: a damaged one is an error."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(state_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    epochs = sorted(int(s.getPath().getName().removeprefix("epoch=")) for s in fs.listStatus(root))
+    before = [e for e in epochs if e < epoch_id]
+    for e in before[:-2]:  # a replayed epoch still finds the one before it
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{state_path.rstrip('/')}/epoch={e}"), True)
+    return spark.read.parquet(f"{state_path.rstrip('/')}/epoch={before[-1]}").first().max_us if before else None
+
+
 def late_splitter(size, slide=None, *, delay="0 seconds", lateness="0 seconds", ts: str = "ts",
                   state_path: str, sink: Callable[[DataFrame, int], None]):
     """A ``foreachBatch`` function: tag rows (``watermark``, ``tag``) and hand them to ``sink``."""
@@ -30,11 +43,7 @@ def late_splitter(size, slide=None, *, delay="0 seconds", lateness="0 seconds",
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         dtype = batch.schema[ts].dataType
-        try:
-            prev = (spark.read.parquet(state_path).where(F.col("epoch") < epoch_id)
-                    .agg(F.max("max_us")).first()[0])
-        except AnalysisException:  # nothing written yet (first epoch)
-            prev = None
+        prev = _previous(spark, state_path, epoch_id)
         us = to_micros(ts, dtype)
         end = floor_div(us, slide_us) * F.lit(slide_us) + F.lit(size_us)
         wm = F.lit(None).cast("long") if prev is None else F.lit(prev - delay_us)

@@ -36,11 +36,16 @@ def _ts(us: list[int]) -> pd.Series:
     return pd.to_datetime(pd.Series(us, dtype="int64"), unit="us")
 
 
-def _rows(pdfs: Iterator[pd.DataFrame], seq: str) -> pd.DataFrame:
+def _order(seq: str | Sequence[str]) -> list[str]:
+    """The columns that give the arrival order inside a micro-batch."""
+    return [seq] if isinstance(seq, str) else list(seq)
+
+
+def _rows(pdfs: Iterator[pd.DataFrame], seq: str | Sequence[str]) -> pd.DataFrame:
     frames = [p for p in pdfs if len(p)]
     if not frames:
         return pd.DataFrame()
-    return pd.concat(frames, ignore_index=True).sort_values(seq, kind="stable")
+    return pd.concat(frames, ignore_index=True).sort_values(_order(seq), kind="stable")
 
 
 def stream_click_fraud_filter(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), limit: int = 100, *,
@@ -110,8 +115,9 @@ def _day_end_ms(tz: str):
     return end
 
 
-_ALARM = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("first_fail", T.TimestampType()),
-                       T.StructField("last_fail", T.TimestampType()), T.StructField("msg", T.StringType())])
+def _alarm(key: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("user_id", key), T.StructField("first_fail", T.TimestampType()),
+                         T.StructField("last_fail", T.TimestampType()), T.StructField("msg", T.StringType())])
 
 
 def _alarms(user, spans: list[tuple[int, int, str]]) -> pd.DataFrame:
@@ -120,10 +126,10 @@ def _alarms(user, spans: list[tuple[int, int, str]]) -> pd.DataFrame:
 
 
 def stream_login_fail_pair(logins: DataFrame, within="2 seconds", *, key: str = "user_id", ts: str = "ts",
-                           seq: str = "seq") -> DataFrame:
+                           seq: str | Sequence[str] = "seq") -> DataFrame:
     """P4 on a stream: state = time of the user's last fail (cleared by a success)."""
     within_us = duration_us(within)
-    src = event_time(logins, ts).select(F.col(key).alias("user_id"), ts, seq, "event_type")
+    src = event_time(logins, ts).select(F.col(key).alias("user_id"), ts, *_order(seq), "event_type")
 
     def fn(k, pdfs, state: GroupState):
         last = state.get[0] if state.exists else None
@@ -143,11 +149,11 @@ def stream_login_fail_pair(logins: DataFrame, within="2 seconds", *, key: str =
             state.update((last,))
         yield _alarms(k[0], spans)
 
-    return src.groupBy("user_id").applyInPandasWithState(fn, _ALARM, "last_fail LONG", "append", "NoTimeout")
+    return src.groupBy("user_id").applyInPandasWithState(fn, _alarm(logins.schema[key].dataType), "last_fail LONG", "append", "NoTimeout")
 
 
 def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: str = "user_id",
-                            ts: str = "ts", seq: str = "seq", delay="3 seconds") -> DataFrame:
+                            ts: str = "ts", seq: str | Sequence[str] = "seq", delay="3 seconds") -> DataFrame:
     """P3 on a stream: (anchor, first, last, count) per user and a timer at anchor + wait.
 
     The timer is an event-time timeout: it fires once the watermark (max event
@@ -156,7 +162,7 @@ def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *,
     """
     wait_us = duration_us(wait)
     src = (event_time(logins, ts).withWatermark(ts, interval_str(duration_us(delay)))
-           .select(F.col(key).alias("user_id"), ts, seq, "event_type"))
+           .select(F.col(key).alias("user_id"), ts, *_order(seq), "event_type"))
 
     def text(c):
         return f"{TIMER_TEXT_HEAD}{c}{TIMER_TEXT_TAIL}"
@@ -201,7 +207,7 @@ def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *,
         yield _alarms(k[0], spans)
 
     return src.groupBy("user_id").applyInPandasWithState(
-        fn, _ALARM, "anchor LONG, first LONG, last LONG, n LONG", "append", "EventTimeTimeout")
+        fn, _alarm(logins.schema[key].dataType), "anchor LONG, first LONG, last LONG, n LONG", "append", "EventTimeTimeout")
 
 
 def stream_order_timeout(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",
@@ -409,7 +415,7 @@ def stream_login_fail_sequence(logins: DataFrame, times: int = 3, within="5 seco
         yield _alarms(k[0], spans)
 
     return src.groupBy("user_id").applyInPandasWithState(
-        fn, _ALARM, "b_us ARRAY<LONG>, b_seq ARRAY<LONG>, b_fail ARRAY<BOOLEAN>, "
+        fn, _alarm(logins.schema[key].dataType), "b_us ARRAY<LONG>, b_seq ARRAY<LONG>, b_fail ARRAY<BOOLEAN>, "
                     "t_us ARRAY<LONG>, t_seq ARRAY<LONG>, t_fail ARRAY<BOOLEAN>", "append", "EventTimeTimeout")
 
 
@@ -426,7 +432,7 @@ def stream_order_pay_pattern(orders: DataFrame, within="15 minutes", *, key: str
     src = (event_time(orders, ts).withWatermark(ts, interval_str(duration_us(delay)))
            .select(F.col(key).alias("order_id"), ts, seq, (F.col("event_type") == "create").alias("__c"),
                    (F.col("event_type") == "pay").alias("__p")))
-    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("create_ts", T.TimestampType()),
+    schema = T.StructType([T.StructField("order_id", orders.schema[key].dataType), T.StructField("create_ts", T.TimestampType()),
                            T.StructField("pay_ts", T.TimestampType()), T.StructField("tag", T.StringType()),
                            T.StructField("result", T.StringType())])
 
