@@ -2,7 +2,7 @@
 
 Exact repeat search needs a global question per hash ("does it occur anywhere
 else?") without moving the texts around: documents are dealt to chunks of about
-``CHUNK_BYTES``; a chunk sends each hash bucket one packed, sorted blob, the
+``CHUNK_BYTES`` or more; a chunk sends each hash bucket one packed, sorted blob, the
 bucket answers with one blob per chunk. What a chunk repeats itself is packed
 before it is sent, so a key that is frequent everywhere arrives in its bucket at
 most once per chunk. Chunks are rebuilt identically from the documents (a hash
@@ -23,8 +23,15 @@ from pyspark.sql import functions as F
 
 from ubeat.llm.common import text_bytes
 
+#: Text bytes of a chunk, and text bytes whose hashes fall into one bucket. Every
+#: chunk sends every bucket a blob, so from ``GROW_BYTES`` on both sizes grow with
+#: the square root of the corpus and the number of blobs in proportion to it, up
+#: to ``MAX_GROWTH`` times (256 MB and 1 GB at 16 TB, which asks for executors
+#: with some GB for Python).
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
+GROW_BYTES = 4 << 30
+MAX_GROWTH = 64
 PACKED = "bucket int, chunk int, blob binary"
 _PACKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("blob", pa.binary())])
 
@@ -67,8 +74,9 @@ class Plan:
         text = F.coalesce(F.col("text"), F.lit(""))
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
         total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        self.chunks = max(1, math.ceil(total / CHUNK_BYTES))
-        self.buckets = max(1, math.ceil(total / BUCKET_BYTES))
+        growth = min(max(1.0, math.sqrt(total / GROW_BYTES)), MAX_GROWTH)
+        self.chunks = max(1, math.ceil(total / (CHUNK_BYTES * growth)))
+        self.buckets = max(1, math.ceil(total / (BUCKET_BYTES * growth)))
         self.docs = rows.withColumn("tie", F.xxhash64("text")).withColumn(
             "chunk", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(self.chunks)).cast("int"))
 
