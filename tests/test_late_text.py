@@ -41,12 +41,12 @@ def test_parse_access_log(spark, tmp_path):
 
 def test_csv_readers(spark, tmp_path):
     p = tmp_path / "logins.csv"
-    p.write_text("5402,83.149.11.115,success,1558430815\n23064,66.249.3.15,fail,1558430826\n")
+    p.write_text("71,10.1.2.3,success,1700000007\n905,10.9.8.7,fail,1700000031\n")
     got = rows(read_logins(spark, str(p)), "user_id", "event_type", "ts")
-    assert got == [(5402, "success", ts(1558430815)), (23064, "fail", ts(1558430826))]
+    assert got == [(71, "success", ts(1700000007)), (905, "fail", ts(1700000031))]
     q = tmp_path / "orders.csv"
-    q.write_text("1,create,,1558430842\n1,pay,sd76f87d6,1558430844\n")
-    assert rows(read_orders(spark, str(q)), "order_id", "tx_id") == [(1, "sd76f87d6"), (1, None)]
+    q.write_text("12,create,,1700000100\n12,pay,tx-a1,1700000160\n")
+    assert rows(read_orders(spark, str(q)), "order_id", "tx_id") == [(12, "tx-a1"), (12, None)]
 
 
 def test_user_behavior_csv_end_to_end(spark, tmp_path):
@@ -73,9 +73,9 @@ def test_parse_lines_batch_and_stream(spark, tmp_path):
     from ubeat.sources.text import LOGIN, ORDER, parse_lines, read_lines
     p = tmp_path / "lines"
     p.mkdir()
-    (p / "a.txt").write_text("5402,83.149.11.115,success,1558430815\n\n23064,66.249.3.15,fail,1558430826\n")
+    (p / "a.txt").write_text("71,10.1.2.3,success,1700000007\n\n905,10.9.8.7,fail,1700000031\n")
     got = rows(parse_lines(read_lines(spark, str(p)), LOGIN), "user_id", "event_type", "ts")
-    assert got == [(5402, "success", ts(1558430815)), (23064, "fail", ts(1558430826))]
+    assert got == [(71, "success", ts(1700000007)), (905, "fail", ts(1700000031))]
     s = parse_lines(read_lines(spark, str(p), stream=True), LOGIN)
     assert s.isStreaming and s.schema["ts"].dataType.typeName() == "timestamp"
     q = s.writeStream.format("memory").queryName("parsed_lines").option(
@@ -84,6 +84,6 @@ def test_parse_lines_batch_and_stream(spark, tmp_path):
     assert spark.table("parsed_lines").count() == 2
     o = tmp_path / "orders"
     o.mkdir()
-    (o / "a.txt").write_text("34729,create,,1558430842\n34729,pay,sd76f87d6,1558430844\n")
+    (o / "a.txt").write_text("88,create,,1700000200\n88,pay,tx-b2,1700000290\n")
     assert rows(parse_lines(read_lines(spark, str(o)), ORDER), "order_id", "tx_id") == \
-        [(34729, "sd76f87d6"), (34729, None)]
+        [(88, "tx-b2"), (88, None)]

@@ -147,3 +147,24 @@ def test_sparse_sequence_numbers_do_not_make_many_blocks(spark):
     from ubeat.plans.scan import row_blocks
     df = spark.range(500).select((F.col("id") * 10**12).alias("seq"))
     assert row_blocks(df, [], ["seq"], blocks=4).select("__blk").distinct().count() == 4
+
+
+def test_uneven_windows_equal_direct_windows(spark):
+    from pyspark.sql import functions as F
+
+    from ubeat.plans.sliding import window_counts
+    df = _events(spark).withColumn("ts", F.timestamp_seconds(F.col("seq") * 37 % 4000).cast("timestamp_ntz"))
+    for size, slide in (("100 seconds", "7 seconds"), ("90 seconds", "60 seconds"), ("3 minutes", "50 seconds")):
+        got = window_counts(df, "ts", ["k"], size, slide, block_us=1)
+        want = window_counts(df, "ts", ["k"], size, slide, plan="direct")
+        key = lambda r: tuple(str(x) for x in r)
+        assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+
+
+def test_a_day_sliding_by_seven_seconds_plans_at_once(spark):
+    from pyspark.sql import functions as F
+
+    from ubeat.plans.sliding import window_counts
+    df = spark.range(100).select(F.timestamp_seconds("id").alias("ts"))
+    # Starts are the multiples of 7 from -86394 to 98.
+    assert window_counts(df, "ts", [], "1 day", "7 seconds").count() == 12342 + 14 + 1

@@ -10,6 +10,7 @@ from ubeat.operators.fraud import click_fraud_filter
 from ubeat.operators.logins import login_fail_pair, login_fail_timer
 from ubeat.operators.orders import order_timeout, tx_match
 from ubeat.sources import tables as tb
+from ubeat.streaming import ranking as sr
 from ubeat.streaming import stateful as st
 from ubeat.streaming import windows as sw
 from ubeat.streaming.sources import table_stream
@@ -27,6 +28,13 @@ def run_stream(spark, df, tmp_path):
     return spark.table(name)
 
 
+def run_each(spark, df, fn, tmp_path, mode="append"):
+    q = (df.writeStream.outputMode(mode).foreachBatch(fn)
+         .option("checkpointLocation", str(tmp_path / f"s{next(_ids)}")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert q.exception() is None
+
+
 def write_parts(spark, df, path, parts=3, order="seq"):
     """Split a small table into ``parts`` files by arrival order (one per micro-batch)."""
     n = df.count()
@@ -45,7 +53,9 @@ def stream_of(spark, path, schema):
 def test_stream_hot_items_equals_batch_on_closed_windows(spark, tmp_path):
     ev = tb.load(spark, SF, "events")
     beh_s = tb.user_behavior(table_stream(spark, SF, "events"))
-    got = rows(run_stream(spark, sw.stream_hot_items(beh_s, 5), tmp_path), "item_id", "window_end", "cnt", "row_num")
+    run_each(spark, sw.stream_item_view_counts(beh_s), sr.each_batch(lambda b: ranking.hot_items(b, 5), str(tmp_path / "out")),
+             tmp_path)
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "item_id", "window_end", "cnt", "row_num")
     # The watermark follows the pv rows: windows up to the last view are closed.
     last = ev.where("event_type = 'view'").agg(F.max("ts")).first()[0]
     batch = ranking.hot_items(windows.item_view_counts(tb.user_behavior(ev)), 5).where(F.col("window_end") <= last)
@@ -156,11 +166,13 @@ def test_stream_revised_top_n_updates_on_late_rows(spark, tmp_path):
             .coalesce(1).write.parquet(str(tmp_path / "log" / f"t{i:03d}"))
     schema = "url string, method string, ts timestamp_ntz, seq long"
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log" / "t*"))
-    out = run_stream(spark, sw.stream_revised_top_n(s, 2, "10 seconds", "5 seconds", delay="0 seconds",
-                                                    lateness="1 minute"), tmp_path)
-    got = rows(out.where(F.col("window_end") == ts(T0 + 5)), "revision", "row_num", "url", "cnt")
-    # First ranking: b=2, a=1; after the late rows: a=3, b=2.
-    assert got == [(0, 1, "/b", 2), (0, 2, "/a", 1), (1, 1, "/a", 3), (1, 2, "/b", 2)]
+    run_each(spark, sr.changing_counts(s, "10 seconds", "5 seconds", delay="0 seconds", lateness="1 minute"),
+             sr.revised_top_n(str(tmp_path / "r"), 2, delay="0 seconds"), tmp_path, "update")
+    out = spark.read.parquet(str(tmp_path / "r" / "ranked"))
+    got = rows(out.where(F.col("window_end") == ts(T0 + 5)), "epoch", "row_num", "url", "cnt")
+    # Ranked when file 2 closes the window: b=2, a=1; after the late rows: a=3, b=2.
+    first, again = sorted({r[0] for r in got})
+    assert got == [(first, 1, "/b", 2), (first, 2, "/a", 1), (again, 1, "/a", 3), (again, 2, "/b", 2)]
 
 
 def test_stream_patterns_equal_batch(spark, tmp_path):
@@ -238,10 +250,10 @@ def test_line_stream_to_hot_items(spark, tmp_path):
             .write.text(str(tmp_path / "in" / f"t{i}"))
     s = parse_lines(spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "in" / "t*")),
                     USER_BEHAVIOR)
-    ranked = sw.stream_hot_items(s, 5, delay="1 day").withColumn("tag", F.lit("hot_items"))
-    q = write_tagged(ranked, str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
+    counts = sw.stream_item_view_counts(s, delay="1 day").withColumn("tag", F.lit("hot_items"))
+    q = write_tagged(counts, str(tmp_path / "out"), checkpoint=str(tmp_path / "ck"), trigger={"availableNow": True})
     q.awaitTermination(300)
-    got = spark.read.parquet(str(tmp_path / "out"))
+    got = ranking.hot_items(spark.read.parquet(str(tmp_path / "out")), 5)
     last = beh.agg(F.max("ts")).first()[0]
     # Whole seconds in the lines; windows closed by the final watermark (1 day behind).
     beh_s = beh.withColumn("ts", F.date_trunc("second", "ts"))

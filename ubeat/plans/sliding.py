@@ -1,23 +1,24 @@
 """Counting rows per key per sliding (hop) or tumbling event-time window.
 
-Two physical strategies, chosen by the overlap ratio ``size / slide``:
-
-* **direct** — ``groupBy(window(ts, size, slide), keys).count()``.  Spark expands
-  every row into ``size/slide`` copies before the partial aggregate; cheap for
-  small ratios (hot items: 1 h / 5 min = 12).
-* **change points** — for ratios in the hundreds or thousands (hot pages 120,
-  ad clicks 720, market counts 17,280) expansion is the whole cost.  Instead:
-
-  1. count rows per key per slide-sized pane (partial aggregate, one shuffle);
-  2. a pane with ``c`` rows adds ``+c`` at its first window end ``E`` and ``-c``
-     at ``E + size``;
+Two physical strategies:
+
+* **direct** — ``groupBy(window(ts, size, slide), keys).count()``, for windows that
+  do not overlap (Spark would expand every row into ``size/slide`` copies).
+* **change points** — for all others (hot items 12 windows per row, hot pages 120,
+  ad clicks 720, market counts 17,280; also where ``slide`` does not divide
+  ``size``):
+
+  1. count rows per key per pane of gcd(size, slide) (partial aggregate, one
+     shuffle);
+  2. a pane with ``c`` rows adds ``+c`` at the start of its first window and
+     ``-c`` one slide after the start of its last;
   3. a running sum of those deltas per key (time order) is the window count,
      constant between consecutive change points;
-  4. each constant segment is expanded into its window ends — so the work is
+  4. each constant segment is expanded into its windows — so the work is
      proportional to the *output* (non-empty windows), never rows x ratio.
 
-  Step 3 is skew-safe: the running sum is cut into time blocks of at least
-  ``size``; a pane whose window span crosses into the next block re-adds its
+  Step 3 is skew-safe: the running sum is cut into time blocks longer than a
+  pane's windows reach; a pane whose window span crosses into the next block re-adds its
   count at that block's start, so blocks are independent and a hot key is
   spread over as many tasks as it has blocks.
 
@@ -27,6 +28,7 @@ window alignment as Spark's ``window()`` (epoch aligned, half-open).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -34,7 +36,6 @@ from pyspark.sql import functions as F
 
 from ubeat.functions.time import duration_us, floor_div, from_micros, interval_str, to_micros
 
-DIRECT_MAX_OVERLAP = 24
 DAY_US = 86_400_000_000
 
 
@@ -46,14 +47,11 @@ def window_counts(df: DataFrame, ts: str, keys: Sequence[str], size, slide=None,
     slide_us = duration_us(slide) if slide is not None else size_us
     if size_us <= 0 or slide_us <= 0:
         raise ValueError("window size and slide must be positive")
-    ratio = size_us / slide_us
     if plan == "auto":
-        plan = "direct" if (ratio <= DIRECT_MAX_OVERLAP or size_us % slide_us) else "change_points"
+        plan = "direct" if size_us <= slide_us else "change_points"
     if plan == "direct":
         return _direct(df, ts, list(keys), size_us, slide_us, count_col, weight)
     if plan == "change_points":
-        if size_us % slide_us:
-            raise ValueError("change-point plan needs size to be a multiple of slide")
         return _change_points(df, ts, list(keys), size_us, slide_us, count_col, weight, block_us)
     raise ValueError(f"unknown plan {plan!r}")
 
@@ -79,21 +77,22 @@ def _change_points(df, ts, keys, size_us, slide_us, count_col, weight, block_us)
     dtype = df.schema[ts].dataType
     if block_us is None:
         block_us = max(size_us, DAY_US)
-    # Block boundaries must be window ends (multiples of slide) and at least
-    # ``size`` long, so a pane's window span crosses at most one block boundary.
-    block_us = -(-max(block_us, size_us) // slide_us) * slide_us
+    # Block boundaries must be window starts (multiples of slide) and further
+    # apart than the windows of a pane reach, so these cross one at most.
+    block_us = -(-max(block_us, size_us + slide_us) // slide_us) * slide_us
+    pane_us = math.gcd(size_us, slide_us)
 
-    pane = (df.select(*keys, floor_div(to_micros(ts, dtype), slide_us).alias("__p"),
+    pane = (df.select(*keys, floor_div(to_micros(ts, dtype), pane_us).alias("__p"),
                       *([weight] if weight else []))
             .groupBy(*keys, "__p").agg(_measure(weight).cast("long").alias("__c")))
 
-    # Deltas of a pane: +c at its first window end E, -c at E + size, and — when
-    # E + size lies in the next block — +c again at that block's start, which
-    # carries the pane into the block.  Every block's running sum then starts at
-    # zero, so blocks are scanned independently: one exchange, no summary, no
-    # join, and the input is consumed once.
-    e0 = (F.col("__p") + 1) * F.lit(slide_us)
-    e1 = e0 + F.lit(size_us)
+    # Deltas of a pane: +c at the start of its first window, -c one slide after
+    # the start of its last and — when that lies in the next block — +c again at
+    # that block's start, which carries the pane into the block.  Every block's
+    # running sum then starts at zero, so blocks are scanned independently: one
+    # exchange, no summary, no join, and the input is consumed once.
+    e0 = -floor_div(F.lit(size_us) - (F.col("__p") + 1) * F.lit(pane_us), slide_us) * F.lit(slide_us)
+    e1 = (floor_div(F.col("__p") * F.lit(pane_us), slide_us) + 1) * F.lit(slide_us)
     b0, b1 = floor_div(e0, block_us), floor_div(e1, block_us)
     c = F.col("__c")
     trio = F.array(F.struct(e0.alias("t"), b0.alias("b"), c.alias("d")),
@@ -116,8 +115,8 @@ def _change_points(df, ts, keys, size_us, slide_us, count_col, weight, block_us)
     step = _interval(slide_us)
     first = F.col("__t")
     last = F.col("__e") - F.lit(slide_us)
-    ends = F.sequence(from_micros(first, dtype), from_micros(last, dtype), step)
-    starts = F.sequence(from_micros(first - F.lit(size_us), dtype), from_micros(last - F.lit(size_us), dtype), step)
+    starts = F.sequence(from_micros(first, dtype), from_micros(last, dtype), step)
+    ends = F.sequence(from_micros(first + F.lit(size_us), dtype), from_micros(last + F.lit(size_us), dtype), step)
     out = segs.select(*keys, F.col("__v").alias(count_col),
                       F.inline(F.arrays_zip(starts.alias("window_start"), ends.alias("window_end"))))
     return out.select(*keys, "window_start", "window_end",

@@ -1,8 +1,6 @@
 """Registered queries over the driver tables and their DuckDB oracles.
 
-Two queries have no exact SQL equivalent and no oracle: the approximate
-visitor count (HyperLogLog) and the sequential login timer (tested against a
-brute-force model in tests/).
+Every query has an oracle; the stream forms are in ``ubeat.stream_queries``.
 
 Every query reads whole tables (no sampling, no id subsets) through the views
 in ``ubeat.sources.tables``.  Parameters are the reference's, except where the
@@ -12,10 +10,10 @@ stated next to the query.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ubeat.operators import ranking, windows
 from ubeat.operators.fraud import click_fraud_filter as _click_fraud_filter
@@ -27,12 +25,8 @@ from ubeat.operators.orders import order_timeout as _order_timeout
 from ubeat.operators.orders import tx_match as _tx_match
 from ubeat.operators.patterns import login_fail_sequence as _login_fail_sequence
 from ubeat.operators.patterns import order_pay_pattern as _order_pay_pattern
-from ubeat.session import ensure_checkpoint_dir
 from ubeat.sources import tables as tb
 from ubeat.sources.text import parse_access_log
-from ubeat.streaming import stateful as _sst
-from ubeat.streaming import windows as _sw
-from ubeat.streaming.sources import table_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -186,10 +180,30 @@ def unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
     return windows.unique_visitors(tb.user_behavior(_views(spark, sf)), "1 hour")
 
 
-@register("unique_visitors_approx")
+@register("unique_visitors_approx", f"""
+SELECT {_HOUR_END} AS window_end, CAST(count(DISTINCT user_id) AS BIGINT) AS uv, TRUE AS near
+FROM events WHERE event_type = 'view' GROUP BY 1
+""")
 def unique_visitors_approx(spark: SparkSession, sf: str) -> DataFrame:
-    """HyperLogLog distinct viewers per hour (approximate: no exact oracle)."""
-    return windows.unique_visitors_approx(tb.user_behavior(_views(spark, sf)), "1 hour", 0.01)
+    """HyperLogLog distinct viewers per hour next to the exact count: within 3 x its
+    relative standard deviation (and one visitor)."""
+    views = tb.user_behavior(_views(spark, sf))
+    approx = windows.unique_visitors_approx(views, "1 hour", 0.01).withColumnRenamed("uv", "approx")
+    both = windows.unique_visitors(views, "1 hour").join(approx, "window_end")
+    return both.select("window_end", "uv",
+                       (F.abs(F.col("approx") - F.col("uv")) <= F.greatest(F.lit(1.0), 0.03 * F.col("uv"))).alias("near"))
+
+
+@register("click_fraud_daily", """
+WITH r AS (SELECT user_id, event_type, ts, event_id AS seq, row_number() OVER (
+  PARTITION BY user_id, event_type, (epoch_us(ts) + 28800000000) // 86400000000 ORDER BY event_id) AS rn FROM events)
+SELECT user_id, event_type, ts, seq, CASE WHEN rn <= 2 THEN 'pass' ELSE 'warning' END AS tag
+FROM r WHERE rn <= 3
+""")
+def click_fraud_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """At most 2 events per (user, event type) and local day (UTC+8), the 3rd warns."""
+    out = _click_fraud_filter(tb.ad_clicks(_ev(spark, sf)), keys=("user_id", "event_type"), limit=2, reset="daily")
+    return out.select("user_id", "event_type", "ts", "seq", "tag")
 
 
 _OFFSET64 = ("list_reduce(list_transform(string_split(CAST(user_id AS VARCHAR), ''), lambda c: ascii(c)), "
@@ -439,63 +453,4 @@ def hot_items_report(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.format_report(hot_items(spark, sf), "item_id", ranking.ITEM_LABEL)
 
 
-# --- stream forms: run to completion over the table's files, read back the sink ----------------
-
-def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Run ``df`` (a stream) over all available input and return what it wrote.
-
-    Output and checkpoint live under the session's shared checkpoint folder (a
-    fresh sub-folder per run); the sink is parquet, so nothing passes through
-    the driver.
-    """
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ubeat-{name}-{uuid.uuid4().hex}"
-    q = (df.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.schema(df.schema).parquet(f"{base}/out")
-
-
-def _ev_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return table_stream(spark, sf, "events")
-
-
-_LAST_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
-
-
-@register("stream_hot_items", f"""
-SELECT * FROM ({HOT_ITEMS_ORACLE}) WHERE window_end <= {_LAST_VIEW}
-""")
-def stream_hot_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Hot items as a stream (chained append-mode aggregates); windows the final watermark closed."""
-    out = _run_stream(spark, _sw.stream_hot_items(tb.user_behavior(_ev_stream(spark, sf)), 5, "1 hour", "5 minutes"), "hot-items")
-    return out.withColumn("window_end", out["window_end"].cast("timestamp_ntz"))
-
-
-@register("stream_unique_visitors", f"""
-SELECT {_HOUR_END} AS window_end, CAST(count(DISTINCT user_id) AS BIGINT) AS uv
-FROM events WHERE event_type = 'view' GROUP BY 1 HAVING {_HOUR_END} <= {_LAST_VIEW}
-""")
-def stream_unique_visitors(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct viewers per hour as a stream (two chained aggregates)."""
-    out = _run_stream(spark, _sw.stream_unique_visitors(tb.user_behavior(_ev_stream(spark, sf)), "1 hour"), "uv")
-    return out.withColumn("window_end", out["window_end"].cast("timestamp_ntz"))
-
-
-@register("stream_login_fail_pair", _ORACLES["login_fail_pair"])
-def stream_login_fail_pair(spark: SparkSession, sf: str) -> DataFrame:
-    """Two fails in a row (arrival order) less than 2 h apart, with per-user stream state."""
-    out = _run_stream(spark, _sst.stream_login_fail_pair(tb.logins(_ev_stream(spark, sf)), "2 hours"), "login-pair")
-    return out.select("user_id", out["first_fail"].cast("timestamp_ntz").alias("first_fail"),
-                      out["last_fail"].cast("timestamp_ntz").alias("last_fail"), "msg")
-
-
-@register("stream_click_fraud_filter", _FRAUD_ORACLE)
-def stream_click_fraud_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """The fraud filter with per-key stream state; provinces joined afterwards (stream-static)."""
-    tagged = _sst.stream_click_fraud_filter(tb.ad_clicks(_ev_stream(spark, sf)), ("user_id", "event_type"), 10)
-    out = _run_stream(spark, tagged, "fraud")
-    out = tb.with_province(out, tb.load(spark, sf, "customer"), tb.load(spark, sf, "nation"))
-    return out.select("user_id", "ad_id", "event_type", "province", "ts", "seq", "tag", "msg")
+from ubeat import stream_queries  # noqa: E402, F401  (registers the stream forms)

@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     # A small floor keeps their parallelism; at scale partitions are far larger.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Keyed stream state on local disk with checkpoints, not on the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -303,71 +303,6 @@ def stream_tx_match(pays: DataFrame, receipts: DataFrame, pay_wait="5 seconds",
     return j.select(tag.alias("tag"), F.coalesce(F.col(key), F.col(f"r_{key}")).alias(key), *pcols, *rcols)
 
 
-def revised_top_n_state(per_window: DataFrame, n: int, lateness_us: int, offset_us: int,
-                        key_name: str) -> DataFrame:
-    """State machine behind ``stream_revised_top_n``: (window_end, key) rows in,
-    rankings out; state per window end = keys, counts, revision, fired flag.
-
-    Times are on the logical watermark = Spark's watermark + ``offset_us``.
-    """
-    schema = T.StructType([T.StructField("window_end", T.TimestampType()), T.StructField(key_name, T.StringType()),
-                           T.StructField("cnt", T.LongType()), T.StructField("row_num", T.LongType()),
-                           T.StructField("revision", T.LongType())])
-    cols = [f.name for f in schema.fields]
-    late_ms, off_ms = lateness_us // 1000, offset_us // 1000
-
-    def ranking(end_us, counts: dict, rev: int) -> pd.DataFrame:
-        best = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:n]
-        return pd.DataFrame({"window_end": pd.to_datetime([end_us] * len(best), unit="us"),
-                             key_name: [k for k, _ in best], "cnt": [c for _, c in best],
-                             "row_num": list(range(1, len(best) + 1)), "revision": [rev] * len(best)})
-
-    def fn(k, pdfs, state: GroupState):
-        end_us = int(pd.Timestamp(k[0]).value // 1000)
-        end_ms = end_us // 1000
-        raw = state.getCurrentWatermarkMs()
-        wm = raw + off_ms if raw > 0 else -(1 << 62)          # logical watermark (0 = none yet)
-        if state.exists:
-            keys, cnts, rev, fired = state.get
-            counts = dict(zip(keys, cnts))
-        else:
-            counts, rev, fired = {}, -1, False
-        if end_ms + late_ms <= wm and (fired or state.hasTimedOut or not state.exists):
-            # Cleaned up: emit a ranking never emitted, then drop the window.
-            if state.exists and not fired:
-                yield ranking(end_us, counts, rev + 1)
-            if state.exists:
-                state.remove()
-            yield pd.DataFrame(columns=cols)
-            return
-        outs = []
-        if not state.hasTimedOut:
-            # Rows for a window whose end the watermark passed before this batch:
-            # its timer was due first, so the ranking without them goes out first.
-            if end_ms <= wm and not fired and counts:
-                rev, fired = rev + 1, True
-                outs.append(ranking(end_us, counts, rev))
-            for p in pdfs:
-                for key, c in p["key"].value_counts().items():
-                    counts[key] = counts.get(key, 0) + int(c)
-            if end_ms <= wm:
-                rev, fired = rev + 1, True                 # late revision (or first ranking)
-                outs.append(ranking(end_us, counts, rev))
-        elif end_ms <= wm and not fired:
-            rev, fired = rev + 1, True                     # timer: first ranking
-            outs.append(ranking(end_us, counts, rev))
-        out = pd.concat(outs, ignore_index=True) if outs else pd.DataFrame(columns=cols)
-        state.update((list(counts), list(counts.values()), rev, fired))
-        # Next timer: the window end (first ranking), then end + lateness (drop).
-        nxt = end_ms if not fired else end_ms + late_ms
-        state.setTimeoutTimestamp(max(nxt - off_ms, state.getCurrentWatermarkMs() + 1))
-        yield out
-
-    return per_window.groupBy("window_end").applyInPandasWithState(
-        fn, schema, "keys ARRAY<STRING>, counts ARRAY<LONG>, revision LONG, fired BOOLEAN", "append",
-        "EventTimeTimeout")
-
-
 def _buffered(state: GroupState, pdfs, ts: str, seq: str, flag_cols: Sequence[str]):
     """Rows of the state buffer plus this batch, as (us, seq, flags...) tuples sorted by (us, seq)."""
     rows = list(zip(*state.get[0:2], *[state.get[2 + i] for i in range(len(flag_cols))])) if state.exists else []

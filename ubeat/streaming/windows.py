@@ -1,4 +1,4 @@
-"""Windowed aggregations on streams (A1–A10 stream forms, R3 chained Top-N).
+"""Windowed aggregations on streams (A1–A10, A12 stream forms).
 
 Append mode: a window is emitted once, final, when the watermark passes its
 end (W5).  The watermark delay is the reference's out-of-orderness (0 for its
@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ubeat.functions.hashing import bitmap_offset
-from ubeat.functions.time import duration_us, floor_div, interval_str
+from ubeat.functions.time import duration_us, interval_str
 from ubeat.plans.sliding import window_counts
 from ubeat.streaming.sources import event_time
-from ubeat.streaming.stateful import revised_top_n_state
 
 
 def _win(ts: str, size, slide=None):
@@ -72,62 +71,26 @@ def stream_unique_visitors_approx(behavior: DataFrame, size="1 hour", rsd: float
             .select(F.col("w.end").alias("window_end"), "uv"))
 
 
-def stream_top_n(df: DataFrame, key: str, n: int, keys_out: Sequence[str] | None = None, *, ts: str = "ts",
-                 size="1 hour", slide="5 minutes", delay="0 seconds", buckets: int = 64) -> DataFrame:
-    """Per-window Top-N on a stream, as chained append-mode aggregates.
-
-    Counts per (window, key); then, per (window, hash bucket of the key), the
-    ``n`` best by (count desc, key asc) — ``sort_array`` on ``struct(-cnt, key)``;
-    then per window the ``n`` best of the at most ``buckets * n`` survivors,
-    exploded to ranked rows.  The bucket stage splits a window with many keys
-    over ``buckets`` groups, so no group gathers all keys of a window.
-    -> key, window_end, cnt, row_num
-    """
-    src = event_time(df, ts).withWatermark(ts, interval_str(duration_us(delay)))
-    counts = src.groupBy(_win(ts, size, slide).alias("window"), key).agg(F.count(F.lit(1)).alias("cnt"))
-    entry = F.struct((-F.col("cnt")).alias("nc"), F.col(key).alias("k"))
-    per_bucket = (counts.groupBy("window", F.pmod(F.hash(F.col(key)), F.lit(buckets)).alias("__bucket"))
-                  .agg(F.slice(F.sort_array(F.collect_list(entry)), 1, n).alias("top")))
-    best = per_bucket.groupBy("window").agg(
-        F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, n).alias("top"))
-    return (best.select(F.col("window.end").alias("window_end"), F.posexplode("top").alias("pos", "e"))
-            .select(F.col("e.k").alias(key), "window_end", (-F.col("e.nc")).alias("cnt"),
-                    (F.col("pos") + 1).cast("long").alias("row_num")))
-
-
-def stream_hot_items(behavior: DataFrame, n: int = 5, size="1 hour", slide="5 minutes", *, ts: str = "ts",
-                     delay="0 seconds") -> DataFrame:
+def stream_item_view_counts(behavior: DataFrame, size="1 hour", slide="5 minutes", *, ts: str = "ts",
+                            delay="0 seconds") -> DataFrame:
+    """Closed hop-window counts per item; ``streaming.ranking`` ranks them per micro-batch."""
     pv = behavior.where(F.col("behavior") == "pv")
-    return stream_top_n(pv, "item_id", n, ts=ts, size=size, slide=slide, delay=delay)
-
+    return stream_window_counts(pv, ["item_id"], size, slide, ts=ts, delay=delay)
 
-def stream_revised_top_n(log: DataFrame, n: int = 3, size="10 minutes", slide="5 seconds", *, key: str = "url",
-                         ts: str = "ts", delay="1 second", lateness="1 minute", method: str | None = "GET") -> DataFrame:
-    """R4 (with W3): per-window Top-N that is re-emitted when late rows update it.
 
-    Each row is counted in every window it belongs to; the state of a window
-    end holds the per-key counts.  When the watermark (max time - ``delay``)
-    passes the window end the ranking is emitted (revision 0); rows that arrive
-    later but within ``lateness`` update the counts — the last count per key
-    replaces the earlier one — and the ranking is emitted again with the next
-    revision.  At window end + ``lateness`` the state is dropped; rows for a
-    dropped window are late and ignored.
-    -> window_end, key, cnt, row_num, revision
+def stream_running_visitors(behavior: DataFrame, size="1 hour", *, ts: str = "ts", user: str = "user_id",
+                            delay="0 seconds", bits: int | None = None, seed: int = 61) -> DataFrame:
+    """A12 / U6 on a stream, for update mode: the first view of every visitor (or
+    bitmap offset) of each window, emitted in the micro-batch that brings it and
+    again only if an earlier view arrives later.  The running count is the number
+    of distinct visitors emitted so far.  -> window_end, user (or offset), first_ts
     """
-    size_us, slide_us = duration_us(size), duration_us(slide)
-    late_us = duration_us(lateness)
-    # Spark drops rows at or behind its watermark before they reach the state,
-    # so its watermark trails by lateness + size as well: any row that still has
-    # a live window gets through.  The state works on the logical watermark
-    # (max time - delay) = Spark's + lateness + size.
-    src = event_time(log if method is None else log.where(F.col("method") == method), ts) \
-        .withWatermark(ts, interval_str(duration_us(delay) + late_us + size_us))
-    first_end = (floor_div(F.unix_micros(F.col(ts)), slide_us) + 1) * F.lit(slide_us)
-    ends = F.explode(F.sequence(first_end, first_end + F.lit(size_us - slide_us), F.lit(slide_us)))
-    # ``ts`` stays in the projection: it carries the watermark to the state operator.
-    per_window = (src.select(ends.alias("__end"), F.col(key).cast("string").alias("key"), ts)
-                  .select(F.timestamp_micros("__end").alias("window_end"), "key", ts))
-    return revised_top_n_state(per_window, n, late_us, late_us + size_us, key)
+    pv = event_time(behavior.where(F.col("behavior") == "pv"), ts) \
+        .withWatermark(ts, interval_str(duration_us(delay)))
+    vis = bitmap_offset(F.col(user), bits, seed) if bits else F.col(user)
+    name = "offset" if bits else user
+    return (pv.groupBy(_win(ts, size).alias("w"), vis.alias(name)).agg(F.min(ts).alias("first_ts"))
+            .select(F.col("w.end").alias("window_end"), name, "first_ts"))
 
 
 def windows_from_panes(panes: DataFrame, keys: Sequence[str], size, slide, *, count_col: str = "cnt") -> DataFrame:
