@@ -69,7 +69,6 @@ def stream_click_fraud_filter(df: DataFrame, keys: Sequence[str] = ("user_id", "
     def fn(key, pdfs, state: GroupState):
         if state.hasTimedOut:
             state.remove()
-            yield pd.DataFrame(columns=out_cols)
             return
         count, flagged = state.get if state.exists else (0, False)
         pdf = _rows(pdfs, seq)
@@ -147,7 +146,8 @@ def stream_login_fail_pair(logins: DataFrame, within="2 seconds", *, key: str =
             state.remove()
         else:
             state.update((last,))
-        yield _alarms(k[0], spans)
+        if spans:
+            yield _alarms(k[0], spans)
 
     return src.groupBy("user_id").applyInPandasWithState(fn, _alarm(logins.schema[key].dataType), "last_fail LONG", "append", "NoTimeout")
 
@@ -174,7 +174,8 @@ def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *,
             state.remove()
             if c >= n:
                 spans.append((first, last, text(c)))
-            yield _alarms(k[0], spans)
+            if spans:
+                yield _alarms(k[0], spans)
             return
         a, first, last, c = state.get if state.exists else (None, None, None, 0)
         pdf = _rows(pdfs, seq)
@@ -204,7 +205,8 @@ def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *,
             else:
                 state.update((a, first, last, c))
                 state.setTimeoutTimestamp(fire_ms)
-        yield _alarms(k[0], spans)
+        if spans:
+            yield _alarms(k[0], spans)
 
     return src.groupBy("user_id").applyInPandasWithState(
         fn, _alarm(logins.schema[key].dataType), "anchor LONG, first LONG, last LONG, n LONG", "append", "EventTimeTimeout")
@@ -268,6 +270,8 @@ def stream_order_timeout(orders: DataFrame, within="15 minutes", *, key: str = "
             state.update((opened, *([r[i] for r in rows] for i in range(3))))
             due = [r[0] for r in rows[:1]] + ([] if opened is None else [opened + within_us])
             state.setTimeoutTimestamp(max(-(-min(due) // 1000), state.getCurrentWatermarkMs() + 1))
+        if not out:
+            return
         times = [pd.to_datetime(pd.Series([r[i] for r in out], dtype="Int64"), unit="us") for i in (0, 1)]
         yield pd.DataFrame({"order_id": [k[0]] * len(out), "create_ts": times[0], "pay_ts": times[1],
                             "tag": ["payed" if r[2] == PAYED_OK else "timeout" for r in out],
@@ -347,7 +351,8 @@ def stream_login_fail_sequence(logins: DataFrame, times: int = 3, within="5 seco
                           [r[0] for r in tail], [r[1] for r in tail], [bool(r[2]) for r in tail]))
             if waiting:
                 state.setTimeoutTimestamp(max(-(-min(r[0] for r in waiting) // 1000), state.getCurrentWatermarkMs() + 1))
-        yield _alarms(k[0], spans)
+        if spans:
+            yield _alarms(k[0], spans)
 
     return src.groupBy("user_id").applyInPandasWithState(
         fn, _alarm(logins.schema[key].dataType), "b_us ARRAY<LONG>, b_seq ARRAY<LONG>, b_fail ARRAY<BOOLEAN>, "
