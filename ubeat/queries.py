@@ -453,4 +453,4 @@ def hot_items_report(spark: SparkSession, sf: str) -> DataFrame:
     return ranking.format_report(hot_items(spark, sf), "item_id", ranking.ITEM_LABEL)
 
 
-from ubeat import stream_queries  # noqa: E402, F401  (registers the stream forms)
+from ubeat import stream_queries, text_queries  # noqa: E402, F401  (they register theirs)
