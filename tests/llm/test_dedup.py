@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ubeat.llm import blockdedup, decontamination, simhash, suffixdedup
 from ubeat.llm.common import components
 from ubeat.llm.exchange import pack, unpack
-from ubeat.llm.fingerprints import window_minima
+from ubeat.llm.fingerprints import sliding_minima, window_minima
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -76,11 +76,11 @@ def test_repeats_spread_over_many_chunks_and_buckets(spark, docs, monkeypatch):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(1, 3), min_size=1, max_size=120), st.integers(1, 60), st.integers(1, 4))
 def test_suffix_ranks_order_prefixes(symbols, depth, copies):
-    symbols = symbols * copies
-    rank = suffixdedup.suffix_ranks(np.array(symbols), depth)
-    inside = [i for i in range(len(symbols)) if i + depth <= len(symbols)]
-    in_order = sorted(inside, key=lambda i: rank[i])
-    assert [symbols[i:i + depth] for i in in_order] == sorted(symbols[i:i + depth] for i in inside)
+    text = bytes(symbols * copies)
+    inside = np.array([i for i in range(len(text)) if i + depth <= len(text)], np.int64)
+    rank = suffixdedup.suffix_ranks(np.frombuffer(text, np.uint8), inside, depth)
+    in_order = inside[np.argsort(rank, kind="stable")]
+    assert [text[i:i + depth] for i in in_order] == sorted(text[i:i + depth] for i in inside)
 
 
 @settings(max_examples=150, deadline=None)
@@ -89,7 +89,7 @@ def test_anchor_of_every_window(hashes, data):
     w = data.draw(st.integers(1, len(hashes)))
     h = np.array(hashes, np.uint32)
     want = [max(range(i, i + w), key=lambda p: (-hashes[p], p)) for i in range(len(hashes) - w + 1)]
-    assert suffixdedup._anchor_of_window(h, w).tolist() == want
+    assert sliding_minima(h, w).tolist() == want
     assert window_minima(h, w).tolist() == sorted(set(want))
 
 

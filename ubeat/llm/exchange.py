@@ -68,15 +68,16 @@ def summed(steps: np.ndarray) -> np.ndarray:
 
 
 class Plan:
-    """``docs`` (doc_id, text) dealt to chunks, and the number of hash buckets."""
+    """``docs`` (doc_id, text) dealt to chunks, and the number of hash buckets;
+    ``bucket_share`` makes buckets smaller where more than hashes is sent."""
 
-    def __init__(self, docs: DataFrame):
+    def __init__(self, docs: DataFrame, bucket_share: float = 1.0):
         text = F.coalesce(F.col("text"), F.lit(""))
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
         total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         growth = min(max(1.0, math.sqrt(total / GROW_BYTES)), MAX_GROWTH)
         self.chunks = max(1, math.ceil(total / (CHUNK_BYTES * growth)))
-        self.buckets = max(1, math.ceil(total / (BUCKET_BYTES * growth)))
+        self.buckets = max(1, math.ceil(total / (BUCKET_BYTES * growth * bucket_share)))
         self.docs = rows.withColumn("tie", F.xxhash64("text")).withColumn(
             "chunk", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(self.chunks)).cast("int"))
 

@@ -41,15 +41,12 @@ MAX_RANGES = 512
 FLUSH_BYTES = 4 << 20
 
 
-def window_minima(hashes: np.ndarray, w: int) -> np.ndarray:
-    """Positions of the rightmost minimum of each window of ``w`` 32-bit hashes.
+def sliding_minima(hashes: np.ndarray, w: int) -> np.ndarray:
+    """Position of the rightmost minimum of every window of ``w`` 32-bit hashes.
 
     Hash and reversed position make one key without ties; sliding minima come
     from running minima of blocks of ``w`` in both directions."""
     n = len(hashes)
-    w = min(w, n)
-    if not n:
-        return np.zeros(0, np.int64)
     last = np.uint64(0xFFFFFFFF)
     padded = np.full(-(-n // w) * w, np.iinfo(np.uint64).max, np.uint64)
     padded[:n] = (hashes.astype(np.uint64) << np.uint64(32)) | (last - np.arange(n, dtype=np.uint64))
@@ -57,10 +54,18 @@ def window_minima(hashes: np.ndarray, w: int) -> np.ndarray:
     ahead = np.minimum.accumulate(rows, axis=1).ravel()
     behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(behind[:n - w + 1], ahead[w - 1:n])
-    least = least[np.concatenate(([True], least[1:] != least[:-1]))]
     return (last - (least & last)).astype(np.int64)
 
 
+def window_minima(hashes: np.ndarray, w: int) -> np.ndarray:
+    """The positions that are the rightmost minimum of some window, in order (a
+    text shorter than a window is one)."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    at = sliding_minima(hashes, min(w, len(hashes)))
+    return at[np.concatenate(([True], at[1:] != at[:-1]))]
+
+
 def winnow(text: bytes, k: int = K, w: int = W) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, positions) selected from ``text``."""
     data = np.frombuffer(text, np.uint8)

@@ -12,9 +12,9 @@ content, without loss:
    to the bucket of the anchor's hash, equal ones of a chunk once, with their
    documents. All occurrences of a window meet in one bucket.
 3. a bucket sorts the suffixes of its distinct contexts by the difference cover
-   modulo 3: sampled triples are sorted and named, the names are sorted by
-   recursion until they differ or span 50 bytes, the remaining suffixes are
-   merged by first symbol and sampled rank. Adjacent suffixes are compared on
+   modulo 3: sampled suffixes are sorted and named by triples, again by triples
+   of those names until a name spans 50 bytes, and the remaining suffixes are
+   merged by their first bytes and the name of a sampled one. Adjacent suffixes are compared on
    their first 50 bytes; each run of equal ones has a smallest document.
 4. the spans to remove go back to their chunks and are cut out.
 
@@ -30,99 +30,98 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ubeat.llm.common import byte_hash, pieces
+from ubeat.llm.common import byte_hash, mix64, pieces
 from ubeat.llm.exchange import Chunk, Plan, answer, cuts, rising, summed
-from ubeat.llm.fingerprints import window_minima
+from ubeat.llm.fingerprints import sliding_minima
 
 LENGTH = 50
 GRAM = 16
 #: Bytes of contexts sorted at once (the contexts of one anchor stay together).
 SORT_BYTES = 1 << 20
+#: Occurrences marked at once, and the size of a bucket: contexts are larger than hashes.
+MARK_ROWS = 1 << 15
+BUCKET_SHARE = 0.35
 
 
 # ---------------------------------------------------- difference-cover sorting
 
 def _dense(x: np.ndarray) -> np.ndarray:
-    return np.unique(x, return_inverse=True)[1].astype(np.int64)
-
-
-def _pair(a: np.ndarray, b: np.ndarray, a_max: int, b_max: int) -> np.ndarray:
-    if (a_max + 1) * (b_max + 1) >= 1 << 63:
-        both = np.concatenate((a, b))
-        both = _dense(both)
-        a, b, b_max = both[:len(a)], both[len(a):], int(both.max())
-    return a * (b_max + 1) + b
-
-
-def _names(s: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Order-preserving names 1, 2, ... of the triples at ``at``."""
-    top = int(s.max())
-    if (top + 1) ** 3 <= 1 << 21:
-        key = (s[at] * (top + 1) + s[at + 1]) * (top + 1) + s[at + 2]
-        seen = np.zeros((top + 1) ** 3, bool)
-        seen[key] = True
-        return np.cumsum(seen)[key]
-    two = s[at] * (top + 1) + s[at + 1]
-    two_top = (top + 1) ** 2
-    if two_top * (top + 1) >= 1 << 63:
-        two = _dense(two)
-        two_top = int(two.max()) + 1
-    return _dense(two * (top + 1) + s[at + 2]) + 1
-
-
-def suffix_ranks(s: np.ndarray, depth: int, span: int = 1) -> np.ndarray:
-    """Ranks of the suffixes of ``s`` (symbols >= 1, each standing for ``span``
-    bytes). Suffixes that differ within ``depth`` bytes are ranked in order, and
-    suffixes that agree there have neighbouring ranks."""
-    n = len(s)
-    s = np.concatenate((s.astype(np.int64), np.zeros(4, np.int64)))
-    one, two, rest = np.arange(1, n, 3), np.arange(2, n, 3), np.arange(0, n, 3)
-    sample = np.concatenate((one, two))
-    name = _names(s, sample)
-    if 3 * span < depth and len(sample) > 2 and int(name.max()) < len(sample):
-        # The name strings of both residues, apart by a symbol below all names.
-        ranked = suffix_ranks(np.concatenate((name[:len(one)] + 1, [1], name[len(one):] + 1)), depth, 3 * span)
-        name = np.delete(ranked, len(one)) + 1
-    rank = np.zeros(n + 4, np.int64)
-    rank[sample] = name
-    top, most = int(s.max()), int(name.max()) if len(name) else 0
-    # Remaining suffixes against each other and the first residue by (symbol,
-    # rank of the next), against the second by (symbol, symbol, rank after).
-    rest_one = _pair(s[rest], rank[rest + 1], top, most)
-    keys_one = _pair(s[one], rank[one + 1], top, most)
-    if top + 1 <= 1 << 20 and (top + 1) ** 2 * (most + 1) < 1 << 63:
-        rest_two = (s[rest] * (top + 1) + s[rest + 1]) * (most + 1) + rank[rest + 2]
-        keys_two = (s[two] * (top + 1) + s[two + 1]) * (most + 1) + rank[two + 2]
-    else:
-        both = _dense(np.concatenate((s[rest] * (top + 1) + s[rest + 1], s[two] * (top + 1) + s[two + 1])))
-        joint = both * (most + 1) + np.concatenate((rank[rest + 2], rank[two + 2]))
-        rest_two, keys_two = joint[:len(rest)], joint[len(rest):]
-    sorted_rest, sorted_one, sorted_two = np.sort(rest_one), np.sort(keys_one), np.sort(keys_two)
-    less = np.concatenate(([0], np.cumsum(np.bincount(name, minlength=most + 1)))) if len(name) else np.zeros(1, np.int64)
-    out = np.empty(n, np.int64)
-    out[rest] = (np.searchsorted(sorted_rest, rest_one) + np.searchsorted(sorted_one, rest_one)
-                 + np.searchsorted(sorted_two, rest_two))
-    out[one] = less[rank[one]] + np.searchsorted(sorted_rest, keys_one)
-    out[two] = less[rank[two]] + np.searchsorted(np.sort(rest_two), keys_two)
+    """Order-preserving names 1, 2, ... of the values."""
+    order = np.argsort(x)
+    x = x[order]
+    out = np.empty(len(x), np.int64)
+    out[order] = np.concatenate(([1], 1 + np.cumsum(x[1:] != x[:-1])))
     return out
 
 
-def _smallest_owner(contexts: list[bytes] | np.ndarray, sizes: np.ndarray, owner: np.ndarray, length: int):
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number per pair of names, ordered as the pairs."""
+    most_a, most_b = int(a.max(initial=0)), int(b.max(initial=0))
+    if (most_a + 1) * (most_b + 1) >= 1 << 63:
+        a = _dense(a)
+    return a * (most_b + 1) + b
+
+
+def suffix_ranks(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Ranks of the suffixes of ``text`` (bytes) at ``starts``: suffixes that
+    differ in their first ``length`` bytes are in order, suffixes that agree
+    there have neighbouring ranks.
+
+    The cover's residues are 1 and 2 modulo 3. Sampled suffixes are named by
+    their first 8 bytes, then by triples of names, then by triples of those
+    names, until a name spans ``length`` bytes (the parts of a triple may
+    overlap, so that all its positions are of one residue).
+    """
+    n, reach = len(text), 3 * length + 24
+    padded = np.concatenate((text, np.zeros(reach, np.uint8)))
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, 8)[:n]).view(">u8").ravel()
+    sample = np.flatnonzero(np.arange(n) % 3)
+    name = np.zeros(n + reach, np.int64)
+    span = 8
+    name[sample] = _dense(words[sample].astype(np.uint64)) if len(sample) else 0
+    while span < length:
+        step = span // 3 * 3
+        pair = _joined(name[sample], name[sample + step])
+        name[sample] = _dense(_joined(pair, name[sample + 2 * step])) if len(sample) else 0
+        span += 2 * step
+    # Remaining suffixes (residue 0) meet each other and residue 1 by (byte, name
+    # of the next suffix), residue 2 by (byte, byte, name of the one after).
+    by = [starts[starts % 3 == r] for r in range(3)]
+    first, second = {}, {}
+    both = np.concatenate((by[0], by[2]))
+    joint = _joined(padded[both].astype(np.int64) * 256 + padded[both + 1], name[both + 2])
+    second[0], second[2] = joint[:len(by[0])], joint[len(by[0]):]
+    together = np.concatenate((by[0], by[1]))
+    joint = _joined(padded[together].astype(np.int64), name[together + 1])
+    first[0], first[1] = joint[:len(by[0])], joint[len(by[0]):]
+    sampled = np.concatenate((name[by[1]], name[by[2]]))
+    order = [np.sort(first[0]), np.sort(first[1]), np.sort(second[2]), np.sort(second[0]), np.sort(sampled)]
+    out = np.empty(len(starts), np.int64)
+    out[starts % 3 == 0] = _below(order[0], first[0]) + _below(order[1], first[0]) + _below(order[2], second[0])
+    out[starts % 3 == 1] = _below(order[4], name[by[1]]) + _below(order[0], first[1])
+    out[starts % 3 == 2] = _below(order[4], name[by[2]]) + _below(order[3], second[2])
+    return out
+
+
+def _below(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """How many of a sorted table are smaller than each value."""
+    order = np.argsort(values)
+    out = np.empty(len(values), np.int64)
+    out[order] = np.searchsorted(table, values[order])
+    return out
+
+
+def _smallest_owner(contexts: np.ndarray, sizes: np.ndarray, owner: np.ndarray, length: int):
     """Smallest owner of the string that starts at each window of the contexts
     (rows of ``contexts``, ``sizes`` bytes long), windows in order."""
     windows = sizes - length + 1
     inside = np.arange(contexts.shape[1]) < sizes[:, None]
-    text = contexts[inside].astype(np.int64) + 1
+    text = contexts[inside]
     begin = np.cumsum(sizes) - sizes
     before = np.cumsum(windows) - windows
     start = np.repeat(begin - before, windows) + np.arange(windows.sum())
-    symbols = np.zeros(257, np.int64)
-    symbols[text] = 1
-    text = np.cumsum(symbols)[text]
-    rank = suffix_ranks(text, length)[start]
-    order = np.argsort(rank, kind="stable")
-    flat = contexts[inside]
-    strings = np.lib.stride_tricks.sliding_window_view(flat, length)
+    order = np.argsort(suffix_ranks(text, start, length), kind="stable")
+    strings = np.lib.stride_tricks.sliding_window_view(text, length)
     sorted_start = start[order]
     new = np.ones(len(order), bool)
     for i in range(0, len(order) - 1, 1 << 16):
@@ -135,6 +134,22 @@ def _smallest_owner(contexts: list[bytes] | np.ndarray, sizes: np.ndarray, owner
     return out
 
 
+def _removed(smallest, at, windows, context, ids, number):
+    """(occurrence, first window, last window) of the runs of windows that also
+    start in a document smaller than the occurrence's own (``ids``)."""
+    n = windows[context]
+    before = np.cumsum(n) - n
+    occurrence = np.repeat(np.arange(len(context)), n)
+    offset = np.arange(len(occurrence)) - before[occurrence]
+    cut = smallest[at[context][occurrence] + offset] < ids[occurrence]
+    new = np.concatenate(([True], occurrence[1:] != occurrence[:-1]))
+    edge, stop = cut.copy(), cut.copy()
+    edge[1:] &= ~cut[:-1] | new[1:]
+    stop[:-1] &= ~cut[1:] | new[1:]
+    a, z = np.flatnonzero(edge), np.flatnonzero(stop)
+    return occurrence[a] + number, offset[a], offset[z]
+
+
 # ---------------------------------------------------------------- distribution
 
 class _Anchors:
@@ -149,7 +164,7 @@ class _Anchors:
             size = length - gram + 1
             if len(grams) < size:
                 continue
-            at = _anchor_of_window((grams >> np.uint64(32)).astype(np.uint32), size)
+            at = sliding_minima((grams >> np.uint64(32)).astype(np.uint32), size)
             start = np.arange(len(at))
             owner = np.searchsorted(offsets, start, side="right") - 1
             valid = start + length <= offsets[owner + 1]
@@ -162,35 +177,17 @@ class _Anchors:
             doc.append(owner[edge] + i)
             first.append(start[edge] + base)
             last.append(start[np.append(edge[1:], len(start)) - 1] + base)
-            hashes.append(grams[at[edge]] >> np.uint64(16))
+            # Anchors are minima, so their hashes are small; mixed again they spread evenly.
+            hashes.append(mix64(grams[at[edge]]) >> np.uint64(16))
         none = np.zeros(0, np.int64)
         self.doc, self.first, self.last = (np.concatenate([none, *x]) for x in (doc, first, last))
         self.hashes = np.concatenate([np.zeros(0, np.uint64), *hashes])
         self.order = np.argsort(self.hashes, kind="stable")
 
 
-def _anchor_of_window(hashes: np.ndarray, w: int) -> np.ndarray:
-    """Position of the rightmost minimum of every window of ``w`` hashes."""
-    chosen = window_minima(hashes, w)
-    # Windows move over the chosen positions in order: the last chosen position
-    # that a window reaches is its own unless an earlier one still in it is smaller.
-    key = (hashes.astype(np.uint64) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(len(hashes), dtype=np.uint64))
-    value = key[chosen]
-    n = len(hashes) - w + 1
-    # Chosen position c is the minimum from the first window after every smaller
-    # key on its left has left, until a smaller key on its right has entered.
-    begins = np.empty(len(chosen), np.int64)
-    begins[0] = 0
-    falls = value[1:] < value[:-1]
-    begins[1:] = np.where(falls, chosen[1:] - w + 1, chosen[:-1] + 1)
-    at = np.zeros(n, np.int64)
-    at[np.minimum(begins[1:], n - 1)] += 1
-    return chosen[np.cumsum(at)]
-
-
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_bytes, n_removed, kept, spans): the bytes left and those removed."""
-    plan = Plan(docs)
+    plan = Plan(docs, BUCKET_SHARE)
     buckets, width = plan.buckets, 2 * length - gram
 
     def anchors(chunk: Chunk):
@@ -242,12 +239,14 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         rows = np.concatenate([blobs[c][2].reshape(-1, width) for c in names])
         count = np.concatenate([blobs[c][3] for c in names]).astype(np.int64)
         ids, doc, first = (np.concatenate([blobs[c][k] for c in names]) for k in (4, 5, 6))
-        chunk = np.repeat(np.arange(len(names)), [len(blobs[c][4]) for c in names])
         begin = np.cumsum(count) - count
         owner = np.minimum.reduceat(ids, begin)
         # Equal contexts of all chunks are one; contexts of one anchor stay together.
+        n_blobs = [len(blobs[c][4]) for c in names]
+        blobs.clear()
         whole = np.concatenate((anchor.astype(">u8").view(np.uint8).reshape(-1, 8), size[:, None], rows), axis=1)
-        key, which = np.unique(np.ascontiguousarray(whole).view(np.dtype((np.void, width + 9))).ravel(), return_inverse=True)
+        key, which = np.unique(whole.view(np.dtype((np.void, width + 9))).ravel(), return_inverse=True)
+        del whole, rows
         table = key.view(np.uint8).reshape(-1, width + 9)
         least = np.full(len(key), np.iinfo(np.int64).max)
         np.minimum.at(least, which, owner)
@@ -267,23 +266,14 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         windows = sizes - length + 1
         at = np.cumsum(windows) - windows
         context = np.repeat(which, count)
-        # Occurrences of contexts with a smaller document somewhere, window by window.
-        n = windows[context]
-        mine = np.repeat(at[context] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        cut = smallest[mine] < np.repeat(ids, n)
-        occurrence = np.repeat(np.arange(len(context)), n)
-        edge = cut.copy()
-        edge[1:] &= ~(cut[:-1] & (occurrence[1:] == occurrence[:-1]))
-        stop = cut.copy()
-        stop[:-1] &= ~(cut[1:] & (occurrence[1:] == occurrence[:-1]))
-        offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        a, z = np.flatnonzero(edge), np.flatnonzero(stop)
-        span = occurrence[a]
-        for c in range(len(names)):
-            own = chunk[span] == c
-            if own.any():
-                yield names[c], (doc[span[own]], first[span[own]].astype(np.int64) + offset[a[own]],
-                                 (offset[z[own]] - offset[a[own]] + length).astype(np.int32))
+        spans = [_removed(smallest, at, windows, context[i:i + MARK_ROWS], ids[i:i + MARK_ROWS], i)
+                 for i in range(0, len(context), MARK_ROWS)]
+        span, begins, ends = (np.concatenate(x) for x in zip(*spans, strict=True))
+        border = np.searchsorted(span, np.concatenate(([0], np.cumsum(n_blobs))))
+        for c, i, j in zip(names, border[:-1], border[1:], strict=True):
+            if i < j:
+                yield c, (doc[span[i:j]], first[span[i:j]].astype(np.int64) + begins[i:j],
+                          (ends[i:j] - begins[i:j] + length).astype(np.int32))
 
     columns = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary()),
                          ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
