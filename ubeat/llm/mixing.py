@@ -17,11 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ubeat.llm.common import WORD_RE
+from ubeat.llm.common import WORD_RE, checkpoint
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = 17
+#: Sources whose targets go to every task; beyond that the join shuffles.
+MAX_BROADCAST_SOURCES = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -64,6 +66,9 @@ def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, seed: int = SEED) ->
     """``docs`` with size, source_size, target and copies (how often it is taken)."""
     sized = docs.withColumn("size", word_count(F.col("text")))
     per = source_targets(sized.select("source", "size"), weights, cap).withColumnRenamed("source", "_source")
+    per = checkpoint(per)
+    if per.count() <= MAX_BROADCAST_SOURCES:
+        per = F.broadcast(per)  # so that a hot source's documents are not shuffled to one task
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
     copies = whole + F.when(draw(F.col("doc_id"), seed) < rate - whole, 1).otherwise(0)
