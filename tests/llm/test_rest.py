@@ -72,6 +72,66 @@ def test_link_scores_match_power_iteration(spark):
     assert urlfilter.judge(_pages(spark, [])).count() == 0
 
 
+def _hub_and_leaves(n):
+    """``n`` sites under bad.com and good.org; every site has three pages without a
+    rule or, three sites in four, two of them with one; all good sites link to one
+    bad site, and one linker only to it."""
+    rows = []
+    for i in range(n):
+        for tld, tag in (("bad.com", "de"), ("good.org", "fr")):
+            for p in range(3):
+                path = tag if p < 2 and i % 4 else "x"
+                link = '<a href="//s1.bad.com/">' if tld == "good.org" else ""
+                rows.append((len(rows), f"http://s{i}.{tld}/{path}/{p}", link))
+    rows.append((len(rows), "http://linker.xyz/a", '<a href="//s1.bad.com/">' * 5))
+    return rows
+
+
+def test_link_shares_do_not_depend_on_the_size_of_the_graph(spark):
+    rules = (("block", "bad.com", "/de/"), ("allow", "good.org", "/fr/"))
+    shares, verdicts = {}, {}
+    for n in (8, 200):
+        pages = _pages(spark, _hub_and_leaves(n))
+        shares[n] = {r.host: r for r in urlfilter.host_shares(urlfilter.ruled(pages, rules)).collect()}
+        assert all(-1e-9 <= s <= 1 + 1e-9 for r in shares[n].values() for s in (r.trust, r.distrust))
+        verdicts[n] = collections.defaultdict(set)
+        for r in urlfilter.judge_by_share(pages, rules).where("rule is null").collect():
+            verdicts[n][r.host].add(r.verdict)
+        plain = urlfilter.judge(pages, rules).where("rule is null and host like '%bad.com'")
+        if n == 200:
+            assert {r.verdict for r in plain.collect()} == {"allow"}  # what the scores alone come to
+    for n in shares:
+        assert verdicts[n]["s2.bad.com"] == {"block"} and verdicts[n]["s2.good.org"] == {"allow"}
+    for host in ("s2.bad.com", "s2.good.org"):
+        a, b = (shares[n][host] for n in (8, 200))
+        assert abs((a.distrust - a.trust) - (b.distrust - b.trust)) < 0.1
+
+
+def test_link_shares_match_the_fixed_point(spark):
+    rng = random.Random(4)
+    hosts = [f"h{i}.example.{t}" for i in range(5) for t in ("net", "com", "org")]
+    rows = [(i, f"http://{rng.choice(hosts)}/{rng.choice(['en', 'de', 'fr'])}/{i}",
+             "".join(f'<a href="//{rng.choice(hosts)}/x">' for _ in range(rng.randint(0, 3)))) for i in range(90)]
+    pages = urlfilter.ruled(_pages(spark, [*rows, (900, None, None)]))
+    edges = {(r.src, r.dst): r.weight for r in urlfilter.host_edges(pages).collect()}
+    seeds = {r.host: (r.t, r.d) for r in pages.where("host != ''").groupBy("host").agg(
+        F.avg(F.expr("if(ruled <=> 'allow', 1.0D, 0.0D)")).alias("t"), F.avg(F.expr("if(ruled <=> 'block', 1.0D, 0.0D)")).alias("d")).collect()}
+    names = sorted({x for e in edges for x in e} | set(seeds))
+    m = np.zeros((len(names), len(names)))
+    for (a, b), w in edges.items():
+        m[names.index(a), names.index(b)] = w
+    got = {r.host: r for r in urlfilter.host_shares(pages).collect()}
+    for k, steps in (("trust", m / np.maximum(m.sum(axis=1, keepdims=True), 1)), ("distrust", m.T / np.maximum(m.sum(axis=0)[:, None], 1))):
+        fixed = np.linalg.inv(np.eye(len(names)) - urlfilter.DAMPING * steps.T)
+        kind = ("trust", "distrust").index(k)
+        part = fixed @ np.array([seeds.get(n, (0, 0))[kind] for n in names])
+        mass = fixed @ np.array([float(n in seeds) for n in names])
+        for n, a, b in zip(names, part, mass, strict=True):
+            assert (got[n][k] if n in got else 0) == pytest.approx(a / b if b else 0, abs=3 * urlfilter.BOUND), (n, k)
+    assert urlfilter.judge_by_share(_pages(spark, [])).count() == 0
+    assert urlfilter.judge_by_share(_pages(spark, rows)).count() == len(rows)
+
+
 # ---------------------------------------------------------------------- mixing
 
 def _targets(sizes):

@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": decontamination.op1_decontaminate,
         "op2_urls": urlfilter.op2_urls,
+        "op2_urls_share": urlfilter.op2_urls_share,
         "op3_substring_dedup": blockdedup.op3_substring_dedup,
         "op4_suffix_dedup": suffixdedup.op4_suffix_dedup,
         "op5_simhash": simhash.op5_simhash,

@@ -15,6 +15,14 @@ so sites with relative links only are connected too. Links are counted map-side
 first, ranks are rows of a table, and each round is one join and one sum; every
 ``CUT`` rounds the ranks are checkpointed.
 
+These scores shrink with a host's number of neighbours, so on larger graphs no
+difference reaches ``BLOCK_AT``. ``judge_by_share`` (query ``op2_urls_share``)
+divides each score by what the same walk brings the host when every page is a
+seed: distrust becomes the share of blocked pages, trust of allowed ones, among
+the pages that reach the host, each in [0, 1] whatever the size of the graph. It
+walks until no share changes by ``BOUND`` in ``CUT`` rounds; the rules and
+``BLOCK_AT`` are the same.
+
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits
 no rule and is allowed (an empty host has no edges and no score); a null html has
 no links; repeated pages weigh as often as they come; an empty table gives no
@@ -35,6 +43,8 @@ DAMPING = 0.85
 ROUNDS = 12
 CUT = 4
 BLOCK_AT = 0.25
+#: Shares: the largest change that ends the walk, per ``CUT`` rounds.
+BOUND = 1e-4
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LINK = r"""(?i)(?:href|src)\s*=\s*["']?((?:[a-z][a-z0-9+.\-]*:)?//[^\s"'<>]*)"""
@@ -84,30 +94,68 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return (links.unionByName(both).where("src != dst").groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
-def host_scores(pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) from ``pages`` with host, html and ruled."""
+def _steps(edges: DataFrame, kind: str, a: str, b: str, damping: float) -> DataFrame:
+    total = edges.groupBy(F.col(a).alias("at")).agg(F.sum("weight").alias("total"))
+    return edges.select(F.col(a).alias("at"), F.col(b).alias("to"), "weight").join(total, "at").select(
+        "at", "to", F.lit(kind).alias("kind"), (F.lit(damping) * F.col("weight") / F.col("total")).alias("p"))
+
+
+def _walk(pages: DataFrame, damping: float) -> DataFrame:
+    """(at, to, kind, p): a step along links for trust, against them for distrust."""
     edges = checkpoint(host_edges(pages))
+    return checkpoint(_steps(edges, "trust", "src", "dst", damping).union(_steps(edges, "distrust", "dst", "src", damping)))
+
 
-    def steps(kind: str, a: str, b: str) -> DataFrame:
-        total = edges.groupBy(F.col(a).alias("at")).agg(F.sum("weight").alias("total"))
-        return edges.select(F.col(a).alias("at"), F.col(b).alias("to"), "weight").join(total, "at").select(
-            "at", "to", F.lit(kind).alias("kind"), (F.lit(damping) * F.col("weight") / F.col("total")).alias("p"))
+def _round(walk: DataFrame, ranks: DataFrame, seeds: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """One round; ``kinds`` has the direction of every score."""
+    sent = walk.join(ranks, walk["at"] == ranks["host"]).select(
+        F.col("to").alias("host"),
+        *[F.when(F.col("kind") == k, F.col("p") * F.col(c)).otherwise(0.0).alias(c) for c, k in kinds.items()])
+    return sent.union(seeds).groupBy("host").agg(*[F.sum(c).alias(c) for c in kinds])
 
-    walk = checkpoint(steps("trust", "src", "dst").union(steps("distrust", "dst", "src")))
-    share = lambda kind: F.avg(F.when(F.col("ruled") == kind, 1.0).otherwise(0.0))
+
+def _share(kind: str) -> Column:
+    return F.avg(F.when(F.col("ruled") == kind, 1.0).otherwise(0.0))
+
+
+def host_scores(pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+    """(host, trust, distrust) from ``pages`` with host, html and ruled."""
+    walk = _walk(pages, damping)
     seeds = checkpoint(pages.where("host != ''").groupBy("host").agg(
-        (share("allow") * (1 - damping)).alias("trust"), (share("block") * (1 - damping)).alias("distrust")))
+        (_share("allow") * (1 - damping)).alias("trust"), (_share("block") * (1 - damping)).alias("distrust")))
     ranks = seeds
     for i in range(rounds):
-        sent = walk.join(ranks, walk["at"] == ranks["host"]).select(
-            F.col("to").alias("host"),
-            *[F.when(F.col("kind") == k, F.col("p") * F.col(k)).otherwise(0.0).alias(k) for k in ("trust", "distrust")])
-        ranks = sent.union(seeds).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
+        ranks = _round(walk, ranks, seeds, {"trust": "trust", "distrust": "distrust"})
         if i % CUT == CUT - 1:
             ranks = checkpoint(ranks)
     return ranks.select("host", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
 
 
+def host_shares(pages: DataFrame, damping: float = DAMPING, bound: float = BOUND) -> DataFrame:
+    """(host, trust, distrust) as shares of the walk's mass; ``pages`` as for
+    ``host_scores``. A host that no page reaches has shares 0."""
+    walk = _walk(pages, damping)
+    seeds = checkpoint(pages.where("host != ''").groupBy("host").agg(
+        (_share("allow") * (1 - damping)).alias("trust"), (_share("block") * (1 - damping)).alias("distrust"),
+        F.lit(1 - damping).alias("trust_mass"), F.lit(1 - damping).alias("distrust_mass")))
+    kinds = {"trust": "trust", "distrust": "distrust", "trust_mass": "trust", "distrust_mass": "distrust"}
+
+    def shares(ranks: DataFrame) -> DataFrame:
+        return ranks.select("host", *[F.when(F.col(f"{k}_mass") > 0, F.col(k) / F.col(f"{k}_mass")).otherwise(0.0).alias(k)
+                                      for k in ("trust", "distrust")])
+
+    ranks, change = seeds, bound
+    while change >= bound:
+        before = ranks
+        for _ in range(CUT):
+            ranks = _round(walk, ranks, seeds, kinds)
+        ranks = checkpoint(ranks)
+        old, new = shares(before).alias("old"), shares(ranks).alias("new")
+        moved = [F.abs(F.coalesce(F.col(f"old.{k}"), F.lit(0.0)) - F.col(f"new.{k}")) for k in ("trust", "distrust")]
+        change = new.join(old, F.col("old.host") == F.col("new.host"), "left").agg(F.max(F.greatest(*moved))).first()[0] or 0.0
+    return shares(ranks)
+
+
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every page."""
     seen = ruled(pages.select("page_id", "url", "html"), rules)
@@ -118,10 +166,23 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
                     F.coalesce("ruled", F.when(blocked, "block").otherwise("allow")).alias("verdict")))
 
 
+def judge_by_share(pages: DataFrame, rules=RULES) -> DataFrame:
+    """Like ``judge``, by shares: (page_id, host, path, rule, verdict)."""
+    seen = ruled(pages.select("page_id", "url", "html"), rules)
+    blocked = F.coalesce(F.col("distrust") - F.col("trust") >= BLOCK_AT, F.lit(False))
+    return (seen.select("page_id", "host", "path", "rule", "ruled").join(host_shares(seen), "host", "left")
+            .select("page_id", "host", "path", "rule",
+                    F.coalesce("ruled", F.when(blocked, "block").otherwise("allow")).alias("verdict")))
+
+
 def op2_urls(spark, sf_dir) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op2_urls_share(spark, sf_dir) -> DataFrame:
+    return judge_by_share(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def _sql() -> str:
     host = r"translate(regexp_extract({0}, '^([^/?#]*)', 1), '" + _UPPER + "', '" + _LOWER + "')"
     order = sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1:]))
