@@ -264,6 +264,22 @@ def test_winnowing_guarantee(shared, a, b):
     assert sorted(at.tolist()) == at.tolist()
 
 
+def test_likeness_holds_for_short_texts():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnoprstuvwy") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    near = collections.defaultdict(list)
+    for low, high in ((8, 26), (27, 31), (32, 83), (84, 200), (201, 2000)):
+        for _ in range(100):
+            a, b = (" ".join(rng.choices(words, k=1000))[:rng.randint(low, high)].encode() for _ in range(2))
+            own = fingerprints.winnow(a)[0]
+            near[low].append((fingerprints.likeness(own, fingerprints.winnow(fingerprints.edited(a, b))[0]),
+                              fingerprints.likeness(own, fingerprints.winnow(b)[0])))
+    for low, pairs in near.items():
+        changed, other = np.mean(pairs, axis=0)
+        assert changed > 5 * other and changed > (0.2 if low < 27 else 0.4), (low, changed, other)
+        assert low < 27 or all(e > 0 for e, _ in pairs), low
+
+
 # ------------------------------------------------------------------------ chat
 
 @settings(max_examples=300, deadline=None)

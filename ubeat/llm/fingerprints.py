@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ubeat.llm.common import byte_hash
 
-K = 24
-W = 60
+K = 8
+W = 13
 #: Rows a range should have, and the number of ranges that are told apart at most
 #: (a range is streamed, so its size is not bounded by memory).
 RANGE_ROWS = 4_000
