@@ -1,9 +1,11 @@
 """Stream forms equal the batch operators (closed windows / fired timers)."""
 import itertools
 import os
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from conftest import rows, ts
 from ubeat.operators import ranking, windows
 from ubeat.operators.fraud import click_fraud_filter
@@ -138,6 +140,16 @@ def test_stream_tx_match_equals_batch(spark, tmp_path):
     assert rows(got, *cols) == rows(want, *cols)
 
 
+def test_registered_tx_stream_gives_lonely_rows(spark):
+    got = {(r.tag, r.pay_seq, r.receipt_seq): r for r in entry.queries()["stream_tx_reconcile"](spark, SF).collect()}
+    ev = tb.load(spark, SF, "events")
+    want = {(r.tag, r.pay_seq, r.receipt_seq): r for r in tx_match(tb.pays(ev), tb.receipts(ev), "5 hours", "3 hours").collect()}
+    assert {k[0] for k in got} == {"matched", "unmatched_pay", "unmatched_receipt"} and got.keys() <= want.keys()
+    last = min(max(r.pay_ts for r in want.values() if r.pay_ts), max(r.receipt_ts for r in want.values() if r.receipt_ts))
+    for r in (want[k] for k in want.keys() - got.keys()):
+        assert (r.pay_ts or r.receipt_ts) + timedelta(hours=5 if r.pay_ts else 3) > last - timedelta(milliseconds=1)
+
+
 def test_stream_fraud_filter_daily_reset(spark, tmp_path):
     base = 16 * 3600  # 00:00 at UTC+8
     data = [(1, "click", ts(base - 30 + i), i) for i in range(3)] + \

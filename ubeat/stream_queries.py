@@ -235,14 +235,33 @@ def stream_order_timeout(spark: SparkSession, sf: str) -> DataFrame:
                    "create_ts", "pay_ts")
 
 
-@register("stream_tx_match", f"SELECT * FROM ({_ORACLES['tx_match']}) WHERE tag = 'matched'")
-def stream_tx_match(spark: SparkSession, sf: str) -> DataFrame:
-    """Full outer stream-stream join; its matched rows (lonely ones appear when
-    the watermark of both sides passes their band, tested in tests/)."""
+def _tx(spark: SparkSession, sf: str) -> DataFrame:
     out = _result(spark, sf, "tx", lambda ev: st.stream_tx_match(tb.pays(ev), tb.receipts(ev), "5 hours", "3 hours"),
                   "pay_ts", "receipt_ts")
-    return out.where("tag = 'matched'").select("tag", "tx_id", "pay_order_id", "pay_ts", "pay_seq",
-                                               "receipt_pay_channel", "receipt_ts", "receipt_seq")
+    return out.select("tag", "tx_id", "pay_order_id", "pay_ts", "pay_seq", "receipt_pay_channel", "receipt_ts", "receipt_seq")
+
+
+@register("stream_tx_match", f"SELECT * FROM ({_ORACLES['tx_match']}) WHERE tag = 'matched'")
+def stream_tx_match(spark: SparkSession, sf: str) -> DataFrame:
+    """The matched rows of the full outer stream-stream join; ``stream_tx_reconcile``
+    has the lonely ones too."""
+    return _tx(spark, sf).where("tag = 'matched'")
+
+
+#: The final watermark of pays and receipts: the lower of the two, none without rows of both.
+_LAST_TX = """(SELECT CASE WHEN count(*) = 2 THEN make_timestamp(epoch_us(min(t)) // 1000 * 1000) END FROM (
+  SELECT max(ts) AS t FROM events WHERE event_type IN ('purchase', 'signup') GROUP BY event_type))"""
+
+
+@register("stream_tx_reconcile", f"""
+SELECT * FROM ({_ORACLES['tx_match']}) WHERE tag = 'matched'
+  OR tag = 'unmatched_pay' AND pay_ts + INTERVAL 5 HOUR <= {_LAST_TX}
+  OR tag = 'unmatched_receipt' AND receipt_ts + INTERVAL 3 HOUR <= {_LAST_TX}
+""")
+def stream_tx_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows of the full outer stream-stream join, lonely ones once the
+    watermark of both sides has passed their band."""
+    return _tx(spark, sf)
 
 
 @register("stream_click_fraud_filter", _FRAUD_ORACLE)
