@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from ubeat.llm import blockdedup, chat, decontamination, fingerprints, mixing, sharding, simhash, suffixdedup, toxicity, urlfilter
+from ubeat.llm import bestfit, blockdedup, chat, decontamination, fingerprints, mixing, sharding, simhash, suffixdedup, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_chat": chat.op9_chat,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op13_best_fit": bestfit.op13_best_fit,
         "pipeline": corpus_pipeline.run,
     }
 
