@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from ubeat.llm import bestfit, blockdedup, chat, decontamination, fingerprints, hardneg, mixing, sharding, simhash, suffixdedup, toxicity, urlfilter
+from ubeat.llm import bestfit, blockdedup, chat, decontamination, fingerprints, hardneg, mixing, prefixtrie, sharding, simhash, suffixdedup, toxicity, urlfilter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_chat": chat.op9_chat,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_prefix_trie": prefixtrie.op11_prefix_trie,
         "op12_hard_negatives": hardneg.op12_hard_negatives,
         "op13_best_fit": bestfit.op13_best_fit,
         "pipeline": corpus_pipeline.run,
@@ -30,4 +31,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_urls": urlfilter.SQL, "op6_mix_sources": mixing.SQL, "op12_hard_negatives": hardneg.SQL}
+    return {"op2_urls": urlfilter.SQL, "op6_mix_sources": mixing.SQL, "op11_prefix_trie": prefixtrie.SQL,
+            "op12_hard_negatives": hardneg.SQL}
