@@ -1,5 +1,7 @@
 """op13: ids against the tokenizer itself, the plan against best-fit over documents, whole packings."""
 
+import functools
+import json
 import zlib
 from bisect import bisect_left, insort
 
@@ -15,11 +17,15 @@ from ubeat.llm.common import checkpoint
 SF = "/root/testdata/sf0.001"
 
 
-def library_ids(text):
+@functools.cache
+def library():
     from tokenizers import Tokenizer
 
-    found = library_ids.__dict__.setdefault("t", Tokenizer.from_file(bestfit.tokenizer_path()))
-    return found.encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(bestfit.tokenizer_path())
+
+
+def library_ids(text):
+    return library().encode(text, add_special_tokens=False).ids
 
 
 def own_ids(text):
@@ -28,7 +34,7 @@ def own_ids(text):
 
 @pytest.mark.parametrize("text", [
     "", " ", "\n\n  x\t\ty ", "it's they'll 'S ''", "a<|endoftext|>b  <|endoftext|>", "힣é ​12 34½", "  　 trailing  ",
-    "\x00\x7f퟿\U0001f600", "A" * 5000, " " * 3000 + "end", "x1y2 z3!?…--"])
+    "\x00\x7f퟿\U0001f600", "A" * 5000, " " * 3000 + "end", " " * 400_000, "x1y2 z3!?…--"])
 def test_ids_are_the_tokenizers(text):
     assert own_ids(text) == library_ids(text)
 
@@ -39,13 +45,35 @@ def test_ids_of_any_text(text):
     assert own_ids(text) == library_ids(text)
 
 
-def test_long_texts_and_full_caches_change_nothing(monkeypatch):
-    text = "One two  three\n\nfour, five-six 789. " * 40
-    want = library_ids(text)
-    monkeypatch.setattr(bestfit, "LONG_CHARS", 100)
-    monkeypatch.setattr(bestfit, "SLICE_WORDS", 7)
-    monkeypatch.setattr(bestfit, "CACHE_WORDS", 3)
-    assert own_ids(text) == want
+@settings(max_examples=60, deadline=None)
+@given(st.text(" \n\t a'.s1　", max_size=60))
+def test_slices_change_nothing(text):
+    kept, bestfit.LONG_CHARS = bestfit.LONG_CHARS, 3
+    try:
+        assert own_ids(text) == library_ids(text)
+    finally:
+        bestfit.LONG_CHARS = kept
+
+
+def test_every_token_and_the_texts_of_a_table():
+    import duckdb
+
+    chars = bestfit.byte_chars()
+    with open(bestfit.tokenizer_path(), encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    texts = [bytes(chars[c] for c in t).decode(errors="replace") for t in vocab if all(c in chars for c in t)]
+    texts += [r[0] for r in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet' WHERE text IS NOT NULL").fetchall()]
+    assert len(texts) > 50_000 and all(own_ids(t) == library_ids(t) for t in texts)
+
+
+def test_other_tokenizers_encode_themselves(tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    text = "Some Words, here's one   more."
+    got = np.frombuffer(bestfit.Encoder.load(path).encode(text), "<u4").tolist()
+    assert got == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
 def brute_best_fit(lengths, size):
