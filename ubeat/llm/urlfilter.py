@@ -6,8 +6,7 @@ subdomains; the longest fitting rule decides. Every other page gets its host's
 verdict: trust is a personalised PageRank from the hosts whose pages the rules
 allow, along links; distrust is one from the hosts whose pages they block,
 against the links (who links to a blocked host is distrusted). A seed's weight
-is the share of its pages with such a rule, so scores lie in [0, 1]; a host is
-blocked if distrust exceeds trust by ``BLOCK_AT`` or more.
+is the share of its pages with such a rule.
 
 Edges are the absolute links in the pages, weighted by their number, and links
 of weight 1 both ways between a host and its parent domain (down to two labels),
@@ -15,18 +14,22 @@ so sites with relative links only are connected too. Links are counted map-side
 first, ranks are rows of a table, and each round is one join and one sum; every
 ``CUT`` rounds the ranks are checkpointed.
 
-These scores shrink with a host's number of neighbours, so on larger graphs no
-difference reaches ``BLOCK_AT``. ``judge_by_share`` (query ``op2_urls_share``)
-divides each score by what the same walk brings the host when every page is a
-seed: distrust becomes the share of blocked pages, trust of allowed ones, among
-the pages that reach the host, each in [0, 1] whatever the size of the graph. It
-walks until no share changes by ``BOUND`` in ``CUT`` rounds; the rules and
-``BLOCK_AT`` are the same.
+A plain score shrinks with a host's number of neighbours and says little by
+itself, so each is divided by what the same walk brings the host when every page
+is a seed: distrust becomes the share of blocked pages, trust of allowed ones,
+among the pages that reach the host, each in [0, 1] whatever the size of the
+graph. A host is blocked if distrust exceeds trust by more than the share of
+blocked pages among all: what reaches it is worse than the corpus at large.
+``judge`` (query ``op2_urls``) walks ``ROUNDS`` rounds, so SQL can repeat it.
+
+``judge_by_share`` (query ``op2_urls_share``) walks until no share changes by
+``BOUND`` in ``CUT`` rounds and blocks from a difference of ``BLOCK_AT`` on.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits
 no rule and is allowed (an empty host has no edges and no score); a null html has
-no links; repeated pages weigh as often as they come; an empty table gives no
-rows; other columns are ignored.
+no links, a very long one all of its links; repeated pages weigh as often as they
+come; a null page_id is kept; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -131,9 +134,10 @@ def host_scores(pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS
     return ranks.select("host", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
 
 
-def host_shares(pages: DataFrame, damping: float = DAMPING, bound: float = BOUND) -> DataFrame:
+def host_shares(pages: DataFrame, damping: float = DAMPING, bound: float = BOUND, rounds: int | None = None) -> DataFrame:
     """(host, trust, distrust) as shares of the walk's mass; ``pages`` as for
-    ``host_scores``. A host that no page reaches has shares 0."""
+    ``host_scores``. ``rounds`` rounds, or until no share changes by ``bound`` in
+    ``CUT`` rounds. A host that no page reaches has shares 0."""
     walk = _walk(pages, damping)
     seeds = checkpoint(pages.where("host != ''").groupBy("host").agg(
         (_share("allow") * (1 - damping)).alias("trust"), (_share("block") * (1 - damping)).alias("distrust"),
@@ -144,6 +148,13 @@ def host_shares(pages: DataFrame, damping: float = DAMPING, bound: float = BOUND
         return ranks.select("host", *[F.when(F.col(f"{k}_mass") > 0, F.col(k) / F.col(f"{k}_mass")).otherwise(0.0).alias(k)
                                       for k in ("trust", "distrust")])
 
+    if rounds is not None:
+        ranks = seeds
+        for i in range(rounds):
+            ranks = _round(walk, ranks, seeds, kinds)
+            if i % CUT == CUT - 1:
+                ranks = checkpoint(ranks)
+        return shares(ranks).select("host", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
     ranks, change = seeds, bound
     while change >= bound:
         before = ranks
@@ -156,12 +167,17 @@ def host_shares(pages: DataFrame, damping: float = DAMPING, bound: float = BOUND
     return shares(ranks)
 
 
+def blocked_share(pages: DataFrame) -> float:
+    """The share of pages (with a host) that a rule blocks, to nine digits."""
+    return pages.where("host != ''").agg(F.round(_share("block"), 9)).first()[0] or 0.0
+
+
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every page."""
     seen = ruled(pages.select("page_id", "url", "html"), rules)
-    scores = host_scores(seen)
-    blocked = F.coalesce(F.col("distrust") - F.col("trust") >= BLOCK_AT, F.lit(False))
-    return (seen.select("page_id", "host", "path", "rule", "ruled").join(scores, "host", "left")
+    over = F.round(F.col("distrust") - F.col("trust"), 9) > F.lit(blocked_share(seen))
+    blocked = F.coalesce(over, F.lit(False))
+    return (seen.select("page_id", "host", "path", "rule", "ruled").join(host_shares(seen, rounds=ROUNDS), "host", "left")
             .select("page_id", "host", "path", "rule",
                     F.coalesce("ruled", F.when(blocked, "block").otherwise("allow")).alias("verdict")))
 
@@ -191,10 +207,12 @@ def _sql() -> str:
     link = _LINK.replace("'", "''")
     ranks = ["r0 AS (SELECT * FROM seeds)"]
     for i in range(ROUNDS):
-        ranks.append(f"""r{i + 1} AS MATERIALIZED (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
-  SELECT w.dst AS host, {DAMPING} * w.weight / o.total * r.trust AS trust, 0.0::DOUBLE AS distrust
+        ranks.append(f"""r{i + 1} AS MATERIALIZED (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust,
+  sum(trust_mass) AS trust_mass, sum(distrust_mass) AS distrust_mass FROM (
+  SELECT w.dst AS host, {DAMPING} * w.weight / o.total * r.trust AS trust, 0.0::DOUBLE AS distrust,
+         {DAMPING} * w.weight / o.total * r.trust_mass AS trust_mass, 0.0::DOUBLE AS distrust_mass
   FROM edges w JOIN outs o USING (src) JOIN r{i} r ON r.host = w.src
-  UNION ALL SELECT w.src, 0.0, {DAMPING} * w.weight / n.total * r.distrust
+  UNION ALL SELECT w.src, 0.0, {DAMPING} * w.weight / n.total * r.distrust, 0.0, {DAMPING} * w.weight / n.total * r.distrust_mass
   FROM edges w JOIN ins n USING (dst) JOIN r{i} r ON r.host = w.dst
   UNION ALL SELECT * FROM seeds) GROUP BY host)""")
     return f"""
@@ -215,11 +233,15 @@ edges AS MATERIALIZED (SELECT src, dst, sum(weight)::DOUBLE AS weight FROM (
 outs AS (SELECT src, sum(weight) AS total FROM edges GROUP BY src),
 ins AS (SELECT dst, sum(weight) AS total FROM edges GROUP BY dst),
 seeds AS MATERIALIZED (SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0::DOUBLE ELSE 0 END) * {1 - DAMPING} AS trust,
-  avg(CASE WHEN ruled = 'block' THEN 1.0::DOUBLE ELSE 0 END) * {1 - DAMPING} AS distrust
+  avg(CASE WHEN ruled = 'block' THEN 1.0::DOUBLE ELSE 0 END) * {1 - DAMPING} AS distrust,
+  {1 - DAMPING}::DOUBLE AS trust_mass, {1 - DAMPING}::DOUBLE AS distrust_mass
   FROM seen WHERE host != '' GROUP BY host),
+base AS (SELECT round(avg(CASE WHEN ruled = 'block' THEN 1.0::DOUBLE ELSE 0 END), 9) AS share FROM seen WHERE host != ''),
 {", ".join(ranks)}
 SELECT s.page_id, s.host, s.path, s.rule, coalesce(s.ruled,
-  CASE WHEN round(r.distrust, 9) - round(r.trust, 9) >= {BLOCK_AT} THEN 'block' ELSE 'allow' END) AS verdict
+  CASE WHEN round(round(CASE WHEN r.distrust_mass > 0 THEN r.distrust / r.distrust_mass ELSE 0 END, 9)
+       - round(CASE WHEN r.trust_mass > 0 THEN r.trust / r.trust_mass ELSE 0 END, 9), 9) > (SELECT share FROM base)
+       THEN 'block' ELSE 'allow' END) AS verdict
 FROM seen s LEFT JOIN r{ROUNDS} r ON r.host = s.host"""
 
 
