@@ -7,9 +7,11 @@ the number of tokens its placeholder expands to. A turn is
     <s>ROLE[INST]CONTENT[/INST]</s>
 
 and every string of the template that comes in a role or a text (also one that
-already looks escaped) gets one more backslash after its first character, so no
-user text can close a turn and reading back is exact. The loss mask of a turn
-is the content of an assistant turn, nothing else.
+already looks escaped) gets one more backslash after its first character. Texts
+that follow each other are escaped as one, so neither a text nor the border of
+two can close a turn, and reading back is exact: ``read_parts`` tells placeholders
+from texts that only look like one. The loss mask of a turn is the content of an
+assistant turn, nothing else.
 
 Turns are formatted row by row where they lie. Only the digest of a whole
 conversation needs its turns in order: they are sorted by (conv_id, turn) and
@@ -18,7 +20,8 @@ however long the conversation.
 
 Edge cases: a null text is empty, a null role is an empty role; turns with
 equal numbers are ordered by role, then text (nulls first); a null turn number
-comes first; null conv_ids are one conversation; extra columns are ignored by
+comes first; null conv_ids are one conversation; one very long turn is held by one task,
+a very long conversation never is; extra columns are ignored by
 the digest and kept by ``format_turns``; no rows give no rows.
 """
 
@@ -27,7 +30,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import singledispatchmethod
 
@@ -43,6 +46,7 @@ LOSS_ROLE = "assistant"
 _REST = "|".join(re.escape(c[1:]) for c in CONTROL)
 _ESCAPE = re.compile(rf"([<\[])(?=\\*(?:{_REST}))")
 _UNESCAPE = re.compile(rf"([<\[])\\(?=\\*(?:{_REST}))")
+_PLACEHOLDER = re.compile(r"<(image|audio|document)>")
 _TURN = re.compile(r"<s>(.*?)\[INST\](.*?)\[/INST\]</s>", re.S)
 
 
@@ -88,14 +92,21 @@ class Flattener:
     tokens_per_tile: int = 256
     tokens_per_second: int = 25
     tokens_per_page: int = 512
-    content: list[str] = field(default_factory=list)
+    content: list[str] = field(default_factory=list)  # escaped texts and placeholders
+    run: list[str] = field(default_factory=list)  # texts since the last placeholder
     attachments: list[tuple[str, str, int]] = field(default_factory=list)
     text_tokens: int = 0
 
     def _attach(self, kind: str, ref: str, tokens: int) -> None:
+        self.flush()
         self.content.append(f"<{kind}>")
         self.attachments.append((kind, ref, tokens))
 
+    def flush(self) -> None:
+        """Escape the texts that stand side by side as one text."""
+        self.content.append(escape("".join(self.run)))
+        self.run.clear()
+
     @singledispatchmethod
     def visit(self, part) -> None:
         raise TypeError(f"unknown content part: {part!r}")
@@ -103,7 +114,7 @@ class Flattener:
     @visit.register
     def _(self, part: Text) -> None:
         text = part.text or ""
-        self.content.append(escape(text))
+        self.run.append(text)
         self.text_tokens += len(text.split())
 
     @visit.register
@@ -129,19 +140,34 @@ def format_turn(role: str | None, parts: Iterable) -> tuple[str, Flattener]:
     seen = Flattener()
     for part in parts:
         seen.visit(part)
+    seen.flush()
     return f"{OPEN}{escape(role or '')}{BEGIN}{''.join(seen.content)}{END}{CLOSE}", seen
 
 
-def read_turns(formatted: str) -> list[tuple[str, str]]:
-    """(role, text) of every turn of a formatted text (placeholders stay)."""
-    out, end = [], 0
+def _split_turns(formatted: str) -> Iterator[tuple[str, str]]:
+    """(role, content) of every turn, both still escaped."""
+    end = 0
     for found in _TURN.finditer(formatted):
         if found.start() != end:
             raise ValueError(f"no turn at character {end}")
-        out.append((unescape(found[1]), unescape(found[2])))
+        yield found[1], found[2]
         end = found.end()
     if end != len(formatted):
         raise ValueError(f"no turn at character {end}")
+
+
+def read_turns(formatted: str) -> list[tuple[str, str]]:
+    """(role, text) of every turn of a formatted text (placeholders stay)."""
+    return [(unescape(role), unescape(content)) for role, content in _split_turns(formatted)]
+
+
+def read_parts(formatted: str) -> list[tuple[str, list[tuple[str, str]]]]:
+    """(role, parts) of every turn; a part is ("text", its text) or (kind, "") of an
+    attachment, so a text that says ``<image>`` is told from an image."""
+    out = []
+    for role, content in _split_turns(formatted):
+        parts = [("text", unescape(x)) if i % 2 == 0 else (x, "") for i, x in enumerate(_PLACEHOLDER.split(content))]
+        out.append((unescape(role), [p for p in parts if p != ("text", "")]))
     return out
 
 
