@@ -9,9 +9,10 @@ features.
 
 Training rows are the labelled ones that ``trainable`` lets through, at most
 ``MAX_ROWS`` of them (the smallest hashes of doc_id), a third of which only
-calibrate. The lexicon is counted in Spark over the rest: candidates are terms
-in at least ``MIN_DOCS`` toxic texts, at most ``MAX_TERMS``. Scoring is one pass
-over all documents without a shuffle.
+calibrate. The lexicon is counted in Spark over the rest: all terms in at least
+``MIN_DOCS`` toxic texts whose log-odds reach ``MIN_LOG_ODDS``, however many (the
+bound of the rows bounds them). Scoring is one pass over all documents without a
+shuffle.
 
 Edge cases: a null or empty text has zero features and is scored like any other;
 a label without a document, or a null label, is left out; a doc_id labelled
@@ -36,7 +37,6 @@ from pyspark.sql import types as T
 from ubeat.llm.common import ALNUM, LOWER, NOT_SPACE, PrefixHash, byte_hash, checkpoint, pieces, text_bytes, word_spans
 
 MAX_ROWS = 24_000
-MAX_TERMS = 20_000
 MIN_DOCS = 6
 MIN_LOG_ODDS = 2.0
 THRESHOLD = 0.3
@@ -222,46 +222,35 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
     """Terms that toxic texts hold much more often than others."""
-    def counted(candidates: np.ndarray | None):
-        def run(batches):
-            for batch in batches:
-                data, offsets = text_bytes(batch.column("text"))
-                toxic = np.asarray(batch.column("toxic").to_numpy(zero_copy_only=False)) == 1
-                for i, j in pieces(offsets):
-                    piece, border = LOWER[data[offsets[i]:offsets[j]]], offsets[i:j + 1] - offsets[i]
-                    starts, ends, first = word_spans(piece, border, ALNUM)
-                    doc = np.repeat(np.arange(j - i), np.diff(first))
-                    terms, owners = [], []
-                    for at, hashes in _terms(byte_hash(piece), starts, ends):
-                        if candidates is not None:
-                            keep = _in(hashes, candidates) > 0
-                            at, hashes = at[keep], hashes[keep]
-                        terms.append(hashes)
-                        owners.append(doc[at])
-                    pair = np.unique(np.rec.fromarrays((np.concatenate(terms), np.concatenate(owners)), names="t,d"))
-                    term, inverse = np.unique(pair.t, return_inverse=True)
-                    bad = np.bincount(inverse, weights=toxic[i:j][pair.d], minlength=len(term)).astype(np.int64)
-                    all_ = np.bincount(inverse, minlength=len(term)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(bad), pa.array(all_)],
-                                                     ["term", "bad", "docs"])
-        return run
-
-    shape = "term long, bad long, docs long"
-    toxic = rows.where("toxic = 1").mapInArrow(counted(None), shape).groupBy("term").agg(F.sum("bad").alias("bad"))
-    found = (toxic.where(F.col("bad") >= MIN_DOCS).orderBy(F.desc("bad"), "term").limit(MAX_TERMS)
-             .select("term").toPandas()["term"].to_numpy(np.int64))
-    candidates = np.sort(found.view(np.uint64))
+    def counted(batches):
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            for i, j in pieces(offsets):
+                piece, border = LOWER[data[offsets[i]:offsets[j]]], offsets[i:j + 1] - offsets[i]
+                starts, ends, first = word_spans(piece, border, ALNUM)
+                doc = np.repeat(np.arange(j - i), np.diff(first))
+                terms, owners = [], []
+                for at, hashes in _terms(byte_hash(piece), starts, ends):
+                    terms.append(hashes)
+                    owners.append(doc[at])
+                pair = np.unique(np.rec.fromarrays((np.concatenate(terms), np.concatenate(owners)), names="t,d"))
+                term, n = np.unique(pair.t, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "docs"])
+
+    def texts_with(toxic: int, name: str) -> DataFrame:
+        found = rows.where(F.col("toxic") == toxic).select("text").mapInArrow(counted, "term long, docs long")
+        return found.groupBy("term").agg(F.sum("docs").alias(name))
+
     total = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    if not len(candidates) or not total.get(0):
+    if not total.get(0) or not total.get(1):
         return Lexicon(np.zeros(0, np.uint64), np.zeros(0))
-    counts = (rows.mapInArrow(counted(candidates), shape).groupBy("term")
-              .agg(F.sum("bad").alias("bad"), F.sum("docs").alias("docs")).toPandas())
-    bad, docs = counts["bad"].to_numpy(float), counts["docs"].to_numpy(float)
-    odds = np.log((bad + 0.5) / (total[1] + 1)) - np.log((docs - bad + 0.5) / (total[0] + 1))
-    keep = odds >= MIN_LOG_ODDS
-    terms = counts["term"].to_numpy(np.int64).view(np.uint64)[keep]
+    both = texts_with(1, "bad").where(F.col("bad") >= MIN_DOCS).join(texts_with(0, "good"), "term", "left")
+    odds = (F.log((F.col("bad") + 0.5) / F.lit(total[1] + 1.0))
+            - F.log((F.coalesce("good", F.lit(0)) + 0.5) / F.lit(total[0] + 1.0)))
+    kept = both.select("term", odds.alias("odds")).where(F.col("odds") >= MIN_LOG_ODDS).toPandas()
+    terms = kept["term"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(terms)
-    return Lexicon(terms[order], odds[keep][order])
+    return Lexicon(terms[order], kept["odds"].to_numpy(float)[order])
 
 
 @dataclass
@@ -294,7 +283,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     rows = checkpoint(training_rows(docs, labels, max_rows))
     fit = rows.where("not calibrates")
     lexicon = learn_lexicon(fit)
-    seen = checkpoint(_vectors(with_features(rows, lexicon)).drop("text", "features").coalesce(4))
+    seen = checkpoint(_vectors(with_features(rows, lexicon)).drop("text", "features")).coalesce(4)
     classes = {(r.calibrates, r.toxic): r["count"] for r in seen.groupBy("calibrates", "toxic").count().collect()}
     total = sum(classes.values())
     if not all(classes.get((False, t)) for t in (0, 1)):
