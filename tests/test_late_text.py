@@ -4,18 +4,19 @@ from conftest import rows, ts
 from ubeat.operators.late import kept_window_counts, split_late
 from ubeat.sources.text import parse_access_log, read_logins, read_orders
 
-# Arrival order with a far-future row (year 2334) and a 9-digit time, like the
-# reference's behaviour sample.
-TIMES = [1511000000, 1511000060, 11511000120, 1511000180, 151100240, 11511000300, 1511000301,
-         1511000540, 11511000600, 11511000601]
+# Minutes after midnight of one day in arrival order; the hours they fall into are
+# 6, 6, 8, 6, 7, 9, 1, 8, 12, 11, 12, 9.
+MINUTES = [365, 410, 491, 379, 479, 540, 75, 539, 735, 719, 722, 545]
 
 
 def test_split_late_rows(spark):
-    df = spark.createDataFrame([(i + 1, ts(t)) for i, t in enumerate(TIMES)], "seq long, ts timestamp_ntz")
+    day = 1_400_025_600
+    df = spark.createDataFrame([(10 * i, ts(day + 60 * m)) for i, m in enumerate(MINUTES)], "seq long, ts timestamp_ntz")
     out = split_late(df, "1 hour")
-    assert [s for s, tag in rows(out, "seq", "tag") if tag == "late"] == [4, 5, 7, 8]
+    # The greatest earlier minute is 491 at 379 and 479, 540 at 75 and 539, 735 at the last three.
+    assert [s for s, tag in rows(out, "seq", "tag") if tag == "late"] == [30, 40, 60, 70, 90, 110]
     kept = rows(kept_window_counts(out, "1 hour"), "window_end", "cnt")
-    assert [c for _, c in kept] == [2, 4]
+    assert kept == [(ts(day + 3600 * h), n) for h, n in ((7, 2), (9, 1), (10, 1), (13, 2))]
 
 
 def test_split_late_same_batch_and_lateness(spark):
@@ -53,20 +54,19 @@ def test_user_behavior_csv_end_to_end(spark, tmp_path):
     from ubeat.operators import ranking, windows
     from ubeat.sources.text import read_user_behavior
     p = tmp_path / "behavior.csv"
-    lines = [(7, 100, 1, "pv", 1511000000), (8, 100, 1, "pv", 1511000060), (7, 200, 1, "pv", 11511000120),
-             (9, 300, 2, "buy", 1511000100), (8, 200, 1, "pv", 1511000180), (9, 100, 1, "pv", 151100240)]
-    p.write_text("".join(f"{u},{i},{c},{b},{t}\n" for u, i, c, b, t in lines))
+    hour = 534_722 * 3600
+    lines = [(3, 41, 2, "pv", 100), (5, 41, 2, "pv", 130), (5, 41, 2, "cart", 140), (3, 58, 2, "pv", 3700),
+             (5, 58, 1, "pv", 3720), (3, 58, 1, "pv", 3790), (9, 41, 2, "pv", 7300)]
+    p.write_text("".join(f"{u},{i},{c},{b},{hour + t}\n" for u, i, c, b, t in lines))
     beh = read_user_behavior(spark, str(p))
     pv = rows(windows.page_views(beh), "window_end", "pv")
     uv = rows(windows.unique_visitors(beh), "window_end", "uv")
-    # Hour ends: 151102800 (9-digit time), 1511002800 (three views, two users), 11511003600 (year 2334).
-    assert pv == [(ts(151102800), 1), (ts(1511002800), 3), (ts(11511003600), 1)]
-    assert uv == [(ts(151102800), 1), (ts(1511002800), 2), (ts(11511003600), 1)]
+    assert pv == [(ts(hour + 3600), 2), (ts(hour + 7200), 3), (ts(hour + 10800), 1)]
+    assert uv == [(ts(hour + 3600), 2), (ts(hour + 7200), 2), (ts(hour + 10800), 1)]
     top = ranking.hot_items(windows.item_view_counts(beh), 1)
-    first = rows(top.where(F.col("window_end") == ts(1511000100 // 300 * 300 + 300)), "item_id", "cnt")
-    assert first == [(100, 2)]
+    assert rows(top.where(F.col("window_end") == ts(hour + 300)), "item_id", "cnt") == [(41, 2)]
     rep = dict(ranking.format_report(top, "item_id").collect())
-    assert rep[ts(1511000100 // 300 * 300 + 300)].startswith("窗口结束时间：2017-11-18 10:20:00.0\nNO1: \t商品ID=100\t")
+    assert rep[ts(hour + 300)].startswith(f"窗口结束时间：{ts(hour + 300)}.0\nNO1: \t商品ID=41\t")
 
 
 def test_parse_lines_batch_and_stream(spark, tmp_path):

@@ -15,24 +15,26 @@ def _logins(spark, data):
     return spark.createDataFrame([(u, "1.2.3.4", e, ts(t), n) for n, (u, e, t) in enumerate(data)], LOGIN)
 
 
-# A user's arrival order differs from event time: fail 0, success 3, fail 1, fail 2.
-CASE = [(9, "success", T0 - 10), (42, "fail", T0), (42, "success", T0 + 3), (42, "fail", T0 + 1),
-        (42, "fail", T0 + 2), (9, "success", T0 + 6)]
+# User 77: a span that a late success closes, then three fails that arrive out of order;
+# user 8 fails alone, user 9 is cleared in time.
+CASE = [(77, "fail", T0), (8, "fail", T0 + 30), (77, "fail", T0 + 4), (9, "fail", T0 + 1), (77, "success", T0 + 9),
+        (77, "fail", T0 + 20), (9, "fail", T0 + 3), (77, "fail", T0 + 17), (9, "success", T0 + 4), (77, "fail", T0 + 21)]
 
 
 def test_login_fail_timer_case(spark):
     got = rows(login_fail_timer(_logins(spark, CASE), 2, "5 seconds"), "user_id", "first_fail", "last_fail", "msg")
-    assert got == [(42, ts(T0 + 1), ts(T0 + 2), "login fail in 2s for 2 times")]
+    assert got == [(77, ts(T0), ts(T0 + 4), "login fail in 2s for 2 times"),
+                   (77, ts(T0 + 20), ts(T0 + 21), "login fail in 2s for 3 times")]
 
 
 def test_login_fail_pair_case(spark):
     got = rows(login_fail_pair(_logins(spark, CASE), "2 seconds"), "user_id", "first_fail", "last_fail", "msg")
-    assert got == [(42, ts(T0 + 1), ts(T0 + 2), "login fail 2 times in 2 seconds")]
+    assert got == [(77, ts(T0 + 20), ts(T0 + 17), "login fail 2 times in 2 seconds")]
 
 
 def test_login_fail_sequence_case(spark):
     got = rows(login_fail_sequence(_logins(spark, CASE), 3, "5 seconds"), "user_id", "first_fail", "last_fail", "msg")
-    assert got == [(42, ts(T0), ts(T0 + 2), "login fail")]
+    assert got == [(77, ts(T0 + 17), ts(T0 + 21), "login fail")]
 
 
 def test_login_fail_sequence_overlaps_and_bound(spark):
