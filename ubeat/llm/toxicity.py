@@ -38,6 +38,8 @@ from ubeat.llm.common import ALNUM, LOWER, NOT_SPACE, PrefixHash, byte_hash, che
 
 MAX_ROWS = 24_000
 MIN_DOCS = 6
+#: Size of the bit table of toxic terms (2 MB); it only saves shuffling.
+FILTER_BITS = 1 << 24
 MIN_LOG_ODDS = 2.0
 THRESHOLD = 0.3
 NEAR = 5
@@ -221,30 +223,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
-    """Terms that toxic texts hold much more often than others."""
-    def counted(batches):
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            for i, j in pieces(offsets):
-                piece, border = LOWER[data[offsets[i]:offsets[j]]], offsets[i:j + 1] - offsets[i]
-                starts, ends, first = word_spans(piece, border, ALNUM)
-                doc = np.repeat(np.arange(j - i), np.diff(first))
-                terms, owners = [], []
-                for at, hashes in _terms(byte_hash(piece), starts, ends):
-                    terms.append(hashes)
-                    owners.append(doc[at])
-                pair = np.unique(np.rec.fromarrays((np.concatenate(terms), np.concatenate(owners)), names="t,d"))
-                term, n = np.unique(pair.t, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "docs"])
-
-    def texts_with(toxic: int, name: str) -> DataFrame:
-        found = rows.where(F.col("toxic") == toxic).select("text").mapInArrow(counted, "term long, docs long")
+    """Terms that toxic texts hold much more often than others.
+
+    Other texts send only terms that a bit table of the toxic candidates lets
+    through (``FILTER_BITS`` bits, whatever their number); the join drops the rest.
+    """
+    def counted(table: np.ndarray | None):
+        return lambda batches: _count_terms(batches, table)
+
+    def texts_with(toxic: int, name: str, table: np.ndarray | None) -> DataFrame:
+        found = rows.where(F.col("toxic") == toxic).select("text").mapInArrow(counted(table), "term long, docs long")
         return found.groupBy("term").agg(F.sum("docs").alias(name))
 
     total = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not total.get(0) or not total.get(1):
         return Lexicon(np.zeros(0, np.uint64), np.zeros(0))
-    both = texts_with(1, "bad").where(F.col("bad") >= MIN_DOCS).join(texts_with(0, "good"), "term", "left")
+    toxic = checkpoint(texts_with(1, "bad", None).where(F.col("bad") >= MIN_DOCS))
+    both = toxic.join(texts_with(0, "good", _bit_table(toxic)), "term", "left")
     odds = (F.log((F.col("bad") + 0.5) / F.lit(total[1] + 1.0))
             - F.log((F.coalesce("good", F.lit(0)) + 0.5) / F.lit(total[0] + 1.0)))
     kept = both.select("term", odds.alias("odds")).where(F.col("odds") >= MIN_LOG_ODDS).toPandas()
@@ -253,6 +248,39 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     return Lexicon(terms[order], kept["odds"].to_numpy(float)[order])
 
 
+def _bit_table(terms: DataFrame) -> np.ndarray:
+    """One bit for each term modulo ``FILTER_BITS``, made in Spark bucket by bucket."""
+    at = F.pmod(F.col("term"), F.lit(FILTER_BITS)) + 1
+    buckets = (terms.select(F.bitmap_bucket_number(at).alias("b"), F.bitmap_bit_position(at).alias("p"))
+               .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")))
+    table = np.zeros((FILTER_BITS // (8 * 4096), 4096), np.uint8)  # buckets of 4096 bytes
+    for r in buckets.collect():
+        table[r.b - 1] = np.frombuffer(r.bits, np.uint8)
+    return table.ravel()
+
+
+def _count_terms(batches, table: np.ndarray | None):
+    """Arrow batches (term, docs): in how many texts of a piece each term occurs, only
+    terms whose bit is set if there is a table."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column("text"))
+        for i, j in pieces(offsets):
+            piece, border = LOWER[data[offsets[i]:offsets[j]]], offsets[i:j + 1] - offsets[i]
+            starts, ends, first = word_spans(piece, border, ALNUM)
+            doc = np.repeat(np.arange(j - i), np.diff(first))
+            terms, owners = [], []
+            for at, hashes in _terms(byte_hash(piece), starts, ends):
+                if table is not None:
+                    bit = (hashes.view(np.int64) % FILTER_BITS).astype(np.int64)
+                    keep = (table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                    at, hashes = at[keep], hashes[keep]
+                terms.append(hashes)
+                owners.append(doc[at])
+            pair = np.unique(np.rec.fromarrays((np.concatenate(terms), np.concatenate(owners)), names="t,d"))
+            term, n = np.unique(pair.t, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "docs"])
+
+
 @dataclass
 class Model:
     """Lexicon, trees and calibration, or the constant score without both classes."""
