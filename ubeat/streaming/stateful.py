@@ -1,102 +1,72 @@
 """Keyed stateful operators on streams (P1–P5, C1–C4 stream forms; J1 stream join).
 
-Each processor keeps a few scalars per key in the state store (checkpointed
-with the query, so a lost executor replays from the last committed batch) and
-reads its rows of a micro-batch in arrival order (``seq``) — rows reach a group
-in no fixed order inside a batch.  Event-time timers are group timeouts that
-fire when the watermark passes them (W6); state is removed once a key's case
-is decided (W8).  Outputs are append-only.
+The processors themselves are in ``ubeat.streaming.processors``: ``transformWithState``
+operators with value, list and map states and event-time timers (W6–W8, U4). Here
+their inputs are cut to the columns they need (times as epoch microseconds) and their
+outputs get the batch operators' columns. Rows of a micro-batch are taken in arrival
+order (``seq``) or, behind the watermark, in event-time order. Outputs are append-only.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import zoneinfo
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState
 
 from ubeat.functions.time import duration_us, interval_str
 from ubeat.operators.fraud import WARNING_TEXT, local_day
 from ubeat.operators.logins import PAIR_TEXT, TIMER_TEXT_HEAD, TIMER_TEXT_TAIL
 from ubeat.operators.orders import ORDER_TIMEOUT, PAY_NO_CREATE, PAYED_OK
 from ubeat.operators.patterns import LOGIN_FAIL_TEXT, PAYED_TEXT, TIMEOUT_PREFIX
+from ubeat.streaming import processors as P
 from ubeat.streaming.sources import event_time
 
 
-def _us(s: pd.Series) -> pd.Series:
-    return s.astype("datetime64[us]").astype("int64")
+def _order(seq: str | Sequence[str]) -> list[str]:
+    """The columns that give the arrival order inside a micro-batch."""
+    return [seq] if isinstance(seq, str) else list(seq)
 
 
-def _ts(us: list[int]) -> pd.Series:
-    return pd.to_datetime(pd.Series(us, dtype="int64"), unit="us")
+def _watermarked(df: DataFrame, ts: str, delay) -> DataFrame:
+    return event_time(df, ts).withWatermark(ts, interval_str(duration_us(delay)))
 
 
-def _order(seq: str | Sequence[str]) -> list[str]:
-    """The columns that give the arrival order inside a micro-batch."""
-    return [seq] if isinstance(seq, str) else list(seq)
+def _schema(df: DataFrame, key: str, name: str, rest: str) -> T.StructType:
+    """``name`` with the type of the input's key, then the columns of the DDL ``rest``."""
+    return T.StructType([T.StructField(name, df.schema[key].dataType), *T.StructType.fromDDL(rest).fields])
 
 
-def _rows(pdfs: Iterator[pd.DataFrame], seq: str | Sequence[str]) -> pd.DataFrame:
-    frames = [p for p in pdfs if len(p)]
-    if not frames:
-        return pd.DataFrame()
-    return pd.concat(frames, ignore_index=True).sort_values(_order(seq), kind="stable")
+def _times(df: DataFrame, **columns: str) -> DataFrame:
+    """Microsecond columns as timestamps under new names (``new=old``)."""
+    return df.withColumns({new: F.timestamp_micros(F.col(old)) for new, old in columns.items()}).drop(*columns.values())
 
 
 def stream_click_fraud_filter(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), limit: int = 100, *,
-                              seq: str = "seq", ts: str = "ts", reset: str | None = None, tz: str = "+08:00",
-                              delay="0 seconds") -> DataFrame:
-    """P1/P2 on a stream: state (count, flagged) per key; -> input columns + tag + msg.
+                              seq: str | Sequence[str] = "seq", ts: str = "ts", reset: str | None = None,
+                              tz: str = "+08:00", delay="0 seconds") -> DataFrame:
+    """P1/P2 on a stream: number of rows passed and a warned flag per key; -> input columns + tag + msg.
 
     ``reset='daily'`` keys the state by local day as well and drops it with an
-    event-time timeout at the end of that day, so state does not grow with time.
+    event-time timer at the end of that day, so state does not grow with time.
+    A micro-batch costs a key at most ``limit + 1`` rows of memory.
     """
-    in_cols = list(df.columns)
-    out_schema = T.StructType(df.schema.fields + [T.StructField("tag", T.StringType()),
-                                                  T.StructField("msg", T.StringType())])
-    out_cols = [f.name for f in out_schema.fields]
-    text = WARNING_TEXT.format(limit=limit)
-    daily = reset == "daily"
     if reset not in (None, "daily"):
         raise ValueError("reset must be None or 'daily'")
-    day_end_ms = _day_end_ms(tz)
-
-    def fn(key, pdfs, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        count, flagged = state.get if state.exists else (0, False)
-        pdf = _rows(pdfs, seq)
-        # Vectorised over the batch: the next (limit - count) rows pass, the one
-        # after them warns once; the rest are suppressed.
-        room = max(limit - count, 0)
-        n_pass = min(room, len(pdf))
-        warn = (not flagged) and len(pdf) > room
-        keep = list(range(n_pass)) + ([room] if warn else [])
-        tags = ["pass"] * n_pass + (["warning"] if warn else [])
-        msgs = [None] * n_pass + ([text] if warn else [])
-        count, flagged = count + n_pass, flagged or warn
-        state.update((count, flagged))
-        if daily:
-            end = day_end_ms(key[-1])
-            if end > state.getCurrentWatermarkMs():
-                state.setTimeoutTimestamp(end)
-        out = pdf.iloc[keep].copy() if len(pdf) else pd.DataFrame(columns=in_cols)
-        out["tag"], out["msg"] = tags, msgs
-        yield out[out_cols]
-
-    if not daily:
-        return df.groupBy(*keys).applyInPandasWithState(
-            fn, out_schema, "count LONG, flagged BOOLEAN", "append", "NoTimeout")
-    src = event_time(df, ts).withWatermark(ts, interval_str(duration_us(delay)))
+    out_schema = T.StructType(df.schema.fields + [T.StructField("tag", T.StringType()), T.StructField("msg", T.StringType())])
+    text = WARNING_TEXT.format(limit=limit)
+    if reset is None:
+        return df.groupBy(*keys).transformWithState(
+            P.FraudFilter(df.columns, _order(seq), limit, text), out_schema, "Append", "None")
+    src = _watermarked(df, ts, delay)
     src = src.withColumn("__day", local_day(ts, src.schema[ts].dataType, tz))
-    return src.groupBy(*keys, "__day").applyInPandasWithState(
-        fn, out_schema, "count LONG, flagged BOOLEAN", "append", "EventTimeTimeout")
+    out_schema = T.StructType([T.StructField(f.name, src.schema[f.name].dataType) if f.name == ts else f for f in out_schema])
+    out = src.groupBy(*keys, "__day").transformWithState(
+        P.FraudFilter(df.columns, _order(seq), limit, text, _day_end_ms(tz)), out_schema, "Append", "EventTime")
+    return out
 
 
 def _day_end_ms(tz: str):
@@ -114,102 +84,38 @@ def _day_end_ms(tz: str):
     return end
 
 
-def _alarm(key: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField("user_id", key), T.StructField("first_fail", T.TimestampType()),
-                         T.StructField("last_fail", T.TimestampType()), T.StructField("msg", T.StringType())])
+def _logins(logins: DataFrame, key: str, ts: str, seq: str | Sequence[str]) -> DataFrame:
+    return logins.select(F.col(key).alias("user_id"), ts, *_order(seq), F.unix_micros(ts).alias("us"),
+                         (F.col("event_type") == "fail").alias("fail"))
 
 
-def _alarms(user, spans: list[tuple[int, int, str]]) -> pd.DataFrame:
-    return pd.DataFrame({"user_id": [user] * len(spans), "first_fail": _ts([s[0] for s in spans]),
-                         "last_fail": _ts([s[1] for s in spans]), "msg": [s[2] for s in spans]})
+_ALARM = "first_us LONG, last_us LONG, msg STRING"
+
+
+def _alarms(df: DataFrame) -> DataFrame:
+    return _times(df, first_fail="first_us", last_fail="last_us").select("user_id", "first_fail", "last_fail", "msg")
 
 
 def stream_login_fail_pair(logins: DataFrame, within="2 seconds", *, key: str = "user_id", ts: str = "ts",
                            seq: str | Sequence[str] = "seq") -> DataFrame:
     """P4 on a stream: state = time of the user's last fail (cleared by a success)."""
-    within_us = duration_us(within)
-    src = event_time(logins, ts).select(F.col(key).alias("user_id"), ts, *_order(seq), "event_type")
-
-    def fn(k, pdfs, state: GroupState):
-        last = state.get[0] if state.exists else None
-        pdf = _rows(pdfs, seq)
-        spans = []
-        if len(pdf):
-            for et, us in zip(pdf["event_type"].to_numpy(), _us(pdf[ts]).to_numpy()):
-                if et == "fail":
-                    if last is not None and us < last + within_us:
-                        spans.append((last, int(us), PAIR_TEXT))
-                    last = int(us)
-                else:
-                    last = None
-        if last is None:
-            state.remove()
-        else:
-            state.update((last,))
-        if spans:
-            yield _alarms(k[0], spans)
-
-    return src.groupBy("user_id").applyInPandasWithState(fn, _alarm(logins.schema[key].dataType), "last_fail LONG", "append", "NoTimeout")
+    src = _logins(event_time(logins, ts), key, ts, seq)
+    return _alarms(src.groupBy("user_id").transformWithState(
+        P.LoginFailPair(duration_us(within), _order(seq), PAIR_TEXT), _schema(logins, key, "user_id", _ALARM), "Append", "None"))
 
 
 def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: str = "user_id",
                             ts: str = "ts", seq: str | Sequence[str] = "seq", delay="3 seconds") -> DataFrame:
-    """P3 on a stream: (anchor, first, last, count) per user and a timer at anchor + wait.
+    """P3 on a stream: the open span per user and a timer at anchor + wait.
 
-    The timer is an event-time timeout: it fires once the watermark (max event
-    time - ``delay``) passes it, then the span alarms if it holds ``n`` fails.
+    The timer fires once the watermark (max event time - ``delay``) passes it, then
+    the span alarms if it holds ``n`` fails; a success or a later fail deletes it.
     Rows of one batch are applied in arrival order with the batch rule.
     """
-    wait_us = duration_us(wait)
-    src = (event_time(logins, ts).withWatermark(ts, interval_str(duration_us(delay)))
-           .select(F.col(key).alias("user_id"), ts, *_order(seq), "event_type"))
-
-    def text(c):
-        return f"{TIMER_TEXT_HEAD}{c}{TIMER_TEXT_TAIL}"
-
-    def fn(k, pdfs, state: GroupState):
-        spans = []
-        if state.hasTimedOut:
-            _, first, last, c = state.get
-            state.remove()
-            if c >= n:
-                spans.append((first, last, text(c)))
-            if spans:
-                yield _alarms(k[0], spans)
-            return
-        a, first, last, c = state.get if state.exists else (None, None, None, 0)
-        pdf = _rows(pdfs, seq)
-        for fail, us in zip((pdf["event_type"] == "fail").to_numpy(), _us(pdf[ts]).to_numpy()):
-            us = int(us)
-            if fail:
-                if a is None:
-                    a, first, last, c = us, us, us, 1
-                elif us < a + wait_us:
-                    last, c = us, c + 1
-                else:
-                    if c >= n:
-                        spans.append((first, last, text(c)))
-                    a, first, last, c = us, us, us, 1
-            else:
-                if a is not None and us >= a + wait_us and c >= n:
-                    spans.append((first, last, text(c)))
-                a, first, last, c = None, None, None, 0
-        if a is None:
-            state.remove()
-        else:
-            fire_ms = -(-(a + wait_us) // 1000)
-            if fire_ms <= state.getCurrentWatermarkMs():
-                if c >= n:
-                    spans.append((first, last, text(c)))
-                state.remove()
-            else:
-                state.update((a, first, last, c))
-                state.setTimeoutTimestamp(fire_ms)
-        if spans:
-            yield _alarms(k[0], spans)
-
-    return src.groupBy("user_id").applyInPandasWithState(
-        fn, _alarm(logins.schema[key].dataType), "anchor LONG, first LONG, last LONG, n LONG", "append", "EventTimeTimeout")
+    src = _logins(_watermarked(logins, ts, delay), key, ts, seq)
+    return _alarms(src.groupBy("user_id").transformWithState(
+        P.LoginFailTimer(n, duration_us(wait), _order(seq), TIMER_TEXT_HEAD, TIMER_TEXT_TAIL),
+        _schema(logins, key, "user_id", _ALARM), "Append", "EventTime"))
 
 
 def stream_order_timeout(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",
@@ -219,66 +125,18 @@ def stream_order_timeout(orders: DataFrame, within="15 minutes", *, key: str = "
 
     Events wait in the state until the watermark passes them and are then taken
     in the batch operator's order; an open create ends with its pay, with the
-    next create or when its time is up.  The state is the open create and the
-    waiting events.
+    next create or when its time is up.
     -> order_id, create_ts, pay_ts, tag, result
     """
-    within_us = duration_us(within)
-    src = (event_time(orders, ts).withWatermark(ts, interval_str(duration_us(delay)))
-           .where(F.col("event_type").isin("create", "pay"))
-           .select(F.col(key).alias("order_id"), F.col(ts).alias("ts"), F.col(seq).cast("long").alias("seq"),
-                   (F.col("event_type") == "pay").alias("pay")))
-    schema = T.StructType([T.StructField("order_id", orders.schema[key].dataType),
-                           T.StructField("create_ts", T.TimestampType()),
-                           T.StructField("pay_ts", T.TimestampType()), T.StructField("tag", T.StringType()),
-                           T.StructField("result", T.StringType())])
-
-    def fn(k, pdfs, state: GroupState):
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        opened, *waiting = state.get if state.exists else (None, [], [], [])
-        rows = list(zip(*waiting, strict=True))
-        for p in [] if state.hasTimedOut else pdfs:
-            rows += zip(_us(p["ts"]).tolist(), p["pay"].tolist(), p["seq"].tolist(), strict=True)
-        rows.sort()
-        out = []
-
-        def timed_out(now):
-            nonlocal opened
-            if opened is not None and now >= opened + within_us:
-                out.append((opened, None, ORDER_TIMEOUT))
-                opened = None
-
-        done = 0
-        for us, pay, _ in rows:
-            if us > wm_us:
-                break
-            done += 1
-            timed_out(us)
-            if pay:
-                out.append((opened, us, PAY_NO_CREATE if opened is None else PAYED_OK))
-                opened = None
-            else:
-                if opened is not None:
-                    out.append((opened, None, ORDER_TIMEOUT))
-                opened = us
-        timed_out(wm_us)
-        rows = rows[done:]
-        if opened is None and not rows:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((opened, *([r[i] for r in rows] for i in range(3))))
-            due = [r[0] for r in rows[:1]] + ([] if opened is None else [opened + within_us])
-            state.setTimeoutTimestamp(max(-(-min(due) // 1000), state.getCurrentWatermarkMs() + 1))
-        if not out:
-            return
-        times = [pd.to_datetime(pd.Series([r[i] for r in out], dtype="Int64"), unit="us") for i in (0, 1)]
-        yield pd.DataFrame({"order_id": [k[0]] * len(out), "create_ts": times[0], "pay_ts": times[1],
-                            "tag": ["payed" if r[2] == PAYED_OK else "timeout" for r in out],
-                            "result": [r[2] for r in out]})
-
-    return src.groupBy("order_id").applyInPandasWithState(
-        fn, schema, "opened LONG, us ARRAY<LONG>, pay ARRAY<BOOLEAN>, seq ARRAY<LONG>", "append", "EventTimeTimeout")
+    src = (_watermarked(orders, ts, delay).where(F.col("event_type").isin("create", "pay"))
+           .select(F.col(key).alias("order_id"), ts, F.unix_micros(ts).alias("us"),
+                   (F.col("event_type") == "pay").alias("pay"), F.col(seq).cast("long").alias("seq")))
+    out = src.groupBy("order_id").transformWithState(
+        P.OrderTimeout(duration_us(within), PAYED_OK, PAY_NO_CREATE, ORDER_TIMEOUT),
+        _schema(orders, key, "order_id", "create_us LONG, pay_us LONG, result STRING"), "Append", "EventTime")
+    tag = F.when(F.col("result") == PAYED_OK, F.lit("payed")).otherwise(F.lit("timeout"))
+    return _times(out.withColumn("tag", tag), create_ts="create_us", pay_ts="pay_us").select(
+        "order_id", "create_ts", "pay_ts", "tag", "result")
 
 
 def stream_tx_match(pays: DataFrame, receipts: DataFrame, pay_wait="5 seconds", receipt_wait="3 seconds", *,
@@ -307,56 +165,19 @@ def stream_tx_match(pays: DataFrame, receipts: DataFrame, pay_wait="5 seconds",
     return j.select(tag.alias("tag"), F.coalesce(F.col(key), F.col(f"r_{key}")).alias(key), *pcols, *rcols)
 
 
-def _buffered(state: GroupState, pdfs, ts: str, seq: str, flag_cols: Sequence[str]):
-    """Rows of the state buffer plus this batch, as (us, seq, flags...) tuples sorted by (us, seq)."""
-    rows = list(zip(*state.get[0:2], *[state.get[2 + i] for i in range(len(flag_cols))])) if state.exists else []
-    for p in pdfs:
-        if len(p):
-            rows.extend(zip(_us(p[ts]).tolist(), p[seq].tolist(), *[p[c].tolist() for c in flag_cols]))
-    rows.sort(key=lambda r: (r[0], r[1]))
-    return rows
-
-
 def stream_login_fail_sequence(logins: DataFrame, times: int = 3, within="5 seconds", *, key: str = "user_id",
                                ts: str = "ts", seq: str = "seq", delay="3 seconds") -> DataFrame:
     """C1 on a stream: ``times`` consecutive fails (event-time order) within ``within``.
 
     Rows wait in the state until the watermark passes them (then no earlier row
     can still arrive), are matched in (ts, seq) order, and only the last
-    ``times - 1`` final rows are kept for runs that continue in later batches.
+    ``times - 1`` final rows are kept, as long as a run can go on from them.
     -> user_id, first_fail, last_fail, msg
     """
-    within_us = duration_us(within)
-    src = (event_time(logins, ts).withWatermark(ts, interval_str(duration_us(delay)))
-           .select(F.col(key).alias("user_id"), ts, seq, (F.col("event_type") == "fail").alias("__fail")))
-
-    def fn(k, pdfs, state: GroupState):
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        tail = list(zip(*state.get[3:6])) if state.exists else []     # final rows kept for runs
-        rows = _buffered(state, [] if state.hasTimedOut else pdfs, ts, seq, ["__fail"])
-        ready = [r for r in rows if r[0] <= wm_us]
-        waiting = [r for r in rows if r[0] > wm_us]
-        spans = []
-        for r in ready:
-            tail.append(r)
-            if len(tail) > times:
-                tail.pop(0)
-            if len(tail) == times and all(x[2] for x in tail) and tail[-1][0] - tail[0][0] < within_us:
-                spans.append((tail[0][0], tail[-1][0], LOGIN_FAIL_TEXT))
-        tail = tail[-(times - 1):] if times > 1 else []
-        if not waiting and not tail:
-            state.remove()
-        else:
-            state.update(([r[0] for r in waiting], [r[1] for r in waiting], [bool(r[2]) for r in waiting],
-                          [r[0] for r in tail], [r[1] for r in tail], [bool(r[2]) for r in tail]))
-            if waiting:
-                state.setTimeoutTimestamp(max(-(-min(r[0] for r in waiting) // 1000), state.getCurrentWatermarkMs() + 1))
-        if spans:
-            yield _alarms(k[0], spans)
-
-    return src.groupBy("user_id").applyInPandasWithState(
-        fn, _alarm(logins.schema[key].dataType), "b_us ARRAY<LONG>, b_seq ARRAY<LONG>, b_fail ARRAY<BOOLEAN>, "
-                    "t_us ARRAY<LONG>, t_seq ARRAY<LONG>, t_fail ARRAY<BOOLEAN>", "append", "EventTimeTimeout")
+    src = _logins(_watermarked(logins, ts, delay).withColumn(seq, F.col(seq).cast("long")), key, ts, seq)
+    src = src.withColumnRenamed(seq, "seq")
+    return _alarms(src.groupBy("user_id").transformWithState(
+        P.FailSequence(times, duration_us(within), LOGIN_FAIL_TEXT), _schema(logins, key, "user_id", _ALARM), "Append", "EventTime"))
 
 
 def stream_order_pay_pattern(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",
@@ -369,45 +190,12 @@ def stream_order_pay_pattern(orders: DataFrame, within="15 minutes", *, key: str
     create + ``within`` times out.  -> order_id, create_ts, pay_ts, tag, result
     """
     within_us = duration_us(within)
-    src = (event_time(orders, ts).withWatermark(ts, interval_str(duration_us(delay)))
-           .select(F.col(key).alias("order_id"), ts, seq, (F.col("event_type") == "create").alias("__c"),
-                   (F.col("event_type") == "pay").alias("__p")))
-    schema = T.StructType([T.StructField("order_id", orders.schema[key].dataType), T.StructField("create_ts", T.TimestampType()),
-                           T.StructField("pay_ts", T.TimestampType()), T.StructField("tag", T.StringType()),
-                           T.StructField("result", T.StringType())])
-
-    def fn(k, pdfs, state: GroupState):
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        pending = list(state.get[4]) if state.exists else []
-        rows = _buffered(state, [] if state.hasTimedOut else pdfs, ts, seq, ["__c", "__p"])
-        ready = [r for r in rows if r[0] <= wm_us]
-        waiting = [r for r in rows if r[0] > wm_us]
-        out = []
-        for us, _, is_c, is_p in ready:
-            for c in [c for c in pending if c + within_us <= us]:
-                out.append((c, None, "timeout"))          # expired before this row
-            pending = [c for c in pending if c + within_us > us]
-            if is_p:
-                out.extend((c, us, "payed") for c in pending)
-                pending = []
-            if is_c:
-                pending.append(us)
-        expired = [c for c in pending if c + within_us <= wm_us]
-        out.extend((c, None, "timeout") for c in expired)
-        pending = [c for c in pending if c + within_us > wm_us]
-        if not waiting and not pending:
-            state.remove()
-        else:
-            state.update(([r[0] for r in waiting], [r[1] for r in waiting], [bool(r[2]) for r in waiting],
-                          [bool(r[3]) for r in waiting], pending))
-            nxt = [r[0] for r in waiting] + [c + within_us for c in pending]
-            state.setTimeoutTimestamp(max(-(-min(nxt) // 1000), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({
-            "order_id": [k[0]] * len(out), "create_ts": _ts([o[0] for o in out]),
-            "pay_ts": pd.to_datetime([o[1] for o in out], unit="us"), "tag": [o[2] for o in out],
-            "result": [PAYED_TEXT if o[2] == "payed" else f"{TIMEOUT_PREFIX}{(o[0] + within_us) // 1000}"
-                       for o in out]})
-
-    return src.groupBy("order_id").applyInPandasWithState(
-        fn, schema, "b_us ARRAY<LONG>, b_seq ARRAY<LONG>, b_c ARRAY<BOOLEAN>, b_p ARRAY<BOOLEAN>, "
-                    "pending ARRAY<LONG>", "append", "EventTimeTimeout")
+    src = (_watermarked(orders, ts, delay)
+           .select(F.col(key).alias("order_id"), ts, F.unix_micros(ts).alias("us"), F.col(seq).cast("long").alias("seq"),
+                   (F.col("event_type") == "create").alias("create"), (F.col("event_type") == "pay").alias("pay")))
+    out = src.groupBy("order_id").transformWithState(
+        P.FollowedBy(within_us), _schema(orders, key, "order_id", "create_us LONG, pay_us LONG"), "Append", "EventTime")
+    paid = F.col("pay_us").isNotNull()
+    late = F.concat(F.lit(TIMEOUT_PREFIX), F.floor((F.col("create_us") + F.lit(within_us)) / 1000).cast("string"))
+    out = out.withColumns({"tag": F.when(paid, "payed").otherwise("timeout"), "result": F.when(paid, PAYED_TEXT).otherwise(late)})
+    return _times(out, create_ts="create_us", pay_ts="pay_us").select("order_id", "create_ts", "pay_ts", "tag", "result")
