@@ -56,6 +56,41 @@ def window_counts(df: DataFrame, ts: str, keys: Sequence[str], size, slide=None,
     raise ValueError(f"unknown plan {plan!r}")
 
 
+def sliding_distinct(df: DataFrame, keys: Sequence[str], value: str, size, slide=None, *, ts: str = "ts",
+                     count_col: str = "n", block_us: int | None = None) -> DataFrame:
+    """Exact number of distinct ``value`` per key per sliding window, no row expanded.
+
+    The windows that hold a value are runs: a value's next pane starts a new run only if
+    the windows of its earlier panes end before. Each run is +1 and -1, and the running
+    sum of all values' runs is the number of distinct values, so the change points of
+    ``window_counts`` apply with runs in place of panes. A null value does not count.
+    """
+    size_us, slide_us = duration_us(size), duration_us(slide if slide is not None else size)
+    if size_us < slide_us:
+        raise ValueError("windows must not leave gaps")
+    dtype, block_us = df.schema[ts].dataType, _block(size_us, slide_us, block_us)
+    keys, pane_us = list(keys), math.gcd(size_us, slide_us)
+    pane = (df.where(F.col(value).isNotNull())
+            .select(*keys, F.col(value).alias("__val"), floor_div(to_micros(ts, dtype), pane_us).alias("__p")).distinct())
+    first, end = _span(F.col("__p"), pane_us, size_us, slide_us)
+    # Runs are cut at block borders, so a value with many panes is scanned block by block.
+    pane = pane.select(*keys, "__val", first.alias("__s"), end.alias("__e"))
+    parts = pane.withColumn("__b", F.explode(F.sequence(floor_div(F.col("__s"), block_us),
+                                                        floor_div(F.col("__e") - 1, block_us))))
+    low, high = F.col("__b") * F.lit(block_us), (F.col("__b") + 1) * F.lit(block_us)
+    parts = parts.select(*keys, "__val", "__b", F.greatest("__s", low).alias("__s"), F.least("__e", high).alias("__e"))
+    wv = Window.partitionBy(*keys, "__val", "__b").orderBy("__s", "__e")
+    # Ends rise with starts, so the previous part's end is the greatest so far.
+    parts = parts.withColumn("__pe", F.lag("__e").over(wv)).withColumn("__ns", F.lead("__s").over(wv))
+    edges = F.array(F.when(F.col("__pe").isNull() | (F.col("__pe") < F.col("__s")),
+                           F.struct(F.col("__s").alias("t"), F.lit(1).cast("long").alias("d"))),
+                    F.when(F.col("__ns").isNull() | (F.col("__ns") > F.col("__e")),
+                           F.struct(F.col("__e").alias("t"), F.lit(-1).cast("long").alias("d"))))
+    deltas = (parts.select(*keys, "__b", F.explode(F.filter(edges, lambda x: x.isNotNull())).alias("__x"))
+              .groupBy(*keys, "__b", F.col("__x.t").alias("__t")).agg(F.sum("__x.d").alias("__d")))
+    return _expand(deltas, keys, size_us, slide_us, block_us, dtype, count_col)
+
+
 def _interval(us: int):
     """An exact day-time interval of ``us`` microseconds."""
     return F.expr(f"make_dt_interval(0, 0, 0, {us // 1_000_000}.{us % 1_000_000:06d})")
@@ -74,12 +109,7 @@ def _direct(df, ts, keys, size_us, slide_us, count_col, weight):
 
 
 def _change_points(df, ts, keys, size_us, slide_us, count_col, weight, block_us):
-    dtype = df.schema[ts].dataType
-    if block_us is None:
-        block_us = max(size_us, DAY_US)
-    # Block boundaries must be window starts (multiples of slide) and further
-    # apart than the windows of a pane reach, so these cross one at most.
-    block_us = -(-max(block_us, size_us + slide_us) // slide_us) * slide_us
+    dtype, block_us = df.schema[ts].dataType, _block(size_us, slide_us, block_us)
     pane_us = math.gcd(size_us, slide_us)
 
     pane = (df.select(*keys, floor_div(to_micros(ts, dtype), pane_us).alias("__p"),
@@ -91,8 +121,7 @@ def _change_points(df, ts, keys, size_us, slide_us, count_col, weight, block_us)
     # that block's start, which carries the pane into the block.  Every block's
     # running sum then starts at zero, so blocks are scanned independently: one
     # exchange, no summary, no join, and the input is consumed once.
-    e0 = -floor_div(F.lit(size_us) - (F.col("__p") + 1) * F.lit(pane_us), slide_us) * F.lit(slide_us)
-    e1 = (floor_div(F.col("__p") * F.lit(pane_us), slide_us) + 1) * F.lit(slide_us)
+    e0, e1 = _span(F.col("__p"), pane_us, size_us, slide_us)
     b0, b1 = floor_div(e0, block_us), floor_div(e1, block_us)
     c = F.col("__c")
     trio = F.array(F.struct(e0.alias("t"), b0.alias("b"), c.alias("d")),
@@ -101,6 +130,25 @@ def _change_points(df, ts, keys, size_us, slide_us, count_col, weight, block_us)
     deltas = (pane.select(*keys, F.explode(F.filter(trio, lambda x: x.isNotNull())).alias("__x"))
               .select(*keys, F.col("__x.t").alias("__t"), F.col("__x.b").alias("__b"), F.col("__x.d").alias("__d")))
 
+    return _expand(deltas, keys, size_us, slide_us, block_us, dtype, count_col)
+
+
+def _block(size_us: int, slide_us: int, block_us: int | None) -> int:
+    """Block boundaries must be window starts (multiples of slide) and further apart than
+    the windows of a pane reach, so these cross one at most."""
+    if block_us is None:
+        block_us = max(size_us, DAY_US)
+    return -(-max(block_us, size_us + slide_us) // slide_us) * slide_us
+
+
+def _span(pane, pane_us: int, size_us: int, slide_us: int):
+    """Start of a pane's first window, and one slide after the start of its last."""
+    return (-floor_div(F.lit(size_us) - (pane + 1) * F.lit(pane_us), slide_us) * F.lit(slide_us),
+            (floor_div(pane * F.lit(pane_us), slide_us) + 1) * F.lit(slide_us))
+
+
+def _expand(deltas: DataFrame, keys: list[str], size_us: int, slide_us: int, block_us: int, dtype, count_col: str) -> DataFrame:
+    """Windows from deltas (keys, __b, __t, __d)."""
     # Running sum inside (key, block); ties on __t share one value through the
     # range frame and all but the last of them give empty segments.
     wb = Window.partitionBy(*keys, "__b").orderBy("__t")

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ubeat.operators import ranking, windows
+from ubeat.operators import ranking, sketches, windows
 from ubeat.operators.fraud import click_fraud_filter as _click_fraud_filter
 from ubeat.operators.fraud import passed as _passed
 from ubeat.operators.late import kept_window_counts, split_late
@@ -25,6 +25,8 @@ from ubeat.operators.orders import order_timeout as _order_timeout
 from ubeat.operators.orders import tx_match as _tx_match
 from ubeat.operators.patterns import login_fail_sequence as _login_fail_sequence
 from ubeat.operators.patterns import order_pay_pattern as _order_pay_pattern
+from ubeat.plans.sliding import sliding_distinct
+from ubeat.session import checkpointed
 from ubeat.sources import tables as tb
 from ubeat.sources.text import parse_access_log
 
@@ -219,6 +221,44 @@ def unique_visitors_bitmap(spark: SparkSession, sf: str) -> DataFrame:
     return windows.unique_visitors_bitmap(tb.user_behavior(_views(spark, sf)), "1 hour", bits=64, seed=61)
 
 
+#: One-hash offset of user_id in a bitmap of 65,536 bits.
+OFFSET16 = "list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(string_split(CAST(user_id AS VARCHAR), ''), " \
+           "lambda c: CAST(ord(c) AS BIGINT))), lambda h, x: (h * 61 + x) & 65535)"
+
+
+@register("unique_visitors_rollup", f"""
+WITH o AS (SELECT epoch_us(ts) AS us, {OFFSET16} AS o FROM events WHERE event_type = 'view'),
+spans(span, size) AS (VALUES ('hour', 3600000000), ('day', 86400000000), ('week', 604800000000))
+SELECT span, make_timestamp((us // size + 1) * size) AS window_end, CAST(count(DISTINCT o) AS BIGINT) AS uv
+FROM o, spans GROUP BY ALL
+""")
+def unique_visitors_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Visitors per hour, day and week from stored hourly bitmaps (65,536 bits) by OR."""
+    hourly = checkpointed(sketches.visitor_bitmaps(tb.user_behavior(_views(spark, sf)), "1 hour", bits=1 << 16))
+    out = None
+    for span, size in (("hour", "1 hour"), ("day", "1 day"), ("week", "7 days")):
+        merged = hourly if span == "hour" else sketches.merge_bitmaps(hourly, size)
+        rows = sketches.bitmap_visitors(merged).select(F.lit(span).alias("span"), "window_end", "uv")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("unique_visitors_sliding", f"""
+SELECT window_end, CAST(count(DISTINCT user_id) AS BIGINT) AS uv, TRUE AS near
+FROM ({_hop("(SELECT user_id, epoch_us(ts) AS us FROM events WHERE event_type = 'view')", 'user_id', 'us', 3_600_000_000, 300_000_000)})
+GROUP BY window_end
+""")
+def unique_visitors_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: visitors per 1 h sliding by 5 min from 5-minute HLL sketches, next to the exact
+    number: within 5 % (and one visitor)."""
+    views = tb.user_behavior(_views(spark, sf))
+    approx = sketches.sketch_visitors(checkpointed(sketches.visitor_sketches(views)), "1 hour", "5 minutes")
+    exact = sliding_distinct(views.select("ts", "user_id"), [], "user_id", "1 hour", "5 minutes", count_col="uv")
+    both = exact.select("window_end", "uv").join(approx.withColumnRenamed("uv", "approx"), "window_end")
+    return both.select("window_end", "uv",
+                       (F.abs(F.col("approx") - F.col("uv")) <= F.greatest(F.lit(1.0), 0.05 * F.col("uv"))).alias("near"))
+
+
 @register("running_unique_visitors", f"""
 WITH pv AS (SELECT {_HOUR_END} AS window_end, user_id, ts, event_id FROM events WHERE event_type = 'view'),
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_end, user_id ORDER BY ts, event_id) AS rn

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ubeat.functions.time import to_micros
-from ubeat.operators import ranking
+from ubeat.operators import ranking, windows
+from ubeat.operators.sketches import sketch_visitors
 from ubeat.queries import (
     _FRAUD_ORACLE,
     _HOUR_END,
@@ -27,6 +28,7 @@ from ubeat.queries import (
     _PAGE_COUNTS_ORACLE,
     _hop,
     HOT_ITEMS_ORACLE,
+    OFFSET16,
     register,
 )
 from ubeat.session import ensure_checkpoint_dir
@@ -171,6 +173,41 @@ def stream_running_visitors(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*[F.col(t).cast("timestamp_ntz").alias(t) for t in ("window_end", "first_ts")], "user_id", "uv")
 
 
+#: The micro-batch that brings an event: ``PARTS`` equal cuts of the events' time.
+_PART = f"""(SELECT max(i) FROM range(0, {PARTS}) t(i), (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events)
+  WHERE lo + (hi + 1 - lo) * i // {PARTS} <= epoch_us(e.ts))"""
+
+
+@register("stream_visitor_counts", f"""
+WITH f AS (SELECT window_end, o, min(part) AS part FROM (
+  SELECT {_HOUR_END} AS window_end, {OFFSET16} AS o, {_PART} AS part FROM events e WHERE event_type = 'view') GROUP BY ALL)
+SELECT window_end, CAST(sum(n) OVER (PARTITION BY window_end ORDER BY part) AS BIGINT) AS uv
+FROM (SELECT window_end, part, count(*) AS n FROM f GROUP BY ALL)
+""")
+def stream_visitor_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The running number of visitors per hour as the stream emits it, from
+    bitmaps of 65,536 bits in keyed state."""
+    return _result(spark, sf, "visitors", lambda ev: sw.stream_visitor_counts(tb.user_behavior(_views(ev)), "1 hour", bits=1 << 16),
+                   "window_end")
+
+
+@register("stream_visitor_sketches", f"""
+SELECT {_HOUR_END} AS window_end, CAST(count(DISTINCT user_id) AS BIGINT) AS uv, TRUE AS near
+FROM events WHERE event_type = 'view' GROUP BY 1 HAVING {_HOUR_END} <= {_LAST_VIEW}
+""")
+def stream_visitor_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: 5-minute HLL sketches as a stream, united to hours, next to the exact number:
+    within 5 % (and one visitor)."""
+    panes = _result(spark, sf, "sketches", lambda ev: sw.stream_visitor_sketches(tb.user_behavior(_views(ev))), "window_start")
+    approx = sketch_visitors(panes, "1 hour").withColumnRenamed("uv", "approx")
+    views = _views(tb.load(spark, sf, "events"))
+    closed = F.col("window_end") <= F.lit(views.agg(F.max("ts")).first()[0])
+    both = windows.unique_visitors(tb.user_behavior(views), "1 hour").where(closed).join(approx, "window_end", "left")
+    return both.select("window_end", "uv",
+                       F.coalesce(F.abs(F.col("approx") - F.col("uv")) <= F.greatest(F.lit(1.0), 0.05 * F.col("uv")), F.lit(False))
+                       .alias("near"))
+
+
 @register("stream_page_counts", f"""
 SELECT * FROM ({_PAGE_COUNTS_ORACLE.replace("WHERE event_type = 'view'", f"""WHERE event_type = 'view'
   AND make_timestamp((epoch_us(ts) // 5000000 + 1) * 5000000) <= {_LAST_VIEW}""")})

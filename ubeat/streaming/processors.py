@@ -326,14 +326,11 @@ class VisitorCount(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         found = self.count.get()
-        n, latest = found[0] if found is not None else 0, None
-        for r in rows:
-            n += r.new
-            latest = r.ts if latest is None else max(latest, r.ts)
+        n = (found[0] if found is not None else 0) + sum(r.new for r in rows)
         if found is None:
             self.handle.registerTimer(key[0])
         self.count.update((n,))
-        yield Row(end_ms=key[0], last_ts=latest, uv=n)
+        yield Row(end_ms=key[0], uv=n)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.count.clear()

@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ubeat.functions.hashing import bitmap_offset
-from ubeat.functions.time import duration_us, interval_str
+from ubeat.functions.time import duration_us, floor_div, interval_str
+from ubeat.operators.sketches import BUCKET_BITS, visitor_sketches
 from ubeat.plans.sliding import window_counts
+from ubeat.streaming.processors import NewVisitors, VisitorCount
 from ubeat.streaming.sources import event_time
 
 
@@ -93,6 +95,35 @@ def stream_running_visitors(behavior: DataFrame, size="1 hour", *, ts: str = "ts
             .select(F.col("w.end").alias("window_end"), name, "first_ts"))
 
 
+def stream_visitor_counts(behavior: DataFrame, size="1 hour", *, ts: str = "ts", user: str = "user_id",
+                          delay="0 seconds", bits: int = 1 << 29, seed: int = 61) -> DataFrame:
+    """A12 / U6 on a stream: the running number of visitors itself, (window_end, uv) for
+    every micro-batch that brings a window new visitors (append mode).
+
+    Two levels of keyed state: a bitmap of 32,768 bits per (window, bucket of the
+    visitor's offset) finds the new bits, and a counter per window adds up one row per
+    bucket; a busy window is spread over its buckets. Both are cleared at its end.
+    """
+    size_us = duration_us(size)
+    pv = event_time(behavior.where(F.col("behavior") == "pv"), ts).withWatermark(ts, interval_str(duration_us(delay)))
+    end_us = floor_div(F.unix_micros(ts), size_us) * F.lit(size_us) + F.lit(size_us)
+    at = bitmap_offset(F.col(user), bits, seed)
+    rows = pv.select(F.floor(end_us / 1000).alias("end_ms"), floor_div(at, BUCKET_BITS).alias("bucket"),
+                     F.pmod(at, F.lit(BUCKET_BITS)).alias("position"), F.col(ts).alias("ts"))
+    new = rows.groupBy("end_ms", "bucket").transformWithState(
+        NewVisitors(min(bits, BUCKET_BITS)), "end_ms LONG, ts TIMESTAMP, new LONG", "Append", "EventTime", eventTimeColumnName="ts")
+    counts = new.groupBy("end_ms").transformWithState(VisitorCount(), "end_ms LONG, uv LONG", "Append", "EventTime")
+    return counts.select(F.timestamp_millis("end_ms").alias("window_end"), "uv")
+
+
+def stream_visitor_sketches(behavior: DataFrame, pane="5 minutes", lg_k: int = 12, *, ts: str = "ts",
+                            user: str = "user_id", delay="0 seconds") -> DataFrame:
+    """A10 on a stream: the HLL sketch of every closed pane (append mode);
+    ``operators.sketches.sketch_visitors`` unites stored sketches to windows."""
+    src = event_time(behavior, ts).withWatermark(ts, interval_str(duration_us(delay)))
+    return visitor_sketches(src, pane, lg_k, ts=ts, user=user)
+
+
 def windows_from_panes(panes: DataFrame, keys: Sequence[str], size, slide, *, count_col: str = "cnt") -> DataFrame:
     """Sliding-window counts from a table of closed pane counts (batch).
 
