@@ -178,8 +178,9 @@ def test_stream_revised_top_n_updates_on_late_rows(spark, tmp_path):
             .coalesce(1).write.parquet(str(tmp_path / "log" / f"t{i:03d}"))
     schema = "url string, method string, ts timestamp_ntz, seq long"
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log" / "t*"))
-    run_each(spark, sr.changing_counts(s, "10 seconds", "5 seconds", delay="0 seconds", lateness="1 minute"),
-             sr.revised_top_n(str(tmp_path / "r"), 2, delay="0 seconds"), tmp_path, "update")
+    run_each(spark, sr.changing_panes(s, "10 seconds", "5 seconds", delay="0 seconds", lateness="1 minute"),
+             sr.revised_top_n(str(tmp_path / "r"), 2, "10 seconds", "5 seconds", delay="0 seconds", bucket="20 seconds"),
+             tmp_path, "update")
     out = spark.read.parquet(str(tmp_path / "r" / "ranked"))
     got = rows(out.where(F.col("window_end") == ts(T0 + 5)), "epoch", "row_num", "url", "cnt")
     # Ranked when file 2 closes the window: b=2, a=1; after the late rows: a=3, b=2.

@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ubeat.functions.time import to_micros
@@ -50,14 +50,18 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def _replay(spark: SparkSession, sf: str, name: str, build: Callable[[DataFrame], DataFrame], mode: str = "append",
-            each: Callable[[str], Callable] | None = None, table: str = "events", order: str = "ts") -> str:
+            each: Callable[[str], Callable] | None = None, table: str = "events", order: str = "ts",
+            arrival: Callable[[Column], Column] | None = None) -> str:
     """Run ``build(stream)`` over all parts of ``table``; returns the folder.
 
+    Parts follow ``order``, or what ``arrival`` makes of it (rows out of order).
+
     The output is ``<folder>/out``, or what the ``foreachBatch`` function
     ``each(folder)`` writes."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ubeat-{name}-{uuid.uuid4().hex}"
     rows = tb.load(spark, sf, table)
     by = F.col(order) if order != "ts" else to_micros("ts", rows.schema["ts"].dataType)
+    by = by if arrival is None else arrival(by)
     low, high = rows.agg(F.min(by), F.max(by)).first()
     cut = [low + (high + 1 - low) * i // PARTS for i in range(PARTS + 1)] if low is not None else [0, 0]
     for a, b in zip(cut[:-1], cut[1:], strict=True):
@@ -112,26 +116,63 @@ def stream_hot_items_report(spark: SparkSession, sf: str) -> DataFrame:
     return _ranked_items(spark, sf, "report", report)
 
 
-_SLOW_PAGES = f"""
-WITH req AS (SELECT '/page/' || CAST({_K} AS VARCHAR) AS url, epoch_us(ts) AS us FROM events WHERE event_type = 'view'),
+_REQUESTS = f"SELECT '/page/' || CAST({_K} AS VARCHAR) AS url, epoch_us(ts) AS us, event_id FROM events WHERE event_type = 'view'"
+
+
+@register("stream_hot_pages", f"""
+WITH req AS ({_REQUESTS}),
 c AS (SELECT url, window_end, CAST(count(*) AS BIGINT) AS cnt
-      FROM ({_hop('req', 'url', 'us', 600_000_000, 60_000_000)}) GROUP BY url, window_end)
+      FROM ({_hop('req', 'url', 'us', 600_000_000, 5_000_000)}) GROUP BY url, window_end)
 SELECT url, window_end, cnt, row_num FROM (
   SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM c)
-WHERE row_num <= 3 AND window_end <= {_LAST_VIEW} - INTERVAL 1 SECOND"""
-
-
-@register("stream_hot_pages", _SLOW_PAGES)
+WHERE row_num <= 3 AND window_end <= {_LAST_VIEW} - INTERVAL 1 SECOND""")
 def stream_hot_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages per 10 min sliding by 1 min with a delay of 1 s and a
-    lateness of 1 min; the last ranking of every window."""
+    """Pages per 10 min sliding by 5 s with a delay of 1 s and a lateness of
+    1 min; the last ranking of every window."""
     base = _replay(spark, sf, "hot-pages",
-                   lambda ev: sr.changing_counts(tb.access_log(_views(ev)), "10 minutes", "1 minute", method="GET"),
-                   mode="update", each=lambda base: sr.revised_top_n(base, 3))
+                   lambda ev: sr.changing_panes(tb.access_log(_views(ev)), "10 minutes", "5 seconds", method="GET"),
+                   mode="update", each=lambda base: sr.revised_top_n(base, 3, "10 minutes", "5 seconds"))
+    return _last_ranking(spark, base).select("url", "window_end", "cnt", "row_num")
+
+
+def _last_ranking(spark: SparkSession, base: str) -> DataFrame:
     out = spark.read.parquet(f"{base}/ranked")
-    last = out.groupBy("window_end").agg(F.max("epoch").alias("epoch"))
-    return out.join(last, ["window_end", "epoch"]).select(
-        "url", F.col("window_end").cast("timestamp_ntz").alias("window_end"), "cnt", "row_num")
+    last = out.groupBy("window_end").agg(F.max("epoch").alias("epoch"), F.count_distinct("epoch").alias("rankings"))
+    return out.join(last, ["window_end", "epoch"]).withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
+#: An event arrives up to five hours after it happened.
+_JITTER_S = 18_000
+_ARRIVAL = f"epoch_us(ts) + event_id * 7919 % {_JITTER_S} * 1000000"
+
+
+@register("stream_hot_pages_late", f"""
+WITH a AS (SELECT event_type, {_K} AS k, epoch_us(ts) AS us, {_ARRIVAL} AS arrival FROM events),
+cut AS (SELECT i, lo + (hi + 1 - lo) * i // {PARTS} AS low FROM range(0, {PARTS}) t(i),
+        (SELECT min(arrival) AS lo, max(arrival) AS hi FROM a)),
+req AS (SELECT '/page/' || CAST(k AS VARCHAR) AS url, us, (SELECT max(i) FROM cut WHERE low <= arrival) AS part
+        FROM a WHERE event_type = 'view'),
+reach AS (SELECT part, max(max(us)) OVER (ORDER BY part) - 600000000 AS reached FROM req GROUP BY part),
+hop AS ({_hop('req', 'url, part', 'us', 3_600_000_000, 300_000_000)}),
+c AS (SELECT url, window_end, CAST(count(*) AS BIGINT) AS cnt FROM hop GROUP BY url, window_end),
+w AS (SELECT window_end, part FROM hop GROUP BY ALL),
+-- A window is ranked in the part that first reaches its end and in later parts that change it.
+f AS (SELECT window_end, min(part) AS part FROM (SELECT DISTINCT window_end FROM w) JOIN reach ON epoch_us(window_end) <= reached GROUP BY window_end),
+r AS (SELECT f.window_end, CAST(max((w.part <= f.part)::INT) + count(*) FILTER (w.part > f.part) AS BIGINT) AS rankings
+      FROM f JOIN w USING (window_end) GROUP BY f.window_end)
+SELECT url, window_end, cnt, row_num, rankings FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS row_num FROM c) JOIN r USING (window_end)
+WHERE row_num <= 3""")
+def stream_hot_pages_late(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 / W3 with rows that arrive out of order: pages per 1 h sliding by 5 min, delay
+    10 min, lateness 6 h; events replayed by arrival, up to 5 h after their time. The last
+    ranking of every window and how often it was ranked."""
+    opts = {"delay": "10 minutes", "lateness": "6 hours"}
+    base = _replay(spark, sf, "hot-pages-late",
+                   lambda ev: sr.changing_panes(tb.access_log(_views(ev)), "1 hour", "5 minutes", method="GET", **opts),
+                   mode="update", each=lambda base: sr.revised_top_n(base, 3, "1 hour", "5 minutes", **opts),
+                   arrival=lambda us: us + F.col("event_id") * 7919 % _JITTER_S * 1_000_000)
+    return _last_ranking(spark, base).select("url", "window_end", "cnt", "row_num", "rankings")
 
 
 @register("stream_page_views", f"SELECT * FROM ({_ORACLES['page_views']}) WHERE window_end <= {_LAST_VIEW}")
