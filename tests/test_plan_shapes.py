@@ -2,6 +2,7 @@
 import re
 
 import __spark_entry__ as entry
+from ubeat.plans import scan
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,8 +22,16 @@ def test_large_ratio_windows_do_not_expand_rows(spark):
         assert "Expand" not in _plan(spark, name), name
 
 
-def test_per_key_scans_are_blocked(spark):
+def test_per_key_scans_of_small_keys_share_one_exchange(spark):
+    for name, most in (("login_fail_pair", 1), ("login_fail_timer", 1), ("order_timeout", 1), ("login_fail_sequence", 1),
+                       ("order_pay_pattern", 1)):
+        p = _plan(spark, name)
+        assert len(re.findall(r"\bExchange \w+partitioning", p)) <= most and "Scan ExistingRDD" not in p, name
+
+
+def test_per_key_scans_of_hot_keys_are_blocked(spark, monkeypatch):
     # Every window over a key is cut by a block (or, for P3, by the sub-island).
+    monkeypatch.setattr(scan, "ROWS_PER_BLOCK", 5)
     for name, cuts in (("login_fail_pair", ("__blk",)), ("login_fail_timer", ("__blk", "__sub")),
                        ("login_fail_sequence", ("__b",)), ("order_pay_pattern", ("__b",))):
         p = _plan(spark, name)

@@ -149,6 +149,30 @@ def test_sparse_sequence_numbers_do_not_make_many_blocks(spark):
     assert row_blocks(df, [], ["seq"], blocks=4).select("__blk").distinct().count() == 4
 
 
+def test_blocks_follow_the_rows_not_the_setting(spark, monkeypatch):
+    from ubeat.plans import scan
+    monkeypatch.setattr(scan, "ROWS_PER_BLOCK", 500)
+    for n in (4_000, 40_000):
+        df = spark.range(n).select((F.col("id") % 3).alias("k"), F.col("id").alias("seq"))
+        blocked = scan.row_blocks(df, ["k"], ["seq"])
+        assert blocked.groupBy("__blk").count().agg(F.max("count")).first()[0] <= 1_000
+    small = spark.range(900).select((F.col("id") % 3).alias("k"), F.col("id").alias("seq"))
+    assert "__blk" not in scan.row_blocks(small, ["k"], ["seq"]).columns
+    assert "__blk" in scan.row_blocks(small, [], ["seq"]).columns
+
+
+def test_queries_are_the_same_with_and_without_blocks(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from ubeat.plans import scan
+    names = ("login_fail_pair", "login_fail_timer", "login_fail_sequence", "order_timeout", "order_pay_pattern",
+             "running_unique_visitors", "late_split")
+    whole = {n: entry.queries()[n](spark, "/root/testdata/sf0.001").collect() for n in names}
+    monkeypatch.setattr(scan, "ROWS_PER_BLOCK", 7)
+    for n in names:
+        cut = entry.queries()[n](spark, "/root/testdata/sf0.001").collect()
+        assert sorted(map(repr, cut)) == sorted(map(repr, whole[n])), n
+
+
 def test_uneven_windows_equal_direct_windows(spark):
     from pyspark.sql import functions as F
 

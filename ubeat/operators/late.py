@@ -36,7 +36,7 @@ def split_late(df: DataFrame, size, slide=None, *, delay="0 seconds", lateness="
     delay_us, late_us = duration_us(delay), duration_us(lateness)
     us = to_micros(ts, dtype)
     per_seq = row_blocks(df.groupBy(F.col(seq).alias("__seq")).agg(F.max(us).alias("__mx")),
-                         [], ["__seq"], "__blk", blocks)
+                         [], ["__seq"], "__blk", blocks, counted=df.select(seq))
     wm = global_running(per_seq, ["__seq"], "__mx", "__blk", "__before", how="max", inclusive=False) \
         .select("__seq", (F.col("__before") - F.lit(delay_us)).alias("__wm"))
     x = df.withColumn("__us", us).join(wm, F.col(seq) == F.col("__seq"), "left").drop("__seq")

@@ -127,7 +127,7 @@ def running_unique_visitors(behavior: DataFrame, size="1 hour", *, ts: str = "ts
     first = (pv.select(w.end.alias("window_end"), vis.alias(vcol), F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq")).alias("o"))
              .groupBy("window_end", vcol).agg(F.min("o").alias("o"))
              .select("window_end", vcol, F.col("o.ts").alias("ts"), F.col("o.seq").alias("seq"), F.lit(1).alias("one")))
-    first = row_blocks(first, ["window_end"], ["ts", "seq"], "__blk", blocks)
+    first = row_blocks(first, ["window_end"], ["ts", "seq"], "__blk", blocks, counted=pv.select(w.end.alias("window_end")))
     out = blocked_running(first, ["window_end"], ["ts", "seq"], "one", "__blk", "uv", how="sum")
     return out.select("window_end", vcol, "ts", F.col("uv").cast("long").alias("uv"))
 

@@ -1,24 +1,28 @@
 """Skew-safe ordered scans: running aggregates, previous / next rows, next match.
 
 A plain ``Window.partitionBy(key).orderBy(seq)`` sorts every row of a key in
-one task; if one key holds a third of the data that task never finishes.  The
-plans here split each key's order into *blocks* of a bounded number of rows
-(``row_blocks``: the ranges of one range partitioning by key and order,
-whatever the spacing of times or sequence numbers) and work in two levels:
+one task; if one key holds a third of the data that task never finishes.
+``row_blocks`` counts the rows per key first (a partial aggregate over the key
+column). Where no key has more than ``ROWS_PER_BLOCK`` rows, the plain window is
+bounded as it is: all scans over one (key, order) then share one exchange and one
+sort, and nothing is written. Otherwise each key's order is split into *blocks*
+(the ranges of one range partitioning by key and order, as many as the rows need,
+whatever the spacing of times or sequence numbers), and a scan works in two levels:
 
 1. one summary row per (key, block) — a partial aggregate, combinable map-side;
-2. a window over the per-key block summaries (tiny: blocks per key) gives the
-   value carried into each block;
+2. a window over the per-key block summaries (rows / ``ROWS_PER_BLOCK`` of them in
+   all) gives the value carried into each block;
 3. a window over (key, block) — bounded size — finishes the scan, seeded by
    the carried value that is joined back (AQE broadcasts it when small).
 
 Look-ahead scans (``next_rows``, ``next_match``) mirror this with a carry from
-the *following* blocks.  The result equals the single-window scan for every
-row (tests/test_plans.py checks each against the plain window).
+the *following* blocks.  Both ways give every row the same result
+(tests/test_plans.py checks each against the plain window).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,19 +31,30 @@ from pyspark.sql import functions as F
 from ubeat.session import checkpointed
 
 
+#: The most rows of a key that one task orders.
+ROWS_PER_BLOCK = 1_000_000
+
+
 def row_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "__blk",
-               blocks: int | None = None) -> DataFrame:
-    """``df`` with a block number that is monotone in (keys, order).
-
-    The rows are range-partitioned by (keys, order) into ``blocks`` ranges (by
-    default ``spark.sql.shuffle.partitions``), and a range is a block: a hot
-    key, even one with all its rows in one second, is cut into as many blocks
-    as its share of the rows.  The ranges come from a sample, so the result is
-    checkpointed: block summaries and rows read the same blocks, also after an
-    executor is lost, and the input is read and shuffled once.
+               blocks: int | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """``df`` with a block number that is monotone in (keys, order), or ``df`` itself if
+    every key has at most ``ROWS_PER_BLOCK`` rows (the scans then take a key as one block).
+
+    Blocks are the ranges of a range partitioning by (keys, order), of about
+    ``ROWS_PER_BLOCK`` rows (or ``blocks`` of them): a hot key, even one with all its
+    rows in one second, is cut into as many blocks as its share of the rows.  The
+    ranges come from a sample, so the result is checkpointed: block summaries and rows
+    read the same blocks, also after an executor is lost.  ``counted`` is a frame that is
+    cheaper to count than ``df`` and has at least as many rows for every key.
     """
-    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in (*keys, *order)])
+    if blocks is None:
+        per_key = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        most, rows = per_key.agg(F.max("n"), F.sum("n")).first()
+        if keys and (most or 0) <= ROWS_PER_BLOCK:
+            return df
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = max(least, math.ceil((rows or 0) / ROWS_PER_BLOCK))
+    ranged = df.repartitionByRange(blocks, *[F.col(c) for c in (*keys, *order)])
     return checkpointed(ranged.withColumn(out, F.spark_partition_id()))
 
 
@@ -68,6 +83,12 @@ def blocked_running_many(df: DataFrame, keys: Sequence[str], order: Sequence[str
     the block summaries, one window over (key, block) for the rows.
     """
     keys = list(keys)
+    if block not in df.columns:
+        for v, h, name, inc in specs:
+            w = Window.partitionBy(*keys).orderBy(*_order_cols(order)).rowsBetween(Window.unboundedPreceding, 0 if inc else -1)
+            run = _AGG[h](v).over(w)
+            df = df.withColumn(name, F.coalesce(run, F.lit(0)) if inc and h in ("sum", "count") else run)
+        return df
     summary = df.groupBy(*keys, block).agg(*[_AGG[h](v).alias(f"__bt{i}") for i, (v, h, _, _) in enumerate(specs)])
     wk = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(block) \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -113,6 +134,9 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], field
     over the per-key block summary).
     """
     keys = list(keys)
+    if block not in df.columns:
+        w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
+        return df.withColumns({prefix + f: F.lag(f).over(w) for f in fields})
     payload = F.struct(*[F.col(f).alias(f) for f in fields])
     okey = F.struct(*[F.col(c) for c in order])
     last_in_block = (df.groupBy(*keys, block)
@@ -152,6 +176,9 @@ def next_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], fields:
     """
     keys = list(keys)
     ocols = _order_cols(order)
+    if block not in df.columns:
+        w = Window.partitionBy(*keys).orderBy(*ocols)
+        return df.withColumns({f"{prefix}{j}_{f}": F.lead(f, j).over(w) for j in range(1, k + 1) for f in fields})
     wb = Window.partitionBy(*keys, block).orderBy(*ocols)
     payload = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
                        *[F.col(f).alias(f) for f in fields])
@@ -187,6 +214,10 @@ def next_match(df: DataFrame, keys: Sequence[str], order: Sequence[str], is_matc
     okey = F.struct(*[F.col(c) for c in order])
     payload = F.struct(*[F.col(f).alias(f) for f in fields])
     x = df.withColumn("__m", is_match)
+    if block not in df.columns:
+        w = Window.partitionBy(*keys).orderBy(*_order_cols(order, descending=True)).rowsBetween(Window.unboundedPreceding, -1)
+        x = x.withColumn("__in", F.last(F.when(F.col("__m"), payload), ignorenulls=True).over(w))
+        return x.withColumns({prefix + f: F.col("__in")[f] for f in fields}).drop("__m", "__in")
     first = (x.groupBy(*keys, block)
              .agg(F.min_by(F.when(F.col("__m"), payload), F.when(F.col("__m"), okey)).alias("__first")))
     wk = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(F.col(block).desc()) \

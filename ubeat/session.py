@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     # Keyed stream state on local disk with checkpoints, not on the executors' heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A checkpoint is deleted once nothing refers to it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
