@@ -158,7 +158,7 @@ def test_blocks_follow_the_rows_not_the_setting(spark, monkeypatch):
         assert blocked.groupBy("__blk").count().agg(F.max("count")).first()[0] <= 1_000
     small = spark.range(900).select((F.col("id") % 3).alias("k"), F.col("id").alias("seq"))
     assert "__blk" not in scan.row_blocks(small, ["k"], ["seq"]).columns
-    assert "__blk" in scan.row_blocks(small, [], ["seq"]).columns
+    assert "__blk" in scan.row_blocks(small, [], ["seq"]).columns  # 900 rows of one key
 
 
 def test_queries_are_the_same_with_and_without_blocks(spark, monkeypatch):

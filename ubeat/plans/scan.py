@@ -38,7 +38,8 @@ ROWS_PER_BLOCK = 1_000_000
 def row_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "__blk",
                blocks: int | None = None, counted: DataFrame | None = None) -> DataFrame:
     """``df`` with a block number that is monotone in (keys, order), or ``df`` itself if
-    every key has at most ``ROWS_PER_BLOCK`` rows (the scans then take a key as one block).
+    every key has at most ``ROWS_PER_BLOCK`` rows (the scans then take a key as one block;
+    without keys all rows are one key).
 
     Blocks are the ranges of a range partitioning by (keys, order), of about
     ``ROWS_PER_BLOCK`` rows (or ``blocks`` of them): a hot key, even one with all its
@@ -50,7 +51,7 @@ def row_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: st
     if blocks is None:
         per_key = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         most, rows = per_key.agg(F.max("n"), F.sum("n")).first()
-        if keys and (most or 0) <= ROWS_PER_BLOCK:
+        if (most or 0) <= ROWS_PER_BLOCK:
             return df
         least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         blocks = max(least, math.ceil((rows or 0) / ROWS_PER_BLOCK))

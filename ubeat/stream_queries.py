@@ -1,10 +1,11 @@
 """Registered stream queries: the events replayed in ``PARTS`` micro-batches.
 
 Each query replays the whole ``events`` table (it is in event-time order by
-``event_id``): a part is written to the query's input folder and the query runs
-over what is new, from its checkpoint, so state and watermark are carried (and
-recovered) between the parts. Input, output and checkpoint are folders under the
-session's shared checkpoint folder; input and checkpoint are removed at the end.
+``event_id``): parts are written to the query's input folder and the query runs
+over what is new, a part per micro-batch, from its checkpoint, so state and
+watermark are carried between the parts and recovered between the ``RUNS`` starts.
+Input, output and checkpoint are folders under the session's shared checkpoint
+folder; input and checkpoint are removed at the end.
 Windows and timers that the final watermark has not reached are not emitted.
 """
 
@@ -39,6 +40,10 @@ from ubeat.streaming import windows as sw
 from ubeat.streaming.late import late_splitter
 
 PARTS = 4
+#: Times that a query is started; it goes on from its checkpoint.
+RUNS = 2
+#: Rows of an input file (each part has as many files), and rows per state partition.
+FILE_ROWS, STATE_ROWS = 1_000_000, 25_000
 _LAST_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
 #: The final watermark of a query over all events, in whole milliseconds.
 _LAST = "(SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) FROM events)"
@@ -62,15 +67,26 @@ def _replay(spark: SparkSession, sf: str, name: str, build: Callable[[DataFrame]
     rows = tb.load(spark, sf, table)
     by = F.col(order) if order != "ts" else to_micros("ts", rows.schema["ts"].dataType)
     by = by if arrival is None else arrival(by)
-    low, high = rows.agg(F.min(by), F.max(by)).first()
-    cut = [low + (high + 1 - low) * i // PARTS for i in range(PARTS + 1)] if low is not None else [0, 0]
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
-        rows.where((by >= a) & (by < b)).write.mode("append").parquet(f"{base}/in")
-        out = build(spark.readStream.schema(rows.schema).parquet(f"{base}/in"))
+    low, high, n = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
+    cut = [low + (high + 1 - low) * i // PARTS for i in range(PARTS + 1)] if low is not None else [0] * (PARTS + 1)
+    files = -(-n // (PARTS * FILE_ROWS)) or 1
+    setting = spark.conf.get("spark.sql.shuffle.partitions")
+    states = min(int(setting), -(-n // STATE_ROWS) or 1)
+    for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+        part = rows.where((by >= a) & (by < b))
+        part = part.coalesce(1) if files == 1 else part.repartition(files)
+        part.write.mode("append").parquet(f"{base}/in")
+        if i % (PARTS // RUNS) != PARTS // RUNS - 1:
+            continue
+        out = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in"))
         writer = out.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
         writer = writer.foreachBatch(each(base)) if each else writer.format("parquet").option("path", f"{base}/out")
-        query = writer.start()
-        query.awaitTermination()
+        spark.conf.set("spark.sql.shuffle.partitions", states)
+        try:
+            query = writer.start()
+            query.awaitTermination()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", setting)
         if query.exception() is not None:
             raise query.exception()
     for part in ("in", "checkpoint"):
