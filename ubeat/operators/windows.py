@@ -7,8 +7,11 @@ half-open like Spark's ``window()``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -158,3 +161,35 @@ def window_apply(df: DataFrame, keys: Sequence[str], size, fn, schema, *, ts: st
     """
     w = F.window(ts, interval_str(duration_us(size)))
     return df.withColumn("window_end", w.end).groupBy("window_end", *keys).applyInPandas(fn, schema)
+
+
+def window_stream(df: DataFrame, keys: Sequence[str], size, fn: Callable[[tuple, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+                  schema: str, *, ts: str = "ts", order: Sequence[str] = (), columns: Sequence[str] = ()) -> DataFrame:
+    """U3 in bounded memory: ``fn((window_end, *keys), frames)`` per (tumbling window, key).
+
+    ``frames`` iterates over the group's rows batch by batch, ordered by ``order`` (an
+    external sort), so a window of any size passes through a worker that holds one Arrow
+    batch; ``fn`` yields result frames and may stop reading early. ``columns`` are the
+    columns it needs (all by default). A window of one key is one task's work: where it
+    can be merged, use ``sliding_merge`` or an aggregate instead.
+    """
+    group = ["window_end", *keys]
+    names = list(dict.fromkeys([*group, *(columns or df.columns), *order]))
+    w = F.window(ts, interval_str(duration_us(size)))
+    rows = df.withColumn("window_end", w.end).select(*names).repartition(*group).sortWithinPartitions(*group, *order)
+    return rows.mapInPandas(lambda batches: _grouped(batches, group, fn), schema)
+
+
+def _grouped(batches: Iterator[pd.DataFrame], group: list[str], fn) -> Iterator[pd.DataFrame]:
+    """Runs ``fn`` over consecutive groups of a stream of sorted batches."""
+    def runs():
+        for batch in batches:
+            if len(batch):
+                changed = (batch[group] != batch[group].shift()) & ~(batch[group].isna() & batch[group].shift().isna())
+                cuts = [0, *(i for i in np.flatnonzero(changed.any(axis=1)) if i), len(batch)]
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                    part = batch.iloc[a:b]
+                    yield tuple(None if pd.isna(x) else x for x in part[group].iloc[0]), part
+
+    for key, parts in itertools.groupby(runs(), key=lambda run: run[0]):
+        yield from fn(key, (part for _, part in parts))

@@ -29,9 +29,9 @@ window alignment as Spark's ``window()`` (epoch aligned, half-open).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ubeat.functions.time import duration_us, floor_div, from_micros, interval_str, to_micros
@@ -91,6 +91,63 @@ def sliding_distinct(df: DataFrame, keys: Sequence[str], value: str, size, slide
     return _expand(deltas, keys, size_us, slide_us, block_us, dtype, count_col)
 
 
+def sliding_merge(df: DataFrame, keys: Sequence[str], size, slide=None, *, partial: Column,
+                  parts: dict[str, tuple[Callable[[Column], Column], Callable[[Column, Column], Column]]],
+                  ts: str = "ts") -> DataFrame:
+    """Any mergeable aggregates (max, min, sketches) per key per sliding window, no row expanded.
+
+    ``partial`` aggregates the rows of a pane to a struct; for each of its fields ``parts``
+    has the aggregate function that merges panes and the function that merges two results,
+    e.g. ``{"highest": (F.max, F.greatest)}``. Such values cannot be subtracted, so a
+    window is put together from two scans: panes lie in blocks as long as a window, which
+    then is a suffix of one block and a prefix of the next. Suffixes and prefixes are
+    running aggregates inside a block (two stacks), both are step functions of the window's
+    start, and each constant piece is expanded into its windows. Work is panes plus output;
+    no scan is longer than a block of one key.
+    -> keys, window_start, window_end, the fields of ``parts``
+    """
+    size_us, slide_us = duration_us(size), duration_us(slide if slide is not None else size)
+    dtype, keys, pane_us = df.schema[ts].dataType, list(keys), math.gcd(size_us, slide_us)
+    w, step = size_us // pane_us, slide_us // pane_us
+    pane = (df.select("*", floor_div(to_micros(ts, dtype), pane_us).alias("__p")).groupBy(*keys, "__p")
+            .agg(partial.alias("__v")).withColumn("__b", floor_div(F.col("__p"), w)))
+    block = Window.partitionBy(*keys, "__b").orderBy("__p")
+
+    def merged(frame):
+        return F.struct(*[run(F.col("__v")[n]).over(frame).alias(n) for n, (run, _) in parts.items()])
+
+    pane = pane.select(*keys, "__b", "__p", F.lag("__p").over(block).alias("__before"), F.lead("__p").over(block).alias("__next"),
+                       merged(block.rowsBetween(0, Window.unboundedFollowing)).alias("__suffix"),
+                       merged(block.rowsBetween(Window.unboundedPreceding, 0)).alias("__prefix"))
+    low, high, p = F.col("__b") * F.lit(w), (F.col("__b") + 1) * F.lit(w), F.col("__p")
+
+    def change(b, t, side, value):
+        return F.struct(b.alias("__wb"), t.alias("__t"), F.lit(side).alias("__side"), value.alias("__val"))
+
+    none = F.lit(None).cast(pane.schema["__suffix"].dataType)
+    # From these window starts on, the part in the start's block, or in the one after it, has this value.
+    changes = F.array(change(F.col("__b"), F.coalesce(F.col("__before") + 1, low), "left", F.col("__suffix")),
+                      F.when(F.col("__next").isNull() & (p + 1 < high), change(F.col("__b"), p + 1, "left", none)),
+                      F.when(p + 1 < high, change(F.col("__b") - 1, p + 1 - F.lit(w), "right", F.col("__prefix"))))
+    steps = pane.select(*keys, F.explode(F.filter(changes, lambda x: x.isNotNull())).alias("__x")).select(*keys, "__x.*")
+    run = Window.partitionBy(*keys, "__wb").orderBy("__t", "__side")
+    so_far = run.rowsBetween(Window.unboundedPreceding, 0)
+    last = {x: F.last(F.when(F.col("__side") == x, F.struct(F.col("__val"))), ignorenulls=True).over(so_far) for x in ("left", "right")}
+    steps = (steps.withColumns({f"__{k}": v for k, v in last.items()})
+             .withColumn("__e", F.coalesce(F.lead("__t").over(run), (F.col("__wb") + 1) * F.lit(w))))
+    left, right = F.col("__left")["__val"], F.col("__right")["__val"]
+    joined = F.struct(*[both(left[n], right[n]).alias(n) for n, (_, both) in parts.items()])
+    value = F.when(left.isNull(), right).when(right.isNull(), left).otherwise(joined)
+    first = -floor_div(-F.col("__t"), step) * F.lit(step)
+    steps = steps.select(*keys, value.alias("__val"), first.alias("__s"), F.col("__e")).where(
+        F.col("__val").isNotNull() & (F.col("__s") < F.col("__e")))
+    start = F.explode(F.sequence(F.col("__s"), F.col("__e") - 1, F.lit(step).cast("long"))).alias("__s")
+    us = F.col("__s") * F.lit(pane_us)
+    return steps.select(*keys, "__val", start).select(
+        *keys, from_micros(us, dtype).alias("window_start"), from_micros(us + F.lit(size_us), dtype).alias("window_end"),
+        *[F.col("__val")[n].alias(n) for n in parts])
+
+
 def _interval(us: int):
     """An exact day-time interval of ``us`` microseconds."""
     return F.expr(f"make_dt_interval(0, 0, 0, {us // 1_000_000}.{us % 1_000_000:06d})")

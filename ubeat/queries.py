@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from ubeat.operators.orders import order_timeout as _order_timeout
 from ubeat.operators.orders import tx_match as _tx_match
 from ubeat.operators.patterns import login_fail_sequence as _login_fail_sequence
 from ubeat.operators.patterns import order_pay_pattern as _order_pay_pattern
-from ubeat.plans.sliding import sliding_distinct
+from ubeat.plans.sliding import sliding_distinct, sliding_merge
 from ubeat.session import checkpointed
 from ubeat.sources import tables as tb
 from ubeat.sources.text import parse_access_log
@@ -259,6 +261,48 @@ def unique_visitors_sliding(spark: SparkSession, sf: str) -> DataFrame:
                        (F.abs(F.col("approx") - F.col("uv")) <= F.greatest(F.lit(1.0), 0.05 * F.col("uv"))).alias("near"))
 
 
+@register("sliding_value_range", f"""
+SELECT event_type, window_end, max(value) AS highest, min(value) AS lowest
+FROM ({_hop("(SELECT event_type, epoch_us(ts) AS us, value FROM events WHERE event_type IN ('purchase', 'signup'))",
+            'event_type, value', 'us', 600_000_000, 5_000_000)}) GROUP BY event_type, window_end
+""")
+def sliding_value_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Highest and lowest value per event type per 10 min sliding by 5 s, from pane partials."""
+    rows = tb.only(_ev(spark, sf), "purchase", "signup").select("event_type", "ts", "value")
+
+    def pair(highest, lowest):
+        return F.struct(highest.alias("highest"), lowest.alias("lowest"))
+
+    out = sliding_merge(
+        rows, ["event_type"], "10 minutes", "5 seconds", partial=pair(F.max("value"), F.min("value")),
+        parts={"highest": (F.max, F.greatest), "lowest": (F.min, F.least)})
+    return out.select("event_type", "window_end", "highest", "lowest")
+
+
+@register("view_gaps", f"""
+SELECT {_HOUR_END} AS window_end, CAST(count(*) AS BIGINT) AS views,
+       CAST(max(epoch_us(ts) - epoch_us(before)) AS BIGINT) AS longest_gap_us
+FROM (SELECT ts, lag(ts) OVER (PARTITION BY {_HOUR_END} ORDER BY ts, event_id) AS before FROM events WHERE event_type = 'view')
+GROUP BY 1
+""")
+def view_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Views and the longest pause between two of them per hour, by a whole-window
+    function that reads the hour in order, batch by batch."""
+    def gaps(key, frames):
+        n, last, longest = 0, None, None
+        for frame in frames:
+            us = frame["ts"].to_numpy("datetime64[us]").astype("int64")
+            steps = np.diff(us if last is None else np.concatenate([[last], us]))
+            n, last = n + len(us), us[-1]
+            if len(steps):
+                longest = int(max(steps.max(), longest if longest is not None else 0))
+        yield pd.DataFrame({"window_end": [key[0]], "views": [n], "longest_gap_us": pd.array([longest], "Int64")})
+
+    views = tb.user_behavior(_views(spark, sf))
+    return windows.window_stream(views, [], "1 hour", gaps, "window_end timestamp_ntz, views long, longest_gap_us long",
+                                 order=["ts", "seq"], columns=["ts"])
+
+
 @register("running_unique_visitors", f"""
 WITH pv AS (SELECT {_HOUR_END} AS window_end, user_id, ts, event_id FROM events WHERE event_type = 'view'),
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY window_end, user_id ORDER BY ts, event_id) AS rn

@@ -329,6 +329,25 @@ def stream_order_timeout(spark: SparkSession, sf: str) -> DataFrame:
                    "create_ts", "pay_ts")
 
 
+@register("stream_order_pay_pattern", f"""
+SELECT * FROM ({_ORACLES['order_pay_pattern']})
+WHERE CASE WHEN tag = 'payed' THEN pay_ts <= {_LAST_ORDER} ELSE create_ts + INTERVAL 12 HOUR <= {_LAST_ORDER} END
+""")
+def stream_order_pay_pattern(spark: SparkSession, sf: str) -> DataFrame:
+    """A click followed by the user's next purchase within 12 h, else a timeout."""
+    return _result(spark, sf, "order-pay", lambda ev: st.stream_order_pay_pattern(tb.order_events(ev, per="user"), "12 hours"),
+                   "create_ts", "pay_ts")
+
+
+@register("stream_click_fraud_daily", _ORACLES["click_fraud_daily"])
+def stream_click_fraud_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """At most 2 events per (user, event type) and local day, the 3rd warns; a timer at
+    the end of the day clears the state."""
+    out = _result(spark, sf, "fraud-daily", lambda ev: st.stream_click_fraud_filter(
+        tb.ad_clicks(ev), ("user_id", "event_type"), 2, reset="daily"), "ts")
+    return out.select("user_id", "event_type", "ts", "seq", "tag")
+
+
 def _tx(spark: SparkSession, sf: str) -> DataFrame:
     out = _result(spark, sf, "tx", lambda ev: st.stream_tx_match(tb.pays(ev), tb.receipts(ev), "5 hours", "3 hours"),
                   "pay_ts", "receipt_ts")
