@@ -1,10 +1,11 @@
 import random
+from datetime import datetime, timedelta
 
 from conftest import rows, ts
 from pyspark.sql import functions as F
 
 from ubeat.operators.logins import login_fail_pair, login_fail_timer
-from ubeat.operators.orders import order_timeout, tx_match
+from ubeat.operators.orders import order_timeout, tx_match, tx_pair
 from ubeat.operators.patterns import login_fail_sequence, order_pay_pattern
 
 LOGIN = "user_id long, ip string, event_type string, ts timestamp_ntz, seq long"
@@ -139,3 +140,48 @@ def test_tx_match_bounds(spark):
     got = rows(tx_match(pays, rec, "5 seconds", "3 seconds", bucket="4 seconds"), "tag", "tx_id")
     assert got == [("matched", "a"), ("matched", "b"), ("unmatched_pay", "c"), ("unmatched_pay", "d"),
                    ("unmatched_receipt", "c"), ("unmatched_receipt", "e")]
+
+
+def _pair_model(pays, receipts, pw, rw):
+    """Brute force: every event looks through all waiting events of the other side."""
+    events = sorted([(k, t, 0, s) for k, t, s in pays] + [(k, t, 1, s) for k, t, s in receipts])
+    waiting, out = [], []
+    for k, t, side, s in events:
+        found = next((w for w in waiting if w[0] == k and w[2] != side and t - w[1] <= (rw if w[2] else pw)), None)
+        if found:
+            waiting.remove(found)
+            out.append(("matched", s, found[3]) if side == 0 else ("matched", found[3], s))
+        else:
+            waiting.append((k, t, side, s))
+    return sorted(out + [("unmatched_receipt", None, s) if side else ("unmatched_pay", s, None) for _, _, side, s in waiting], key=repr)
+
+
+def test_tx_pair_equals_a_model(spark, monkeypatch):
+    from ubeat.plans import scan
+    rng = random.Random(6)
+    pays, receipts = [], []
+    for i in range(900):
+        # Key "hot" has a third of the events, many of one instant; the others have pauses.
+        k = "hot" if i % 3 == 0 else f"k{rng.randrange(12)}"
+        t = rng.randrange(150) if k == "hot" else rng.randrange(600)
+        (pays if rng.random() < 0.5 else receipts).append((k, t, i))
+    p = spark.createDataFrame([(k, ts(T0 + t), s, 5) for k, t, s in pays] + [(None, ts(T0), 9000, 5)], "tx_id string, ts timestamp_ntz, seq long, order_id long")
+    r = spark.createDataFrame([(k, ts(T0 + t), s, "x") for k, t, s in receipts] + [(None, ts(T0), 9001, "x")], "tx_id string, ts timestamp_ntz, seq long, pay_channel string")
+    want = sorted(_pair_model(pays, receipts, 5, 3) + [("unmatched_pay", 9000, None), ("unmatched_receipt", None, 9001)], key=repr)
+    for most in (1_000_000, 20):
+        monkeypatch.setattr(scan, "ROWS_PER_BLOCK", most)
+        got = tx_pair(p, r, "5 seconds", "3 seconds").collect()
+        assert sorted(((x.tag, x.pay_seq, x.receipt_seq) for x in got), key=repr) == want
+        assert all((x.pay_order_id == 5) == (x.pay_seq is not None) and (x.receipt_pay_channel == "x") == (x.receipt_seq is not None) for x in got)
+    assert tx_pair(p.limit(0), r.limit(0)).count() == 0
+
+
+def test_tx_pair_query_equals_the_model(spark):
+    import __spark_entry__ as entry
+    from ubeat.sources import tables as tb
+    sf = "/root/testdata/sf0.001"
+    ev = tb.load(spark, sf, "events")
+    rows_of = lambda df: [(x.tx_id, (x.ts - datetime(1970, 1, 1)) // timedelta(microseconds=1), x.seq) for x in df.collect()]
+    want = _pair_model(rows_of(tb.pays(ev)), rows_of(tb.receipts(ev)), 5 * 3_600_000_000, 3 * 3_600_000_000)
+    got = entry.queries()["tx_pair"](spark, sf).collect()
+    assert sorted(((x.tag, x.pay_seq, x.receipt_seq) for x in got), key=repr) == want

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows, ts
+from conftest import rows, ts, utc
 from ubeat.functions.hashing import bitmap_offset
 from ubeat.operators import windows
 
@@ -94,3 +94,46 @@ def test_window_apply(spark):
     df = _beh(spark, [(3, 10, "pv", 0), (1, 10, "pv", 10), (3, 11, "pv", 20)])
     got = windows.window_apply(df, [], "1 hour", users, "window_end timestamp_ntz, users string")
     assert rows(got, "window_end", "users") == [(ts(3600), "1,3")]
+
+
+def test_sliding_merge_equals_windows(spark):
+    import random
+
+    from ubeat.plans.sliding import sliding_merge
+    rng = random.Random(8)
+    data = [(rng.choice("ab"), ts(1_600_000_000 + rng.randrange(9_000)), rng.randrange(1000), rng.randrange(60)) for _ in range(700)]
+    df = spark.createDataFrame(data, "b string, ts timestamp_ntz, v long, user long")
+    pair = F.struct(F.max("v").alias("t"), F.min("v").alias("low"))
+    for size, slide in (("10 minutes", "5 seconds"), ("10 minutes", "4 minutes"), ("1 minute", "1 minute")):
+        got = sliding_merge(df, ["b"], size, slide, partial=pair, parts={"t": (F.max, F.greatest), "low": (F.min, F.least)})
+        want = df.groupBy(F.window("ts", size, slide).alias("w"), "b").agg(F.max("v").alias("t"), F.min("v").alias("low")) \
+            .select("b", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "t", "low")
+        assert rows(got, "b", "window_start", "window_end", "t", "low") == rows(want, "b", "window_start", "window_end", "t", "low")
+        assert "Expand" not in got._jdf.queryExecution().toString()
+    sketch = sliding_merge(df, [], "10 minutes", "1 minute", partial=F.struct(F.hll_sketch_agg("user").alias("s")),
+                           parts={"s": (F.hll_union_agg, F.hll_union)})
+    got = dict(rows(sketch.select("window_end", F.hll_sketch_estimate("s").alias("n")), "window_end", "n"))
+    want = dict(rows(df.groupBy(F.window("ts", "10 minutes", "1 minute").end.alias("e")).agg(F.count_distinct("user").alias("n")), "e", "n"))
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) <= max(1, 0.05 * want[k]) for k in want)
+
+
+def test_window_stream_reads_a_large_window_in_bounded_batches(spark):
+    import pandas as pd
+
+    from ubeat.operators.windows import window_stream
+    n = 400_000
+    df = spark.range(n).select((F.col("id") % 2).alias("k"), F.timestamp_seconds(F.lit(3600) + F.col("id") % 3600).alias("ts"),
+                               (F.lit(n) - F.col("id")).alias("v"))
+    df = df.unionByName(spark.createDataFrame([(7, utc(99_999), 1), (None, utc(99_999), 2)], df.schema))
+
+    def walk(key, frames):
+        total = most = 0
+        last = None
+        for f in frames:
+            assert f["v"].is_monotonic_increasing and (last is None or f["v"].iloc[0] >= last)
+            total, most, last = total + len(f), max(most, len(f)), f["v"].iloc[-1]
+        yield pd.DataFrame({"window_end": [key[0]], "k": pd.array([key[1]], "Int64"), "n": [total], "most": [most]})
+
+    got = window_stream(df, ["k"], "1 hour", walk, "window_end timestamp, k long, n long, most long", order=["v"], columns=["v"]).collect()
+    assert sorted((r.k is None, r.k or 0, r.n) for r in got) == [(False, 0, n // 2), (False, 1, n // 2), (False, 7, 1), (True, 0, 1)]
+    assert max(r.most for r in got) <= int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections import deque
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ubeat.functions.time import duration_us, floor_div, to_micros
-from ubeat.plans.scan import next_rows, previous_row, row_blocks
+from ubeat.plans.scan import blocked_running, next_rows, previous_row, row_blocks
 
 # The reference's four outcomes of the order state machine.
 PAYED_OK = "payed successfully"
@@ -113,3 +117,80 @@ def _band(key: str, pw: int, rw: int):
     return ((F.col(f"p.{key}") == F.col(f"r.{key}")) & (F.col("p.__b") == F.col("r.__b"))
             & (F.col("r.__rus") >= F.col("p.__pus") - F.lit(rw))
             & (F.col("r.__rus") <= F.col("p.__pus") + F.lit(pw)))
+
+
+def tx_pair(pays: DataFrame, receipts: DataFrame, pay_wait="5 seconds", receipt_wait="3 seconds", *,
+            key: str = "tx_id", ts: str = "ts", seq: str = "seq", blocks: int | None = None) -> DataFrame:
+    """J1 one to one: every pay and every receipt is in one row, as in a state machine that
+    waits for the other side.
+
+    A key's events are taken in event time (pays before receipts of the same instant, then
+    ``seq``). A pay is matched with the oldest waiting receipt at most ``receipt_wait``
+    earlier, a receipt with the oldest waiting pay at most ``pay_wait`` earlier; what finds
+    no partner in its time is ``unmatched_*``. So a key with many pays and receipts gives as
+    many rows as it has events, where ``tx_match`` gives all pairs.
+    -> the columns of ``tx_match``
+
+    Plan: a pause longer than both waits empties the queues, so a key's events are cut there
+    (blocked scans), the pieces are dealt out and each is walked in order, batch by batch;
+    memory is the events that are waiting.
+    """
+    pw, rw = duration_us(pay_wait), duration_us(receipt_wait)
+    sides = []
+    for df, side in ((pays, "pay"), (receipts, "receipt")):
+        dtype = df.schema[ts].dataType
+        sides.append(df.select(*[F.col(c).alias(c if c == key else f"{side}_{c}") for c in df.columns],
+                               to_micros(ts, dtype).alias("__us"), F.lit(side == "receipt").alias("__receipt"),
+                               F.col(seq).cast("long").alias("__seq")))
+    x = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    columns = [c for c in x.columns if not c.startswith("__")]
+    order = ["__us", "__receipt", "__seq"]
+    x = row_blocks(x, [key], order, "__blk", blocks)
+    x = previous_row(x, [key], order, ["__us"], "__blk", prefix="__before")
+    pause = F.coalesce(F.col("__us") - F.col("__before__us") > F.lit(max(pw, rw)), F.lit(False))
+    x = blocked_running(x.withColumn("__pause", pause.cast("int")), [key], order, "__pause", "__blk", "__piece")
+    # A null key matches nothing.
+    walked = x.where(F.col(key).isNotNull()).select(*columns, *order, "__piece")
+    schema = T.StructType([T.StructField("tag", T.StringType()), *walked.select(*columns).schema.fields])
+    paired = (walked.repartition(key, "__piece").sortWithinPartitions(key, "__piece", *order)
+              .mapInArrow(lambda batches: _pair(batches, columns, key, pw, rw), schema))
+    lonely = F.when(F.col("__receipt"), "unmatched_receipt").otherwise("unmatched_pay").alias("tag")
+    return paired.unionByName(x.where(F.col(key).isNull()).select(lonely, *columns))
+
+
+def _pair(batches, columns: list[str], key: str, pw: int, rw: int):
+    """Walks sorted events; the queues hold (time, row) of the events that still wait."""
+    now, queues = None, (deque(), deque())
+    waits = (pw, rw)   # how long a pay, a receipt waits
+    tags = ("unmatched_pay", "unmatched_receipt")
+
+    def drop(upto, out):
+        """Events that no later one can reach."""
+        for side, queue in enumerate(queues):
+            while queue and (upto is None or queue[0][0] + waits[side] < upto):
+                out.append({"tag": tags[side], **queue.popleft()[1]})
+
+    schema = None
+    for batch in batches:
+        out = []
+        if schema is None:
+            schema = pa.schema([pa.field("tag", pa.string()), *[batch.schema.field(c) for c in columns]])
+        own = [[n for n in columns if n != key and n.startswith(f"{side}_")] for side in ("pay", "receipt")]
+        for row in batch.to_pylist():
+            piece = (row[key], row["__piece"])
+            if piece != now:
+                drop(None, out)
+                now = piece
+            us, side = row["__us"], int(row["__receipt"])
+            drop(us, out)
+            mine = {n: row[n] for n in own[side]}
+            other = queues[1 - side]
+            if other:
+                out.append({"tag": "matched", **other.popleft()[1], **mine})
+            else:
+                queues[side].append((us, {key: row[key], **mine}))
+        yield pa.RecordBatch.from_pylist(out, schema=schema)
+    if schema is not None:
+        out = []
+        drop(None, out)
+        yield pa.RecordBatch.from_pylist(out, schema=schema)

@@ -1,6 +1,6 @@
 """Registered queries over the driver tables and their DuckDB oracles.
 
-Every query has an oracle; the stream forms are in ``ubeat.stream_queries``.
+Every query but ``tx_pair`` has an oracle; the stream forms are in ``ubeat.stream_queries``.
 
 Every query reads whole tables (no sampling, no id subsets) through the views
 in ``ubeat.sources.tables``.  Parameters are the reference's, except where the
@@ -25,6 +25,7 @@ from ubeat.operators.logins import login_fail_pair as _login_fail_pair
 from ubeat.operators.logins import login_fail_timer as _login_fail_timer
 from ubeat.operators.orders import order_timeout as _order_timeout
 from ubeat.operators.orders import tx_match as _tx_match
+from ubeat.operators.orders import tx_pair as _tx_pair
 from ubeat.operators.patterns import login_fail_sequence as _login_fail_sequence
 from ubeat.operators.patterns import order_pay_pattern as _order_pay_pattern
 from ubeat.plans.sliding import sliding_distinct, sliding_merge
@@ -486,6 +487,16 @@ def tx_match(spark: SparkSession, sf: str) -> DataFrame:
                       "receipt_ts", "receipt_seq")
 
 
+@register("tx_pair")
+def tx_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchases vs signups one to one, oldest waiting first; same bounds as ``tx_match``.
+    No oracle: the queues are state from event to event; tested against a model."""
+    ev = _ev(spark, sf)
+    out = _tx_pair(tb.pays(ev), tb.receipts(ev), "5 hours", "3 hours")
+    return out.select("tag", "tx_id", "pay_order_id", "pay_ts", "pay_seq", "receipt_pay_channel",
+                      "receipt_ts", "receipt_seq")
+
+
 # --- late rows (W4) on line items: arrival by order key, event time = ship date -------------------
 
 _LATE_ORACLE = """
