@@ -5,11 +5,12 @@ multiple of 18 in their document. So the non-overlapping blocks of every
 document are indexed (7 % of the positions), every rolling window of 18 words of
 every document probes the index, and a block found at any second place is an
 anchor hit in all its places. Each hit is extended to the 35-word windows around
-it; those are looked up once more (96-bit hashes of the whole window), and runs
+it; those are looked up once more (96 bits over 64-bit hashes of the words), and runs
 of windows that really occur elsewhere make the maximal exact repeats whose
 words are removed. Both lookups go through ``ubeat.llm.exchange``.
 
-Edge cases: null and empty texts have no words; texts of fewer than 35 words are
+Edge cases: null and empty texts have no words; a very long text is one document of
+its chunk, hashed piece by piece; texts of fewer than 35 words are
 never cut; a text whose window repeats within itself is cut like any other;
 repeated rows are separate documents; other columns are ignored.
 """
@@ -82,49 +83,58 @@ def dedup_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     plan = Plan(docs)
     buckets = plan.buckets
 
+    # A chunk sends each hash once, with a bit that says whether it has it more than once, and
+    # spreads the reply over its own occurrences: a hash that is everywhere costs one per chunk.
     def probes(chunk: Chunk):
         words = _Words(chunk, window, block)
-        order = np.argsort(words.blocks)
-        hashes, aligned = words.blocks[order], words.aligned[order]
+        hashes, place, n = np.unique(words.blocks, return_inverse=True, return_counts=True)
+        aligned = np.zeros(len(hashes), bool)
+        aligned[place[words.aligned]] = True
         at = cuts(hashes, buckets, 48)
         for b in range(buckets):
             part = slice(at[b], at[b + 1])
             if at[b] < at[b + 1]:
-                yield b, (rising(hashes[part]), np.packbits(aligned[part]))
+                yield b, (rising(hashes[part]), np.packbits(n[part] > 1), np.packbits(aligned[part]))
 
     def hits(blobs: dict):
-        sent = {c: (summed(h), bits) for c, (h, bits) in blobs.items()}
-        indexed = np.unique(np.concatenate([h[np.unpackbits(bits, count=len(h)).astype(bool)]
-                                            for h, bits in sent.values()]))
+        sent = {c: (summed(h), _bits(several, len(h)), _bits(aligned, len(h))) for c, (h, several, aligned) in blobs.items()}
+        indexed = np.unique(np.concatenate([h[aligned] for h, _, aligned in sent.values()]))
         probed = np.zeros(len(indexed), np.int64)
-        for h, _ in sent.values():
-            probed += np.searchsorted(h, indexed, side="right") - np.searchsorted(h, indexed)
+        for h, several, _ in sent.values():
+            at = np.minimum(np.searchsorted(h, indexed), len(h) - 1)
+            probed += (h[at] == indexed) * (1 + several[at].astype(np.int64))
         anchors = indexed[probed > 1]
-        for c, (h, _) in sent.items():
+        for c, (h, _, _) in sent.items():
             yield c, (np.packbits(_among(h, anchors)),)
 
     def extended(chunk: Chunk, replies: dict):
-        """Windows around anchor hits: (their positions, sorted order, cuts)."""
+        """Windows around anchor hits, in the order of their hashes: (their positions, the
+        number of each one's distinct hash, where these begin, cuts of the distinct ones)."""
         words = _Words(chunk, window, block)
-        order = np.argsort(words.blocks)
-        hit = _by_parts(order, cuts(words.blocks[order], buckets, 48), replies, 0)
+        hashes, place = np.unique(words.blocks, return_inverse=True)
+        hit = _by_parts(np.arange(len(hashes)), cuts(hashes, buckets, 48), replies, 0)[place]
         total = np.concatenate(([0], np.cumsum(hit)))
         sizes = np.diff(words.window_doc)
         begin = _ranges(np.array(words.block_doc[:-1], np.int64), sizes)
         near = np.flatnonzero(total[begin + window - block + 1] > total[begin])
-        order = np.lexsort((words.long_b[near], words.long_a[near]))
-        near = near[order]
-        return words, near, cuts(words.long_a[near], buckets, 64)
+        near = near[np.lexsort((words.long_b[near], words.long_a[near]))]
+        a, b = words.long_a[near], words.long_b[near]
+        new = np.ones(len(near), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        first = np.flatnonzero(new)
+        return words, near, np.cumsum(new) - 1, first, cuts(a[first], buckets, 64)
 
     def candidates(chunk: Chunk, replies: dict):
-        words, near, at = extended(chunk, replies)
+        words, near, group, first, at = extended(chunk, replies)
+        n = np.bincount(group, minlength=len(first))
         for b in range(buckets):
-            part = near[at[b]:at[b + 1]]
-            if len(part):
-                yield b, (rising(words.long_a[part]), words.long_b[part])
+            part = slice(at[b], at[b + 1])
+            if at[b] < at[b + 1]:
+                once = near[first[part]]
+                yield b, (rising(words.long_a[once]), words.long_b[once], np.packbits(n[part] > 1))
 
     def repeats(blobs: dict):
-        sent = [(c, summed(a), b) for c, (a, b) in blobs.items()]
+        sent = [(c, summed(a), b, _bits(several, len(b))) for c, (a, b, several) in blobs.items()]
         a, b = np.concatenate([x[1] for x in sent]), np.concatenate([x[2] for x in sent])
         order = np.lexsort((b, a))
         same = np.zeros(len(a) + 1, bool)
@@ -132,8 +142,8 @@ def dedup_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         found = np.zeros(len(a), bool)
         found[order] = same[1:] | same[:-1]
         end = 0
-        for c, h, _ in sent:
-            yield c, (np.zeros(0, np.uint8), np.packbits(found[end:end + len(h)]))
+        for c, h, _, several in sent:
+            yield c, (np.zeros(0, np.uint8), np.packbits(found[end:end + len(h)] | several))
             end += len(h)
 
     columns = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
@@ -142,8 +152,8 @@ def dedup_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def cut(chunk: Chunk, replies: dict):
         first = {b: x for b, x in replies.items() if b < buckets}
         second = {b - buckets: x for b, x in replies.items() if b >= buckets}
-        words, near, at = extended(chunk, first)
-        found = near[_by_parts(np.arange(len(near)), at, second, 1)]
+        words, near, group, begins, at = extended(chunk, first)
+        found = near[_by_parts(np.arange(len(begins)), at, second, 1)[group]]
         sizes = np.diff(words.window_doc)
         word = _ranges(np.array(words.first[:-1], np.int64), sizes)[found]
         cover = np.zeros(words.first[-1] + 1, np.int64)
@@ -170,6 +180,10 @@ def dedup_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                                   "spans array<struct<start:long,end:long>>", columns)
 
 
+def _bits(packed: np.ndarray, n: int) -> np.ndarray:
+    return np.unpackbits(packed, count=n).astype(bool)
+
+
 def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     if not len(table):
         return np.zeros(len(values), bool)
