@@ -50,6 +50,12 @@ def shared_folder(spark: SparkSession) -> str:
     return found.get()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared folder."""
     shared_folder(df.sparkSession)
