@@ -74,3 +74,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of the shared store."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def kept(df: DataFrame, *folders: str) -> DataFrame:
+    """``df`` checkpointed, and the folders that it was made from removed."""
+    out = checkpointed(df)
+    for folder in folders:
+        delete(df.sparkSession, folder)
+    return out

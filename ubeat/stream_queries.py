@@ -5,7 +5,7 @@ Each query replays the whole ``events`` table (it is in event-time order by
 over what is new, a part per micro-batch, from its checkpoint, so state and
 watermark are carried between the parts and recovered between the ``RUNS`` starts.
 Input, output and checkpoint are folders under the session's shared checkpoint
-folder; input and checkpoint are removed at the end.
+folder and are removed when the result has been checkpointed.
 Windows and timers that the final watermark has not reached are not emitted.
 """
 
@@ -32,7 +32,7 @@ from ubeat.queries import (
     OFFSET16,
     register,
 )
-from ubeat.session import ensure_checkpoint_dir
+from ubeat.session import delete, ensure_checkpoint_dir, kept
 from ubeat.sources import tables as tb
 from ubeat.streaming import ranking as sr
 from ubeat.streaming import stateful as st
@@ -49,11 +49,6 @@ _LAST_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
 _LAST = "(SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) FROM events)"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _replay(spark: SparkSession, sf: str, name: str, build: Callable[[DataFrame], DataFrame], mode: str = "append",
             each: Callable[[str], Callable] | None = None, table: str = "events", order: str = "ts",
             arrival: Callable[[Column], Column] | None = None) -> str:
@@ -90,16 +85,17 @@ def _replay(spark: SparkSession, sf: str, name: str, build: Callable[[DataFrame]
         if query.exception() is not None:
             raise query.exception()
     for part in ("in", "checkpoint"):
-        _delete(spark, f"{base}/{part}")
+        delete(spark, f"{base}/{part}")
     return base
 
 
 def _result(spark: SparkSession, sf: str, name: str, build, *times: str) -> DataFrame:
     """Everything the stream wrote, with the NTZ times of the table."""
-    out = spark.read.parquet(f"{_replay(spark, sf, name, build)}/out")
+    base = _replay(spark, sf, name, build)
+    out = spark.read.parquet(f"{base}/out")
     for t in times:
         out = out.withColumn(t, F.col(t).cast("timestamp_ntz"))
-    return out
+    return kept(out, base)
 
 
 def _views(ev: DataFrame) -> DataFrame:
@@ -112,7 +108,7 @@ def _ranked_items(spark: SparkSession, sf: str, name: str, transform) -> DataFra
     base = _replay(spark, sf, name, lambda ev: sw.stream_item_view_counts(tb.user_behavior(_views(ev))),
                    each=lambda base: sr.each_batch(transform, f"{base}/out"))
     out = spark.read.parquet(f"{base}/out").drop("epoch")
-    return out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    return kept(out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")), base)
 
 
 @register("stream_hot_items", f"SELECT * FROM ({HOT_ITEMS_ORACLE}) WHERE window_end <= {_LAST_VIEW}")
@@ -154,7 +150,7 @@ def stream_hot_pages(spark: SparkSession, sf: str) -> DataFrame:
 def _last_ranking(spark: SparkSession, base: str) -> DataFrame:
     out = spark.read.parquet(f"{base}/ranked")
     last = out.groupBy("window_end").agg(F.max("epoch").alias("epoch"), F.count_distinct("epoch").alias("rankings"))
-    return out.join(last, ["window_end", "epoch"]).withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    return kept(out.join(last, ["window_end", "epoch"]).withColumn("window_end", F.col("window_end").cast("timestamp_ntz")), base)
 
 
 #: An event arrives up to five hours after it happened.
@@ -224,7 +220,7 @@ def stream_running_visitors(spark: SparkSession, sf: str) -> DataFrame:
     from ubeat.plans.scan import blocked_running, row_blocks
     base = _replay(spark, sf, "running", lambda ev: sw.stream_running_visitors(tb.user_behavior(_views(ev)), "1 hour"),
                    mode="update", each=lambda base: sr.each_batch(lambda b: b, f"{base}/out"))
-    out = spark.read.parquet(f"{base}/out").groupBy("window_end", "user_id").agg(F.min("first_ts").alias("first_ts"))
+    out = kept(spark.read.parquet(f"{base}/out"), base).groupBy("window_end", "user_id").agg(F.min("first_ts").alias("first_ts"))
     out = row_blocks(out.withColumn("one", F.lit(1)), ["window_end"], ["first_ts", "user_id"])
     out = blocked_running(out, ["window_end"], ["first_ts", "user_id"], "one", "__blk", "uv")
     return out.select(*[F.col(t).cast("timestamp_ntz").alias(t) for t in ("window_end", "first_ts")], "user_id", "uv")
@@ -406,4 +402,4 @@ def stream_late_split(spark: SparkSession, sf: str) -> DataFrame:
         each=lambda base: late_splitter(
             "7 days", "1 day", delay="1 day", lateness="30 days", state_path=f"{base}/watermark",
             sink=lambda df, epoch: df.write.mode("overwrite").parquet(f"{base}/out/epoch={epoch}")))
-    return spark.read.parquet(f"{base}/out").select("seq", "l_linenumber", "l_partkey", "ts", "tag")
+    return kept(spark.read.parquet(f"{base}/out").select("seq", "l_linenumber", "l_partkey", "ts", "tag"), base)

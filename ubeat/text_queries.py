@@ -16,9 +16,10 @@ from ubeat.operators.fraud import click_fraud_filter
 from ubeat.operators.logins import login_fail_pair
 from ubeat.operators.orders import tx_match
 from ubeat.queries import _K, _LOGINS, HOT_ITEMS_ORACLE, register
-from ubeat.session import ensure_checkpoint_dir
+from ubeat.session import ensure_checkpoint_dir, kept
 from ubeat.sources import sinks, text
 from ubeat.sources import tables as tb
+from ubeat.streaming.stateful import stream_login_fail_pair
 
 FILES = 4
 
@@ -33,7 +34,10 @@ def _seconds(ts: str = "ts") -> Column:
 
 def _written(spark: SparkSession, name: str, rows: DataFrame, *fields: Column) -> str:
     """Comma lines of ``rows`` in order of ``seq`` over files in order of their names."""
-    path = _folder(spark, name)
+    return _lines(rows, _folder(spark, name), *fields)
+
+
+def _lines(rows: DataFrame, path: str, *fields: Column) -> str:
     lines = rows.select(F.concat_ws(",", *[F.coalesce(f.cast("string"), F.lit("")) for f in fields]).alias("value"), "seq")
     lines.repartitionByRange(FILES, "seq").sortWithinPartitions("seq").select("value").write.text(path)
     return path
@@ -44,7 +48,7 @@ def text_hot_items(spark: SparkSession, sf: str) -> DataFrame:
     """Behaviour lines to the hot items."""
     rows = tb.user_behavior(tb.only(tb.load(spark, sf, "events"), "view"))
     path = _written(spark, "behavior", rows, F.col("user_id"), F.col("item_id"), F.col("category"), F.col("behavior"), _seconds())
-    return ranking.hot_items(windows.item_view_counts(text.read_user_behavior(spark, path)), 5)
+    return kept(ranking.hot_items(windows.item_view_counts(text.read_user_behavior(spark, path)), 5), path)
 
 
 @register("text_click_fraud", f"""
@@ -59,7 +63,7 @@ def text_click_fraud(spark: SparkSession, sf: str) -> DataFrame:
     path = _written(spark, "clicks", rows, F.col("user_id"), F.col("ad_id"), F.col("province"), F.col("city"), _seconds())
     out = _folder(spark, "tagged")
     sinks.write_tagged(click_fraud_filter(text.read_ad_clicks(spark, path), limit=1), out)
-    return spark.read.parquet(out).select("user_id", "ad_id", "ts", "tag")
+    return kept(spark.read.parquet(out).select("user_id", "ad_id", "ts", "tag"), path, out)
 
 
 _SECOND_LOGINS = _LOGINS.replace(", ts,", ", date_trunc('second', ts) AS ts,")
@@ -75,7 +79,32 @@ def text_login_fail_pair(spark: SparkSession, sf: str) -> DataFrame:
     """Login lines over several files; the pairs depend on their arrival order."""
     rows = tb.logins(tb.load(spark, sf, "events"))
     path = _written(spark, "logins", rows, F.col("user_id"), F.col("ip"), F.col("event_type"), _seconds())
-    return login_fail_pair(text.read_logins(spark, path), "2 hours")
+    return kept(login_fail_pair(text.read_logins(spark, path), "2 hours"), path)
+
+
+@register("stream_text_login_fail", f"""
+WITH l AS (SELECT *, lag(event_type) OVER w AS pt, lag(ts) OVER w AS pts FROM ({_SECOND_LOGINS})
+           WINDOW w AS (PARTITION BY user_id ORDER BY seq))
+SELECT user_id, pts AS first_fail, ts AS last_fail, 'login fail 2 times in 2 seconds' AS msg
+FROM l WHERE event_type = 'fail' AND pt = 'fail' AND ts < pts + INTERVAL 2 HOUR
+""")
+def stream_text_login_fail(spark: SparkSession, sf: str) -> DataFrame:
+    """I3 to P4 as one stream: login lines in two deliveries, parsed and numbered in file and
+    line order, keyed state that the second start takes up again, alarms."""
+    rows = tb.logins(tb.load(spark, sf, "events"))
+    half = rows.agg(F.expr("floor((min(seq) + max(seq)) / 2)")).first()[0] or 0
+    base = _folder(spark, "login-alarms")
+    for i, part in enumerate((rows.where(F.col("seq") <= half), rows.where(F.col("seq") > half))):
+        _lines(part, f"{base}/in/{i}", F.col("user_id"), F.col("ip"), F.col("event_type"), _seconds())
+        logins = text.parse_lines(text.read_lines(spark, f"{base}/in/*", stream=True), text.LOGIN)
+        alarms = stream_login_fail_pair(logins, "2 hours", seq=["file", "seq"])
+        query = alarms.writeStream.format("parquet").option("path", f"{base}/out") \
+            .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    out = spark.read.parquet(f"{base}/out")
+    return kept(out.withColumns({t: F.col(t).cast("timestamp_ntz") for t in ("first_fail", "last_fail")}), base)
 
 
 @register("text_tx_match", f"""
@@ -99,4 +128,4 @@ def text_tx_match(spark: SparkSession, sf: str) -> DataFrame:
     receipts = _written(spark, "receipts", tb.receipts(ev), F.col("tx_id"), F.col("pay_channel"), _seconds())
     pays = text.read_orders(spark, orders).select("order_id", "tx_id", "ts", "seq")
     out = tx_match(pays, text.read_receipts(spark, receipts), "5 hours", "3 hours")
-    return out.select("tag", "tx_id", "pay_order_id", "pay_ts", "receipt_pay_channel", "receipt_ts")
+    return kept(out.select("tag", "tx_id", "pay_order_id", "pay_ts", "receipt_pay_channel", "receipt_ts"), orders, receipts)
