@@ -13,7 +13,8 @@ The phrases are a stated query set: they reach the tasks in blocks of at most
 block by block, so memory does not grow with the number of blocks. The documents
 are never shuffled.
 
-Edge cases: a null or empty text has no words and is not contaminated; an item
+Edge cases: a null or empty text has no words and is not contaminated; a very long
+text is a shard's piece of its own, judged whole; an item
 without words has no window; an item id that comes twice counts once, a null id
 as ``null``; no items at all leave every count 0; extra document columns pass
 through, and a column named like an added one is replaced.

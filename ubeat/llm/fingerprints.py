@@ -16,7 +16,8 @@ the range before it, so every task streams its documents in order and holds two
 at a time.
 
 Edge cases: a null text is empty; an empty text's fingerprint is that of the
-empty text, and two empty texts have likeness 1; rows with equal doc_ids follow
+empty text, and two empty texts have likeness 1; a very long text is a piece of its
+own, held by one task; rows with equal doc_ids follow
 each other by the hash of their text, and null ids come first; a single document
 is its own successor; an empty table gives no rows.
 """

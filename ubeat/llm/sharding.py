@@ -13,7 +13,8 @@ Slots number a shard's rows from 0 without gaps: pack start + group start +
 start of the (group, salt) block + row number in that block. A group of copies
 that holds a third of all rows is numbered in ``SALTS`` blocks.
 
-Edge cases: a null text is the empty text (size 1, same group as empty texts);
+Edge cases: a null text is the empty text (size 1, same group as empty texts); a
+very long text is one row, whatever its size, and fills a shard by itself if it must;
 rows with equal doc_id and text are told apart by nothing and get neighbouring
 slots; an empty table gives an empty result; extra columns pass through
 ``assign`` (a clash with an added column is overwritten).

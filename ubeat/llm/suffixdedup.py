@@ -18,7 +18,8 @@ content, without loss:
    their first 50 bytes; each run of equal ones has a smallest document.
 4. the spans to remove go back to their chunks and are cut out.
 
-Edge cases: null and empty texts have no bytes; a null doc_id is smaller than no
+Edge cases: null and empty texts have no bytes; a very long text is one document of
+its chunk and held by one task; a null doc_id is smaller than no
 id; rows with equal ids do not cut each other; removed spans may split a code
 point (the result is bytes); other columns are ignored.
 """
