@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every ubeat job wants: UTC event time, AQE for runtime re-planning
 # (partition coalescing, skew-join splitting, runtime broadcast decisions) and
 # Arrow for the few pandas-backed operators.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,8 +25,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Keyed stream state on local disk with checkpoints, not on the executors' heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     # A checkpoint is deleted once nothing refers to it any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
@@ -76,6 +78,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for what is started inside; the earlier ones come back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def keyed_state(spark: SparkSession, partitions: int | None = None):
+    """Settings under which a stream with state v2 is started in any session: the RocksDB
+    store, and ``partitions`` state partitions if given."""
+    values = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    return settings(spark, **values, **({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {}))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a file or folder of the shared store."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -32,7 +32,7 @@ from ubeat.queries import (
     OFFSET16,
     register,
 )
-from ubeat.session import delete, ensure_checkpoint_dir, kept
+from ubeat.session import delete, ensure_checkpoint_dir, kept, keyed_state
 from ubeat.sources import tables as tb
 from ubeat.streaming import ranking as sr
 from ubeat.streaming import stateful as st
@@ -65,8 +65,7 @@ def _replay(spark: SparkSession, sf: str, name: str, build: Callable[[DataFrame]
     low, high, n = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
     cut = [low + (high + 1 - low) * i // PARTS for i in range(PARTS + 1)] if low is not None else [0] * (PARTS + 1)
     files = -(-n // (PARTS * FILE_ROWS)) or 1
-    setting = spark.conf.get("spark.sql.shuffle.partitions")
-    states = min(int(setting), -(-n // STATE_ROWS) or 1)
+    states = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // STATE_ROWS) or 1)
     for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
         part = rows.where((by >= a) & (by < b))
         part = part.coalesce(1) if files == 1 else part.repartition(files)
@@ -76,12 +75,9 @@ def _replay(spark: SparkSession, sf: str, name: str, build: Callable[[DataFrame]
         out = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/in"))
         writer = out.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
         writer = writer.foreachBatch(each(base)) if each else writer.format("parquet").option("path", f"{base}/out")
-        spark.conf.set("spark.sql.shuffle.partitions", states)
-        try:
+        with keyed_state(spark, states):
             query = writer.start()
             query.awaitTermination()
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", setting)
         if query.exception() is not None:
             raise query.exception()
     for part in ("in", "checkpoint"):

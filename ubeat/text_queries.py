@@ -16,7 +16,7 @@ from ubeat.operators.fraud import click_fraud_filter
 from ubeat.operators.logins import login_fail_pair
 from ubeat.operators.orders import tx_match
 from ubeat.queries import _K, _LOGINS, HOT_ITEMS_ORACLE, register
-from ubeat.session import ensure_checkpoint_dir, kept
+from ubeat.session import ensure_checkpoint_dir, kept, keyed_state
 from ubeat.sources import sinks, text
 from ubeat.sources import tables as tb
 from ubeat.streaming.stateful import stream_login_fail_pair
@@ -98,9 +98,11 @@ def stream_text_login_fail(spark: SparkSession, sf: str) -> DataFrame:
         _lines(part, f"{base}/in/{i}", F.col("user_id"), F.col("ip"), F.col("event_type"), _seconds())
         logins = text.parse_lines(text.read_lines(spark, f"{base}/in/*", stream=True), text.LOGIN)
         alarms = stream_login_fail_pair(logins, "2 hours", seq=["file", "seq"])
-        query = alarms.writeStream.format("parquet").option("path", f"{base}/out") \
-            .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
-        query.awaitTermination()
+        writer = alarms.writeStream.format("parquet").option("path", f"{base}/out") \
+            .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+        with keyed_state(spark):
+            query = writer.start()
+            query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
     out = spark.read.parquet(f"{base}/out")
