@@ -80,7 +80,8 @@ class PaneStore:
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def write(self, panes: DataFrame, epoch: int) -> None:
-        panes.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.base}/panes/epoch={epoch}")
+        # Tasks write neighbouring buckets: at most a file per bucket and task, not their product.
+        panes.repartitionByRange("bucket", "pane").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.base}/panes/epoch={epoch}")
 
     def finish(self, epoch: int, reached: int, versions: dict[int, int], earlier: dict[int, int]) -> None:
         rows = [(int(epoch), int(reached), b, v) for b, v in versions.items()] or [(int(epoch), int(reached), None, None)]
@@ -105,6 +106,14 @@ def revised_top_n(base: str, n: int = 3, size="10 minutes", slide="5 seconds", *
     bucket_us = max(duration_us(bucket), size_us)
 
     def run(batch: DataFrame, epoch_id: int) -> None:
+        # Kept: every use of the batch would run the stream's state again.
+        batch = batch.persist()
+        try:
+            rank(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def rank(batch: DataFrame, epoch_id: int) -> None:
         store = PaneStore(batch.sparkSession, base, bucket_us)
         dtype = batch.schema["seen"].dataType
         seen, versions = store.before(epoch_id)
