@@ -42,8 +42,11 @@ from ubeat.streaming.late import late_splitter
 PARTS = 4
 #: Times that a query is started; it goes on from its checkpoint.
 RUNS = 2
-#: Rows of an input file (each part has as many files), and rows per state partition.
-FILE_ROWS, STATE_ROWS = 1_000_000, 25_000
+#: Rows of an input file (each part has as many files), rows per state partition and the
+#: most state partitions: each has its own stores, loaded and committed at every
+#: micro-batch, and every task reports a metric for each of them, so tasks that grow with
+#: the rows would send the driver the square of their number.
+FILE_ROWS, STATE_ROWS, STATES = 1_000_000, 250_000, 48
 _LAST_VIEW = "(SELECT max(ts) FROM events WHERE event_type = 'view')"
 #: The final watermark of a query over all events, in whole milliseconds.
 _LAST = "(SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) FROM events)"
@@ -65,7 +68,7 @@ def _replay(spark: SparkSession, sf: str, name: str, build: Callable[[DataFrame]
     low, high, n = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
     cut = [low + (high + 1 - low) * i // PARTS for i in range(PARTS + 1)] if low is not None else [0] * (PARTS + 1)
     files = -(-n // (PARTS * FILE_ROWS)) or 1
-    states = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // STATE_ROWS) or 1)
+    states = min(int(spark.conf.get("spark.sql.shuffle.partitions")), STATES, -(-n // STATE_ROWS) or 1)
     for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
         part = rows.where((by >= a) & (by < b))
         part = part.coalesce(1) if files == 1 else part.repartition(files)
