@@ -1,8 +1,11 @@
 """Keyed processors on Spark's state API v2 (``transformWithState``).
 
-Every processor keeps named value, list and map states per key and registers and
-deletes event-time timers of its own. No state is a whole array rewritten at each
-batch, and the rows of a key reach Python as an iterator, not as a frame per key.
+A call of the state API from Python costs more than the work on a row, so a processor
+is called per bucket of keys (``BUCKETS`` hash buckets, ``stateful.bucketed``) and holds
+the states of all keys of its bucket: named list states of columnar chunks, appended to
+at each batch (``Waiting``, ``Table``), and event-time timers of the bucket. The calls
+grow with the buckets, the rows cost plain Python. The rows of a bucket reach Python as
+an iterator, not as a frame.
 
 Event-time processors put rows into a list state until the watermark passes them
 (``Waiting``) and take them in event-time order when a timer fires, so the outcome
@@ -13,275 +16,355 @@ watermark are dropped by Spark before they reach a processor.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import Row
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+#: Hash buckets of keys that share a call; a bucket's rows of a micro-batch and its open states are in memory at once.
+BUCKETS = 1024
+#: Rows of a state's chunk.
+CHUNK = 10_000
+LONG, BOOLEAN = T.LongType(), T.BooleanType()
+
 
 def _ms(us: int) -> int:
     """The first whole millisecond at which a watermark has passed ``us``."""
     return -(-us // 1000)
 
 
+def _arrays(columns: dict[str, T.DataType]) -> T.StructType:
+    """A chunk: an array per column."""
+    return T.StructType([T.StructField(name, T.ArrayType(kind)) for name, kind in columns.items()])
+
+
+def _chunks(rows: Iterable[tuple]) -> Iterator[tuple]:
+    it = iter(rows)
+    while some := list(islice(it, CHUNK)):
+        yield tuple(list(c) for c in zip(*some, strict=True))
+
+
+def _by_key(rows: Iterable[tuple]) -> dict:
+    """Key (first column) -> its rows without it, in order."""
+    out = {}
+    for r in rows:
+        out.setdefault(r[0], []).append(r[1:])
+    for own in out.values():
+        own.sort()
+    return out
+
+
 class Waiting:
-    """Rows of a key that the watermark has not passed: a list state and a timer at the
-    earliest row of every batch that added to it."""
+    """Rows of a bucket that the watermark has not passed: a list state of chunks and a
+    timer at the earliest row of every batch that added to it. A row is its key, its event
+    time in microseconds and the other columns."""
 
-    def __init__(self, handle: StatefulProcessorHandle, schema: str):
+    def __init__(self, handle: StatefulProcessorHandle, key: T.DataType, **columns: T.DataType):
         self.handle = handle
-        self.rows = handle.getListState("waiting", schema)
+        self.rows = handle.getListState("waiting", _arrays({"key": key, "us": LONG} | columns))
 
-    def add(self, rows: list[tuple]) -> None:
-        """``rows`` begin with their event time in microseconds."""
-        self.rows.appendList(rows)
-        self.handle.registerTimer(_ms(min(r[0] for r in rows)))
+    def add(self, rows: Iterable[tuple]) -> None:
+        chunks = list(_chunks(rows))
+        self.rows.appendList(chunks)
+        self.handle.registerTimer(_ms(min(min(c[1]) for c in chunks)))
 
-    def take(self, watermark_us: int) -> list[tuple]:
-        """The rows up to the watermark, in order; a timer stands at what is left."""
+    def take(self, watermark_us: int) -> dict:
+        """Key -> rows up to the watermark, in order; a timer stands at what is left."""
         ready, left = [], []
-        for row in self.rows.get():
-            (ready if row[0] <= watermark_us else left).append(tuple(row))
+        for chunk in self.rows.get():
+            for row in zip(*chunk, strict=True):
+                (ready if row[1] <= watermark_us else left).append(row)
         if not ready:
-            return ready
+            return {}
         if left:
-            self.rows.put(left)
-            self.handle.registerTimer(_ms(min(r[0] for r in left)))
+            self.rows.put(list(_chunks(left)))
+            self.handle.registerTimer(_ms(min(r[1] for r in left)))
         else:
             self.rows.clear()
-        ready.sort()
-        return ready
+        return _by_key(ready)
+
+
+class Table:
+    """The values of a bucket's keys: a list state of chunks of changes, later ones in
+    force. A batch appends what it changed; the state is written anew once it holds twice
+    as many changes as keys. The first ``n_keys`` columns are the key."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, columns: dict[str, T.DataType], n_keys: int = 1):
+        self.n_keys, self.width = n_keys, len(columns)
+        self.log = handle.getListState(name, _arrays(columns | {"live": BOOLEAN}))
+
+    def load(self) -> dict[tuple, tuple]:
+        self.logged, self.rows = 0, {}
+        for chunk in self.log.get():
+            for row in zip(*chunk, strict=True):
+                self.logged += 1
+                if row[-1]:
+                    self.rows[row[:self.n_keys]] = row[self.n_keys:-1]
+                else:
+                    self.rows.pop(row[:self.n_keys], None)
+        return self.rows
+
+    def save(self, changes: dict[tuple, tuple | None]) -> dict[tuple, tuple]:
+        """Values (none: the key goes) by key -> the rows now in force."""
+        gone = (None,) * (self.width - self.n_keys)
+        changes = {k: v for k, v in changes.items() if self.rows.get(k) != v}
+        for k, v in changes.items():
+            if v is None:
+                del self.rows[k]
+            else:
+                self.rows[k] = v
+        if not changes:
+            return self.rows
+        if not self.rows:
+            self.log.clear()
+        elif self.logged + len(changes) > 2 * len(self.rows):
+            self.log.put(list(_chunks((*k, *v, True) for k, v in self.rows.items())))
+        else:
+            self.log.appendList(list(_chunks((*k, *(v or gone), v is not None) for k, v in changes.items())))
+        return self.rows
 
 
 class FraudFilter(StatefulProcessor):
-    """Number of rows that passed and whether the key was warned (value state).
-    With ``day_end_ms`` the last key column is a local day, whose end clears the state."""
+    """Number of rows that passed and whether the key was warned. With
+    ``day_end_ms`` the last grouping column is a local day, whose end clears the state."""
 
-    def __init__(self, columns: Sequence[str], order: Sequence[str], limit: int, text: str, day_end_ms=None):
-        self.columns, self.order, self.limit, self.text, self.day_end_ms = list(columns), list(order), limit, text, day_end_ms
+    def __init__(self, columns: Sequence[str], keys: Sequence[T.StructField], order: Sequence[str], limit: int, text: str,
+                 day_end_ms=None):
+        self.columns, self.keys, self.order, self.limit = list(columns), list(keys), list(order), limit
+        self.text, self.day_end_ms = text, day_end_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "passed LONG, warned BOOLEAN")
+        keys = {f"key_{i}": f.dataType for i, f in enumerate(self.keys)}
+        self.seen = Table(handle, "seen", keys | {"passed": LONG, "warned": BOOLEAN}, len(keys))
+
+    def _first(self, rows, seen) -> dict[tuple, list]:
+        """The first rows of every key in arrival order that can matter, however many there are."""
+        names, first = [f.name for f in self.keys], {}
+
+        def cut(key, own):
+            return heapq.nsmallest(self.limit - seen.get(key, (0,))[0] + 1, own, key=lambda r: tuple(r[c] for c in self.order))
+        for r in rows:
+            key = tuple(r[c] for c in names)
+            if key in seen and seen[key][1]:
+                continue
+            own = first.setdefault(key, [])
+            own.append(r)
+            if len(own) > 2 * self.limit + 100:
+                first[key] = cut(key, own)
+        return {key: cut(key, own) for key, own in first.items()}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        found = self.seen.get()
-        passed, warned = found if found is not None else (0, False)
-        if warned:
-            return
-        # Only the first rows in arrival order matter, however many there are.
-        room = self.limit - passed
-        first = heapq.nsmallest(room + 1, rows, key=lambda r: tuple(r[c] for c in self.order))
-        if found is None and self.day_end_ms is not None:
+        seen = self.seen.load()
+        if not seen and self.day_end_ms is not None:
             self.handle.registerTimer(self.day_end_ms(key[-1]))
-        self.seen.update((passed + min(room, len(first)), len(first) > room))
-        for i, r in enumerate(first):
-            tag, text = ("pass", None) if i < room else ("warning", self.text)
-            yield Row(**{c: r[c] for c in self.columns}, tag=tag, msg=text)
+        first, changes = self._first(rows, seen), {}
+        for k, own in first.items():
+            passed, _ = seen.get(k, (0, False))
+            room = self.limit - passed
+            changes[k] = (passed + min(room, len(own)), len(own) > room)
+            for i, r in enumerate(own):
+                tag, text = ("pass", None) if i < room else ("warning", self.text)
+                yield Row(**{c: r[c] for c in self.columns}, tag=tag, msg=text)
+        self.seen.save(changes)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
+        self.seen.log.clear()
         return iter(())
 
 
 class LoginFailPair(StatefulProcessor):
-    """Time of the user's last fail (value state, cleared by a success)."""
+    """Time of each user's last fail (cleared by a success)."""
 
-    def __init__(self, within_us: int, order: Sequence[str], text: str):
-        self.within_us, self.order, self.text = within_us, list(order), text
+    def __init__(self, key: T.DataType, within_us: int, order: Sequence[str], text: str):
+        self.key, self.within_us, self.order, self.text = key, within_us, list(order), text
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "us LONG")
+        self.last = Table(handle, "last", {"key": self.key, "us": LONG})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        found = self.last.get()
-        last = before = found[0] if found is not None else None
+        lasts = self.last.load()
+        now = {}
         for r in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
+            k = (r.user_id,)
+            last = now[k] if k in now else lasts.get(k)
             if not r.fail:
-                last = None
+                now[k] = None
                 continue
-            if last is not None and r.us < last + self.within_us:
-                yield Row(user_id=key[0], first_us=last, last_us=r.us, msg=self.text)
-            last = r.us
-        if last != before:
-            if last is None:
-                self.last.clear()
-            else:
-                self.last.update((last,))
+            if last is not None and r.us < last[0] + self.within_us:
+                yield Row(user_id=r.user_id, first_us=last[0], last_us=r.us, msg=self.text)
+            now[k] = (r.us,)
+        self.last.save(now)
 
 
 class LoginFailTimer(StatefulProcessor):
-    """The open span (value state) and a timer at its end, deleted when a success or
-    a later fail ends the span first."""
+    """Each user's open span and a timer at the earliest end of a bucket's spans; a
+    success or a later fail ends a span first."""
 
-    def __init__(self, n: int, wait_us: int, order: Sequence[str], head: str, tail: str):
-        self.n, self.wait_us, self.order, self.head, self.tail = n, wait_us, list(order), head, tail
+    def __init__(self, key: T.DataType, n: int, wait_us: int, order: Sequence[str], head: str, tail: str):
+        self.key, self.n, self.wait_us, self.order, self.head, self.tail = key, n, wait_us, list(order), head, tail
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.span = handle.getValueState("span", "anchor LONG, first LONG, last LONG, fails LONG")
+        self.spans = Table(handle, "spans", {"key": self.key, "anchor": LONG, "first": LONG, "last": LONG, "fails": LONG})
 
-    def _alarm(self, key, span) -> list[Row]:
+    def _alarm(self, user, span) -> list[Row]:
         if span is None or span[3] < self.n:
             return []
-        return [Row(user_id=key[0], first_us=span[1], last_us=span[2], msg=f"{self.head}{span[3]}{self.tail}")]
+        return [Row(user_id=user, first_us=span[1], last_us=span[2], msg=f"{self.head}{span[3]}{self.tail}")]
+
+    def _expire(self, now: dict, spans: dict, watermark_ms: int) -> Iterator[Row]:
+        """Alarms of the spans that the watermark has ended; a timer at the next end."""
+        for k, span in (spans | now).items():
+            if span is not None and _ms(span[0] + self.wait_us) <= watermark_ms:
+                yield from self._alarm(k[0], span)
+                now[k] = None
+        left = self.spans.save(now)
+        if left:
+            self.handle.registerTimer(min(_ms(s[0] + self.wait_us) for s in left.values()))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = self.span.get()
-        span = tuple(before) if before is not None else None
+        spans, now = self.spans.load(), {}
         for r in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
+            k = (r.user_id,)
+            span = now[k] if k in now else spans.get(k)
             over = span is not None and r.us >= span[0] + self.wait_us
             if over:
-                yield from self._alarm(key, span)
+                yield from self._alarm(r.user_id, span)
             if not r.fail:
-                span = None
+                now[k] = None
             elif span is None or over:
-                span = (r.us, r.us, r.us, 1)
+                now[k] = (r.us, r.us, r.us, 1)
             else:
-                span = (span[0], span[1], r.us, span[3] + 1)
-        ends = [None if s is None else _ms(s[0] + self.wait_us) for s in (before, span)]
-        if ends[0] != ends[1]:
-            if ends[0] is not None:
-                self.handle.deleteTimer(ends[0])
-            if ends[1] is not None and ends[1] > timerValues.getCurrentWatermarkInMs():
-                self.handle.registerTimer(ends[1])
-        if span is not None and ends[1] <= timerValues.getCurrentWatermarkInMs():
-            yield from self._alarm(key, span)
-            span = None
-        if span is None:
-            self.span.clear()
-        else:
-            self.span.update(span)
+                now[k] = (span[0], span[1], r.us, span[3] + 1)
+        yield from self._expire(now, spans, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        span = self.span.get()
-        if span is not None and _ms(span[0] + self.wait_us) == expiredTimerInfo.getExpiryTimeInMs():
-            self.span.clear()
-            yield from self._alarm(key, span)
+        yield from self._expire({}, self.spans.load(), timerValues.getCurrentWatermarkInMs())
 
 
 class FailSequence(StatefulProcessor):
-    """The last ``times - 1`` rows of a user that the watermark has passed (list
-    state), dropped once no later row can be within their reach."""
+    """The last ``times - 1`` rows of each user that the watermark has passed,
+    dropped once no later row can be within their reach."""
 
-    def __init__(self, times: int, within_us: int, text: str):
-        self.times, self.within_us, self.text = times, within_us, text
+    def __init__(self, key: T.DataType, times: int, within_us: int, text: str):
+        self.key, self.times, self.within_us, self.text = key, times, within_us, text
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = Waiting(handle, "us LONG, seq LONG, fail BOOLEAN")
-        self.tail = handle.getListState("tail", "us LONG, fail BOOLEAN")
+        self.waiting = Waiting(handle, self.key, seq=LONG, fail=BOOLEAN)
+        self.tails = Table(handle, "tails", {"key": self.key, "us": T.ArrayType(LONG), "fail": T.ArrayType(BOOLEAN)})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        self.waiting.add([(r.us, r.seq, r.fail) for r in rows])
+        self.waiting.add((r.user_id, r.us, r.seq, r.fail) for r in rows)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        ready = self.waiting.take(watermark_us)
-        tail = [tuple(r) for r in self.tail.get()]
-        for us, _, fail in ready:
-            tail = [*tail, (us, fail)][-self.times:]
-            if len(tail) == self.times and all(f for _, f in tail) and us - tail[0][0] < self.within_us:
-                yield Row(user_id=key[0], first_us=tail[0][0], last_us=us, msg=self.text)
-        tail = tail[1 - self.times:] if self.times > 1 else []
-        if tail and tail[-1][0] + self.within_us <= watermark_us:
-            tail = []
-        if tail and ready:
-            self.handle.registerTimer(_ms(tail[-1][0] + self.within_us))
-        if not tail:
-            self.tail.clear()
-        elif ready:
-            self.tail.put(tail)
+        ready, tails = self.waiting.take(watermark_us), self.tails.load()
+        now = {k: None for k, (us, _) in tails.items() if us[-1] + self.within_us <= watermark_us}
+        for user, own in ready.items():
+            tail = list(zip(*tails.get((user,), ((), ())), strict=True))
+            for us, _, fail in own:
+                tail = [*tail, (us, fail)][-self.times:]
+                if len(tail) == self.times and all(f for _, f in tail) and us - tail[0][0] < self.within_us:
+                    yield Row(user_id=user, first_us=tail[0][0], last_us=us, msg=self.text)
+            tail = tail[1 - self.times:] if self.times > 1 else []
+            open_ = tail and tail[-1][0] + self.within_us > watermark_us
+            now[(user,)] = tuple(list(c) for c in zip(*tail, strict=True)) if open_ else None
+        left = self.tails.save(now)
+        if left and now:
+            # One timer, when the last of them is out of reach; others go whenever the bucket is called.
+            self.handle.registerTimer(_ms(max(us[-1] for us, _ in left.values()) + self.within_us))
 
 
 class OrderTimeout(StatefulProcessor):
-    """P5: the open create of an order (value state, a timer at its end that is deleted
-    when a pay or a new create comes first) and its waiting events."""
+    """P5: the open create of each order, waiting events, and a timer at the earliest
+    end of a bucket's open creates."""
 
-    def __init__(self, within_us: int, paid: str, lonely: str, timeout: str):
-        self.within_us, self.paid, self.lonely, self.timeout = within_us, paid, lonely, timeout
+    def __init__(self, key: T.DataType, within_us: int, paid: str, lonely: str, timeout: str):
+        self.key, self.within_us, self.paid, self.lonely, self.timeout = key, within_us, paid, lonely, timeout
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.opened = handle.getValueState("opened", "us LONG")
-        self.waiting = Waiting(handle, "us LONG, pay BOOLEAN, seq LONG")
+        self.opened = Table(handle, "opened", {"key": self.key, "us": LONG})
+        self.waiting = Waiting(handle, self.key, pay=BOOLEAN, seq=LONG)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        self.waiting.add([(r.us, r.pay, r.seq) for r in rows])
+        self.waiting.add((r.order_id, r.us, r.pay, r.seq) for r in rows)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        found = self.opened.get()
-        before = opened = found[0] if found is not None else None
-        out = []
-        for us, pay, _ in [*self.waiting.take(watermark_us), (watermark_us, None, 0)]:
-            if opened is not None and us >= opened + self.within_us:
-                out.append((opened, None, self.timeout))
-                opened = None
-            if pay:
-                out.append((opened, us, self.lonely if opened is None else self.paid))
-                opened = None
-            elif pay is not None:
-                if opened is not None:
+        ready, stored = self.waiting.take(watermark_us), self.opened.load()
+        now = {}
+        for order in [*ready, *(k[0] for k, (us,) in stored.items() if k[0] not in ready and us + self.within_us <= watermark_us)]:
+            opened = stored.get((order,), (None,))[0]
+            out = []
+            for us, pay, _ in [*ready.get(order, ()), (watermark_us, None, 0)]:
+                if opened is not None and us >= opened + self.within_us:
                     out.append((opened, None, self.timeout))
-                opened = us
-        if opened != before:
-            if before is not None and before + self.within_us > watermark_us:
-                self.handle.deleteTimer(_ms(before + self.within_us))
-            if opened is None:
-                self.opened.clear()
-            else:
-                self.opened.update((opened,))
-                self.handle.registerTimer(_ms(opened + self.within_us))
-        for create, pay, result in out:
-            yield Row(order_id=key[0], create_us=create, pay_us=pay, result=result)
+                    opened = None
+                if pay:
+                    out.append((opened, us, self.lonely if opened is None else self.paid))
+                    opened = None
+                elif pay is not None:
+                    if opened is not None:
+                        out.append((opened, None, self.timeout))
+                    opened = us
+            now[(order,)] = None if opened is None else (opened,)
+            for create, pay, result in out:
+                yield Row(order_id=order, create_us=create, pay_us=pay, result=result)
+        left = self.opened.save(now)
+        if left and now:
+            self.handle.registerTimer(_ms(min(us for us, in left.values()) + self.within_us))
 
 
 class FollowedBy(StatefulProcessor):
-    """Pending creates (map state: time -> how many, a timer at each one's end,
-    deleted when a pay comes first) and waiting events."""
+    """Pending creates of each key (time -> how many), waiting events, and a timer
+    at the earliest end of a bucket's pending creates."""
 
-    def __init__(self, within_us: int):
-        self.within_us = within_us
+    def __init__(self, key: T.DataType, within_us: int):
+        self.key, self.within_us = key, within_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "us LONG", "n LONG")
-        self.waiting = Waiting(handle, "us LONG, seq LONG, create BOOLEAN, pay BOOLEAN")
+        self.pending = Table(handle, "pending", {"key": self.key, "us": LONG, "n": LONG}, 2)
+        self.waiting = Waiting(handle, self.key, seq=LONG, create=BOOLEAN, pay=BOOLEAN)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        self.waiting.add([(r.us, r.seq, r.create, r.pay) for r in rows])
+        self.waiting.add((r.order_id, r.us, r.seq, r.create, r.pay) for r in rows)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark_us = timerValues.getCurrentWatermarkInMs() * 1000
-        stored = {k[0]: v[0] for k, v in self.pending.iterator()}
-        pending, out = dict(stored), []
-
-        def expire(now):
-            for us in [c for c in pending if c + self.within_us <= now]:
-                out.extend([(us, None)] * pending.pop(us))
-
-        for us, _, create, pay in self.waiting.take(watermark_us):
-            expire(us)
-            if pay:
-                for c in sorted(pending):
-                    out.extend([(c, us)] * pending.pop(c))
-            if create:
-                pending[us] = pending.get(us, 0) + 1
-        expire(watermark_us)
-        for us in stored.keys() - pending.keys():
-            self.pending.removeKey((us,))
-            if us + self.within_us > watermark_us:
-                self.handle.deleteTimer(_ms(us + self.within_us))
-        for us, n in pending.items():
-            if stored.get(us) != n:
-                self.pending.updateValue((us,), (n,))
-                self.handle.registerTimer(_ms(us + self.within_us))
-        for create, pay in out:
-            yield Row(order_id=key[0], create_us=create, pay_us=pay)
+        ready, stored = self.waiting.take(watermark_us), self.pending.load()
+        keys, now = {}, {}
+        for (order, us), (n,) in stored.items():
+            keys.setdefault(order, {})[us] = n
+        for order in [*keys, *(k for k in ready if k not in keys)]:
+            pending, out = dict(keys.get(order, ())), []
+
+            def expire(at, pending=pending, out=out):
+                for us in [c for c in pending if c + self.within_us <= at]:
+                    out.extend([(us, None)] * pending.pop(us))
+
+            for us, _, create, pay in ready.get(order, ()):
+                expire(us)
+                if pay:
+                    for c in sorted(pending):
+                        out.extend([(c, us)] * pending.pop(c))
+                if create:
+                    pending[us] = pending.get(us, 0) + 1
+            expire(watermark_us)
+            now |= {(order, us): None for us in keys.get(order, ())} | {(order, us): (n,) for us, n in pending.items()}
+            for create, pay in out:
+                yield Row(order_id=order, create_us=create, pay_us=pay)
+        left = self.pending.save(now)
+        if left and now:
+            self.handle.registerTimer(_ms(min(us for _, us in left) + self.within_us))
 
 
 class NewVisitors(StatefulProcessor):

@@ -40,6 +40,11 @@ def _schema(df: DataFrame, key: str, name: str, rest: str) -> T.StructType:
     return T.StructType([T.StructField(name, df.schema[key].dataType), *T.StructType.fromDDL(rest).fields])
 
 
+def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with the hash bucket of its keys, whose keys share a processor's calls."""
+    return df.withColumn("__bucket", F.pmod(F.hash(*keys), F.lit(P.BUCKETS)))
+
+
 def _times(df: DataFrame, **columns: str) -> DataFrame:
     """Microsecond columns as timestamps under new names (``new=old``)."""
     return df.withColumns({new: F.timestamp_micros(F.col(old)) for new, old in columns.items()}).drop(*columns.values())
@@ -58,14 +63,16 @@ def stream_click_fraud_filter(df: DataFrame, keys: Sequence[str] = ("user_id", "
         raise ValueError("reset must be None or 'daily'")
     out_schema = T.StructType(df.schema.fields + [T.StructField("tag", T.StringType()), T.StructField("msg", T.StringType())])
     text = WARNING_TEXT.format(limit=limit)
+    key_fields = [df.schema[k] for k in keys]
     if reset is None:
-        return df.groupBy(*keys).transformWithState(
-            P.FraudFilter(df.columns, _order(seq), limit, text), out_schema, "Append", "None")
+        return bucketed(df, *keys).groupBy("__bucket").transformWithState(
+            P.FraudFilter(df.columns, key_fields, _order(seq), limit, text), out_schema, "Append", "None")
     src = _watermarked(df, ts, delay)
     src = src.withColumn("__day", local_day(ts, src.schema[ts].dataType, tz))
     out_schema = T.StructType([T.StructField(f.name, src.schema[f.name].dataType) if f.name == ts else f for f in out_schema])
-    out = src.groupBy(*keys, "__day").transformWithState(
-        P.FraudFilter(df.columns, _order(seq), limit, text, _day_end_ms(tz)), out_schema, "Append", "EventTime")
+    key_fields = [src.schema[k] for k in keys]
+    out = bucketed(src, *keys).groupBy("__bucket", "__day").transformWithState(
+        P.FraudFilter(df.columns, key_fields, _order(seq), limit, text, _day_end_ms(tz)), out_schema, "Append", "EventTime")
     return out
 
 
@@ -100,8 +107,8 @@ def stream_login_fail_pair(logins: DataFrame, within="2 seconds", *, key: str =
                            seq: str | Sequence[str] = "seq") -> DataFrame:
     """P4 on a stream: state = time of the user's last fail (cleared by a success)."""
     src = _logins(event_time(logins, ts), key, ts, seq)
-    return _alarms(src.groupBy("user_id").transformWithState(
-        P.LoginFailPair(duration_us(within), _order(seq), PAIR_TEXT), _schema(logins, key, "user_id", _ALARM), "Append", "None"))
+    return _alarms(bucketed(src, "user_id").groupBy("__bucket").transformWithState(
+        P.LoginFailPair(logins.schema[key].dataType, duration_us(within), _order(seq), PAIR_TEXT), _schema(logins, key, "user_id", _ALARM), "Append", "None"))
 
 
 def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *, key: str = "user_id",
@@ -113,8 +120,8 @@ def stream_login_fail_timer(logins: DataFrame, n: int = 2, wait="5 seconds", *,
     Rows of one batch are applied in arrival order with the batch rule.
     """
     src = _logins(_watermarked(logins, ts, delay), key, ts, seq)
-    return _alarms(src.groupBy("user_id").transformWithState(
-        P.LoginFailTimer(n, duration_us(wait), _order(seq), TIMER_TEXT_HEAD, TIMER_TEXT_TAIL),
+    return _alarms(bucketed(src, "user_id").groupBy("__bucket").transformWithState(
+        P.LoginFailTimer(logins.schema[key].dataType, n, duration_us(wait), _order(seq), TIMER_TEXT_HEAD, TIMER_TEXT_TAIL),
         _schema(logins, key, "user_id", _ALARM), "Append", "EventTime"))
 
 
@@ -131,8 +138,8 @@ def stream_order_timeout(orders: DataFrame, within="15 minutes", *, key: str = "
     src = (_watermarked(orders, ts, delay).where(F.col("event_type").isin("create", "pay"))
            .select(F.col(key).alias("order_id"), ts, F.unix_micros(ts).alias("us"),
                    (F.col("event_type") == "pay").alias("pay"), F.col(seq).cast("long").alias("seq")))
-    out = src.groupBy("order_id").transformWithState(
-        P.OrderTimeout(duration_us(within), PAYED_OK, PAY_NO_CREATE, ORDER_TIMEOUT),
+    out = bucketed(src, "order_id").groupBy("__bucket").transformWithState(
+        P.OrderTimeout(orders.schema[key].dataType, duration_us(within), PAYED_OK, PAY_NO_CREATE, ORDER_TIMEOUT),
         _schema(orders, key, "order_id", "create_us LONG, pay_us LONG, result STRING"), "Append", "EventTime")
     tag = F.when(F.col("result") == PAYED_OK, F.lit("payed")).otherwise(F.lit("timeout"))
     return _times(out.withColumn("tag", tag), create_ts="create_us", pay_ts="pay_us").select(
@@ -176,8 +183,8 @@ def stream_login_fail_sequence(logins: DataFrame, times: int = 3, within="5 seco
     """
     src = _logins(_watermarked(logins, ts, delay).withColumn(seq, F.col(seq).cast("long")), key, ts, seq)
     src = src.withColumnRenamed(seq, "seq")
-    return _alarms(src.groupBy("user_id").transformWithState(
-        P.FailSequence(times, duration_us(within), LOGIN_FAIL_TEXT), _schema(logins, key, "user_id", _ALARM), "Append", "EventTime"))
+    return _alarms(bucketed(src, "user_id").groupBy("__bucket").transformWithState(
+        P.FailSequence(logins.schema[key].dataType, times, duration_us(within), LOGIN_FAIL_TEXT), _schema(logins, key, "user_id", _ALARM), "Append", "EventTime"))
 
 
 def stream_order_pay_pattern(orders: DataFrame, within="15 minutes", *, key: str = "order_id", ts: str = "ts",
@@ -193,8 +200,8 @@ def stream_order_pay_pattern(orders: DataFrame, within="15 minutes", *, key: str
     src = (_watermarked(orders, ts, delay)
            .select(F.col(key).alias("order_id"), ts, F.unix_micros(ts).alias("us"), F.col(seq).cast("long").alias("seq"),
                    (F.col("event_type") == "create").alias("create"), (F.col("event_type") == "pay").alias("pay")))
-    out = src.groupBy("order_id").transformWithState(
-        P.FollowedBy(within_us), _schema(orders, key, "order_id", "create_us LONG, pay_us LONG"), "Append", "EventTime")
+    out = bucketed(src, "order_id").groupBy("__bucket").transformWithState(
+        P.FollowedBy(orders.schema[key].dataType, within_us), _schema(orders, key, "order_id", "create_us LONG, pay_us LONG"), "Append", "EventTime")
     paid = F.col("pay_us").isNotNull()
     late = F.concat(F.lit(TIMEOUT_PREFIX), F.floor((F.col("create_us") + F.lit(within_us)) / 1000).cast("string"))
     out = out.withColumns({"tag": F.when(paid, "payed").otherwise("timeout"), "result": F.when(paid, PAYED_TEXT).otherwise(late)})
